@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import langid, mixing, packing, toxicity
+from sievework.llm import langid, mixing, packing, secrets, toxicity
 from sievework.llm.common import fold, table
 
 
@@ -17,6 +17,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secret_spans", lambda x: x["rank"] < secrets.BASE)
+    count = lambda kind: F.size(F.filter("secret_spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("secret_spans")).alias("spans"),
+    )
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs.where(fold("doc_id") != 1))
@@ -42,6 +52,6 @@ def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing)
+    for f in (op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing)
 }
 ORACLES: dict[str, str] = {}
