@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import langid, mixing, packing, secrets, toxicity
+from sievework.llm import bitslice, langid, mixing, packing, secrets, toxicity
 from sievework.llm.common import fold, table
 
 
@@ -50,8 +50,21 @@ def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_bitsliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return bitslice.top_k(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing)
+    for f in (op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing, op9_bitsliced_top_k)
+}
+ORACLES: dict[str, str] = {
+    "op9_bitsliced_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+              FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e)),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT * FROM r WHERE rank <= 5""",
 }
-ORACLES: dict[str, str] = {}
