@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bitslice, langid, mixing, packing, secrets, toxicity
+from sievework.llm import bitslice, html_extract, langid, mixing, packing, secrets, toxicity
 from sievework.llm.common import fold, table
 
 
@@ -17,6 +17,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secret_spans", lambda x: x["rank"] < secrets.BASE)
@@ -57,7 +61,7 @@ def op9_bitsliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing, op9_bitsliced_top_k)
+    for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing, op9_bitsliced_top_k)
 }
 ORACLES: dict[str, str] = {
     "op9_bitsliced_top_k": """
