@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bitslice, html_extract, langid, mixing, packing, secrets, toxicity
+from sievework.llm import bitslice, html_extract, jaccard, langid, mixing, packing, secrets, toxicity
 from sievework.llm.common import fold, table
 
 
@@ -59,9 +59,13 @@ def op9_bitsliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslice.top_k(rows, rows.where("vec_id % 50 = 0"), 5)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing, op9_bitsliced_top_k)
+    for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing, op9_bitsliced_top_k, op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {
     "op9_bitsliced_top_k": """
