@@ -45,7 +45,7 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold("doc_id") != 1)
-    model = toxicity.fit(docs.join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels)
     out = toxicity.score(docs, model)
     return out.select("doc_id", (fold("doc_id") == 1).alias("held_out"), "score", "predicted")
 

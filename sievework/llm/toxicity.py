@@ -117,16 +117,18 @@ def train(texts: list[str], labels: np.ndarray, *, buckets: int = 1 << 19, dims:
     return Model((emb @ axis).astype(np.float32), float(bias))
 
 
-def fit(rows: DataFrame, *, text: str = "text", label: str = "toxic", sample_rows: int = 6400, toxic_share: float = 0.25, seed: int = 3, **options) -> Model:
-    """Trains on at most about `sample_rows` labelled rows, chosen by a hash of their text: `toxic_share` of them toxic where there are as many.
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: str = "text", label: str = "toxic", sample_rows: int = 6400, toxic_share: float = 0.25, seed: int = 3, **options) -> Model:
+    """Trains on at most about `sample_rows` labelled rows, chosen by a hash of their id: `toxic_share` of them toxic where there are as many.
 
-    `sample_rows` bounds what the driver gathers. Rows with a null text or label are left out.
+    `sample_rows` bounds what is broadcast to find their texts and what the driver gathers. Rows with a null id, text or label are left out.
     """
-    rows = rows.select(F.col(text).alias("t"), F.col(label).cast("int").alias("y")).where("t is not null and y is not null")
+    rows = labels.select(F.col(id_col).alias("k"), F.col(label).cast("int").alias("y")).where("k is not null and y is not null")
     n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     most = {1: sample_rows * toxic_share, 0: sample_rows * (1 - toxic_share)}
     rate = [min(1.0, most[k] / n[k]) if n.get(k) else 0.0 for k in (0, 1)]
-    got = rows.where(unit_hash("t", seed=seed) < F.when(F.col("y") == 1, rate[1]).otherwise(rate[0])).toArrow()
+    chosen = rows.where(unit_hash("k", seed=seed) < F.when(F.col("y") == 1, rate[1]).otherwise(rate[0]))
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text).alias("t")).where("t is not null")
+    got = texts.join(F.broadcast(chosen), "k").select("t", "y").toArrow()  # `sample_rows` small rows
     pairs = sorted(zip(got["t"].to_pylist(), got["y"].to_pylist(), strict=True))  # so that reruns agree
     return train([t for t, _ in pairs], np.array([int(v == 1) for _, v in pairs]), **options)
 
