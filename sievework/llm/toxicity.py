@@ -67,7 +67,7 @@ def _spread(starts: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.repeat(starts[picked] - off[:-1], n) + np.arange(off[-1]), off
 
 
-def train(texts: list[str], labels: np.ndarray, *, buckets: int = 1 << 19, dims: int = 4, epochs: int = 8, rate: float = 0.5, penalty: float = 1.5e-5, batch: int = 64, min_docs: int = 10, seed: int = 5) -> Model:
+def train(texts: list[str], labels: np.ndarray, *, buckets: int = 1 << 19, dims: int = 4, epochs: int = 14, rate: float = 0.5, penalty: float = 3e-5, batch: int = 64, min_docs: int = 10, seed: int = 5) -> Model:
     """Embeddings and softmax by minibatch Adagrad with a proximal group penalty; buckets in fewer than `min_docs` texts stay zero."""
     rng = np.random.default_rng(seed)
     y = np.asarray(labels, np.float64)
