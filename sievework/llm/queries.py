@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import bitslice, html_extract, jaccard, langid, mixing, packing, secrets, toxicity
+from sievework.llm import ann, bitslice, html_extract, jaccard, langid, mixing, packing, secrets, toxicity
 from sievework.llm.common import fold, table
 
 
@@ -54,6 +54,11 @@ def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_posting_list_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
 def op9_bitsliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return bitslice.top_k(rows, rows.where("vec_id % 50 = 0"), 5)
@@ -65,7 +70,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing, op9_bitsliced_top_k, op10_jaccard_join)
+    for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing, op8_posting_list_search, op9_bitsliced_top_k, op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {
     "op9_bitsliced_top_k": """
