@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import ann, bitslice, html_extract, jaccard, langid, mixing, packing, secrets, toxicity
+from sievework.llm import ann, bitslice, chat, html_extract, jaccard, langid, mixing, packing, secrets, toxicity
 from sievework.llm.common import fold, table
 
 
@@ -42,6 +42,14 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op5_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table holds turns, so they are written as raw transcripts first; the turns are what the parser recovers."""
+    conversations = table(spark, sf_dir, "conversations")
+    model = chat.fit(conversations)
+    found = chat.parse(chat.as_transcripts(conversations), model)
+    return found.withColumnRenamed("id", "conv_id")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold("doc_id") != 1)
@@ -70,7 +78,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op6_toxicity, op7_harmonic_packing, op8_posting_list_search, op9_bitsliced_top_k, op10_jaccard_join)
+    for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op5_chat_turns, op6_toxicity, op7_harmonic_packing, op8_posting_list_search, op9_bitsliced_top_k, op10_jaccard_join)
 }
 ORACLES: dict[str, str] = {
     "op9_bitsliced_top_k": """
