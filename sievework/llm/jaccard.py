@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import discard, materialise
+from sievework.llm.common import discard, materialise, unit_hash
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _LAST = (1 << 63) - 1
@@ -265,7 +265,7 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: i
         return out
 
     # some documents of each large region first, as pivots
-    is_star = F.pmod(F.xxhash64("sid", "region"), F.col("members")) < stars
+    is_star = unit_hash("sid", seed=7) * F.col("members") < stars  # the same ones in all regions of a group
     large = regions.where(F.col("members") > small).withColumns({"tried": is_star, "comp": F.col("sid"), "n_tried": F.lit(stars).cast("long"), "n_rest": F.col("members")})
     first, first_path = links(large)
     known = components(first, labels).select("sid", F.col("label.head").alias("__c"))
@@ -280,3 +280,22 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: i
     discard(spark, nodes_path, regions_path, first_path, second_path)
     out = rows.join(final, "sid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("__c")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of `docs` without all but one of each component: the row with the component's id stays, once if it is repeated.
+
+    Rows without shingles link with nothing and stay, repeated ones too. Where an id stands for several different texts, those of its rows stay whose text is the
+    first by hash. A row with a null id stays.
+    """
+    found = link(docs, id_col=id_col, text=text, **options)
+    drop = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__drop")).distinct()
+    kept = docs.join(drop, F.col(id_col).cast("long") == F.col("__drop"), "left_anti")
+    # what is left of repeated ids: one row each, by the least hash of the row
+    repeated = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select(F.col("doc_id").alias("__twice"))
+    flagged = kept.join(repeated, F.col(id_col).cast("long") == F.col("__twice"), "left")
+    once = flagged.where("__twice is null").select(*docs.columns)
+    twice = flagged.where("__twice is not null").withColumn("__h", F.xxhash64(*docs.columns))
+    first = twice.groupBy("__twice").agg(F.min("__h").alias("__first"))
+    chosen = twice.join(first, "__twice").where("__h = __first").dropDuplicates(["__twice"]).select(*docs.columns)
+    return once.unionByName(chosen)
