@@ -170,7 +170,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", rules:
         hit = lambda q: reduce(lambda a, b: a | b, [F.col("held").bitwiseAND(F.lit(word(a))) == F.lit(word(a)) for a in q])
         which = reduce(lambda a, b: a.bitwiseOR(b), [F.when(hit(asked[r.kind]), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in indexed])
         candidates = held.select("__key", which.alias("__which")).where("__which > 0")
-        rows = rows.join(candidates, "__key", "left")
+        rows = rows.join(candidates.hint("shuffle_hash"), "__key", "left")  # texts are neither sorted nor held
         for i, r in indexed:
             spans[i] = F.when(F.col("__which").bitwiseAND(F.lit(1 << i)) > 0, matches(F.col("__text"), r, i))
     none = F.array().cast(_SPANS)
