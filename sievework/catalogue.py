@@ -1,4 +1,7 @@
 """All queries of the engine and the SQL they are held against."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from sievework.plans import reports
+
+_PLANS = (reports,)
+QUERIES = {k: f for p in _PLANS for k, f in p.QUERIES.items()}
+ORACLES = {k: s for p in _PLANS for k, s in p.ORACLES.items()}
