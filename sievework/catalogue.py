@@ -1,7 +1,7 @@
 """All queries of the engine and the SQL they are held against."""
 
-from sievework.plans import reports
+from sievework.plans import reports, structures, texts
 
-_PLANS = (reports,)
+_PLANS = (reports, texts, structures)
 QUERIES = {k: f for p in _PLANS for k, f in p.QUERIES.items()}
 ORACLES = {k: s for p in _PLANS for k, s in p.ORACLES.items()}

@@ -13,6 +13,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.functions.text import particle, strip
 
@@ -223,7 +224,7 @@ def remaining_tags(text: Column) -> Column:
     return text.rlike(r"<[^>]+>|\{josa:")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratcliff(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity; no built-in function has it."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
@@ -257,7 +258,7 @@ def violations(value: object, schema: dict, path: str = "$") -> list[str]:
 def schema_violations(text: Column, schema: dict) -> Column:
     """array<string> of departures of JSON texts from a schema; from_json would let missing and extra keys pass."""
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(T.ArrayType(T.StringType()))
     def check(texts: pd.Series) -> pd.Series:
         def one(t: str | None) -> list[str]:
             try:

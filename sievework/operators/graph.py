@@ -9,6 +9,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.plans.steps import written
 
@@ -186,7 +187,7 @@ def plan_fingerprints(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     per_edge = edges.groupBy("plan_id").agg(F.collect_list(F.struct("source", "target", "label")).alias("edges"))
     joined = per_node.join(per_edge, "plan_id", "left")
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def of(n: pd.Series, e: pd.Series) -> pd.Series:
         return pd.Series([fingerprint([(x["node"], x["label"]) for x in a], [(x["source"], x["target"], x["label"]) for x in (b if b is not None else [])]) for a, b in zip(n, e, strict=True)])
 
