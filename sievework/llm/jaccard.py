@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from sievework.llm.common import discard, materialise, unit_hash
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-_LAST = (1 << 63) - 1
 
 
 class _Words(dict):
@@ -222,25 +221,30 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.withColumn("__i", common).where(100 * F.col("__i") >= percent * (F.size("x") + F.size("y") - F.col("__i"))).select("a", "b")
 
 
-def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """(sid, label) for the ends of `edges` by rounds of minimum labels and pointer jumping; labels: (sid, low, head), `low` the order of nodes.
+def components(edges: DataFrame) -> DataFrame:
+    """(sid, head) for the ends of `edges`, by contraction.
 
-    Each round is a written table; the rounds are about the logarithm of the longest path.
+    A round points each node to the least of itself and its neighbours, carries the links over to what their ends point to and drops those within. Node numbers are hashes, so
+    a round removes a fixed share of the nodes that still have links, and the links of a group of near copies go with the first one. Each round is a written table.
     """
     spark = edges.sparkSession
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    state, path = materialise(labels.join(both.select(F.col("a").alias("sid")).distinct(), "sid").select("sid", F.struct("low", "head").alias("label")))
+    levels: list[DataFrame] = []
+    links, path = materialise(edges.select("a", "b"))
     while True:
-        near = both.join(state, F.col("b") == F.col("sid")).groupBy("a").agg(F.min("label").alias("__n"))
-        hooked = state.join(near, F.col("sid") == F.col("a")).select("sid", F.col("label").alias("__was"), F.least("label", "__n").alias("__l"))
-        heads = state.select(F.col("sid").alias("__h"), F.col("label").alias("__up"))
-        jumped = hooked.join(heads, F.col("__l.head") == F.col("__h")).select("sid", F.least("__l", "__up").alias("label"), "__was")
-        new, new_path = materialise(jumped)
-        changed = new.where("label <> __was").limit(1).count()
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        level, _ = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("p")))
+        levels.append(level)
+        moved = links.join(level.toDF("a", "x"), "a").join(level.toDF("b", "y"), "b").where("x <> y")
+        links, new_path = materialise(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         discard(spark, path)
-        state, path = new.select("sid", "label"), new_path
-        if not changed:
-            return state
+        path = new_path
+        if not links.limit(1).count():
+            break
+    out = levels[0].toDF("sid", "head")
+    for level in levels[1:]:
+        out = out.join(level.toDF("head", "__up"), "head", "left").select("sid", F.coalesce("__up", "head").alias("head"))
+    found, _ = materialise(out)
+    return found
 
 
 def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85, bits: int = 22, cells: int = 128, small: int = 16, stars: int = 8, per_block: int = 1024) -> DataFrame:
@@ -254,7 +258,6 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: i
     held = nodes.select("sid", "n", F.explode("pivots").alias("region"))
     shared = held.groupBy("region").agg(F.count("*").alias("members")).where("members > 1")
     regions, regions_path = materialise(held.join(shared, "region").join(nodes.select("sid", "cells"), "sid"))
-    labels = nodes.select("sid", F.coalesce("rep", F.lit(_LAST)).alias("low"), F.col("sid").alias("head"))
 
     def links(grouped: DataFrame) -> tuple[DataFrame, str]:
         pairs, pairs_path = materialise(_near(_blocked(grouped, per_block), percent))
@@ -268,16 +271,20 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: i
     is_star = unit_hash("sid", seed=7) * F.col("members") < stars  # the same ones in all regions of a group
     large = regions.where(F.col("members") > small).withColumns({"tried": is_star, "comp": F.col("sid"), "n_tried": F.lit(stars).cast("long"), "n_rest": F.col("members")})
     first, first_path = links(large)
-    known = components(first, labels).select("sid", F.col("label.head").alias("__c"))
+    known = components(first)
     # then all that is not in the largest component of its region
-    state = regions.join(known, "sid", "left").withColumn("comp", F.coalesce("__c", "sid")).drop("__c")
+    state = regions.join(known, "sid", "left").withColumn("comp", F.coalesce("head", "sid")).drop("head")
     counted = state.groupBy("region", "comp").agg(F.count("*").alias("k")).groupBy("region").agg(F.max(F.struct("k", "comp")).alias("top"))
     left = state.join(counted, "region").withColumns({"tried": F.col("comp") != F.col("top.comp"), "n_rest": F.col("top.k"), "n_tried": F.col("members") - F.col("top.k")})
     second, second_path = links(left.where("n_tried > 0"))
-    joined = components(first.unionByName(second), labels).select("sid", F.col("label.low").alias("low"))
-    ids = nodes.select("sid", F.coalesce("rep", F.lit(_LAST)).alias("rep")).join(joined, "sid", "left").select("sid", F.nullif(F.coalesce("low", "rep"), F.lit(_LAST)).alias("__c"))
-    final, _ = materialise(ids)
-    discard(spark, nodes_path, regions_path, first_path, second_path)
+    of = lambda c, n: known.toDF(c, n)
+    heads = second.join(of("a", "x"), "a", "left").join(of("b", "y"), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")).where("a <> b").distinct()
+    last = components(heads).toDF("__h", "__t")
+    placed = nodes.select("sid", "rep").join(known, "sid", "left").withColumn("__h", F.coalesce("head", "sid")).join(last, "__h", "left").select("sid", "rep", F.coalesce("__t", "__h").alias("head"))
+    placed, placed_path = materialise(placed)
+    low = placed.groupBy("head").agg(F.min("rep").alias("__c"))
+    final, _ = materialise(placed.join(low, "head").select("sid", "__c"))
+    discard(spark, nodes_path, regions_path, first_path, second_path, placed_path)
     out = rows.join(final, "sid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("__c")).alias("component_id"))
 
