@@ -3,7 +3,7 @@
 Centroids come from balanced k-means on a bounded sample; every row is indexed. A row goes to the list of its nearest centroid and, as a
 boundary vector, to those of up to `replicas` centroids whose distance is at most (1 + boundary) times that of the nearest. Long lists are
 stored as several blocks, so none is larger than `block_rows`. A query finds centroids by best-first search in an in-memory graph that joins
-each centroid to its nearest ones, and scans the lists whose centroid is at most (1 + ratio) times as far as the nearest. Scores are inner
+each centroid to its nearest ones, and scans the lists whose centroid is at most (1 + ratio) times as far as the nearest, eight at least. Scores are inner
 products of the original vectors in double precision.
 
 The largest inner product is made a nearest-neighbour search by one more component: rows get sqrt(M^2 - |x|^2), M the largest norm, queries
@@ -43,8 +43,8 @@ class Centroids:
         square = (x**2).sum(1)[:, None] + (self.points**2).sum(1)[None] - 2 * x @ self.points.T
         return np.sqrt(np.maximum(square, 0))
 
-    def search(self, x: np.ndarray, ratio: float, least: int, beam: int = 24) -> list[int]:
-        """Centroids within (1 + ratio) times the nearest distance, and as many more as hold `least` rows, by best-first search."""
+    def search(self, x: np.ndarray, ratio: float, least: int, beam: int = 24, few: int = 8) -> list[int]:
+        """Centroids within (1 + ratio) times the nearest distance, at least `few`, and as many more as hold `least` rows, by best-first search."""
         dist = lambda ids: np.sqrt(((self.points[ids] - x) ** 2).sum(1))
         first = float(dist(np.array([self.entry]))[0])
         heap, seen, done = [(first, self.entry)], {self.entry}, []
@@ -64,7 +64,7 @@ class Centroids:
         done.sort()
         out, rows = [], 0
         for d, c in done:
-            if d > (1 + ratio) * near and rows >= least:
+            if d > (1 + ratio) * near and rows >= least and len(out) >= few:
                 break
             out.append(c)
             rows += self.own[c]
@@ -183,23 +183,28 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
             scaled = np.column_stack([x * (m.norm / np.linalg.norm(x, axis=1))[:, None], np.zeros(len(x))])
             found = [m.search(q, ratio, k + 1) for q in scaled]
             row = np.repeat(np.arange(len(x)), [len(f) for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int32()), *b.take(pa.array(row)).columns], names=["list", "id", "vec"])
+            turn = np.concatenate([np.arange(len(f)) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int32()), pa.array(turn, pa.int32()), *b.take(pa.array(row)).columns], names=["list", "turn", "id", "vec"])
 
-    routed = asked.mapInArrow(route, "list int, id long, vec array<double>")
-    n_asked = asked.count()
-    parts = max(1, -(-n_asked // 1024))
-    queries = _packed(routed.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), dim, 1024)
-    pairs = queries.toDF("list", "q_ids", "q_vecs").join(index, "list")
+    routed, _ = materialise(asked.mapInArrow(route, "list int, turn int, id long, vec array<double>"))
+    parts = max(1, -(-asked.count() // 1024))
+
+    def scanned(some: DataFrame) -> DataFrame:
+        """`some`: list, id, vec and least, the score from which on a row can be among the query's k best."""
+        with_least = some.select("list", "id", F.concat("vec", F.array("least")).alias("vec"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
+        return _packed(with_least, dim + 1, 1024).toDF("list", "q_ids", "q_vecs").join(index, "list").mapInArrow(scan, "query_id long, vec_id long, score double")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for q_ids, q_vecs, ids, vecs in zip(*(b.column(c).to_pylist() for c in ("q_ids", "q_vecs", "ids", "vecs")), strict=True):
-                mine, q = np.frombuffer(q_ids, "<i8"), np.frombuffer(q_vecs, "<f8").reshape(-1, dim)
+                mine, q = np.frombuffer(q_ids, "<i8"), np.frombuffer(q_vecs, "<f8").reshape(-1, dim + 1)
+                q, floor = q[:, :dim], q[:, dim]
                 rows_, x = np.frombuffer(ids, "<i8"), np.frombuffer(vecs, "<f8").reshape(-1, dim)
                 rough = q @ x.T
                 rough[mine[:, None] == rows_[None]] = -np.inf
                 few = min(k, len(rows_))
                 least = -np.partition(-rough, few - 1, axis=1)[:, few - 1]
+                least = np.maximum(least, floor)
                 least = least - 1e-9 * np.maximum(1, np.abs(least))  # rounding of the product must not part equal rows
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
                 for i in range(len(mine)):
@@ -210,8 +215,11 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score"])
 
-    found = pairs.mapInArrow(scan, "query_id long, vec_id long, score double")
-    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    # the nearest list of each query first: its k-th score is the least that rows of other lists must reach
+    nearest, _ = materialise(scanned(routed.where("turn = 0").withColumn("least", F.lit(float("-inf")))))
+    floor = nearest.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("__f"))
+    rest = routed.where("turn > 0").join(floor, "id", "left").withColumn("least", F.coalesce("__f", F.lit(float("-inf"))))
+    return nearest.unionByName(scanned(rest)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
 
 
 def search(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vec: str = "embedding", sample_rows: int = 20000, max_lists: int = 4096, replicas: int = 6, boundary: float = 0.05, ratio: float = 0.12, block_rows: int = 4096) -> DataFrame:
