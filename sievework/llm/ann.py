@@ -3,7 +3,7 @@
 Centroids come from balanced k-means on a bounded sample; every row is indexed. A row goes to the list of its nearest centroid and, as a
 boundary vector, to those of up to `replicas` centroids whose distance is at most (1 + boundary) times that of the nearest. Long lists are
 stored as several blocks, so none is larger than `block_rows`. A query finds centroids by best-first search in an in-memory graph that joins
-each centroid to its nearest ones, and scans the lists whose centroid is at most (1 + ratio) times as far as the nearest, eight at least. Scores are inner
+each centroid to its nearest ones, and scans the lists whose centroid is at most (1 + ratio) times as far as the second nearest, eight at least. Scores are inner
 products of the original vectors in double precision.
 
 The largest inner product is made a nearest-neighbour search by one more component: rows get sqrt(M^2 - |x|^2), M the largest norm, queries
@@ -44,24 +44,24 @@ class Centroids:
         return np.sqrt(np.maximum(square, 0))
 
     def search(self, x: np.ndarray, ratio: float, least: int, beam: int = 24, few: int = 8) -> list[int]:
-        """Centroids within (1 + ratio) times the nearest distance, at least `few`, and as many more as hold `least` rows, by best-first search."""
+        """Centroids within (1 + ratio) times the second least distance, at least `few`, and as many more as hold `least` rows, by best-first search."""
         dist = lambda ids: np.sqrt(((self.points[ids] - x) ** 2).sum(1))
         first = float(dist(np.array([self.entry]))[0])
         heap, seen, done = [(first, self.entry)], {self.entry}, []
-        near = first
+        best = [first]
         while heap:
             d, c = heapq.heappop(heap)
-            if d > (1 + ratio) * near and len(done) >= beam and self.own[[i for _, i in done]].sum() >= least:
+            if d > (1 + ratio) * best[-1] and len(done) >= beam and self.own[[i for _, i in done]].sum() >= least:
                 break
             done.append((d, c))
-            near = min(near, d)
             new = np.array([i for i in self.graph[c].tolist() if i not in seen], np.int64)
             if len(new):
                 seen.update(new.tolist())
                 for e, i in zip(dist(new).tolist(), new.tolist(), strict=True):
-                    near = min(near, e)
+                    best = sorted([*best, e])[:2]
                     heapq.heappush(heap, (e, i))
         done.sort()
+        near = done[min(1, len(done) - 1)][0]  # of the second nearest: the nearest centroid may stand on the query itself
         out, rows = [], 0
         for d, c in done:
             if d > (1 + ratio) * near and rows >= least and len(out) >= few:
