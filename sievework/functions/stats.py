@@ -19,7 +19,7 @@ def wilson(successes: Column, trials: Column) -> tuple[Column, Column]:
     n = F.nullif(trials.cast("double"), F.lit(0.0))
     middle = (p + Z * Z / (2 * n)) / (1 + Z * Z / n)
     half = Z * F.sqrt(p * (1 - p) / n + Z * Z / (4 * n * n)) / (1 + Z * Z / n)
-    return F.greatest(F.lit(0.0), middle - half), F.least(F.lit(1.0), middle + half)
+    return F.when(n > 0, F.greatest(F.lit(0.0), middle - half)), F.when(n > 0, F.least(F.lit(1.0), middle + half))
 
 
 def expected_more(remaining: Column, p: Column) -> Column:
