@@ -93,7 +93,7 @@ def count(samples: list[list[tuple[int, str]]]) -> Model:
     for r in range(3):
         move[2 * r : 2 * r + 2, 2 * r + 1] = 0.5
     start[1::2] = 1e-3
-    emit = [np.full((6, n), 0.5) for n in _SIZES]
+    emit = [np.full((6, n), 0.05) for n in _SIZES]
     for turns in samples:
         lines: list[str] = []
         states: list[int] = []
@@ -113,7 +113,9 @@ def count(samples: list[list[tuple[int, str]]]) -> Model:
             else:
                 start[s] += 1
     norm = lambda x: np.log(x / x.sum(-1, keepdims=True))
-    return Model(norm(start), norm(move), [norm(e) for e in emit])
+    # markers say who speaks; the other features differ between collections of chats, so half of their mass is spread evenly
+    even = lambda e: np.log(0.5 * e / e.sum(-1, keepdims=True) + 0.5 / e.shape[1])
+    return Model(norm(start), norm(move), [norm(emit[0]), norm(emit[1] + 0.5), *map(even, emit[2:])])
 
 
 def viterbi(model: Model, rows: np.ndarray, segment_lines: int = 4096) -> np.ndarray:

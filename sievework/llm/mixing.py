@@ -105,10 +105,10 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source:
         quota |= {(x, k): n for (x, k, _), n in zip(mine, sainte_lague([w for *_, w in mine], q, [math.floor(most) * blocks[x, k] for x, k, _ in mine]), strict=True)}
     plan = spark.createDataFrame(
         [(s, k, w, blocks[s, k], quota[s, k], sizes[s], goal[s]) for s, k, w in per],
-        "s string, k int, __w long, __b long, __q long, source_size long, target double",
+        "__s string, __k int, __w long, __b long, __q long, source_size long, target double",
     )
     # bounded by sources x max_shards (see above), whatever the number of documents
-    joined = rows.join(F.broadcast(plan), F.col("__src").eqNullSafe(F.col("s")) & (F.col("__shard") == F.col("k")))
+    joined = rows.join(F.broadcast(plan), F.col("__src").eqNullSafe(F.col("__s")) & (F.col("__shard") == F.col("__k")))
     w = Window.partitionBy("__src", "__shard").orderBy("__key").rowsBetween(Window.unboundedPreceding, -1)
     joined = joined.withColumn("__at", F.coalesce(F.sum("size").over(w), F.lit(0)))
     end = F.expr("(pmod(__q, greatest(__b, 1)) * __w) div greatest(__b, 1)")
