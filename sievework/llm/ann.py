@@ -29,6 +29,10 @@ from sievework.llm.common import materialise, unit_hash
 from sievework.llm.vectors import best, matrix, pick, usable
 
 
+#: Lists of a query that are scanned before the others.
+_FIRST = 8
+
+
 @dataclass
 class Centroids:
     """Points in the raised space, the graph among them, and how many rows are nearest to each."""
@@ -215,11 +219,12 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score"])
 
-    # the nearest list of each query first: its k-th score is the least that rows of other lists must reach
-    nearest, _ = materialise(scanned(routed.where("turn = 0").withColumn("least", F.lit(float("-inf")))))
-    floor = nearest.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("__f"))
-    rest = routed.where("turn > 0").join(floor, "id", "left").withColumn("least", F.coalesce("__f", F.lit(float("-inf"))))
-    return nearest.unionByName(scanned(rest)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    # the nearest lists of each query first: the k-th score over them is the least that rows of other lists must reach
+    once = lambda df: df.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    nearest, _ = materialise(best(once(scanned(routed.where(F.col("turn") < _FIRST).withColumn("least", F.lit(float("-inf"))))), k))
+    floor = nearest.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("__f"))
+    rest = routed.where(F.col("turn") >= _FIRST).join(floor, "id", "left").withColumn("least", F.coalesce("__f", F.lit(float("-inf"))))
+    return once(nearest.select("query_id", "vec_id", "score").unionByName(scanned(rest)))
 
 
 def search(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vec: str = "embedding", sample_rows: int = 20000, max_lists: int = 4096, replicas: int = 6, boundary: float = 0.05, ratio: float = 0.12, block_rows: int = 4096) -> DataFrame:
