@@ -12,6 +12,7 @@ a text of any length is tokenised whole. Extra columns are dropped.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -61,28 +62,45 @@ def cut(n: int, capacity: int, max_cuts: int, smallest: int) -> list[tuple[int,
 
 
 class _Words(dict):
-    """The ids of a word, as little-endian 32-bit bytes."""
+    """The ids of a word, as little-endian 32-bit bytes, from the tokenizer's own merges."""
 
-    def __init__(self, encode, most: int):
-        self.encode, self.most = encode, most
+    def __init__(self, merges, most: int):
+        self.merges, self.most = merges, most
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = np.array([t.id for t in self.merges(word.encode().decode("latin-1").translate(_BYTES))], "<u4").tobytes()
         if len(self) < self.most:
             self[word] = ids
         return ids
 
 
-def tokens(path: str, cache_words: int = 500_000):
-    """A function from a text to its ids as bytes; words are cached, texts with other characters go through the tokenizer whole."""
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level tokenizers write bytes with: printable Latin-1 stands for itself, the rest for what follows 255, in order."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTES = _byte_letters()
+
+
+def tokens(path: str, cache_words: int = 600_000):
+    """A function from a text to its ids as bytes.
+
+    With a byte-level tokenizer of the usual kind, texts of common characters are split into words here and each word's ids are kept; all other texts, and those for
+    any other tokenizer, go through the tokenizer whole. Both ways give the same ids.
+    """
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    words = _Words(tok.encode, cache_words)
+    made = json.loads(tok.to_str())
+    split = made.get("pre_tokenizer") or {}
+    usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not made.get("normalizer") and not made["model"].get("ignore_merges")
+    words = _Words(tok.model.tokenize, cache_words)
 
     def ids(text: str) -> bytes:
-        if _PLAIN.fullmatch(text):
+        if usual and _PLAIN.fullmatch(text):
             return b"".join(map(words.__getitem__, _SPLIT.findall(text)))
         return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
