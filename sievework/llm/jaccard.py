@@ -78,7 +78,8 @@ def _texts(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[pa.R
 
 def sketch(docs: DataFrame, text: str, size: int, bits: int) -> np.ndarray:
     """How many documents hold the shingles of each of 2**bits buckets. Tasks' counts are summed in slices by the executors; its size is fixed."""
-    pieces, width = 64, (1 << bits) // 64
+    pieces = min(1024, 1 << bits)
+    width = (1 << bits) // pieces
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, total, used = _Words(), np.zeros(1 << bits, np.uint32), False
