@@ -182,7 +182,7 @@ _V = """SELECT doc_id, code, source AS target FROM (
           SELECT doc_id, source, 'EMPTY' AS code FROM documents WHERE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) = 0
           UNION ALL SELECT doc_id, source, 'LENGTH' FROM documents WHERE n_chars <> length(text) UNION ALL SELECT doc_id, source, 'LANGUAGE' FROM documents WHERE lang NOT IN ('en', 'de', 'fr')
           UNION ALL SELECT doc_id, source, 'SHORT' FROM documents WHERE length(text) < 100
-          UNION ALL SELECT doc_id, source, 'EMAIL' FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')
+          UNION ALL SELECT doc_id, source, 'EMAIL' FROM documents WHERE regexp_matches(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')
           UNION ALL SELECT doc_id, source, 'PLACEHOLDER' FROM documents WHERE regexp_matches(text, '<(?:[A-Z][A-Z0-9_]*:E[0-9]+|REF:C[0-9]+)>|[〈＜][A-Z][A-Z0-9_]*:E[0-9]+[〉＞]|\\{josa:'))"""
 ORACLES = {
     "gram_counts": f"WITH {_D} SELECT doc_id, n AS n_grams FROM dn",
@@ -191,7 +191,7 @@ ORACLES = {
         s AS (SELECT doc_id, item_id, CAST(c AS DOUBLE) / (dn.n + bn.n - c) AS j FROM c JOIN dn USING (doc_id) JOIN bn USING (item_id)),
         r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY j DESC, item_id) AS rn FROM s)
         SELECT dn.doc_id, item_id AS nearest, coalesce(round(j, 9), 0) AS jaccard FROM dn LEFT JOIN r ON r.doc_id = dn.doc_id AND rn = 1""",
-    "masked_text": "SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '<EMAIL>', 'g'), '\\s+', ' ', 'g'))) AS hash FROM documents WHERE contains(text, '@')",
+    "masked_text": "SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '<EMAIL>', 'g'), '\\s+', ' ', 'g'))) AS hash FROM documents WHERE contains(text, '@')",
     "privacy_groups": f"""WITH e AS ({_ED}) SELECT plan_id, node, CASE WHEN bool_or(flag = 'R') THEN 'PII' ELSE 'NON_PII' END AS privacy
         FROM (SELECT plan_id, source AS node, flag FROM e UNION ALL SELECT plan_id, target, flag FROM e) GROUP BY 1, 2""",
     "bridges": f"""WITH e AS ({_ED}), l AS (SELECT plan_id, node, bool_or(flag = 'R') AS p FROM (SELECT plan_id, source AS node, flag FROM e UNION ALL SELECT plan_id, target, flag FROM e) GROUP BY 1, 2)

@@ -137,7 +137,7 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 _C = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
-_E = "'[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}'"
+_E = "'[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}'"
 _LINES = "SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)"
 _S = """hits AS (SELECT doc_id, text, regexp_extract_all(text, {e}) AS m FROM documents WHERE contains(text, '@')),
         g AS (SELECT doc_id, m, string_split_regex(text, {e}) AS gaps, length(text) AS n FROM hits WHERE len(m) > 0),
