@@ -205,7 +205,8 @@ def split_sentences(segments: DataFrame) -> DataFrame:
 
     lines = F.filter(F.transform(F.split("text", r"\r?\n"), strip), lambda x: x != "")
     parts = F.when(F.col("kind") == "prose", F.flatten(F.transform(F.split("text", r"\r?\n"), sentences))).otherwise(lines)
-    each = segments.select("plan_id", F.col("position").alias("__p"), "sentence_id", F.posexplode(parts).alias("__i", "text"))
+    whole = F.when(F.size(parts) < 2, F.array("text")).otherwise(parts)  # a segment of one sentence stays as it is
+    each = segments.select("plan_id", F.col("position").alias("__p"), "sentence_id", F.posexplode(whole).alias("__i", "text"))
     top = F.max(F.regexp_extract("sentence_id", r"^S([0-9]+)$", 1).try_cast("long")).over(Window.partitionBy("plan_id"))
     order = Window.partitionBy("plan_id").orderBy("__p", "__i")
     extra = F.sum((F.col("__i") > 0).cast("int")).over(order)

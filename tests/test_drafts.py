@@ -47,7 +47,7 @@ def test_draft_rules_and_repairs(spark):
     typed = drafts.typed_ids(spark.createDataFrame([("p", "E1이 E2와 E9, <NAME:E1>")], "plan_id string, text string"), e).first()["text"]
     assert typed == "<NAME:E1>이 <EMAIL:E2>와 E9, <NAME:E1>"
     split = drafts.split_sentences(seg).orderBy("position").collect()
-    assert [(x["sentence_id"], x["text"]) for x in split][-2:] == [("S3", "하나다."), ("S5", "둘이다.")]
+    assert [(x["sentence_id"], x["text"]) for x in split][-3:] == [("S3", "하나다."), ("S5", "둘이다."), ("S4", " \n")]
 
 
 def test_tokens_for_surfaces(spark):
