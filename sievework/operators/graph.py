@@ -33,17 +33,27 @@ def bridges(edges: DataFrame, keys: list[str], source: str, target: str, pii: Co
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component): the least node that is reachable, by rounds of least labels with pointer jumping; each round is a written table."""
-    both = written(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(edges.select(F.col(b).alias("x"), F.col(a).alias("y"))).distinct())
-    state = written(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("l")))
+    """(node, component): the least node that is reachable, by contraction.
+
+    In a round each node points to the first of itself and its neighbours in hash order, edges move to what their ends point to, and those within vanish: a fixed share of the
+    nodes goes with each round, however long a path is. Each round is a written table.
+    """
+    links = written(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).distinct())
+    place = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
+    levels: list[DataFrame] = []
     while True:
-        near = both.join(state.toDF("y", "ly"), "y").groupBy("x").agg(F.min("ly").alias("n"))
-        hooked = state.join(near, "x").select("x", F.least("l", "n").alias("l"), F.col("l").alias("was"))
-        up = state.toDF("l", "up")
-        new = written(hooked.join(up, "l", "left").select("x", F.least("l", F.coalesce("up", "l")).alias("l"), "was"))
-        if not new.where("l <> was").limit(1).count():
-            return new.select(F.col("x").alias("node"), F.col("l").alias("component"))
-        state = new.select("x", "l")
+        both = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        level = written(both.groupBy("x").agg(F.min(place("y")).alias("m")).select("x", F.least(place("x"), "m")["v"].alias("p")))
+        levels.append(level)
+        moved = links.join(level.toDF("x", "px"), "x").join(level.toDF("y", "py"), "y").where("px <> py")
+        links = written(moved.select(F.least("px", "py").alias("x"), F.greatest("px", "py").alias("y")).distinct())
+        if not links.limit(1).count():
+            break
+    out = levels[0].toDF("node", "head")
+    for level in levels[1:]:
+        out = out.join(level.toDF("head", "up"), "head", "left").select("node", F.coalesce("up", "head").alias("head"))
+    out = written(out)
+    return out.join(out.groupBy("head").agg(F.min("node").alias("component")), "head").select("node", "component")
 
 
 def allowed_triples(ontology: DataFrame) -> DataFrame:
