@@ -1,6 +1,6 @@
 """A training-data pipeline over `documents`: five stages, each on all that the one before kept.
 
-1. language ID: rows whose language can't be told, or is told with a score under 0.5, go. With no labelled rows there is nothing to tell by, and all stay.
+1. language ID: rows whose language can't be told, or is told with a score under 0.3 (no language has a third of the letters, or none stands out), go. With no labelled rows there is nothing to tell by, and all stay.
 2. n-gram Jaccard join: of each component (five-word shingles, similarity 0.8 or more) the row with the smallest id stays, and one of repeated rows.
 3. secret scans: what a rule finds becomes [secret].
 4. mixing sources to target weights: each row as often as the mix takes it, whole.
@@ -29,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not model.langs:
         return docs
     told = langid.identify(docs, model, spans=False)
-    return told.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5)).select(*docs.columns)
+    return told.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.3)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

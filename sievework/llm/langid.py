@@ -173,13 +173,13 @@ def _label(model: Model, texts: list[str | None], words: _Words, known: np.ndarr
     found = [list(map(number, _LETTERS.findall(x))) for x in lower]
     if len(words) > len(known):
         new = list(words)[len(known) :]
-        size = np.array([len(w) for w in new], np.float32)
+        size = np.array([len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in new], np.float32)
         known = np.concatenate([known, np.column_stack([word_scores(model, new), size])])
     tables = [known[np.array(f, np.int64)] for f in found]
     paths = viterbi([x[:, :-1] for x in tables], penalty)
     langs, scores, runs = [], [], []
     for raw, low, x, path in zip(texts, lower, tables, paths, strict=True):
-        if not len(path):
+        if not len(path) or not x[:, -1].any():  # no words, or such as are fractions and superscripts only
             langs.append("und"), scores.append(0.0), runs.append([])
             continue
         letters = np.bincount(path, weights=x[:, -1], minlength=len(model.langs))

@@ -46,7 +46,7 @@ def model(spark):
 
 def test_language_spans(spark, model):
     a, b, c = "abc def fed cab bad dab face deaf", "mop pro porn norm romp mono moor noon", "баг дав гад вба"
-    rows = [(1, f"{a}. {b}! {c}"), (2, None), (3, ""), (4, "123 --"), (5, "日本語"), (6, a), (7, a), (8, (a + " ") * 5000)]
+    rows = [(1, f"{a}. {b}! {c}"), (2, None), (3, ""), (4, "123 -- ½²"), (5, "日本語"), (6, a), (7, a), (8, (a + " ") * 5000)]
     got = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert [s["lang"] for s in got[1]["lang_spans"]] == ["aa", "bb", "cc"]
     text = rows[0][1]
