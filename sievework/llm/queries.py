@@ -80,7 +80,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op5_chat_turns, op6_toxicity, op7_harmonic_packing, op8_posting_list_search, op9_bitsliced_top_k, op10_jaccard_join)
 }
+
+
+def _spans_sql() -> str:
+    """The secret scan as SQL: every rule over every text, offsets from what the expression leaves and takes."""
+    parts = []
+    for i, r in enumerate(secrets.RULES):
+        e = "'" + r.pattern.replace("'", "''") + "'"
+        parts.append(
+            f"""SELECT doc_id, {i} AS rank, '{r.kind}' AS kind, s, s + length(f) AS e FROM (
+            SELECT doc_id, m[i] AS f, v[i] AS h, CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS BIGINT) AS s
+            FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, {e}) AS m, regexp_extract_all(t, {e}, {r.group}) AS v, string_split_regex(t, {e}) AS g
+              FROM d WHERE regexp_matches(t, {e})))) WHERE length(h) >= {r.least}"""
+        )
+    union = " UNION ALL ".join(parts)
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.RULES[: secrets.BASE])
+    text = "kind || ':' || s || ':' || e, ',' ORDER BY s, rank"
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), s AS ({union}),
+        a AS (SELECT doc_id, {counts}, string_agg({text}) FILTER (rank < {secrets.BASE}) AS base, string_agg({text}) AS spans FROM s GROUP BY doc_id)
+        SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.RULES[: secrets.BASE])}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
+
+
+#: The article of the tables' pages, which all have one of paragraphs and headings, by plain patterns.
+_ARTICLE_SQL = """
+        WITH b AS (SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?(?:p|h1)>') AS l FROM pages),
+        c AS (SELECT page_id, url, list_transform(l, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(x, '<br>', ' '), '</?b>', '', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))) AS l FROM b),
+        t AS (SELECT page_id, url, array_to_string(list_filter(l, lambda x: x <> ''), chr(10)) AS text FROM c)
+        SELECT page_id, url, text, length(text) AS n_chars FROM t"""
 ORACLES: dict[str, str] = {
+    "op1_html_extraction": _ARTICLE_SQL,
+    "op2_secret_scan": _spans_sql(),
     "op9_bitsliced_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
                    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
