@@ -41,7 +41,7 @@ class _Words(dict):
 
     def __missing__(self, w: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(w)
-        if len(self) < 1_000_000:
+        if len(self) < 200_000:
             self[w] = h
         return h
 

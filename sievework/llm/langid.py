@@ -201,7 +201,7 @@ def _label(model: Model, texts: list[str | None], words: _Words, known: np.ndarr
     return known, langs, scores, runs
 
 
-def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: float = 12.0, spans: bool = True, batch_rows: int = 2048, cache_words: int = 400_000) -> DataFrame:
+def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: float = 12.0, spans: bool = True, batch_rows: int = 2048, cache_words: int = 200_000) -> DataFrame:
     """Adds lang_pred, score and, with `spans`, lang_spans (code points of the text; half-open) to every row.
 
     Map-only: the model, whose size the parameters of `fit` fix, goes with the tasks. Offsets of a text whose lower case has another

@@ -84,7 +84,14 @@ def _byte_letters() -> dict[int, str]:
 _BYTES = _byte_letters()
 
 
-def tokens(path: str, cache_words: int = 600_000):
+def byte_level(tok) -> bool:
+    """Whether a tokenizer splits texts and writes bytes as _SPLIT and _BYTES do."""
+    made = json.loads(tok.to_str())
+    split = made.get("pre_tokenizer") or {}
+    return split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not made.get("normalizer") and not made["model"].get("ignore_merges")
+
+
+def tokens(path: str, usual: bool | None = None, cache_words: int = 300_000):
     """A function from a text to its ids as bytes.
 
     With a byte-level tokenizer of the usual kind, texts of common characters are split into words here and each word's ids are kept; all other texts, and those for
@@ -94,9 +101,7 @@ def tokens(path: str, cache_words: int = 600_000):
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    made = json.loads(tok.to_str())
-    split = made.get("pre_tokenizer") or {}
-    usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not made.get("normalizer") and not made["model"].get("ignore_merges")
+    usual = byte_level(tok) if usual is None else usual
     words = _Words(tok.model.tokenize, cache_words)
 
     def ids(text: str) -> bytes:
@@ -116,12 +121,15 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text: str =
     Two passes: pieces are written once (ids and texts are not), then numbered. What is shuffled is a row per piece shorter than
     a sequence. The table of counts has a row per task and class.
     """
+    from tokenizers import Tokenizer
+
+    usual = byte_level(Tokenizer.from_file(tokenizer))  # told to the tasks, which needn't hold the vocabulary twice
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, task, number = tokens(tokenizer), TaskContext.get().partitionId(), {}
+        encode, task, number = tokens(tokenizer, usual), TaskContext.get().partitionId(), {}
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 part = whole.slice(at, 1024)

@@ -139,7 +139,7 @@ class _Words(dict):
         return n
 
 
-def score(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = 0.7, batch_rows: int = 2048, cache_words: int = 500_000) -> DataFrame:
+def score(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = 0.7, batch_rows: int = 2048, cache_words: int = 250_000) -> DataFrame:
     """Adds score and predicted (1 from `threshold` on) to every row; map-only. The model's size is fixed by `buckets`."""
     src = docs.drop("score", "predicted")
     schema = T.StructType([*src.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
