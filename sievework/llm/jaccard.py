@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import discard, materialise, unit_hash
+from sievework.llm.common import discard, materialise, small_batches, unit_hash
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -251,6 +251,7 @@ def components(edges: DataFrame) -> DataFrame:
 def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85, bits: int = 22, cells: int = 128, small: int = 16, stars: int = 8, per_block: int = 1024) -> DataFrame:
     """doc_id, n_shingles and component_id of every row; links are at 100 * J >= percent."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows, _ = materialise(signatures(docs, id_col, text, size, percent, bits, cells))
     full = rows.where("sid is not null")
     nodes, nodes_path = materialise(
