@@ -28,7 +28,7 @@ def scratch(spark: SparkSession) -> str:
 def small_batches(spark: SparkSession, rows: int = 2048, size: int = 8 << 20) -> None:
     """Bounds the Arrow batches of this session: texts can be long, and what JVM and Python hold of a task grows with its batches."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
-        now = spark.conf.get(key, "0")
+        now = spark.conf.get(key).removesuffix("b")
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 
