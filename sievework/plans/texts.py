@@ -32,7 +32,7 @@ def redact_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def literal_email(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", F.size(t.literal(F.col("text"), "EMAIL")).alias("n_emails"))
+    docs = table(spark, d, "documents").where(F.contains("text", F.lit("@"))).select("doc_id", F.size(t.literal(F.col("text"), "EMAIL")).alias("n_emails"))
     return docs.where("n_emails > 0")
 
 
