@@ -36,10 +36,10 @@ def greedy_accept(spark: SparkSession, d: str) -> DataFrame:
 
 def addition_copies(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of turns of a conversation by the same role that are near copies."""
-    c = table(spark, d, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 200).alias("text"))
-    a, b = c.toDF("conv_id", "t1", "role", "x"), c.toDF("conv_id", "t2", "role", "y")
-    pairs = a.join(b, ["conv_id", "role"]).where("t1 < t2")
-    return pairs.groupBy("role").agg(F.count("*").alias("n_pairs"), F.count_if(dedup.near_copy(F.col("x"), F.col("y"))).alias("n_copies"))
+    c = table(spark, d, "conversations").where("conv_id is not null and role is not null")
+    per = c.groupBy("conv_id", "role").agg(F.collect_list(F.struct("turn", "text")).alias("c"))
+    pairs = per.select("role", *dedup.copies_in_order(F.col("c"), "turn", "text")).where("n_pairs > 0")
+    return pairs.groupBy("role").agg(F.sum("n_pairs").alias("n_pairs"), F.sum("n_copies").alias("n_copies"))
 
 
 def ratcliff_near_dup(spark: SparkSession, d: str) -> DataFrame:
