@@ -8,8 +8,10 @@ from __future__ import annotations
 import difflib
 import json
 import re
+from collections import Counter
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -230,6 +232,65 @@ def ratcliff(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def _masks(text: str) -> dict[str, int]:
+    """For each character where it stands, as bits."""
+    at: dict[str, int] = {}
+    for j, x in enumerate(text):
+        at[x] = at.get(x, 0) | (1 << j)
+    return at
+
+
+def _common(a: str, n: int, at: dict[str, int], needed: float) -> bool:
+    """Whether the longest common subsequence of `a` and a text of n characters, `at` its masks, may have `needed` characters: bit-parallel rows, given up when too few are left."""
+    full = v = (1 << n) - 1
+    for k in range(0, len(a), 32):
+        for x in a[k : k + 32]:
+            if x in at:
+                u = v & at[x]
+                v = ((v + u) | (v - u)) & full
+        if n - v.bit_count() + max(0, len(a) - k - 32) < needed:
+            return False
+    return n - v.bit_count() >= needed
+
+
+def near_texts(texts: list[str], least: int = 24, threshold: float = 0.82) -> list[tuple[int, int, float]]:
+    """(earlier, later, ratio) of all pairs of a document's texts that reach the threshold, white space and slots' ids aside; both have `least` characters or more.
+
+    Two bounds of the ratio come first, and no pair is lost by them: the characters in common, and the longest common subsequence, as matching blocks are one.
+    """
+    plain = [re.sub(r"\s+", "", re.sub(r"\{josa:[^}]+\}", "", re.sub(r"<([A-Z_]+):[EC]\d+>", r"<\1>", x or ""))) for x in texts]
+    place = [i for i, x in enumerate(plain) if len(x) >= least]
+    kept = [plain[i] for i in place]
+    number = {c: k for k, c in enumerate(sorted(set("".join(kept))))}
+    counts = np.zeros((len(kept), len(number)), np.int32)
+    for i, x in enumerate(kept):
+        for c, k in Counter(x).items():
+            counts[i, number[c]] = k
+    size = np.array([len(x) for x in kept], np.int64)
+    out: list[tuple[int, int, float]] = []
+    for i, x in enumerate(kept):
+        need = threshold * (size[:i] + size[i]) / 2 - 1e-9
+        may = np.flatnonzero(np.minimum(size[:i], size[i]) >= need)
+        may = may[np.minimum(counts[may], counts[i]).sum(1) >= need[may]]
+        at = _masks(x) if len(may) else {}
+        for j in may.tolist():
+            y = kept[j]
+            ratio = 1.0
+            if x != y:
+                if not _common(y, len(x), at, need[j]):
+                    continue
+                ratio = difflib.SequenceMatcher(None, x, y, autojunk=False).ratio()
+            if ratio >= threshold:
+                out.append((place[j], place[i], ratio))
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("earlier", T.IntegerType()), T.StructField("later", T.IntegerType()), T.StructField("ratio", T.DoubleType())])))
+def near_duplicates(texts: pd.Series) -> pd.Series:
+    """near_texts of each row's array of texts."""
+    return pd.Series([[] if t is None else [{"earlier": a, "later": b, "ratio": r} for a, b, r in near_texts(list(t))] for t in texts])
+
+
 def violations(value: object, schema: dict, path: str = "$") -> list[str]:
     """Where a JSON value departs from a schema of type, enum, pattern, properties (all required, no others), items, minItems, maxItems and anyOf."""
     if "anyOf" in schema:

@@ -43,9 +43,9 @@ def addition_copies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ratcliff_near_dup(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "benchmark").select("item_id", F.substring("text", 1, 120).alias("text"))
-    pairs = b.toDF("a", "x").join(b.toDF("b", "y"), F.col("b") == F.col("a") + 1)
-    return pairs.select("a", "b", F.round(document.ratcliff("x", "y"), 9).alias("ratio"))
+    """Pairs of lines of a document, each with all earlier ones, that are near duplicates; lines are numbered from 0."""
+    docs = table(spark, d, "documents").select("doc_id", F.explode(document.near_duplicates(F.split("text", "\n"))).alias("x"))
+    return docs.select("doc_id", F.col("x.earlier").alias("a"), F.col("x.later").alias("b"), F.round("x.ratio", 9).alias("ratio"))
 
 
 def masked_text(spark: SparkSession, d: str) -> DataFrame:
