@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm.common import discard, materialise, small_batches, unit_hash
@@ -69,6 +69,10 @@ def fingerprint(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63)
 
 
+def _key(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def _texts(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[pa.RecordBatch, list]]:
     for whole in batches:
         for at in range(0, whole.num_rows, 1024):
@@ -108,13 +112,13 @@ def sketch(docs: DataFrame, text: str, size: int, bits: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text: str, size: int, percent: int, bits: int, cells: int) -> DataFrame:
-    """doc_id, n, sid (the set's fingerprint; null if empty), pivots (its rarest shingles, those excepted that no other document can hold) and cells."""
+    """doc_id, key (a hash of the text), n, sid (the set's fingerprint; null if empty), pivots (its rarest shingles, those excepted that no other document can hold) and cells."""
     rarity = docs.sparkSession.sparkContext.broadcast(sketch(docs, text, size, bits))
     shift = np.uint64(64 - cells.bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, count = _Words(), rarity.value
-        for part, texts in _texts(batches, 1):
+        for part, texts in _texts(batches, 2):
             n, sid, pivots, cell = [], [], [], []
             for t in texts:
                 s = shingles(t, words, size)
@@ -129,11 +133,11 @@ def signatures(docs: DataFrame, id_col: str, text: str, size: int, percent: int,
                 sid.append(fingerprint(s)), pivots.append(s[first].view(np.int64))
                 cell.append(np.minimum(np.bincount((s >> shift).astype(np.int64), minlength=cells), 255).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(pivots, pa.list_(pa.int64())), pa.array(cell, pa.binary())],
-                names=["doc_id", "n", "sid", "pivots", "cells"],
+                [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(pivots, pa.list_(pa.int64())), pa.array(cell, pa.binary())],
+                names=["doc_id", "key", "n", "sid", "pivots", "cells"],
             )
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(run, "doc_id long, n long, sid long, pivots array<long>, cells binary")
+    return docs.select(F.col(id_col).cast("long"), _key(text), F.col(text).cast("string")).mapInArrow(run, "doc_id long, key long, n long, sid long, pivots array<long>, cells binary")
 
 
 def _near(rows: DataFrame, percent: int) -> DataFrame:
@@ -201,7 +205,7 @@ def _blocked(rows: DataFrame, per_block: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
-    """sid and whole shingle set, from the texts, of the nodes in `wanted` (sid, rep)."""
+    """sid and whole shingle set, from the texts, of the nodes in `wanted` (sid, rep, key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -211,8 +215,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text: str, size: int)
             if keep:
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(keep)), pa.array([found[i].view(np.int64) for i in keep], pa.list_(pa.int64()))], names=["sid", "members"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
-    return rows.join(wanted, F.col("__id").eqNullSafe(F.col("rep"))).select("sid", "__text").mapInArrow(run, "sid long, members array<long>").dropDuplicates(["sid"])
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), _key(text).alias("__key"), F.col(text).cast("string").alias("__text"))
+    return rows.join(wanted, F.col("__id").eqNullSafe(F.col("rep")) & (F.col("__key") == F.col("key"))).select("sid", "__text").mapInArrow(run, "sid long, members array<long>").dropDuplicates(["sid"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,14 +252,15 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
-def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85, bits: int = 22, cells: int = 128, small: int = 16, stars: int = 8, per_block: int = 1024) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row; links are at 100 * J >= percent."""
+def _placed(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85, bits: int = 22, cells: int = 128, small: int = 16, stars: int = 8, per_block: int = 1024) -> DataFrame:
+    """doc_id, key, n, sid, head (a node of the component) and component_id of every row; links are at 100 * J >= percent."""
     spark = docs.sparkSession
     small_batches(spark)
     rows, _ = materialise(signatures(docs, id_col, text, size, percent, bits, cells))
     full = rows.where("sid is not null")
     nodes, nodes_path = materialise(
-        full.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("pivots").alias("pivots"), F.first("cells").alias("cells"))
+        full.groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"), F.first("n").alias("n"), F.first("pivots").alias("pivots"), F.first("cells").alias("cells"))
+        .select("sid", F.col("m.doc_id").alias("rep"), F.col("m.key").alias("key"), "n", "pivots", "cells")
     )
     held = nodes.select("sid", "n", F.explode("pivots").alias("region"))
     shared = held.groupBy("region").agg(F.count("*").alias("members")).where("members > 1")
@@ -264,7 +269,7 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: i
     def links(grouped: DataFrame) -> tuple[DataFrame, str]:
         pairs, pairs_path = materialise(_near(_blocked(grouped, per_block), percent))
         ends = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-        sets, sets_path = materialise(_sets(docs, ends.join(nodes.select("sid", "rep"), "sid"), id_col, text, size))
+        sets, sets_path = materialise(_sets(docs, ends.join(nodes.select("sid", "rep", "key"), "sid"), id_col, text, size))
         out = materialise(_verified(pairs, sets, percent))
         discard(spark, pairs_path, sets_path)
         return out
@@ -285,26 +290,33 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: i
     placed = nodes.select("sid", "rep").join(known, "sid", "left").withColumn("__h", F.coalesce("head", "sid")).join(last, "__h", "left").select("sid", "rep", F.coalesce("__t", "__h").alias("head"))
     placed, placed_path = materialise(placed)
     low = placed.groupBy("head").agg(F.min("rep").alias("__c"))
-    final, _ = materialise(placed.join(low, "head").select("sid", "__c"))
+    final, _ = materialise(placed.join(low, "head").select("sid", "head", "__c"))
     discard(spark, nodes_path, regions_path, first_path, second_path, placed_path)
     out = rows.join(final, "sid", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("__c")).alias("component_id"))
+    return out.select("doc_id", "key", "n", "sid", "head", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("__c")).alias("component_id"))
+
+
+def link(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row; links are at 100 * J >= percent. Options are those of `_placed`."""
+    return _placed(docs, **options).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of `docs` without all but one of each component: the row with the component's id stays, once if it is repeated.
+    """The rows of `docs` without all but one of each component: the one with the smallest id, of its rows the first by hash. Each row is judged by its own text, whatever other rows share its id.
 
-    Rows without shingles link with nothing and stay, repeated ones too. Where an id stands for several different texts, those of its rows stay whose text is the
-    first by hash. A row with a null id stays.
+    Rows without shingles link with nothing and stay, repeated ones too. Of the rows of a component that have a null id one stays as well.
     """
-    found = link(docs, id_col=id_col, text=text, **options)
-    drop = found.where((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__drop")).distinct()
-    kept = docs.join(drop, F.col(id_col).cast("long") == F.col("__drop"), "left_anti")
-    # what is left of repeated ids: one row each, by the least hash of the row
-    repeated = found.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select(F.col("doc_id").alias("__twice"))
-    flagged = kept.join(repeated, F.col(id_col).cast("long") == F.col("__twice"), "left")
+    found = _placed(docs, id_col=id_col, text=text, **options).where("n > 0").select("doc_id", "key", "head")
+    found, _ = materialise(found.groupBy("doc_id", "key", "head").agg(F.count("*").alias("k")))  # an id and a text have one component
+    first = found.groupBy("head", F.col("doc_id").isNull().alias("__null")).agg(F.min(F.struct("doc_id", "key")).alias("m")).select(F.col("m.doc_id").alias("__id"), F.col("m.key").alias("__key"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
+    drop = found.join(first, is_first, "left_anti").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    twice = found.where("k > 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), F.lit(True).alias("__twice"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (_key(text) == F.col("__key"))
+    flagged = docs.join(drop, same, "left_anti").join(twice, same, "left")
     once = flagged.where("__twice is null").select(*docs.columns)
-    twice = flagged.where("__twice is not null").withColumn("__h", F.xxhash64(*docs.columns))
-    first = twice.groupBy("__twice").agg(F.min("__h").alias("__first"))
-    chosen = twice.join(first, "__twice").where("__h = __first").dropDuplicates(["__twice"]).select(*docs.columns)
-    return once.unionByName(chosen)
+    # what is left of repeated rows: one each, by the least hash of the row
+    repeated = flagged.where("__twice").withColumn("__h", F.xxhash64(*docs.columns))
+    least = repeated.groupBy(F.col("__id").alias("__i"), F.col("__key").alias("__k")).agg(F.min("__h").alias("__first"))
+    chosen = repeated.join(least, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__key") == F.col("__k")) & (F.col("__h") == F.col("__first")))
+    return once.unionByName(chosen.dropDuplicates(["__id", "__key"]).select(*docs.columns))
