@@ -169,9 +169,10 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
                 yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(own), *b.take(pa.array(row)).columns], names=["list", "own", "id", "vec"])
 
     placed, _ = materialise(rows.mapInArrow(assign, "list int, own boolean, id long, vec array<double>"))
-    sizes = placed.groupBy("list").agg(F.count("*").alias("n"), F.count_if("own").alias("own")).collect()  # a row per centroid
+    sizes = placed.groupBy("list").agg(F.count("*").alias("n")).collect()  # a row per centroid
     own = np.zeros(len(model.points))
-    for r in sizes:
+    # an id counts once, in one of its lists, however many rows it has
+    for r in placed.where("own").groupBy("id").agg(F.min("list").alias("list")).groupBy("list").agg(F.count("*").alias("own")).collect():
         own[r["list"]] = r["own"]
     model.own = own
     shared = spark.sparkContext.broadcast(model)
@@ -206,15 +207,21 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
                 rows_, x = np.frombuffer(ids, "<i8"), np.frombuffer(vecs, "<f8").reshape(-1, dim)
                 rough = q @ x.T
                 rough[mine[:, None] == rows_[None]] = -np.inf
-                few = min(k, len(rows_))
-                least = -np.partition(-rough, few - 1, axis=1)[:, few - 1]
+                order = np.argsort(rows_, kind="stable")
+                starts = np.flatnonzero(np.diff(rows_[order], prepend=rows_[order[0]] - 1))
+                by_id = rough if len(starts) == len(rows_) else np.maximum.reduceat(rough[:, order], starts, axis=1)  # rows of one id are one result
+                few = min(k, by_id.shape[1])
+                least = -np.partition(-by_id, few - 1, axis=1)[:, few - 1]
                 least = np.maximum(least, floor)
                 least = least - 1e-9 * np.maximum(1, np.abs(least))  # rounding of the product must not part equal rows
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
                 for i in range(len(mine)):
                     at = np.flatnonzero((rough[i] >= least[i]) & (rough[i] > -np.inf))
                     score = (x[at] * q[i]).sum(1)
-                    p = pick(rows_[at], score, k)
+                    p = pick(rows_[at], score, len(at))
+                    if by_id is not rough:
+                        p = p[np.sort(np.unique(rows_[at][p], return_index=True)[1])]
+                    p = p[:k]
                     out.append((np.full(len(p), mine[i]), rows_[at][p], score[p]))
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score"])
