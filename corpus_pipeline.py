@@ -1,13 +1,13 @@
 """A training-data pipeline over `documents`: five stages, each on all that the one before kept.
 
-1. language ID: rows whose language can't be told, or is told with a score under 0.3 (no language has a third of the letters, or none stands out), go. With no labelled rows there is nothing to tell by, and all stay.
-2. n-gram Jaccard join: of each component (five-word shingles, similarity 0.8 or more) the row with the smallest id stays, and one of repeated rows.
+1. language ID: rows whose language can't be told, or is told with a share under 0.3 (no language has a third of the letters, or none stands out), go; known languages mixed in one text stay. With no labelled rows there is nothing to tell by, and all stay.
+2. n-gram Jaccard join: of each component (five-word shingles, similarity 0.8 or more) the row with the smallest id stays, and one of repeated rows. Rows that share an id are judged by their own texts.
 3. secret scans: what a rule finds becomes [secret].
 4. mixing sources to target weights: each row as often as the mix takes it, whole.
 5. packing: the pieces of the sequences.
 
-All stages but the last return the columns of `documents`; n_chars follows the text where a stage changes it. Rows with a null id are kept by the second stage
-unless their text repeats.
+All stages but the last return the columns of `documents`; n_chars follows the text where a stage changes it. Of the rows of a component that have a null id the second
+stage keeps one besides the one with the smallest id.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(fold("doc_id") != 1))
     if not model.langs:
         return docs
-    told = langid.identify(docs, model, spans=False)
-    return told.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.3)).select(*docs.columns)
+    told = langid.identify(docs, model, spans=False, share="__share")
+    return told.where((F.col("lang_pred") != "und") & (F.col("__share") >= 0.3)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,7 +167,7 @@ class _Words(dict):
         return n
 
 
-def _label(model: Model, texts: list[str | None], words: _Words, known: np.ndarray, penalty: float, spans: bool) -> tuple[np.ndarray, list, list, list]:
+def _label(model: Model, texts: list[str | None], words: _Words, known: np.ndarray, penalty: float, spans: bool) -> tuple[np.ndarray, list, list, list, list]:
     number = words.__getitem__
     lower = [(x or "").lower() for x in texts]
     found = [list(map(number, _LETTERS.findall(x))) for x in lower]
@@ -177,17 +177,19 @@ def _label(model: Model, texts: list[str | None], words: _Words, known: np.ndarr
         known = np.concatenate([known, np.column_stack([word_scores(model, new), size])])
     tables = [known[np.array(f, np.int64)] for f in found]
     paths = viterbi([x[:, :-1] for x in tables], penalty)
-    langs, scores, runs = [], [], []
+    langs, scores, shares, runs = [], [], [], []
     for raw, low, x, path in zip(texts, lower, tables, paths, strict=True):
         if not len(path) or not x[:, -1].any():  # no words, or such as are fractions and superscripts only
-            langs.append("und"), scores.append(0.0), runs.append([])
+            langs.append("und"), scores.append(0.0), shares.append(0.0), runs.append([])
             continue
         letters = np.bincount(path, weights=x[:, -1], minlength=len(model.langs))
         k = int(letters.argmax())
         total = x[:, :-1].sum(0, dtype=np.float64)
         post = np.exp(total - total.max())
         langs.append(model.langs[k])
-        scores.append(float(letters[k] / letters.sum() * post[k] / post.sum()) if np.argmax(total) == k else float(letters[k] / letters.sum()) / 2)
+        first = np.argmax(total) == k
+        shares.append(float(letters[k] / letters.sum() * (post[k] / post.sum() if first else 1)))
+        scores.append(shares[-1] if first else shares[-1] / 2)
         if spans:
             cut = np.flatnonzero(np.diff(path)) + 1
             at = [(m.start(), m.end()) for m in _LETTERS.finditer(raw if len(raw) == len(low) else low)] if len(cut) else None
@@ -198,21 +200,25 @@ def _label(model: Model, texts: list[str | None], words: _Words, known: np.ndarr
             else:
                 edges = [0, *cut.tolist(), len(path)]
                 runs.append([{"start": at[a][0], "end": at[b - 1][1], "lang": model.langs[path[a]]} for a, b in zip(edges, edges[1:], strict=False)])
-    return known, langs, scores, runs
+    return known, langs, scores, shares, runs
 
 
-def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: float = 12.0, spans: bool = True, batch_rows: int = 2048, cache_words: int = 200_000) -> DataFrame:
+def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: float = 12.0, spans: bool = True, share: str | None = None, batch_rows: int = 2048, cache_words: int = 200_000) -> DataFrame:
     """Adds lang_pred, score and, with `spans`, lang_spans (code points of the text; half-open) to every row.
 
+    `share` names one more column: the score, but not halved where the words in sum speak for another language than the one with most letters, as in texts of several languages.
+
     Map-only: the model, whose size the parameters of `fit` fix, goes with the tasks. Offsets of a text whose lower case has another
     length than itself count in the lower case.
     """
     small_batches(docs.sparkSession)
-    added = ["lang_pred", "score", *(["lang_spans"] if spans else [])]
+    added = ["lang_pred", "score", *(["lang_spans"] if spans else []), *([share] if share else [])]
     src = docs.drop(*added)
     schema = T.StructType([*src.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     if spans:
         schema = schema.add("lang_spans", T._parse_datatype_string(SPANS))
+    if share:
+        schema = schema.add(share, T.DoubleType())
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
     shared = src.sparkSession.sparkContext.broadcast(model)
 
@@ -226,10 +232,10 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: floa
                 if m.langs:
                     if len(words) > cache_words:
                         words, known = _Words(), known[:0]
-                    known, langs, scores, runs = _label(m, texts, words, known, penalty, spans)
+                    known, langs, scores, shares, runs = _label(m, texts, words, known, penalty, spans)
                 else:
-                    langs, scores, runs = ["und"] * len(texts), [0.0] * len(texts), [[] for _ in texts]
-                cols = [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *([pa.array(runs, kind)] if spans else [])]
+                    langs, scores, shares, runs = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts), [[] for _ in texts]
+                cols = [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *([pa.array(runs, kind)] if spans else []), *([pa.array(shares, pa.float64())] if share else [])]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
 
     return src.mapInArrow(run, schema)
