@@ -60,6 +60,15 @@ def bio_labels(spark: SparkSession, d: str) -> DataFrame:
     return one.select("doc_id", F.explode("l").alias("label")).groupBy("doc_id", "label").agg(F.count("*").alias("n"))
 
 
+def document_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Whole documents through char_sequence and bio with all their addresses as spans: characters, a hash of their order, and labels by kind."""
+    spans = F.transform(t.spans(F.col("text"), EMAIL), lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"), F.lit("EMAIL").alias("label")))
+    docs = table(spark, d, "documents").select("doc_id", "text", spans.alias("s"))
+    each = docs.select("doc_id", document.char_sequence(F.col("text")).alias("c"), document.bio(F.col("text"), F.col("s")).alias("l"))
+    count = lambda label, name: F.size(F.filter("l", lambda x: x == label)).alias(name)
+    return each.select("doc_id", F.size("c").alias("n_chars"), F.md5(F.array_join("c", "|")).alias("hash"), count("B-EMAIL", "n_begin"), count("I-EMAIL", "n_inside"), count("O", "n_outside"))
+
+
 def email_spans(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").where(F.contains("text", F.lit("@")))
     return docs.select("doc_id", F.explode(t.spans(F.col("text"), EMAIL)).alias("x")).select("doc_id", F.col("x.begin").alias("begin"), F.col("x.end").alias("end"), F.col("x.form").alias("form"))
@@ -132,7 +141,7 @@ def last_turns(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    text_normalise, canonical_digits, canonical_form, redact_keys, literal_email, value_predicate, missing_values, char_sequence, bio_labels, email_spans, mention_thirds,
+    text_normalise, canonical_digits, canonical_form, redact_keys, literal_email, value_predicate, missing_values, char_sequence, bio_labels, document_labels, email_spans, mention_thirds,
     sentence_split, boilerplate_first, section_shortage, line_offsets, exact_dup_groups, structure_islands, structure_hash, structure_cap, adjacency, last_turns,
 )}
 
