@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import materialise, unit_hash
+from sievework.llm.common import materialise, tidy, unit_hash
 from sievework.llm.vectors import best, matrix, pick, usable
 
 
@@ -136,7 +136,7 @@ def _packed(rows: DataFrame, dim: int, most: int) -> DataFrame:
             yield flush()
 
     sorted_rows = rows.select("list", "part", "id", "vec").repartition("list", "part").sortWithinPartitions("list", "part")
-    return sorted_rows.mapInArrow(run, "list int, ids binary, vecs binary")
+    return sorted_rows.mapInArrow(tidy(run), "list int, ids binary, vecs binary")
 
 
 def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows: int, max_lists: int, replicas: int, boundary: float, ratio: float, block_rows: int) -> DataFrame:
@@ -168,7 +168,7 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
                 own = which == d.argmin(1)[row]
                 yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(own), *b.take(pa.array(row)).columns], names=["list", "own", "id", "vec"])
 
-    placed, _ = materialise(rows.mapInArrow(assign, "list int, own boolean, id long, vec array<double>"))
+    placed, _ = materialise(rows.mapInArrow(tidy(assign), "list int, own boolean, id long, vec array<double>"))
     sizes = placed.groupBy("list").agg(F.count("*").alias("n")).collect()  # a row per centroid
     own = np.zeros(len(model.points))
     # an id counts once, in one of its lists, however many rows it has
@@ -191,13 +191,13 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
             turn = np.concatenate([np.arange(len(f)) for f in found])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), pa.int32()), pa.array(turn, pa.int32()), *b.take(pa.array(row)).columns], names=["list", "turn", "id", "vec"])
 
-    routed, _ = materialise(asked.mapInArrow(route, "list int, turn int, id long, vec array<double>"))
+    routed, _ = materialise(asked.mapInArrow(tidy(route), "list int, turn int, id long, vec array<double>"))
     parts = max(1, -(-asked.count() // 1024))
 
     def scanned(some: DataFrame) -> DataFrame:
         """`some`: list, id, vec and least, the score from which on a row can be among the query's k best."""
         with_least = some.select("list", "id", F.concat("vec", F.array("least")).alias("vec"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"))
-        return _packed(with_least, dim + 1, 1024).toDF("list", "q_ids", "q_vecs").join(index, "list").mapInArrow(scan, "query_id long, vec_id long, score double")
+        return _packed(with_least, dim + 1, 1024).toDF("list", "q_ids", "q_vecs").join(index, "list").mapInArrow(tidy(scan), "query_id long, vec_id long, score double")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

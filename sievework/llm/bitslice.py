@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import materialise
+from sievework.llm.common import materialise, tidy
 from sievework.llm.vectors import best, pick, usable
 
 _ONE = np.uint64(1)
@@ -164,7 +164,7 @@ def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int) -> Da
             if parts:
                 yield flush(dim, parts)
 
-    return rows.select(F.col(id_col).cast("long"), F.col(vec)).mapInArrow(run, "dim int, ids binary, vals binary")
+    return rows.select(F.col(id_col).cast("long"), F.col(vec)).mapInArrow(tidy(run), "dim int, ids binary, vals binary")
 
 
 def top_k(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vec: str = "embedding", scale: int = 256, dropped: int = 2, block_rows: int = 16384, block_queries: int = 128) -> DataFrame:
@@ -189,5 +189,5 @@ def top_k(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id
                     names=["query_id", "vec_id", "score"],
                 )
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    found = pairs.mapInArrow(tidy(run), "query_id long, vec_id long, score long")
     return best(found, k)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.llm.common import unit_hash
+from sievework.llm.common import tidy, unit_hash
 
 ROLES = ("system", "user", "assistant")
 #: Words that name a role before a colon or in brackets.
@@ -219,4 +219,4 @@ def parse(transcripts: DataFrame, model: Model, *, keys: tuple[str, ...] = ("id"
                 )
 
     schema = T.StructType([*src.drop("__t").schema.fields, T.StructField("turn", T.IntegerType()), *(T.StructField(c, T.StringType()) for c in names[-3:])])
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidy(run), schema)

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,26 +23,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the shared folder that spark.checkpoint.dir names; a temporary folder only where it is unset."""
+    """A new path in the shared folder that spark.checkpoint.dir names; a temporary folder only where that is unset and all runs on one machine."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sievework.scratch", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="sievework-")
         spark.conf.set("spark.sievework.scratch", base)
     return f"{base.rstrip('/')}/sievework/{uuid.uuid4().hex}"
 
 
-def small_batches(spark: SparkSession, rows: int = 2048, size: int = 8 << 20) -> None:
-    """Bounds the Arrow batches of this session: texts can be long, and what JVM and Python hold of a task grows with its batches."""
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2048, size: int = 8 << 20) -> Iterator[None]:
+    """Bounds Arrow batches while a step is written: texts can be long, and what JVM and Python hold of a task grows with its batches. The caller's settings come back afterwards."""
+    before = {}
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
-        now = spark.conf.get(key).removesuffix("b")
-        if not now.isdigit() or not 0 < int(now) <= most:
+        now = spark.conf.get(key)
+        if not now.removesuffix("b").isdigit() or not 0 < int(now.removesuffix("b")) <= most:
+            before[key] = now
             spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        for key, now in before.items():
+            spark.conf.set(key, now)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, with the memory given back that a task leaves in a worker: workers are used again by later stages."""
+
+    @wraps(run)
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim:
+                trim(0)
+
+    return over
 
 
 def materialise(df: DataFrame) -> tuple[DataFrame, str]:
     """Writes `df` as Parquet to the shared scratch folder and reads it: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.llm.common import small_batches, unit_hash
+from sievework.llm.common import tidy, unit_hash
 
 #: First code points of ranges and the script of each; a range ends where the next begins.
 SCRIPTS = (
@@ -211,7 +211,6 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: floa
     Map-only: the model, whose size the parameters of `fit` fix, goes with the tasks. Offsets of a text whose lower case has another
     length than itself count in the lower case.
     """
-    small_batches(docs.sparkSession)
     added = ["lang_pred", "score", *(["lang_spans"] if spans else []), *([share] if share else [])]
     src = docs.drop(*added)
     schema = T.StructType([*src.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -238,4 +237,4 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: floa
                 cols = [*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *([pa.array(runs, kind)] if spans else []), *([pa.array(shares, pa.float64())] if share else [])]
                 yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in schema.fields])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidy(run), schema)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.llm.common import materialise, small_batches
+from sievework.llm.common import materialise, tidy
 
 #: Splits text before merges as the byte-level tokenizer does, for texts of the characters that _PLAIN lists only.
 _L = "A-Za-zªµºÀ-ÖØ-öø-ʯ"
@@ -121,7 +121,6 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text: str =
     Two passes: pieces are written once (ids and texts are not), then numbered. What is shuffled is a row per piece shorter than
     a sequence. The table of counts has a row per task and class.
     """
-    small_batches(docs.sparkSession)
     from tokenizers import Tokenizer
 
     usual = byte_level(Tokenizer.from_file(tokenizer))  # told to the tasks, which needn't hold the vocabulary twice
@@ -150,7 +149,7 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text: str =
     schema[0].dataType = docs.schema[id_col].dataType
     names = [f.name for f in schema.fields]
     kinds = [_arrow(f.dataType) for f in schema.fields]
-    pieces, _ = materialise(docs.select(F.col(id_col), F.col(text).cast("string")).mapInArrow(run, schema))
+    pieces, _ = materialise(docs.select(F.col(id_col), F.col(text).cast("string")).mapInArrow(tidy(run), schema))
     per = pieces.groupBy("j", "task").agg(F.count("*").alias("n"))
     w = Window.partitionBy("j").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))).drop("n")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.llm.common import small_batches, unit_hash
+from sievework.llm.common import tidy, unit_hash
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -141,7 +141,6 @@ class _Words(dict):
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = 0.7, batch_rows: int = 2048, cache_words: int = 250_000) -> DataFrame:
     """Adds score and predicted (1 from `threshold` on) to every row; map-only. The model's size is fixed by `buckets`."""
-    small_batches(docs.sparkSession)
     src = docs.drop("score", "predicted")
     schema = T.StructType([*src.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     shared = src.sparkSession.sparkContext.broadcast(model)
@@ -163,4 +162,4 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", threshold: float
                 p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))], names=[f.name for f in schema.fields])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidy(run), schema)

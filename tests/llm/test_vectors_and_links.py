@@ -137,7 +137,7 @@ def test_link_matches_brute_force(spark, seed):
     rng.shuffle(docs)
     docs = [(1000 + i, t) for i, t in docs]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = sorted(map(tuple, jaccard.link(df, small=8, stars=3, per_block=16).collect()))
+    got = sorted(map(tuple, jaccard.link(df, small=8, per_block=16, per_weight=1500).collect()))
     assert got == sorted(classes(docs))
     assert sorted(map(tuple, jaccard.link(df, size=5, percent=80).collect())) == sorted(classes(docs, 5, 80))
 
