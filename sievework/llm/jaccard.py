@@ -439,12 +439,14 @@ def _placed(
     known = components(first)
     discard(spark, pairs_path, sets_path, first_path)
     # then all that is not in the largest component of its region
-    held = nodes.select("sid", "n", F.explode("pivots").alias("region")).join(known, "sid", "left").select("sid", "n", "region", F.coalesce("head", "sid").alias("comp"))
-    held, held_path = materialise(held)
+    held = nodes.select("sid", F.explode("pivots").alias("region"))
+    shared = held.groupBy("region").agg(F.count("*").alias("k")).where("k > 1").select("region")
+    points = nodes.select("sid", "n", "cells").join(known, "sid", "left").select("sid", "n", "cells", F.coalesce("head", "sid").alias("comp"))
+    held, held_path = materialise(held.join(shared, "region").join(points, "sid"))
     by_comp = held.groupBy("region", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("w"))
-    shared = by_comp.groupBy("region").agg(F.max(F.struct("k", "comp", "w")).alias("top"), F.sum("k").alias("k"), F.sum("w").alias("w"), F.count("*").alias("c")).where("c > 1")
-    sizes = shared.select("region", F.col("top.comp").alias("__top"), F.col("top.k").alias("n_rest"), F.col("top.w").alias("w_rest"), F.expr("k - top.k").alias("n_tried"), F.expr("w - top.w").alias("w_tried"))
-    regions = held.join(sizes, "region").withColumn("tried", F.col("comp") != F.col("__top")).join(nodes.select("sid", "cells"), "sid")
+    several = by_comp.groupBy("region").agg(F.max(F.struct("k", "comp", "w")).alias("top"), F.sum("k").alias("k"), F.sum("w").alias("w"), F.count("*").alias("c")).where("c > 1")
+    sizes = several.select("region", F.col("top.comp").alias("__top"), F.col("top.k").alias("n_rest"), F.col("top.w").alias("w_rest"), F.expr("k - top.k").alias("n_tried"), F.expr("w - top.w").alias("w_tried"))
+    regions = held.join(sizes, "region").withColumn("tried", F.col("comp") != F.col("__top"))
     groups, groups_path = materialise(candidates(_blocked(regions, per_block, per_weight), percent, small))
     sets, sets_path = sets_of(groups.select("sid"))
     second, second_path = materialise(joined(groups, sets, percent))
