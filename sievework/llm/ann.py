@@ -1,13 +1,14 @@
 """Approximate nearest neighbours by balanced posting lists.
 
-Centroids come from balanced k-means on a bounded sample; every row is indexed. A row goes to the list of its nearest centroid and, as a
+Centroids come from balanced spherical k-means on a bounded sample; every row is indexed. A row goes to the list of its nearest centroid and, as a
 boundary vector, to those of up to `replicas` centroids whose distance is at most (1 + boundary) times that of the nearest. Long lists are
 stored as several blocks, so none is larger than `block_rows`. A query finds centroids by best-first search in an in-memory graph that joins
 each centroid to its nearest ones, and scans the lists whose centroid is at most (1 + ratio) times as far as the second nearest, eight at least. Scores are inner
-products of the original vectors in double precision.
+products of the original vectors in double precision. A task keeps a running k best of each block of queries over the blocks of a list, so k rows a query and list leave it at
+most, and after the nearest lists only rows that beat the k-th score so far.
 
 The largest inner product is made a nearest-neighbour search by one more component: rows get sqrt(M^2 - |x|^2), M the largest norm, queries
-0 after scaling to M.
+0 after scaling to M. All of that is in units of the largest component, so that squares of large components stay finite.
 
 Defined cases: null or zero vectors, and those with null or non-finite components, take no part, nor do rows with a null id; vectors meet
 those of their own length only; rows that share the query's id are its own, and an id is returned once, with its best score. A query with at most k
@@ -93,7 +94,8 @@ def fit(sample: np.ndarray, lists: int, norm: float, *, rounds: int = 8, degree:
         sums = np.zeros_like(points)
         np.add.at(sums, near, x)
         some = size > 0
-        points[some] = sums[some] / size[some, None]
+        length = np.linalg.norm(sums[some], axis=1, keepdims=True)  # raised rows are on a sphere, and so are centroids: none is near to all
+        points[some] = np.where(length > 1e-9 * norm, sums[some] * (norm / np.maximum(length, 1e-300)), points[some])
         points[~some] = x[rng.choice(len(x), int((~some).sum()))]
     apart = ((points[:, None] - points[None]) ** 2).sum(-1) if len(points) <= 512 else None
     links: list[set[int]] = [set() for _ in points]
@@ -142,12 +144,12 @@ def _packed(rows: DataFrame, dim: int, most: int) -> DataFrame:
 def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows: int, max_lists: int, replicas: int, boundary: float, ratio: float, block_rows: int) -> DataFrame:
     """Searches among vectors of one length; `rows` and `asked` have id and vec."""
     spark = rows.sparkSession
-    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    n, norm = rows.agg(F.count("*"), F.max(F.sqrt(square))).first()
+    unit = rows.agg(F.max(F.array_max(F.transform("vec", F.abs)))).first()[0]
+    n, norm = rows.agg(F.count("*"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / unit) * (x / unit))))).first()
     lists = int(max(4, min(max_lists, n**0.5 / 2)))
     got = rows.where(unit_hash("id", seed=2) < min(1.0, sample_rows / n)).select("vec").toArrow()["vec"].combine_chunks()
     sample = matrix(got, dim) if len(got) else matrix(rows.select("vec").limit(1).toArrow()["vec"].combine_chunks(), dim)
-    sample = sample[np.lexsort(sample.T[::-1])]  # reruns agree
+    sample = sample[np.lexsort(sample.T[::-1])] / unit  # reruns agree
     model = fit(sample, lists, norm)
     shared = spark.sparkContext.broadcast(model)
 
@@ -158,7 +160,7 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
                 b = whole.slice(at, 4096)
                 if not b.num_rows:
                     continue
-                d = m.distances(raised(matrix(b.column(1), dim), m.norm))
+                d = m.distances(raised(matrix(b.column(1), dim) / unit, m.norm))
                 few = min(replicas, d.shape[1])
                 near = np.argpartition(d, few - 1, axis=1)[:, :few]
                 far = np.take_along_axis(d, near, 1)
@@ -185,6 +187,7 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
             if not b.num_rows:
                 continue
             x = matrix(b.column(1), dim)
+            x = x / np.abs(x).max(axis=1, keepdims=True)
             scaled = np.column_stack([x * (m.norm / np.linalg.norm(x, axis=1))[:, None], np.zeros(len(x))])
             found = [m.search(q, ratio, k + 1) for q in scaled]
             row = np.repeat(np.arange(len(x)), [len(f) for f in found])
@@ -200,31 +203,25 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
         return _packed(with_least, dim + 1, 1024).toDF("list", "q_ids", "q_vecs").join(index, "list").mapInArrow(tidy(scan), "query_id long, vec_id long, score double")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, list[tuple[np.ndarray, np.ndarray]]] = {}  # of each block of queries: ids and scores of the best so far
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for q_ids, found in held.items():
+                mine = np.repeat(np.frombuffer(q_ids, "<i8"), [len(i) for i, _ in found])
+                yield pa.RecordBatch.from_arrays([pa.array(mine), *(pa.array(np.concatenate(c)) for c in zip(*found, strict=True))], names=["query_id", "vec_id", "score"])
+            held.clear()
+
         for b in batches:
             for q_ids, q_vecs, ids, vecs in zip(*(b.column(c).to_pylist() for c in ("q_ids", "q_vecs", "ids", "vecs")), strict=True):
+                if q_ids not in held and len(held) >= 64:
+                    yield from flush()
                 mine, q = np.frombuffer(q_ids, "<i8"), np.frombuffer(q_vecs, "<f8").reshape(-1, dim + 1)
                 q, floor = q[:, :dim], q[:, dim]
-                rows_, x = np.frombuffer(ids, "<i8"), np.frombuffer(vecs, "<f8").reshape(-1, dim)
-                rough = q @ x.T
-                rough[mine[:, None] == rows_[None]] = -np.inf
-                order = np.argsort(rows_, kind="stable")
-                starts = np.flatnonzero(np.diff(rows_[order], prepend=rows_[order[0]] - 1))
-                by_id = rough if len(starts) == len(rows_) else np.maximum.reduceat(rough[:, order], starts, axis=1)  # rows of one id are one result
-                few = min(k, by_id.shape[1])
-                least = -np.partition(-by_id, few - 1, axis=1)[:, few - 1]
-                least = np.maximum(least, floor)
-                least = least - 1e-9 * np.maximum(1, np.abs(least))  # rounding of the product must not part equal rows
-                out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                for i in range(len(mine)):
-                    at = np.flatnonzero((rough[i] >= least[i]) & (rough[i] > -np.inf))
-                    score = (x[at] * q[i]).sum(1)
-                    p = pick(rows_[at], score, len(at))
-                    if by_id is not rough:
-                        p = p[np.sort(np.unique(rows_[at][p], return_index=True)[1])]
-                    p = p[:k]
-                    out.append((np.full(len(p), mine[i]), rows_[at][p], score[p]))
-                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["query_id", "vec_id", "score"])
+                none = (np.zeros(0, np.int64), np.zeros(0))
+                so_far = held.get(q_ids) or [none] * len(mine)
+                floor = np.array([max(f, s[k - 1]) if len(s) >= k else f for f, (_, s) in zip(floor, so_far, strict=True)])
+                held[q_ids] = within(mine, q, floor, so_far, np.frombuffer(ids, "<i8"), np.frombuffer(vecs, "<f8").reshape(-1, dim), k)
+        yield from flush()
 
     # the nearest lists of each query first: the k-th score over them is the least that rows of other lists must reach
     once = lambda df: df.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -234,7 +231,28 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
     return once(nearest.select("query_id", "vec_id", "score").unionByName(scanned(rest)))
 
 
-def search(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vec: str = "embedding", sample_rows: int = 20000, max_lists: int = 4096, replicas: int = 6, boundary: float = 0.05, ratio: float = 0.12, block_rows: int = 4096) -> DataFrame:
+def within(mine: np.ndarray, q: np.ndarray, floor: np.ndarray, so_far: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Ids and scores of each query's k best among `so_far` and the rows of a block that reach its floor; an id counts once, with its best score."""
+    rough = q @ x.T
+    rough[mine[:, None] == ids[None]] = -np.inf
+    order = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.diff(ids[order], prepend=ids[order[0]] - 1))
+    by_id = rough if len(starts) == len(ids) else np.maximum.reduceat(rough[:, order], starts, axis=1)
+    few = min(k, by_id.shape[1])
+    least = np.maximum(-np.partition(-by_id, few - 1, axis=1)[:, few - 1], floor)
+    with np.errstate(invalid="ignore"):
+        least = np.where(np.isfinite(least), least - 1e-9 * np.maximum(1, np.abs(least)), least)  # rounding of the product must not part equal rows
+    out = []
+    for i, (old_ids, old) in enumerate(so_far):
+        at = np.flatnonzero((rough[i] >= least[i]) & (rough[i] > -np.inf))
+        both, score = np.concatenate([old_ids, ids[at]]), np.concatenate([old, (x[at] * q[i]).sum(1)])
+        p = pick(both, score, len(both))
+        p = p[np.sort(np.unique(both[p], return_index=True)[1])][:k]
+        out.append((both[p], score[p]))
+    return out
+
+
+def search(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vec: str = "embedding", sample_rows: int = 20000, max_lists: int = 4096, replicas: int = 3, boundary: float = 0.05, ratio: float = 0.18, block_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest rows found for each query.
 
     `sample_rows` bounds what the centroids are fitted on, `max_lists` their number: the model that is sent to tasks has a fixed size.
