@@ -384,8 +384,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.withColumn("__i", common).where(100 * F.col("__i") >= percent * (F.size("x") + F.size("y") - F.col("__i"))).select("a", "b")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(sid, head) for the ends of `edges`, by contraction.
+def components(edges: DataFrame) -> tuple[DataFrame, str]:
+    """(sid, head) for the ends of `edges`, a written table and its path, by contraction.
 
     A round points each node to the least of itself and its neighbours, carries the links over to what their ends point to and drops those within. Node numbers are hashes, so
     a round removes a fixed share of the nodes that still have links, and the links of a group of near copies go with the first one. Each round is a written table.
@@ -406,18 +406,18 @@ def components(edges: DataFrame) -> DataFrame:
     out = levels[0][0].toDF("sid", "head")
     for level, _ in levels[1:]:
         out = out.join(level.toDF("head", "__up"), "head", "left").select("sid", F.coalesce("__up", "head").alias("head"))
-    found, _ = materialise(out)
+    found = materialise(out)
     discard(spark, path, *(p for _, p in levels))
     return found
 
 
 def _placed(
     docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85, bits: int = 22, cells: int = 128, small: int = 64, per_block: int = 1024, per_weight: int = 1 << 20
-) -> DataFrame:
-    """doc_id, key, n, sid, head (a node of the component) and component_id of every row; links are at 100 * J >= percent."""
+) -> tuple[DataFrame, list[str]]:
+    """doc_id, key, n, sid, head (a node of the component) and component_id of every row; links are at 100 * J >= percent. The written tables that they are read from come with them."""
     spark = docs.sparkSession
     rarity = spark.sparkContext.broadcast(sketch(docs, text, size, bits))
-    rows, _ = materialise(signatures(docs, id_col, text, size, percent, rarity, bits, cells))
+    rows, rows_path = materialise(signatures(docs, id_col, text, size, percent, rarity, bits, cells))
     rarity.destroy()
     full = rows.where("sid is not null")
     nodes, nodes_path = materialise(
@@ -436,7 +436,7 @@ def _placed(
     pairs, pairs_path = materialise(alike.select("a", F.col("sid").alias("b")).distinct())
     sets, sets_path = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("sid")))
     first, first_path = materialise(_verified(pairs, sets, percent))
-    known = components(first)
+    known, known_path = components(first)
     discard(spark, pairs_path, sets_path, first_path)
     # then all that is not in the largest component of its region
     held = nodes.select("sid", F.explode("pivots").alias("region"))
@@ -450,20 +450,21 @@ def _placed(
     groups, groups_path = materialise(candidates(_blocked(regions, per_block, per_weight), percent, small))
     sets, sets_path = sets_of(groups.select("sid"))
     second, second_path = materialise(joined(groups, sets, percent))
-    last = components(second).toDF("__h", "__t")
+    last, last_path = components(second)
+    last = last.toDF("__h", "__t")
     discard(spark, held_path, groups_path, sets_path, second_path)
     placed = nodes.select("sid", "rep").join(known, "sid", "left").withColumn("__h", F.coalesce("head", "sid")).join(last, "__h", "left").select("sid", "rep", F.coalesce("__t", "__h").alias("head"))
     placed, placed_path = materialise(placed)
     low = placed.groupBy("head").agg(F.min("rep").alias("__c"))
-    final, _ = materialise(placed.join(low, "head").select("sid", "head", "__c"))
-    discard(spark, nodes_path, placed_path)
+    final, final_path = materialise(placed.join(low, "head").select("sid", "head", "__c"))
+    discard(spark, nodes_path, placed_path, known_path, last_path)
     out = rows.join(final, "sid", "left")
-    return out.select("doc_id", "key", "n", "sid", "head", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("__c")).alias("component_id"))
+    return out.select("doc_id", "key", "n", "sid", "head", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("__c")).alias("component_id")), [rows_path, final_path]
 
 
 def link(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles and component_id of every row; links are at 100 * J >= percent. Options are those of `_placed`."""
-    return _placed(docs, **options).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return _placed(docs, **options)[0].select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -471,8 +472,10 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", **o
 
     Rows without shingles link with nothing and stay, repeated ones too. Of the rows of a component that have a null id one stays as well.
     """
-    found = _placed(docs, id_col=id_col, text=text, **options).where("n > 0").select("doc_id", "key", "head")
+    found, paths = _placed(docs, id_col=id_col, text=text, **options)
+    found = found.where("n > 0").select("doc_id", "key", "head")
     found, _ = materialise(found.groupBy("doc_id", "key", "head").agg(F.count("*").alias("k")))  # an id and a text have one component
+    discard(docs.sparkSession, *paths)
     first = found.groupBy("head", F.col("doc_id").isNull().alias("__null")).agg(F.min(F.struct("doc_id", "key")).alias("m")).select(F.col("m.doc_id").alias("__id"), F.col("m.key").alias("__key"))
     is_first = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
     drop = found.join(first, is_first, "left_anti").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))

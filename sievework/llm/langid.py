@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -160,10 +161,13 @@ def viterbi(scores: list[np.ndarray], penalty: float) -> list[np.ndarray]:
 
 
 class _Words(dict):
-    """Numbers words as they come."""
+    """Numbers words as they come; `held` counts their characters."""
+
+    held = 0
 
     def __missing__(self, w):
         n = self[w] = len(self)
+        self.held += len(w)
         return n
 
 
@@ -172,9 +176,10 @@ def _label(model: Model, texts: list[str | None], words: _Words, known: np.ndarr
     lower = [(x or "").lower() for x in texts]
     found = [list(map(number, _LETTERS.findall(x))) for x in lower]
     if len(words) > len(known):
-        new = list(words)[len(known) :]
+        new = list(islice(words, len(known), None))
         size = np.array([len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in new], np.float32)
-        known = np.concatenate([known, np.column_stack([word_scores(model, new), size])])
+        scores = [word_scores(model, new[i : i + 4096]) for i in range(0, len(new), 4096)]
+        known = np.concatenate([known, np.column_stack([np.concatenate(scores), size])])
     tables = [known[np.array(f, np.int64)] for f in found]
     paths = viterbi([x[:, :-1] for x in tables], penalty)
     langs, scores, shares, runs = [], [], [], []
@@ -203,12 +208,12 @@ def _label(model: Model, texts: list[str | None], words: _Words, known: np.ndarr
     return known, langs, scores, shares, runs
 
 
-def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: float = 12.0, spans: bool = True, share: str | None = None, batch_rows: int = 2048, cache_words: int = 200_000) -> DataFrame:
+def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: float = 12.0, spans: bool = True, share: str | None = None, batch_rows: int = 512, cache_words: int = 100_000, cache_chars: int = 4_000_000) -> DataFrame:
     """Adds lang_pred, score and, with `spans`, lang_spans (code points of the text; half-open) to every row.
 
     `share` names one more column: the score, but not halved where the words in sum speak for another language than the one with most letters, as in texts of several languages.
 
-    Map-only: the model, whose size the parameters of `fit` fix, goes with the tasks. Offsets of a text whose lower case has another
+    Map-only: the model, whose size the parameters of `fit` fix, goes with the tasks; scores of words are kept between batches up to `cache_words` and `cache_chars`. Offsets of a text whose lower case has another
     length than itself count in the lower case.
     """
     added = ["lang_pred", "score", *(["lang_spans"] if spans else []), *([share] if share else [])]
@@ -229,7 +234,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", penalty: floa
                 part = whole.slice(k, batch_rows)
                 texts = part.column(text).to_pylist()
                 if m.langs:
-                    if len(words) > cache_words:
+                    if len(words) > cache_words or words.held > cache_chars:
                         words, known = _Words(), known[:0]
                     known, langs, scores, shares, runs = _label(m, texts, words, known, penalty, spans)
                 else:

@@ -77,14 +77,13 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source:
     own = ("size", "source_size", "target", "taken")
     out = [c for c in (docs.columns if keep is None else keep) if c not in own]
     rows = docs.withColumn("size", size_of(text)).withColumn("__src", F.col(source).cast("string"))
-    rows = rows.withColumn("__key", F.xxhash64(F.lit(seed), F.col(id_col), F.col("size"))).select(*out, "size", "__src", "__key")
+    rows = rows.withColumn("__key", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text).cast("string"))).select(*out, "size", "__src", "__key")
     if text not in out:
         rows, _ = materialise(rows)  # words are counted once; without texts the table is small
     counts = rows.groupBy("__src").agg(F.count("*").alias("n")).collect()
     shards = {r["__src"]: max(1, min(max_shards, -(-r["n"] // shard_docs))) for r in counts}
-    named = [x for s, k in shards.items() if s is not None for x in (F.lit(s), F.lit(k))]
-    many = F.coalesce(F.create_map(*named)[F.col("__src")] if named else F.lit(None), F.lit(shards.get(None, 1))).cast("long")
-    rows = rows.withColumn("__shard", F.pmod(F.xxhash64("__key"), many).cast("int"))
+    many = spark.createDataFrame(list(shards.items()), "__name string, __many long")
+    rows = rows.join(many, F.col("__src").eqNullSafe(F.col("__name"))).withColumn("__shard", F.pmod(F.xxhash64("__key"), F.col("__many")).cast("int")).drop("__name", "__many")
     per = [(r["__src"], r["__shard"], r["w"]) for r in rows.groupBy("__src", "__shard").agg(F.sum("size").alias("w")).collect()]
     per.sort(key=lambda x: (x[0] is None, x[0] or "", x[1]))
     sizes: dict[str | None, int] = {}

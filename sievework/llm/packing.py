@@ -32,11 +32,6 @@ _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[0-9]+| ?[^{_S}{_L}0-
 _PLAIN = re.compile("[\\t\\n\\v\\f\\r -~¡-©«-±´¶-¸»¿-ʯ‐-‧‰-⁞€™]*")
 
 
-def classes(capacity: int, smallest: int) -> list[int]:
-    """The numbers j of pieces per sequence: 1, 2, 3, ... until capacity/j is `smallest`; the last class takes all shorter pieces."""
-    return [j for j in range(1, capacity + 1) if capacity // j >= smallest]
-
-
 def cut(n: int, capacity: int, max_cuts: int, smallest: int) -> list[tuple[int, int]]:
     """(length, j) of the pieces of a document of n ids, in order; j pieces of that class fill a sequence."""
     out = [(capacity, 1)] * (n // capacity)
@@ -69,7 +64,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array([t.id for t in self.merges(word.encode().decode("latin-1").translate(_BYTES))], "<u4").tobytes()
-        if len(self) < self.most:
+        if len(self) < self.most and len(word) <= 64:
             self[word] = ids
         return ids
 
@@ -91,21 +86,21 @@ def byte_level(tok) -> bool:
     return split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not made.get("normalizer") and not made["model"].get("ignore_merges")
 
 
-def tokens(path: str, usual: bool | None = None, cache_words: int = 300_000):
+def tokens(path: str, usual: bool | None = None, cache_words: int = 100_000):
     """A function from a text to its ids as bytes.
 
-    With a byte-level tokenizer of the usual kind, texts of common characters are split into words here and each word's ids are kept; all other texts, and those for
-    any other tokenizer, go through the tokenizer whole. Both ways give the same ids.
+    With a byte-level tokenizer of the usual kind, texts of common characters are split into words here and each word's ids are kept; all other texts, those that hold
+    one of the tokenizer's added tokens, and those for any other tokenizer go through the tokenizer whole. Both ways give the same ids.
     """
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+    added = [t.content for t in tok.get_added_tokens_decoder().values()]
     usual = byte_level(tok) if usual is None else usual
     words = _Words(tok.model.tokenize, cache_words)
 
     def ids(text: str) -> bytes:
-        if usual and _PLAIN.fullmatch(text):
+        if usual and not any(t in text for t in added) and _PLAIN.fullmatch(text):
             return b"".join(map(words.__getitem__, _SPLIT.findall(text)))
         return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -131,8 +126,8 @@ def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text: str =
 
         encode, task, number = tokens(tokenizer, usual), TaskContext.get().partitionId(), {}
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                part = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, 256):
+                part = whole.slice(at, 256)
                 rows: list[tuple] = []
                 for doc, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     ids = memoryview(encode(t or "") + end)

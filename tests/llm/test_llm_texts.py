@@ -188,11 +188,10 @@ def ids_of(texts):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     return [[*tok.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
 
 
-TEXTS = ["a  b\n\n c's don't it'll\t\tx  ", " 12ab34  ,,;; ünï ¿qué? “x” – y…z ", "中文 text ½²", "tab\x0b\x0c x\r\n  \n y", "<|endoftext|>", "x'S 'LL   \x85 \xa0 z", "", None, "word " * 3000, "é" * 5000, "ǅ ʰ ª º ٣ x1２", "\x00\x1c\x1d a\x7f"]
+TEXTS = ["a  b\n\n c's don't it'll\t\tx  ", " 12ab34  ,,;; ünï ¿qué? “x” – y…z ", "中文 text ½²", "tab\x0b\x0c x\r\n  \n y", "<|endoftext|>", "a <|endoftext|> b", "<|endoftext", "x'S 'LL   \x85 \xa0 z", "", None, "word " * 3000, "é" * 5000, "ǅ ʰ ª º ٣ x1２", "\x00\x1c\x1d a\x7f"]
 
 
 def test_tokens_equal_the_tokenizer():

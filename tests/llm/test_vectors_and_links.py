@@ -151,9 +151,9 @@ def test_components_by_contraction(spark):
     for _ in range(400):
         for a, b in edges:
             low[a] = low[b] = min(low[a], low[b])
-    got = {r["sid"]: r["head"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r["sid"]: r["head"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long"))[0].collect()}
     assert got == low
-    assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert jaccard.components(spark.createDataFrame([], "a long, b long"))[0].count() == 0
 
 
 def test_link_edge_cases(spark):
