@@ -12,8 +12,8 @@ keep pairs of a region apart, and regions are joined on their own, large ones re
 3. The shingle universe is cut into `cells` cells. The counts of a set's shingles by cell are a point, and the sum of differences of two points is a metric that bounds |x - y| + |y - x| from
    below; sets that link are close in it. Within a region documents are pivots: each row goes to the Voronoi cell of its nearest one and, by the triangle inequality,
    to those cells that a link could reach, and cells are joined recursively. Large regions are first dealt into blocks that meet in pairs.
-4. What is left are candidate pairs, which aren't written: their connected groups are, a row per member. The same group found in many regions is one. Each group meets its whole sets once, and a task
-   verifies its pairs and gives the links of a spanning forest: fewer than the group has rows, whatever the number of pairs.
+4. What is left are candidate pairs, which aren't written: their connected groups are, a row per member. The same group found in many regions is one, and so are groups that share members, as far as
+   a task can hold them. Each group meets its whole sets once, and a task verifies its pairs and gives the links of a spanning forest: fewer than the group has rows, whatever the number of pairs.
 
 Equal sets are one node, named by a 128-bit hash. Sets, texts and links never reach the driver; each step is a written table.
 
@@ -255,7 +255,7 @@ def _wide(column: pa.ChunkedArray, kind: type) -> np.ndarray:
 
 
 def candidates(rows: DataFrame, percent: int, small: int) -> DataFrame:
-    """Groups of sets, each connected by pairs that a link may join: a row (f1, f2, sid, comp) for each member of group (f1, f2).
+    """Groups of sets, each connected by pairs that a link may join: a row (f1, f2, sid, comp, n) for each member of group (f1, f2).
 
     `rows`: region, block, sid, n, cells, comp. The name of a group is a hash of its members, so the same group of many regions is one.
     """
@@ -294,10 +294,22 @@ def candidates(rows: DataFrame, percent: int, small: int) -> DataFrame:
         lanes = [_mix(sid[at, 0] ^ _mix(sid[at, 1])), _mix(sid[at, 1] ^ _mix(sid[at, 0] + _ODD[2]))]
         names = [np.repeat(np.add.reduceat(x, first), np.diff([*first, len(at)])).view(np.int64) for x in lanes]
         taken = pa.array(at)
-        yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1]), *(t.column(c).take(taken).combine_chunks() for c in (2, 5))], names=["f1", "f2", "sid", "comp"])
+        yield pa.RecordBatch.from_arrays([pa.array(names[0]), pa.array(names[1]), *(t.column(c).take(taken).combine_chunks() for c in (2, 5, 3))], names=["f1", "f2", "sid", "comp", "n"])
 
     keyed = rows.select("region", "block", "sid", "n", "cells", "comp").repartition("region", "block").sortWithinPartitions("region", "block")
-    return keyed.mapInArrow(_grouped(run), "f1 long, f2 long, sid binary, comp binary").distinct()
+    return keyed.mapInArrow(_grouped(run), "f1 long, f2 long, sid binary, comp binary, n long").distinct()
+
+
+def merged(groups: DataFrame, per_block: int, per_weight: int) -> tuple[DataFrame, list[str]]:
+    """Groups that share members made one, so that each set is sent once; where that gives more than `per_block` rows or `per_weight` shingles they stay as they are. With the paths of written tables."""
+    anchor = groups.groupBy("f1", "f2").agg(F.min("sid").alias("a"))
+    heads, path = components(groups.join(anchor, ["f1", "f2"]).where("sid <> a").select("a", F.col("sid").alias("b")).distinct())
+    members, members_path = materialise(groups.select("sid", "comp", "n").distinct().join(heads, "sid"))
+    fits = members.groupBy("head").agg(F.count("*").alias("k"), F.sum("n").alias("w")).select("head", ((F.col("k") <= per_block) & (F.col("w") <= per_weight)).alias("fits"))
+    members = members.join(fits, "head")
+    small = members.where("fits").select(F.xxhash64("head").alias("f1"), F.xxhash64("head", F.lit(1)).alias("f2"), "sid", "comp")
+    large = groups.join(members.where("not fits").select("sid"), "sid").select("f1", "f2", "sid", "comp")
+    return small.unionByName(large), [path, members_path]
 
 
 def forest(sets: list[np.ndarray], comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -412,7 +424,7 @@ def components(edges: DataFrame) -> tuple[DataFrame, str]:
 
 
 def _placed(
-    docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85, bits: int = 22, cells: int = 128, small: int = 64, per_block: int = 1024, per_weight: int = 1 << 20
+    docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", size: int = 4, percent: int = 85, bits: int = 22, cells: int = 128, small: int = 64, per_block: int = 1024, per_weight: int = 1 << 20, max_broadcast: int = 200_000
 ) -> tuple[DataFrame, list[str]]:
     """doc_id, key, n, sid, head (a node of the component) and component_id of every row; links are at 100 * J >= percent. The written tables that they are read from come with them."""
     spark = docs.sparkSession
@@ -427,7 +439,11 @@ def _placed(
     origin = nodes.select("sid", "rep", "key")
 
     def sets_of(sids: DataFrame) -> tuple[DataFrame, str]:
-        return materialise(_sets(docs, sids.distinct().join(origin, "sid"), id_col, text, size))
+        wanted, wanted_path = materialise(sids.distinct().join(origin, "sid"))
+        few = wanted.count() <= max_broadcast  # rows of 50 bytes; more of them, and the texts are shuffled to them
+        out = materialise(_sets(docs, F.broadcast(wanted) if few else wanted, id_col, text, size))
+        discard(spark, wanted_path)
+        return out
 
     # near copies first: sets that share a band with another are compared with the least such set
     banded = nodes.select("sid", "n", F.explode("bands").alias("band"))
@@ -449,10 +465,11 @@ def _placed(
     regions = held.join(sizes, "region").withColumn("tried", F.col("comp") != F.col("__top"))
     groups, groups_path = materialise(candidates(_blocked(regions, per_block, per_weight), percent, small))
     sets, sets_path = sets_of(groups.select("sid"))
-    second, second_path = materialise(joined(groups, sets, percent))
+    whole, whole_paths = merged(groups, per_block, per_weight)
+    second, second_path = materialise(joined(whole, sets, percent))
     last, last_path = components(second)
     last = last.toDF("__h", "__t")
-    discard(spark, held_path, groups_path, sets_path, second_path)
+    discard(spark, held_path, groups_path, sets_path, second_path, *whole_paths)
     placed = nodes.select("sid", "rep").join(known, "sid", "left").withColumn("__h", F.coalesce("head", "sid")).join(last, "__h", "left").select("sid", "rep", F.coalesce("__t", "__h").alias("head"))
     placed, placed_path = materialise(placed)
     low = placed.groupBy("head").agg(F.min("rep").alias("__c"))
