@@ -7,7 +7,8 @@ selected from the most significant slice of the sums downward. The `dropped` low
 so all rows that the bound leaves open are resolved from the stored integers. The result is exact.
 
 Queries and index are both in blocks; every block of queries meets every block of rows. Index blocks are built where the rows
-are, without a shuffle. Defined cases: null vectors, empty ones, and vectors with null or non-finite components take no part, nor do rows
+are, without a shuffle, and written with their bitmaps. Defined cases: vectors whose integers are so large that an inner product could leave 64 bits (length times the square of the largest is 2^62 or more)
+take no part; null vectors, empty ones, and vectors with null or non-finite components take no part, nor do rows
 with a null id; vectors meet those of their own length only; rows that share the query's id are its own. Repeated ids each count. An
 empty table gives no rows. Other columns are ignored.
 """
@@ -100,9 +101,10 @@ def candidates(sums: list[np.ndarray | None], valid: np.ndarray, k: int, slack:
 class Block:
     """A block of the index as it is searched."""
 
-    def __init__(self, ids: np.ndarray, values: np.ndarray, dropped: int):
+    def __init__(self, ids: np.ndarray, values: np.ndarray, dropped: int, all_slices: np.ndarray | None = None):
         self.ids, self.values = ids, values
-        all_slices, self.low = slices(values)
+        if all_slices is None:
+            all_slices, _ = slices(values)
         self.dropped = min(dropped, all_slices.shape[1] - 1)
         kept = all_slices[:, self.dropped :]
         self.signed = np.stack([kept, ~kept])
@@ -135,15 +137,22 @@ class Block:
         return self.ids[at][p], scores[p]
 
 
-def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int) -> DataFrame:
-    """Blocks of up to `most` rows of one vector length, as bytes, from the rows of each task."""
+def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int, sliced: bool) -> DataFrame:
+    """Blocks of up to `most` rows of one vector length, as bytes, from the rows of each task; with `sliced` their bitmaps as well, `bits` slices a component."""
+
+    schema = "dim int, ids binary, vals binary" + (", bits int, slices binary" if sliced else "")
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
         def flush(dim: int, parts: list) -> pa.RecordBatch:
             ids, values = (np.concatenate(x) for x in zip(*parts, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<i8").tobytes()])], names=["dim", "ids", "vals"])
+            cols = [pa.array([dim], pa.int32()), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<i8").tobytes()])]
+            if sliced:
+                maps, _ = slices(values)
+                cols += [pa.array([maps.shape[1]], pa.int32()), pa.array([maps.astype("<u8").tobytes()])]
+            return pa.RecordBatch.from_arrays(cols, names=names)
 
         for b in batches:
             ids = b.column(0).to_numpy()
@@ -164,24 +173,25 @@ def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int) -> Da
             if parts:
                 yield flush(dim, parts)
 
-    return rows.select(F.col(id_col).cast("long"), F.col(vec)).mapInArrow(tidy(run), "dim int, ids binary, vals binary")
+    return rows.select(F.col(id_col).cast("long"), F.col(vec)).mapInArrow(tidy(run), schema)
 
 
 def top_k(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vec: str = "embedding", scale: int = 256, dropped: int = 2, block_rows: int = 16384, block_queries: int = 128) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best rows of `table`."""
-    good = usable(vec) & F.col(id_col).isNotNull()
-    index, _ = materialise(_blocks(table.where(good), id_col, vec, scale, block_rows))
-    asked, _ = materialise(_blocks(queries.where(good), id_col, vec, scale, block_queries))
+    largest = F.array_max(F.transform(vec, lambda x: F.greatest(F.abs(F.floor(x.cast("double") * scale)).cast("double"), F.lit(1.0))))
+    good = usable(vec) & F.col(id_col).isNotNull() & (largest * largest * F.size(vec) < float(1 << 62))
+    index, _ = materialise(_blocks(table.where(good), id_col, vec, scale, block_rows, True))
+    asked, _ = materialise(_blocks(queries.where(good), id_col, vec, scale, block_queries, False))
     pairs = asked.toDF("q_dim", "q_ids", "q_vals").crossJoin(index)  # blocks of the stated queries with blocks of rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, block = None, None
         for b in batches:
-            for q_dim, q_ids, q_vals, dim, ids, vals in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for q_dim, q_ids, q_vals, dim, ids, vals, bits, maps in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if q_dim != dim:
                     continue
                 if last != ids:
-                    last, block = ids, Block(np.frombuffer(ids, "<i8"), np.frombuffer(vals, "<i8").reshape(-1, dim), dropped)
+                    last, block = ids, Block(np.frombuffer(ids, "<i8"), np.frombuffer(vals, "<i8").reshape(-1, dim), dropped, np.frombuffer(maps, "<u8").reshape(dim, bits, -1))
                 own, q = np.frombuffer(q_ids, "<i8"), np.frombuffer(q_vals, "<i8").reshape(-1, dim)
                 got = [block.search(int(i), v, k) for i, v in zip(own, q, strict=True)]
                 yield pa.RecordBatch.from_arrays(

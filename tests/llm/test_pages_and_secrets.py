@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,6 +28,17 @@ def test_alignment_is_a_longest_common_subsequence():
         kept = [a[i] for i in sorted(shared(a, b))]
         rest = iter(b)
         assert len(kept) == longest(a, b) and all(x in rest for x in kept)
+        split = [a[i] for i in sorted(shared(a, b, most_bits=4))]
+        rest = iter(b)
+        assert len(split) == longest(a, b) and all(x in rest for x in split)
+
+
+def test_broken_pages_and_long_texts_take_linear_time():
+    began = time.time()
+    for piece in ('<a x="', "<a ", "<a", "<!", "<head>", "<!--", "</p", "<p x='>"):
+        text_of(piece * (1_000_000 // len(piece)))
+    assert len(shared([i % 9973 for i in range(20000)], [i % 9967 for i in range(20000)])) > 0
+    assert secrets.brute_force("eyJ" * 300_000) == [] and time.time() - began < 90
 
 
 @pytest.mark.parametrize(
