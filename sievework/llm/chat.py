@@ -5,9 +5,9 @@ word stands for, or which of the transcript's other names), whether a blank line
 gives the role of each line; a turn begins wherever the path enters a first line, and its marker is cut off. Turns are rendered in one canonical form.
 Transition and emission probabilities are counted on a bounded sample of transcripts whose turns are known.
 
-Defined cases: a null or empty transcript, or one of blank lines only, has no turns. Lines are decoded up to `segment_lines` at a time; a later segment begins
-in the state where the one before ended, so a transcript of any length takes bounded memory for its path. Ties go to the earlier state. Equal turns of one conversation and number count
-once in `as_transcripts`; turns without a number come first, null texts are empty turns and leave no line.
+Defined cases: a null or empty transcript, or one of blank lines only, has no turns. The path is one over the whole transcript, however long. Blank lines within a turn stay as they are, those at the ends
+of its text go. Ties go to the earlier state. Equal turns of one conversation and number count once in `as_transcripts`, which writes a conversation of more than `chunk_turns` turn numbers as several transcripts, each with turns of its own; turns without a number
+come first, null texts are empty turns and leave no line. Input columns named like the outputs are replaced, as only the keys and the text are read.
 Other columns are ignored.
 """
 
@@ -34,9 +34,9 @@ SPEAKERS = {
 }
 _MARKER = re.compile(r"\s*(?:#{1,6}\s*|\*\*|\[|<\|?)?([A-Za-z][A-Za-z_]{0,19})(?:\s*\d{1,3})?(?:(?:\s*:)?\*\*|\]|\|?>)?\s*(?::\s*|(?<=[>\]*])\s*$|$)")
 _HEAD = re.compile(r"\s*(?:#{1,6}\s*\S|\*\*|\[|<)")
-_KINDS = 6  # no marker; system, user, assistant; first and later other names
+_KINDS = 7  # no marker; system, user, assistant; first and later other names; no marker, but other lines of the transcript have one
 _LENGTHS = (20, 60, 120, 240)
-_SIZES = (_KINDS, 2, len(_LENGTHS) + 1, 3)  # values of each feature
+_SIZES = (2 * _KINDS, len(_LENGTHS) + 1, 3)  # values of each feature: kind and whether a blank line stands before it, length, last character
 #: Notations of as_transcripts: what stands before the text of a system, user and assistant turn.
 NOTATIONS = (
     ("System: ", "User: ", "Assistant: "),
@@ -66,11 +66,11 @@ def marker(line: str) -> tuple[str, int] | None:
     return (word, m.end()) if word in SPEAKERS or (m[1][0].isupper() and ":" in m[0]) else None
 
 
-def observe(text: str | None) -> tuple[list[str], np.ndarray, list[int]]:
-    """The lines that aren't blank, their features, and where the text after each one's marker begins."""
-    lines, rows, cuts, names = [], [], [], {}
+def observe(text: str | None) -> tuple[list[str], np.ndarray, np.ndarray, list[int]]:
+    """All lines, the numbers of those that aren't blank, their features, and where the text after each one's marker begins."""
+    lines, at, rows, cuts, names = (text or "").split("\n"), [], [], [], {}
     blank = 0
-    for line in (text or "").split("\n"):
+    for i, line in enumerate(lines):
         if not line.strip():
             blank = 1
             continue
@@ -80,10 +80,13 @@ def observe(text: str | None) -> tuple[list[str], np.ndarray, list[int]]:
             kind = SPEAKERS[word] + 1 if word in SPEAKERS else 4 + min(1, names.setdefault(word, len(names)))
         body = line[cut:].rstrip()
         last = 1 if body.endswith("?") else 2 if body.endswith((".", "!")) else 0
-        lines.append(line), cuts.append(cut)
-        rows.append((kind, blank, int(np.searchsorted(_LENGTHS, len(body))), last))
+        at.append(i), cuts.append(cut)
+        rows.append((2 * kind + blank, int(np.searchsorted(_LENGTHS, len(body))), last))
         blank = 0
-    return lines, np.array(rows, np.int64).reshape(-1, len(_SIZES)), cuts
+    seen = np.array(rows, np.int64).reshape(-1, len(_SIZES))
+    if len(seen) and seen[:, 0].max() > 1:
+        seen[seen[:, 0] < 2, 0] += 12
+    return lines, np.array(at, np.int64), seen, cuts
 
 
 def count(samples: list[list[tuple[int, str]]]) -> Model:
@@ -104,7 +107,7 @@ def count(samples: list[list[tuple[int, str]]]) -> Model:
                 if x.strip():
                     states.append(2 * role + (not first))
                     first = False
-        _, rows, _ = observe("\n".join(lines))
+        _, _, rows, _ = observe("\n".join(lines))
         for i, (s, row) in enumerate(zip(states, rows, strict=True)):
             for f, v in enumerate(row):
                 emit[f][s, v] += 1
@@ -115,41 +118,40 @@ def count(samples: list[list[tuple[int, str]]]) -> Model:
     norm = lambda x: np.log(x / x.sum(-1, keepdims=True))
     # markers say who speaks; the other features differ between collections of chats, so half of their mass is spread evenly
     even = lambda e: np.log(0.5 * e / e.sum(-1, keepdims=True) + 0.5 / e.shape[1])
-    return Model(norm(start), norm(move), [norm(emit[0]), norm(emit[1] + 0.5), *map(even, emit[2:])])
-
-
-def viterbi(model: Model, rows: np.ndarray, segment_lines: int = 4096) -> np.ndarray:
-    """The likeliest states of a transcript's lines."""
-    out, start = [], model.start
-    for at in range(0, len(rows), segment_lines):
-        part = rows[at : at + segment_lines]
-        seen = sum(e[:, part[:, f]].T for f, e in enumerate(model.emit))
-        back = np.zeros((len(part), 6), np.int8)
-        v = start + seen[0]
-        for t in range(1, len(part)):
-            step = v[:, None] + model.move
-            back[t] = step.argmax(0)
-            v = step.max(0) + seen[t]
-        path = np.zeros(len(part), np.int64)
-        path[-1] = v.argmax()
-        for t in range(len(part) - 1, 0, -1):
-            path[t - 1] = back[t, path[t]]
-        out.append(path)
-        start = model.move[path[-1]]
-    return np.concatenate(out) if out else np.zeros(0, np.int64)
+    return Model(norm(start), norm(move), [norm(emit[0]), *map(even, emit[1:])])
+
+
+def viterbi(model: Model, rows: np.ndarray) -> np.ndarray:
+    """The likeliest states of a transcript's lines: one path over all of them, with a byte per line and state to go back by."""
+    if not len(rows):
+        return np.zeros(0, np.int64)
+    back = np.zeros((len(rows), 6), np.int8)
+    emit = [e.T.copy() for e in model.emit]
+    seen = lambda t: sum(e[v] for e, v in zip(emit, rows[t], strict=True))
+    v = model.start + seen(0)
+    for t in range(1, len(rows)):
+        step = v[:, None] + model.move
+        back[t] = step.argmax(0)
+        v = step.max(0) + seen(t)
+    path = np.zeros(len(rows), np.int64)
+    path[-1] = v.argmax()
+    for t in range(len(rows) - 1, 0, -1):
+        path[t - 1] = back[t, path[t]]
+    return path
 
 
 def turns(model: Model, text: str | None) -> list[tuple[str, str]]:
-    """(role, text) of each turn of a transcript."""
-    lines, rows, cuts = observe(text)
+    """(role, text) of each turn of a transcript: its lines as they are, blank ones between them too, without the marker and blank lines at the ends."""
+    lines, at, rows, cuts = observe(text)
     path = viterbi(model, rows)
-    out: list[tuple[str, list[str]]] = []
-    for line, s, cut in zip(lines, path.tolist(), cuts, strict=True):
-        if s % 2 == 0 or not out:
-            out.append((ROLES[s // 2], [line[cut:]] if line[cut:].strip() else []))
-        else:
-            out[-1][1].append(line)
-    return [(r, "\n".join(x)) for r, x in out]
+    first = [k for k, s in enumerate(path.tolist()) if s % 2 == 0 or k == 0]
+    out = []
+    for k, end in zip(first, [*first, len(path)][1:], strict=True):
+        own = [lines[at[k]][cuts[k] :], *lines[at[k] + 1 : at[end - 1] + 1]]
+        while own and not own[0].strip():
+            own.pop(0)
+        out.append((ROLES[path[k] // 2], "\n".join(own)))
+    return out
 
 
 def render(role: str, text: str) -> str:
@@ -158,13 +160,13 @@ def render(role: str, text: str) -> str:
 
 
 def fit(conversations: DataFrame, *, id_col: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", sample_turns: int = 20000, seed: int = 9) -> Model:
-    """Counts on at most about `sample_turns` turns of whole conversations, chosen by a hash of their id, each written in all notations in turn.
+    """Counts on about `sample_turns` turns of whole conversations, chosen by a hash of their id, twice as many at most (the first in the order of the hash, so reruns agree), each written in all notations in turn.
 
     `sample_turns` bounds what the driver gathers; roles that are none of ROLES are left out.
     """
     rows = conversations.select(F.col(id_col).alias("c"), F.col(turn).alias("n"), F.col(role).alias("r"), F.col(text).alias("t")).where(F.col("r").isin(*ROLES) & F.col("t").isNotNull())
     total = rows.count()
-    got = rows.where(unit_hash("c", seed=seed) < min(1.0, sample_turns / max(1, total))).limit(2 * sample_turns).toArrow().to_pylist()
+    got = rows.withColumn("h", unit_hash("c", seed=seed)).where(F.col("h") < min(1.0, sample_turns / max(1, total))).orderBy("h", "c", "n", "r", "t").limit(2 * sample_turns).toArrow().to_pylist()
     got.sort(key=lambda x: (str(x["c"]), x["n"] is not None, x["n"] or 0, x["t"]))
     by: dict = {}
     for x in got:

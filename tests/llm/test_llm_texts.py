@@ -124,7 +124,7 @@ def test_mix_edge_cases(spark):
 def test_chat_viterbi_against_all_paths(spark):
     m = chat.count([[(1, "User: hi?"), (2, "Assistant: yes.\nmore")], [(0, "System: be good"), (1, "\nwhat?"), (2, "\nthis.")]])
     for text in ("User: a\nAssistant: b\nUser: c", "x?\n\ny.\nz", "Alice: hi\nBob: ho", "System: s\nQ: why?\nA: so."):
-        _, rows, _ = chat.observe(text)
+        _, _, rows, _ = chat.observe(text)
         value = lambda p: m.start[p[0]] + sum(m.move[a, b] for a, b in zip(p, p[1:], strict=False)) + sum(e[s, v[f]] for s, v in zip(p, rows, strict=True) for f, e in enumerate(m.emit))  # noqa: B023, E731
         assert math.isclose(value(chat.viterbi(m, rows).tolist()), max(map(value, itertools.product(range(6), repeat=len(rows)))))
 
@@ -145,6 +145,22 @@ def test_chat_turns_and_rendering(spark):
     assert hits >= 0.97 * len(want)
 
 
+def test_chat_texts_come_back_whole(spark):
+    """Texts of several paragraphs, fitted on other conversations than those that are read."""
+    rng = random.Random(12)
+    say = lambda: words(rng, "abcdefgh", rng.randrange(3, 30)).capitalize()
+    rows = [(c, t, ("user", "assistant")[t % 2], f"{say()}?\n\n{say()}." if t % 2 == 0 else f"{say()}.\n\n    code {t}\n\n{say()}.") for c in range(200) for t in range(6)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    m = chat.fit(df.where("conv_id < 100"))
+    right = total = 0
+    for r in (r for r in rows if r[0] >= 100 and r[1] == 0):
+        mine = [x for x in rows if x[0] == r[0]]
+        for notation in chat.NOTATIONS[:5]:
+            got = chat.turns(m, "\n".join(notation[chat.ROLES.index(x[2])] + x[3] for x in mine))
+            right, total = right + (got == [(x[2], x[3]) for x in mine]), total + 1
+    assert right >= 0.97 * total
+
+
 def test_chat_edge_cases(spark):
     cols = "conv_id long, turn long, role string, text string"
     m = chat.fit(spark.createDataFrame([], cols))
