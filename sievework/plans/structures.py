@@ -17,7 +17,8 @@ def _grams(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gram_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _grams(spark, d).select("doc_id", F.col("n").cast("long").alias("n_grams"))
+    text = F.coalesce(dedup.collapse(F.col("text")), F.lit(""))
+    return table(spark, d, "documents").select("doc_id", F.size(dedup.grams(text)).cast("long").alias("n_grams"))
 
 
 def gram_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +171,7 @@ QUERIES = {f.__name__: f for f in (
     evidence_modes, plan_fingerprint, doc_validation_issues, review_gate, mention_overlaps, slot_round_robin, hash_pick, hash_chance, least_used, next_slot, apportioned, json_hash,
 )}
 
-_N = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
+_N = "trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))"
 _G = """{a} AS (SELECT {k}, {n} AS t FROM {f}), {a}g AS (SELECT DISTINCT {k}, substring(t, i, 4) AS g FROM (SELECT {k}, t, unnest(range(1, length(t) - 2)) AS i FROM {a} WHERE length(t) >= 4)),
         {a}n AS (SELECT {k}, count(*) AS n FROM {a}g GROUP BY 1)"""
 _D = _G.format(a="d", k="doc_id", f="documents", n=_N)
@@ -185,12 +186,13 @@ _V = """SELECT doc_id, code, source AS target FROM (
           UNION ALL SELECT doc_id, source, 'EMAIL' FROM documents WHERE regexp_matches(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')
           UNION ALL SELECT doc_id, source, 'PLACEHOLDER' FROM documents WHERE regexp_matches(text, '<(?:[A-Z][A-Z0-9_]*:E[0-9]+|REF:C[0-9]+)>|[〈＜][A-Z][A-Z0-9_]*:E[0-9]+[〉＞]|\\{josa:'))"""
 ORACLES = {
-    "gram_counts": f"WITH {_D} SELECT doc_id, n AS n_grams FROM dn",
-    "gram_jaccard_pairs": f"WITH {_PAIRS} SELECT a, b, round(j, 9) AS jaccard FROM p",
+    "gram_counts": f"WITH {_D} SELECT doc_id, coalesce(n, 0) AS n_grams FROM d LEFT JOIN dn USING (doc_id)",
+    "gram_jaccard_pairs": f"WITH {_PAIRS} SELECT a, b, round(j, 9) AS jaccard FROM p UNION ALL SELECT m, doc_id, 1.0 FROM (SELECT doc_id, min(doc_id) OVER () AS m FROM d WHERE length(t) < 4) WHERE doc_id > m",
     "benchmark_nearest": f"""WITH {_D}, {_B}, c AS (SELECT doc_id, item_id, count(*) AS c FROM dg JOIN bg USING (g) GROUP BY ALL),
         s AS (SELECT doc_id, item_id, CAST(c AS DOUBLE) / (dn.n + bn.n - c) AS j FROM c JOIN dn USING (doc_id) JOIN bn USING (item_id)),
         r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY j DESC, item_id) AS rn FROM s)
-        SELECT dn.doc_id, item_id AS nearest, coalesce(round(j, 9), 0) AS jaccard FROM dn LEFT JOIN r ON r.doc_id = dn.doc_id AND rn = 1""",
+        SELECT d.doc_id, coalesce(item_id, f) AS nearest, coalesce(round(j, 9), CASE WHEN f IS NULL THEN 0 ELSE 1 END) AS jaccard FROM d LEFT JOIN r ON r.doc_id = d.doc_id AND rn = 1
+        LEFT JOIN (SELECT min(item_id) AS f FROM b WHERE length(t) < 4) ON length(d.t) < 4""",
     "masked_text": "SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '<EMAIL>', 'g'), '\\s+', ' ', 'g'))) AS hash FROM documents WHERE contains(text, '@')",
     "privacy_groups": f"""WITH e AS ({_ED}) SELECT plan_id, node, CASE WHEN bool_or(flag = 'R') THEN 'PII' ELSE 'NON_PII' END AS privacy
         FROM (SELECT plan_id, source AS node, flag FROM e UNION ALL SELECT plan_id, target, flag FROM e) GROUP BY 1, 2""",

@@ -49,7 +49,7 @@ def missing_values(spark: SparkSession, d: str) -> DataFrame:
 
 def char_sequence(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "benchmark")
-    return b.select("item_id", F.posexplode(document.char_sequence(F.substring("text", 1, 40))).alias("i", "ch"))
+    return b.select("item_id", F.posexplode(document.char_sequence(F.col("text"))).alias("i", "ch"))
 
 
 def bio_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -174,7 +174,7 @@ ORACLES = {
         SELECT s_suppkey, lower(trim(v)) NOT IN ('', 'na', 'n/a', 'null', 'none', 'nan') AND length(v) <= 120 AND CASE kind WHEN 'NAME' THEN regexp_full_match(v, '[가-힣A-Za-z· .''-]{2,60}')
           WHEN 'AGE' THEN regexp_full_match(v, '[0-9]{1,3}(세)?') WHEN 'CARD_NUMBER' THEN regexp_full_match(v, '[0-9 -]{13,25}') ELSE true END AS valid FROM v""",
     "missing_values": "SELECT n_nationkey, n_nationkey % 6 < 4 AS missing FROM nation",
-    "char_sequence": "SELECT item_id, CAST(i AS INTEGER) AS i, substring(text, i + 1, 1) AS ch FROM (SELECT item_id, text, unnest(range(least(40, length(text)))) AS i FROM benchmark)",
+    "char_sequence": "SELECT item_id, CAST(i AS INTEGER) AS i, substring(text, i + 1, 1) AS ch FROM (SELECT item_id, text, unnest(range(length(text))) AS i FROM benchmark)",
     "bio_labels": f"""WITH {_S}
         SELECT doc_id, 'B-EMAIL' AS label, count(*) AS n FROM sp GROUP BY 1 UNION ALL SELECT doc_id, 'I-EMAIL', CAST(sum(length(form) - 1) AS BIGINT) FROM sp GROUP BY 1""",
     "email_spans": f"WITH {_S} SELECT doc_id, b AS begin, CAST(b + length(form) AS INTEGER) AS \"end\", form FROM sp",
