@@ -12,23 +12,25 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.functions.text import LITERALS, numeric_fields, strip
+from sievework.functions.text import LITERALS, missing, numeric_fields, strip
 from sievework.operators import document, graph
 from sievework.operators.dedup import near_copy
 
 # Words after which only certain types may stand, and prose about relations instead of facts.
 TYPE_CUES = (
-    (r"주민등록번호", ("RRN",)),
-    (r"생년월일", ("DATE_OF_BIRTH",)),
+    (r"(?:주민등록번호)", ("RRN",)),
+    (r"(?:생년월일)", ("DATE_OF_BIRTH",)),
     (r"(?:계좌번호|금융자산)", ("BANK_ACCOUNT_NUMBER", "CARD_NUMBER")),
-    (r"(?<!이메일 )(?<!이메일)주소", ("ADDRESS",)),
+    (r"(?<!이메일 )(?<!이메일)(?:주소)", ("ADDRESS",)),
     (r"(?:전화번호|연락처)", ("MOBILE_PHONE", "TELEPHONE", "EMAIL")),
-    (r"이메일", ("EMAIL",)),
-    (r"부서", ("DEPARTMENT",)),
-    (r"학교", ("SCHOOL",)),
+    (r"(?:이메일)", ("EMAIL",)),
+    (r"(?:부서)", ("DEPARTMENT",)),
+    (r"(?:학교)", ("SCHOOL",)),
     (r"(?:전공|학과)", ("MAJOR",)),
 )
-META_PROSE = r"(?:관계|연결|역할|사건\s*발생)(?:을|를|이|가)?\s*(?:정의|명확|구분|설명|명시|나타(?:내|냅|냈|낸))|관계(?:이|가)다|이\s*관계(?:를|는|가|로)"
+PERSON_CUE = r"(?:신고인|신청인|환자|고객|지원자|상대방)"
+RELATIONAL_SUFFIXES = ("에서", "에게", "으로", "로", "의", "과", "와", "을", "를", "에")
+META_PROSE = r"(?:(?:관계|연결|역할|사건\s*발생)(?:을|를|이|가)?\s*(?:정의|명확|구분|설명|명시|나타(?:내|냅|냈|낸))|관계(?:이|가)다|이\s*관계(?:를|는|가|로))"
 IDENTIFYING = ("AGE", "DATE_OF_BIRTH", "RRN", "PASSPORT_NUMBER", "DRIVER_LICENSE_NUMBER")
 _TOKEN = r"<([A-Z][A-Z0-9_]*):(E[0-9]+)>"
 
@@ -116,6 +118,13 @@ def person_issues(persons: DataFrame, links: DataFrame, entities: DataFrame, rel
     ])
 
 
+def _misnamed(t: Column) -> Column:
+    """Whether a token that is no name stands behind a person's role; behind a particle it may, if what follows ties it to another word."""
+    tied = "|".join(RELATIONAL_SUFFIXES)
+    direct = t.rlike(rf"(?U){PERSON_CUE}\s*<(?!NAME:)[A-Z][A-Z0-9_]*:E[0-9]+>")
+    return direct | t.rlike(rf"(?U){PERSON_CUE}\s*(?:인|은|는|이|가|을|를|:)\s*<(?!NAME:)[A-Z][A-Z0-9_]*:E[0-9]+>(?!\s*(?:{tied}))")
+
+
 def draft_issues(segments: DataFrame, entities: DataFrame) -> DataFrame:
     """Of each segment: tags that are none, tokens of other types than planned, wrong types after a cue, prose about relations, literal identifiers, empty, several lines, several sentences."""
     t = F.col("text")
@@ -131,7 +140,7 @@ def draft_issues(segments: DataFrame, entities: DataFrame) -> DataFrame:
     cue = reduce(lambda a, b: a | b, [cued(*c) for c in TYPE_CUES])
     rules = {
         "UNKNOWN_TAG": F.exists(tags, lambda x: ~x.rlike(r"^<(?:[A-Z][A-Z0-9_]*:E[0-9]+|REF:C[0-9]+)>$")),
-        "ENTITY_TYPE_CONTEXT": cue,
+        "ENTITY_TYPE_CONTEXT": cue | _misnamed(t),
         "RELATION_META_PROSE": t.rlike(META_PROSE),
         "LITERAL_IDENTIFIER": literal,
         "EMPTY_SEGMENT": strip(t) == "",
@@ -143,7 +152,7 @@ def draft_issues(segments: DataFrame, entities: DataFrame) -> DataFrame:
     known = entities.select("plan_id", "entity_id", "entity_type")
     wrong = used.join(known, ["plan_id", "entity_id", "entity_type"], "left_anti")
     missing = known.join(used.select("plan_id", "entity_id").distinct(), ["plan_id", "entity_id"], "left_anti")
-    return each.unionByName(_issue(wrong, "PLACEHOLDER_TYPE_ID", F.concat_ws(":", "entity_type", "entity_id"))).unionByName(_issue(missing, "MISSING_ENTITY", F.col("entity_id")))
+    return each.unionByName(_issue(wrong, "PLACEHOLDER_TYPE_ID", F.concat_ws(":", "entity_type", "entity_id"))).unionByName(_issue(missing, "MISSING_ENTITY_MENTION", F.col("entity_id")))
 
 
 def suspected_pairs(segments: DataFrame, relations: DataFrame) -> DataFrame:
@@ -214,26 +223,35 @@ def split_sentences(segments: DataFrame) -> DataFrame:
     return out.select("plan_id", "position", F.when(F.col("__i") == 0, F.col("sentence_id")).otherwise(F.concat(F.lit("S"), F.col("__top") + F.col("__x"))).alias("sentence_id"), "text")
 
 
-def address(a: str = "address", key: Column | None = None) -> Column:
-    """One line of a nested address: by road (number and sub-number, building, detail) or by lot (town unless the district ends in it, village, mountain lots marked), whichever a hash of `key` picks of
-    those there are; district, town and detail if there is neither."""
-    f = lambda path: F.col(f"{a}.{path}")
+# The two forms of an address, each a list of parts; a part is a path, or a number with its sub-number.
+_ROAD = ("sido", "sigungu", "road_address.road_name", ("road_address.building_main_no", "road_address.building_sub_no"), "detail_address.building_name", "detail_address.detail_text")
+_LOT = ("sido", "sigungu", "legal_area.eupmyeondong", "legal_area.ri", ("jibun_address.jibun_main_no", "jibun_address.jibun_sub_no"), "detail_address.building_name", "detail_address.detail_text")
+_AREA = ("sido", "sigungu", "legal_area.eupmyeondong", "detail_address.detail_text")
+
 
-    def some(c: Column) -> Column:
-        return F.when(c.isNull() | F.lower(strip(c)).isin("", "na", "n/a", "null", "none", "nan"), None).otherwise(strip(c))
+def address(a: str = "address", key: Column | None = None, nested: bool = True) -> Column:
+    """One line of an address. A text (nested=False) is trimmed. Of an object, the form by road needs a road and a number, the form by lot a number; a hash of `key` picks one of those there are, and
+    without any the area stands alone. Parts that are missing are left out, a sub-number of 0 too; a town in which the district ends isn't repeated; lots on a mountain are marked."""
+    if not nested:
+        return strip(F.col(a))
 
-    def number(main: Column, sub: Column) -> Column:
-        return F.when(some(main).isNotNull(), F.concat(some(main), F.coalesce(F.when(sub != "0", F.concat(F.lit("-"), some(sub))), F.lit(""))))
+    def part(path: str | tuple[str, str]) -> Column:
+        if isinstance(path, tuple):
+            sub = F.when(F.col(f"{a}.{path[1]}") != "0", part(path[1]))
+            return F.concat(part(path[0]), F.coalesce(F.concat(F.lit("-"), sub), F.lit("")))
+        value = F.col(f"{a}.{path}").cast("string")
+        return F.when(~missing(value), strip(value))
 
-    tail = [some(f("detail_address.building_name")), some(f("detail_address.detail_text"))]
-    head = [some(f("sido")), some(f("sigungu"))]
-    road_no = number(f("road_address.building_main_no"), f("road_address.building_sub_no"))
-    road = F.when(some(f("road_address.road_name")).isNotNull() & road_no.isNotNull(), F.concat_ws(" ", *head, some(f("road_address.road_name")), road_no, *tail))
-    lot_no = number(f("jibun_address.jibun_main_no"), f("jibun_address.jibun_sub_no"))
-    town = some(f("legal_area.eupmyeondong"))
-    part = F.when(F.coalesce(some(f("sigungu")).endswith(town), F.lit(False)), None).otherwise(town)
-    hill = F.when(f("jibun_address.is_mountain"), F.lit("산")).otherwise(F.lit(""))
-    lot = F.when(lot_no.isNotNull(), F.concat_ws(" ", *head, part, some(f("legal_area.ri")), F.concat(hill, lot_no), *tail))
-    there = F.filter(F.array(road, lot), lambda x: x.isNotNull())
+    def line(form: tuple, change: dict) -> Column:
+        return F.concat_ws(" ", *[change.get(p, part(p)) for p in form])
+
+    town, lot = part(_LOT[2]), part(_LOT[4])
+    seen = F.coalesce(part("sigungu").endswith(town), F.lit(False))
+    hill = F.when(F.col(f"{a}.jibun_address.is_mountain"), F.lit("산")).otherwise(F.lit(""))
+    forms = F.array(
+        F.when(part(_ROAD[2]).isNotNull() & part(_ROAD[3]).isNotNull(), line(_ROAD, {})),
+        F.when(lot.isNotNull(), line(_LOT, {_LOT[2]: F.when(~seen, town), _LOT[4]: F.concat(hill, lot)})),
+    )
+    there = F.filter(forms, lambda x: x.isNotNull())
     which = F.pmod(F.xxhash64(F.lit(0) if key is None else key), F.greatest(F.size(there), F.lit(1))).cast("int")
-    return F.coalesce(F.get(there, which), F.concat_ws(" ", *head, town, some(f("detail_address.detail_text"))))
+    return F.coalesce(F.get(there, which), line(_AREA, {}))

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from sievework.functions.text import normalise_particles
 from sievework.operators import drafts
 
 
@@ -74,3 +75,28 @@ def test_role_values_and_address(spark):
     bare = (("강원", "평창군", (None, None, None), ("대관령면", None), (None, None, None), (None, "NA")),)
     got = [r[0] for r in spark.createDataFrame([road, lot, bare], schema).select(drafts.address()).collect()]
     assert got == ["서울 중구 세종대로 110 3층", "강원 평창군 대관령면 횡계리 산12-3", "강원 평창군 대관령면"]
+
+
+def test_particles_in_drafts(spark):
+    cases = {
+        "〈NAME:E1〉은 왔다": "<NAME:E1>{josa:은/는} 왔다",
+        "<NAME:E1>{josa:는/은} <EMAIL:E2> {josa:을}": "<NAME:E1>{josa:은/는} <EMAIL:E2>{josa:을/를}",
+        "<NAME:E1>{josa:에/에} <NAME:E1>{josa: 에서 }": "<NAME:E1>에 <NAME:E1>에서",
+        "<REF:C1>으로서, <REF:C2>와의 <NAME:E1>가나": "<REF:C1>{josa:으로서/로서}, <REF:C2>{josa:과의/와의} <NAME:E1>가나",
+        "<NAME:E1>{josa:zz} <X>은 나는": "<NAME:E1>{josa:zz} <X>은 나는",
+        "": "",
+    }
+    rows = spark.createDataFrame([(i, a) for i, a in enumerate(cases)], "i int, t string").orderBy("i")
+    assert [r[0] for r in rows.select(normalise_particles(F.col("t"))).collect()] == list(cases.values())
+    assert spark.createDataFrame([(None,)], "t string").select(normalise_particles(F.col("t"))).first()[0] is None
+
+
+def test_person_cues(spark):
+    texts = ["환자 <NAME:E1>", "환자: <RRN:E2>", "고객은 <WORKPLACE:E3>에서 산다", "고객은 <WORKPLACE:E3>이다", "고객 <WORKPLACE:E3>에서"]
+    rows = spark.createDataFrame([("p", f"S{i}", "prose", t) for i, t in enumerate(texts)], "plan_id string, sentence_id string, kind string, text string")
+    e = spark.createDataFrame([("p", "E1", "NAME"), ("p", "E2", "RRN"), ("p", "E3", "WORKPLACE")], "plan_id string, entity_id string, entity_type string")
+    assert sorted((r["code"], r["target"]) for r in drafts.draft_issues(rows, e).collect()) == [("ENTITY_TYPE_CONTEXT", s) for s in ("S1", "S3", "S4")]
+
+
+def test_address_of_text(spark):
+    assert spark.createDataFrame([(" 서울 중구 ",)], "address string").select(drafts.address(nested=False)).first()[0] == "서울 중구"
