@@ -7,7 +7,7 @@ import sys
 from pathlib import Path
 
 from sievework import catalogue
-from sievework.plans.structures import review_gate
+from sievework.plans.documents import review_gate
 from sievework.session import session
 from sievework.sources import sinks
 

@@ -137,24 +137,6 @@ def relation_issues(relations: DataFrame, entities: DataFrame) -> DataFrame:
     return ends.unionByName(repeated).unionByName(alone)
 
 
-def review_gate(checks: DataFrame, planned: DataFrame, reviews: DataFrame) -> DataFrame:
-    """(doc_id, code, target) of reviews: a relation unchecked or checked twice, unsupported, ambiguous or of another label than planned; unplanned relations, format, spec and text findings, and any grade but the top one.
-
-    checks: doc_id, relation_id, relation_supported, direction_supported, attribution_supported, observed_privacy; planned: doc_id, relation_id, target_privacy; reviews: doc_id, n_unplanned, format_ok, top_grade, n_text_issues, n_spec_failures.
-    """
-    n = checks.groupBy("doc_id", "relation_id").agg(F.count("*").alias("k"))
-    cover = planned.join(n, ["doc_id", "relation_id"], "full").where(F.col("target_privacy").isNull() | (F.coalesce("k", F.lit(0)) != 1))
-    j = checks.join(planned, ["doc_id", "relation_id"])
-    ok = F.col("relation_supported") & F.col("direction_supported") & F.col("attribution_supported")
-    per = issues(j, "doc_id", {"RELATION_MEANING": ~ok | ((F.col("observed_privacy") != "AMBIGUOUS") & (F.col("observed_privacy") != F.col("target_privacy"))), "PRIVACY_AMBIGUOUS": ~ok | (F.col("observed_privacy") == "AMBIGUOUS")}, F.col("relation_id"))
-    whole = issues(
-        reviews, "doc_id",
-        {"UNPLANNED_RELATIONS": F.col("n_unplanned") > 0, "FORMAT_MEANING": ~F.col("format_ok"), "QUALITY_GRADE": ~F.col("top_grade"), "TEXT_ISSUE": F.col("n_text_issues") > 0, "DOCUMENT_SPEC_INCOMPLETE": F.col("n_spec_failures") > 0},
-        F.lit(""),
-    )
-    return cover.select("doc_id", F.lit("REVIEW_RELATION_COVERAGE").alias("code"), F.col("relation_id").alias("target")).unionByName(per).unionByName(whole)
-
-
 def spec_issues(findings: DataFrame, sentences: DataFrame) -> DataFrame:
     """Spec findings (doc_id, check_id, section_id, passed, reason, evidence ids) without valid evidence, and failed ones. Passing takes a sentence that isn't a heading, over 8 characters, in the check's section."""
     each = findings.select("doc_id", "check_id", "section_id", F.explode_outer("evidence").alias("sentence_id")).join(sentences.select("doc_id", "sentence_id", F.col("section_id").alias("__sec"), "kind", "sentence"), ["doc_id", "sentence_id"], "left")
@@ -171,11 +153,13 @@ def concrete(c: Column) -> Column:
 
 
 def evidence_issues(groups: DataFrame, sentences: DataFrame, ends: DataFrame) -> DataFrame:
-    """Evidence groups (doc_id, relation_id, g, ids) with repeated or unknown sentences, or that don't hold both ends. sentences: doc_id, sentence_id, entity_ids; ends: doc_id, relation_id, source, target."""
+    """Relations (doc_id, relation_id, source, target) without evidence, or with a group (doc_id, relation_id, g, ids) that is empty, repeats a sentence, has one that is unknown, or doesn't hold both ends. sentences: doc_id, sentence_id, entity_ids."""
     each = groups.select("doc_id", "relation_id", "g", F.explode_outer("ids").alias("sentence_id")).join(sentences, ["doc_id", "sentence_id"], "left")
     per = each.groupBy("doc_id", "relation_id", "g").agg(F.count("*").alias("n"), F.count_distinct("sentence_id").alias("d"), F.count_if(F.col("entity_ids").isNull()).alias("unknown"), F.flatten(F.collect_list("entity_ids")).alias("all"))
-    j = per.join(ends, ["doc_id", "relation_id"])
-    return issues(j, "doc_id", {"EVIDENCE_IDS": (F.col("n") != F.col("d")) | (F.col("unknown") > 0), "EVIDENCE_ENDPOINTS": ~(F.array_contains("all", F.col("source")) & F.array_contains("all", F.col("target")))}, F.col("relation_id"))
+    j = ends.join(per, ["doc_id", "relation_id"], "left")
+    sound = (F.col("n") == F.col("d")) & (F.col("unknown") == 0) & F.array_contains("all", F.col("source")) & F.array_contains("all", F.col("target"))
+    bad = j.where(~F.coalesce(sound, F.lit(False))).select("doc_id", "relation_id").distinct()
+    return bad.select("doc_id", F.lit("RELATION_EVIDENCE").alias("code"), F.col("relation_id").alias("target"))
 
 
 def direct_evidence(sentences: DataFrame, ends: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.operators import document, final
+from sievework.operators import diagnosis, document, final, review
 from sievework.sources.tables import table
 
 
@@ -72,16 +72,107 @@ def final_check(spark: SparkSession, d: str) -> DataFrame:
     return final.final_check(final_documents(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (final_issues, final_check)}
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    """One line for each number of an order, as the tables may repeat a number."""
+    l = table(spark, d, "lineitem")  # noqa: E741
+    return l.groupBy("l_orderkey", "l_linenumber").agg(
+        F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"), F.min("l_quantity").alias("q"), F.min("l_discount").alias("disc"), F.min("l_tax").alias("tax"), F.min("l_returnflag").alias("flag"),
+    )
+
+
+def _reviews(spark: SparkSession, d: str) -> DataFrame:
+    li = _lines(spark, d).select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit("R"), F.col("l_linenumber").cast("string")).alias("relation_id"), F.when(F.col("flag") == "R", "PII").otherwise("NON_PII").alias("target_privacy"), "l_linenumber", "s", "q", "disc", "tax")
+    seen = F.when(F.col("s") % 10 == 0, "AMBIGUOUS").when(F.col("s") % 10 == 1, "PII").otherwise(F.col("target_privacy"))
+    checks = li.where("l_linenumber <> 6").select("doc_id", "relation_id", (F.col("q") > 2).alias("relation_supported"), (F.col("disc") < 0.09).alias("direction_supported"), (F.col("tax") < 0.08).alias("attribution_supported"), seen.alias("observed_privacy"))
+    o = table(spark, d, "orders")
+    reviews = o.select(F.col("o_orderkey").alias("doc_id"), F.expr("int(o_custkey % 3 = 0)").alias("n_unplanned"), (F.col("o_orderpriority") != "5-LOW").alias("format_ok"), F.when(F.col("o_orderstatus") == "P", review.MIDDLE).otherwise(review.TOP).alias("overall"))
+    kind = F.when(F.col("o_custkey") % 4 == 0, "fluency").when(F.col("o_custkey") % 4 == 1, "consistency").otherwise("format")
+    ids = F.when(F.col("o_custkey") % 2 == 0, F.array(F.lit("S1"), F.lit("S2"))).otherwise(F.array().cast("array<string>"))
+    findings = o.where("o_custkey % 5 = 0").select(F.col("o_orderkey").alias("doc_id"), kind.alias("kind"), ids.alias("sentence_ids"))
+    return review.privacy_gate(checks, li.select("doc_id", "relation_id", "target_privacy"), reviews, findings)
+
+
+def review_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as reviewed documents, their lines as planned relations."""
+    return _reviews(spark, d)
+
+
+def review_gate(spark: SparkSession, d: str) -> DataFrame:
+    return document.gate(table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id")), "doc_id", _reviews(spark, d))
+
+
+def draft_diagnosis(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as drafts, their lines as segments: sections A, N and R with a scene each."""
+    o = table(spark, d, "orders").withColumn("plan_id", F.col("o_orderkey"))
+    misplaced = F.when(F.col("tax") >= 0.08, "Z").otherwise(F.col("flag"))
+    scene = F.when(F.col("disc") >= 0.09, "N").otherwise(F.col("flag"))
+    number = F.when(F.col("q") == 50, 1).otherwise(F.col("l_linenumber")).cast("string")
+    kind = F.element_at(F.array(*map(F.lit, ("prose", "question", "answer", "heading"))), (F.col("s") % 4 + 1).cast("int"))
+    pair = F.when(F.col("p") % 5 == 0, "x/y").otherwise("은/는")
+    text = F.concat(F.lit("<REF:C"), (F.col("p") % 3 + 1).cast("string"), F.lit(">{josa:"), pair, F.lit("} "), F.when(F.col("q") < 40, "추천").otherwise("x"))
+    segments = _lines(spark, d).select(F.col("l_orderkey").alias("plan_id"), F.col("l_linenumber").alias("position"), F.concat(F.lit("S"), number).alias("sentence_id"), misplaced.alias("section_id"), scene.alias("scene_id"), kind.alias("kind"), text.alias("text"))
+    plan = F.array(*[F.struct(F.lit(k).alias("section_id"), F.lit(i).alias("ord"), F.array(*map(F.lit, kinds)).alias("allowed_kinds"), F.lit(mode).alias("mode")) for i, (k, kinds, mode) in enumerate((("A", ("prose", "question", "answer"), ""), ("N", ("prose",), ""), ("R", ("question", "answer"), "qa")))])
+    sections = o.select("plan_id", F.inline(plan))
+    scenes = sections.select("plan_id", F.col("section_id").alias("scene_id"), "section_id")
+    first = F.struct(F.lit("C1").alias("ref_id"), F.lit("E1").alias("entity_id"), F.when(F.col("o_custkey") % 7 == 0, "Kim").otherwise("it").alias("surface"))
+    second = F.struct(F.when(F.col("o_custkey") % 11 == 0, "K2").otherwise("C2").alias("ref_id"), F.when(F.col("o_custkey") % 2 == 0, "E2").otherwise("E9").alias("entity_id"), F.lit("they").alias("surface"))
+    refs = o.select("plan_id", F.inline(F.array(first, second)))
+    entities = o.select("plan_id", F.explode(F.array(F.lit("E1"), F.lit("E2"))).alias("entity_id"))
+    values = o.select("plan_id", F.lit("Kim").alias("value"))
+    relations = o.select("plan_id", F.lit("R1").alias("relation_id"))
+    evidence = o.select("plan_id", F.explode(F.when(F.col("o_orderkey") % 13 == 0, F.array(F.lit("R1"), F.lit("R9"))).otherwise(F.array(F.lit("R1")))).alias("relation_id"))
+    wanted = o.select(
+        "plan_id", F.when(F.col("o_orderkey") % 2 == 0, "question_answer").otherwise("plain").alias("layout_variant"), F.lit("career_education").alias("domain"), F.lit("recommendation").alias("subtype"),
+        F.lit(100).alias("min_chars"), (F.col("o_orderkey") % 150).cast("int").alias("rendered_chars"),
+    )
+    return diagnosis.diagnose(segments, sections, scenes, refs, entities, values, evidence, relations, wanted)
+
+
+QUERIES = {f.__name__: f for f in (final_issues, final_check, review_issues, review_gate, draft_diagnosis)}
+
 
 _FAULTS = """(VALUES (1, 'FINAL_CHAR_SEQUENCE', 'd_0'), (2, 'FINAL_PII_SPAN', 'd_0'), (2, 'FINAL_BIO', 'd_0'), (2, 'FINAL_MASKING_GROUP', 'd_0'), (3, 'FINAL_ISOLATED_ENTITY', 'E3'),
     (3, 'FINAL_ISOLATED_ENTITY', 'E4'), (4, 'FINAL_DUPLICATE_RELATION', 'E1/of/E2'), (5, 'FINAL_RELATION_ENDPOINT', 'E3/E9'), (5, 'FINAL_ISOLATED_ENTITY', 'E3'), (5, 'FINAL_ISOLATED_ENTITY', 'E4'),
     (6, 'FINAL_ENTITY_ID_TYPE', 'E4'), (6, 'FINAL_RELATION_ENDPOINT', 'E3/E4'), (6, 'FINAL_ISOLATED_ENTITY', 'E3'), (6, 'FINAL_ISOLATED_ENTITY', 'E4'), (7, 'FINAL_LISTS', ''), (8, 'FINAL_SCHEMA', ''),
     (9, 'FINAL_EMPTY_ENTITY', 'E4'), (10, 'FINAL_MENTION_SPAN', 'E4'), (11, 'FINAL_MENTION_OVERLAP', 'E4'), (12, 'FINAL_PLACEHOLDER', 'd_1'), (12, 'FINAL_CHAR_SEQUENCE', 'd_1'), (12, 'FINAL_BIO', 'd_1'),
     (13, 'FINAL_SENTENCE_INDEX', 'e_1'), (13, 'FINAL_MENTION_SPAN', 'E3'), (13, 'FINAL_MENTION_SPAN', 'E4'), (14, 'FINAL_BIO', 'd_0'), (15, 'FINAL_MASKING_GROUP', 'd_1')) f(k, code, target)"""
+_LINES = "l AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_partkey) AS p, min(l_suppkey) AS s, min(l_quantity) AS q, min(l_discount) AS disc, min(l_tax) AS tax, min(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2)"
+_REVIEW = f"""{_LINES}, r AS (SELECT k, 'R' || n AS rid, n, q > 2 AND disc < 0.09 AND tax < 0.08 AS ok, CASE WHEN flag = 'R' THEN 'PII' ELSE 'NON_PII' END AS want,
+        CASE WHEN s % 10 = 0 THEN 'AMBIGUOUS' WHEN s % 10 = 1 THEN 'PII' WHEN flag = 'R' THEN 'PII' ELSE 'NON_PII' END AS seen FROM l),
+    i AS (SELECT k AS doc_id, 'REVIEW_RELATION_COVERAGE' AS code, rid AS target FROM r WHERE n = 6
+        UNION ALL SELECT k, 'RELATION_MEANING', rid FROM r WHERE n <> 6 AND (NOT ok OR (seen <> 'AMBIGUOUS' AND seen <> want))
+        UNION ALL SELECT k, 'PRIVACY_AMBIGUOUS', rid FROM r WHERE n <> 6 AND (NOT ok OR seen = 'AMBIGUOUS')
+        UNION ALL SELECT o_orderkey, 'UNPLANNED_RELATIONS', '' FROM orders WHERE o_custkey % 3 = 0
+        UNION ALL SELECT o_orderkey, 'FORMAT_MEANING', '' FROM orders WHERE o_orderpriority = '5-LOW'
+        UNION ALL SELECT o_orderkey, 'QUALITY_GRADE', '' FROM orders WHERE o_orderstatus = 'P'
+        UNION ALL SELECT o_orderkey, CASE o_custkey % 4 WHEN 0 THEN 'TEXT_FLUENCY' WHEN 1 THEN 'TEXT_CONSISTENCY' ELSE 'TEXT_FORMAT' END, unnest(CASE WHEN o_custkey % 2 = 0 THEN ['S1', 'S2'] ELSE [''] END) FROM orders WHERE o_custkey % 5 = 0)"""
+_DIAGNOSIS = f"""WITH {_LINES}, g AS (SELECT k, n, 'S' || CASE WHEN q = 50 THEN 1 ELSE n END AS sid, CASE WHEN tax >= 0.08 THEN 'Z' ELSE flag END AS sec, CASE WHEN disc >= 0.09 THEN 'N' ELSE flag END AS scene,
+        CASE s % 4 WHEN 0 THEN 'prose' WHEN 1 THEN 'question' WHEN 2 THEN 'answer' ELSE 'heading' END AS kind, 'C' || (p % 3 + 1) AS ref, p % 5 = 0 AS odd, q < 40 AS rec FROM l),
+    h AS (SELECT * FROM g WHERE sec <> 'Z' AND sec = scene), o AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT k FROM g)), sec(x) AS (VALUES ('A'), ('N'), ('R')),
+    b AS (SELECT k, sec, lag(sec) OVER (PARTITION BY k ORDER BY n) AS prev FROM h), m AS (SELECT k, sid, row_number() OVER (PARTITION BY k ORDER BY n) AS c FROM h WHERE rec AND kind <> 'heading')
+    SELECT o_orderkey AS plan_id, 'EMPTY_DOCUMENT' AS code, '' AS target FROM orders WHERE o_orderkey NOT IN (SELECT k FROM g)
+    UNION ALL SELECT k, 'SEGMENT_SCENE_SECTION', sid FROM g WHERE sec = 'Z' OR sec <> scene
+    UNION ALL SELECT k, 'SEGMENT_KIND', sid FROM h WHERE (sec = 'N' AND kind IN ('question', 'answer')) OR (sec = 'R' AND kind = 'prose')
+    UNION ALL SELECT k, 'DRAFT_SENTENCE_ID', '' FROM g GROUP BY k HAVING count(*) <> count(DISTINCT sid)
+    UNION ALL SELECT o_orderkey, 'REFERENCE_ID', '' FROM o WHERE o_custkey % 11 = 0
+    UNION ALL SELECT o_orderkey, 'REFERENCE_TARGET', CASE WHEN o_custkey % 11 = 0 THEN 'K2' ELSE 'C2' END FROM o WHERE o_custkey % 2 <> 0
+    UNION ALL SELECT o_orderkey, 'REFERENCE_ACTUAL_VALUE', 'C1' FROM o WHERE o_custkey % 7 = 0
+    UNION ALL SELECT o_orderkey, 'EVIDENCE_ID', '' FROM o WHERE o_orderkey % 13 = 0
+    UNION ALL SELECT k, 'MISSING_REFERENCE', ref FROM h JOIN o ON o_orderkey = k WHERE ref = 'C3' OR (ref = 'C2' AND o_custkey % 11 = 0)
+    UNION ALL SELECT k, 'JOSA_MARKER', 'x/y' FROM h WHERE odd
+    UNION ALL SELECT o_orderkey, 'MISSING_SECTION', x FROM o, sec WHERE NOT EXISTS (SELECT 1 FROM h WHERE k = o_orderkey AND sec = x)
+    UNION ALL SELECT o_orderkey, 'MISSING_SCENE', x FROM o, sec WHERE NOT EXISTS (SELECT 1 FROM g WHERE k = o_orderkey AND scene = x)
+    UNION ALL SELECT DISTINCT k, 'SECTION_ORDER', '' FROM b WHERE prev > sec
+    UNION ALL SELECT o_orderkey, 'QUESTION_ANSWER_LAYOUT', '' FROM o WHERE o_orderkey % 2 = 0 AND (SELECT count(DISTINCT kind) FROM g WHERE k = o_orderkey AND kind IN ('question', 'answer')) < 2
+    UNION ALL SELECT o_orderkey, 'SPEC_QUESTION_ANSWER', 'R' FROM o WHERE (SELECT count(DISTINCT kind) FROM g WHERE k = o_orderkey AND sec = 'R' AND kind IN ('question', 'answer')) < 2
+    UNION ALL SELECT o_orderkey, 'LENGTH_SHORTAGE', CAST(100 - o_orderkey % 150 AS VARCHAR) FROM o WHERE o_orderkey % 150 < 100
+    UNION ALL SELECT k, 'PROSE_REPETITION', sid FROM m WHERE c > 6"""
 ORACLES = {
     "final_issues": f"SELECT c_custkey AS doc_id, code, target FROM customer JOIN {_FAULTS} ON c_custkey % 16 = k",
     "final_check": f"""WITH n AS (SELECT k, count(*) AS n FROM {_FAULTS} GROUP BY 1), c AS (SELECT c_custkey, c_custkey % 16 AS k FROM customer)
         SELECT c_custkey AS doc_id, CASE WHEN k IN (7, 8) THEN 0 ELSE 2 END AS sentences, CASE WHEN k IN (7, 8) THEN 0 ELSE 4 END AS entities, CASE WHEN k IN (7, 8) THEN 0 WHEN k IN (3, 5, 6) THEN 1 ELSE 2 END AS relations,
         CASE WHEN k IN (7, 8) THEN 0 ELSE 2 END AS pii_mentions, coalesce(n, 0) AS n_issues, n IS NULL AS passed FROM c LEFT JOIN n USING (k)""",
+    "review_issues": f"WITH {_REVIEW} SELECT doc_id, code, target FROM i",
+    "review_gate": f"WITH {_REVIEW}, n AS (SELECT doc_id, count(*) AS n FROM i GROUP BY 1) SELECT o_orderkey AS doc_id, coalesce(n, 0) AS n_issues, n IS NULL AS passed FROM orders LEFT JOIN n ON doc_id = o_orderkey",
+    "draft_diagnosis": _DIAGNOSIS,
 }

@@ -119,11 +119,6 @@ def doc_validation_issues(spark: SparkSession, d: str) -> DataFrame:
     return document.issues(docs, "doc_id", rules, F.col("source"))
 
 
-def review_gate(spark: SparkSession, d: str) -> DataFrame:
-    labels = table(spark, d, "labels").where("quality = 0 or toxic = 1").select("doc_id", F.lit("REVIEW").alias("code"), F.col("toxic").cast("string").alias("target"))
-    return document.gate(table(spark, d, "documents"), "doc_id", doc_validation_issues(spark, d), labels)
-
-
 def mention_overlaps(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_suppkey").alias("position"), F.concat_ws("-", "l_partkey", "l_linenumber").alias("entity_id"), F.expr("cast(l_quantity as int)").alias("begin"), F.expr("cast(l_quantity as int) + 9").alias("end"))
     spread = m.withColumn("position", F.expr("position % 3"))
@@ -168,7 +163,7 @@ def json_hash(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     gram_counts, gram_jaccard_pairs, benchmark_nearest, greedy_accept, addition_copies, ratcliff_near_dup, masked_text, privacy_groups, bridges, components, spec_semi_anti, allowed_triples,
-    evidence_modes, plan_fingerprint, doc_validation_issues, review_gate, mention_overlaps, slot_round_robin, hash_pick, hash_chance, least_used, next_slot, apportioned, json_hash,
+    evidence_modes, plan_fingerprint, doc_validation_issues, mention_overlaps, slot_round_robin, hash_pick, hash_chance, least_used, next_slot, apportioned, json_hash,
 )}
 
 _N = "trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))"
@@ -206,8 +201,6 @@ ORACLES = {
     "evidence_modes": """WITH g AS (SELECT l_orderkey, l_returnflag, count(DISTINCT l_linenumber) AS n, max(l_linenumber) - min(l_linenumber) + 1 AS w FROM lineitem GROUP BY 1, 2)
         SELECT l_orderkey, CASE WHEN bool_or(n = w) THEN 'adjacent' ELSE 'nonadjacent' END AS mode, CAST(min(n) AS INTEGER) AS smallest FROM g WHERE n > 1 GROUP BY 1""",
     "doc_validation_issues": _V,
-    "review_gate": f"""WITH i AS ({_V} UNION ALL SELECT doc_id, 'REVIEW', CAST(toxic AS VARCHAR) FROM labels WHERE quality = 0 OR toxic = 1), c AS (SELECT doc_id, count(*) AS n FROM i GROUP BY 1)
-        SELECT doc_id, coalesce(n, 0) AS n_issues, n IS NULL AS passed FROM documents LEFT JOIN c USING (doc_id)""",
     "mention_overlaps": """WITH m AS (SELECT l_orderkey AS doc_id, l_suppkey % 3 AS p, l_partkey || '-' || l_linenumber AS e, CAST(l_quantity AS INTEGER) AS b FROM lineitem),
         o AS (SELECT *, max(b + 9) OVER (PARTITION BY doc_id, p ORDER BY b, b + 9, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS x FROM m)
         SELECT doc_id, 'FINAL_MENTION_OVERLAP' AS code, e AS target FROM o WHERE b < x""",

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sievework.operators import document, graph, sampling
+from sievework.operators import document, graph, review, sampling
 
 
 def test_masking_groups_and_bridges(spark):
@@ -87,12 +87,14 @@ def test_relation_rules_and_review(spark):
     assert sorted(r["code"] for r in document.relation_issues(relations, entities).collect()) == ["FINAL_DUPLICATE_RELATION", "FINAL_ISOLATED_ENTITY", "FINAL_RELATION_ENDPOINT"]
     checks = spark.createDataFrame([("d", "R1", True, True, True, "PII"), ("e", "R1", True, False, True, "PII"), ("f", "R1", True, True, True, "AMBIGUOUS")], "doc_id string, relation_id string, relation_supported boolean, direction_supported boolean, attribution_supported boolean, observed_privacy string")
     planned = spark.createDataFrame([("d", "R1", "PII"), ("e", "R1", "PII"), ("f", "R1", "PII"), ("f", "R2", "PII")], "doc_id string, relation_id string, target_privacy string")
-    reviews = spark.createDataFrame([("d", 0, True, True, 0, 0), ("e", 0, True, True, 0, 0), ("f", 0, True, False, 1, 0)], "doc_id string, n_unplanned int, format_ok boolean, top_grade boolean, n_text_issues int, n_spec_failures int")
-    found = document.review_gate(checks, planned, reviews)
+    reviews = spark.createDataFrame([("d", 0, True, "상"), ("e", 0, True, "상"), ("f", 0, True, "중")], "doc_id string, n_unplanned int, format_ok boolean, overall string")
+    findings = spark.createDataFrame([("f", "fluency", ["S1", "S2"]), ("f", "format", [])], "doc_id string, kind string, sentence_ids array<string>")
+    found = review.privacy_gate(checks, planned, reviews, findings)
+    assert sorted((r["code"], r["target"]) for r in found.where("code like 'TEXT%'").collect()) == [("TEXT_FLUENCY", "S1"), ("TEXT_FLUENCY", "S2"), ("TEXT_FORMAT", "")]
     by = {}
     for r in found.collect():
         by.setdefault(r["doc_id"], set()).add(r["code"])
-    assert by == {"e": {"RELATION_MEANING", "PRIVACY_AMBIGUOUS"}, "f": {"PRIVACY_AMBIGUOUS", "REVIEW_RELATION_COVERAGE", "QUALITY_GRADE", "TEXT_ISSUE"}}
+    assert by == {"e": {"RELATION_MEANING", "PRIVACY_AMBIGUOUS"}, "f": {"PRIVACY_AMBIGUOUS", "REVIEW_RELATION_COVERAGE", "QUALITY_GRADE", "TEXT_FLUENCY", "TEXT_FORMAT"}}
     assert {r["doc_id"]: r["passed"] for r in document.gate(reviews, "doc_id", found).collect()} == {"d": True, "e": False, "f": False}
 
 
@@ -120,7 +122,8 @@ def test_schema_and_specs(spark):
     held = spark.createDataFrame([("d", "S1", ["E1", "E2"]), ("d", "S2", ["E1"])], "doc_id string, sentence_id string, entity_ids array<string>")
     ends = spark.createDataFrame([("d", "R1", "E1", "E2")], "doc_id string, relation_id string, source string, target string")
     groups = spark.createDataFrame([("d", "R1", 0, ["S1"]), ("d", "R1", 1, ["S2", "S9"])], "doc_id string, relation_id string, g int, ids array<string>")
-    assert {r["code"] for r in document.evidence_issues(groups, held, ends).collect()} == {"EVIDENCE_IDS", "EVIDENCE_ENDPOINTS"}
+    assert [tuple(r) for r in document.evidence_issues(groups, held, ends).collect()] == [("d", "RELATION_EVIDENCE", "R1")]
+    assert document.evidence_issues(groups.where("g = 0"), held, ends).count() == 0 and document.evidence_issues(groups.where("g = 9"), held, ends).count() == 1
     assert document.direct_evidence(held, ends).first()["ids"] == ["S1"]
 
 
