@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.operators import diagnosis, document, final, review
+from sievework.operators import dedup, diagnosis, document, final, policies, review
 from sievework.sources.tables import table
 
 
@@ -128,9 +128,23 @@ def draft_diagnosis(spark: SparkSession, d: str) -> DataFrame:
     return diagnosis.diagnose(segments, sections, scenes, refs, entities, values, evidence, relations, wanted)
 
 
-QUERIES = {f.__name__: f for f in (final_issues, final_check, review_issues, review_gate, draft_diagnosis)}
+def plan_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """Orders in progress against all others, by the flags and states of their lines."""
+    per = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_set(F.concat("l_returnflag", "l_linestatus"))).alias("features"))
+    plans = table(spark, d, "orders").select("o_orderkey", "o_orderstatus").join(per, "o_orderkey", "left").withColumn("features", F.coalesce("features", F.array().cast("array<string>")))
+    found = dedup.plan_nearest(plans.where("o_orderstatus = 'P'"), "o_orderkey", plans.where("o_orderstatus <> 'P'"), "o_orderkey")
+    return found.withColumn("jaccard", F.round("jaccard", 9))
 
 
+def nearest_pair(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of two suppliers' classes in an order that lie best, those that came back first."""
+    mentions = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("plan_id"), (F.col("l_suppkey") % 3).alias("entity_id"), F.col("l_linenumber").alias("position"), F.col("l_returnflag").alias("scene_id"))
+    relations = table(spark, d, "orders").select(F.col("o_orderkey").alias("plan_id"), F.lit("R1").alias("relation_id"), F.lit(0).alias("source"), F.lit(1).alias("target"), F.lit("R").alias("scene_id"))
+    return policies.nearest_pair(mentions, relations)
+
+
+QUERIES = {f.__name__: f for f in (final_issues, final_check, review_issues, review_gate, draft_diagnosis, plan_nearest, nearest_pair)}
+
 _FAULTS = """(VALUES (1, 'FINAL_CHAR_SEQUENCE', 'd_0'), (2, 'FINAL_PII_SPAN', 'd_0'), (2, 'FINAL_BIO', 'd_0'), (2, 'FINAL_MASKING_GROUP', 'd_0'), (3, 'FINAL_ISOLATED_ENTITY', 'E3'),
     (3, 'FINAL_ISOLATED_ENTITY', 'E4'), (4, 'FINAL_DUPLICATE_RELATION', 'E1/of/E2'), (5, 'FINAL_RELATION_ENDPOINT', 'E3/E9'), (5, 'FINAL_ISOLATED_ENTITY', 'E3'), (5, 'FINAL_ISOLATED_ENTITY', 'E4'),
     (6, 'FINAL_ENTITY_ID_TYPE', 'E4'), (6, 'FINAL_RELATION_ENDPOINT', 'E3/E4'), (6, 'FINAL_ISOLATED_ENTITY', 'E3'), (6, 'FINAL_ISOLATED_ENTITY', 'E4'), (7, 'FINAL_LISTS', ''), (8, 'FINAL_SCHEMA', ''),
@@ -175,4 +189,12 @@ ORACLES = {
     "review_issues": f"WITH {_REVIEW} SELECT doc_id, code, target FROM i",
     "review_gate": f"WITH {_REVIEW}, n AS (SELECT doc_id, count(*) AS n FROM i GROUP BY 1) SELECT o_orderkey AS doc_id, coalesce(n, 0) AS n_issues, n IS NULL AS passed FROM orders LEFT JOIN n ON doc_id = o_orderkey",
     "draft_diagnosis": _DIAGNOSIS,
+    "plan_nearest": """WITH p AS (SELECT o_orderkey AS k, o_orderstatus AS st, coalesce(list_sort(list(DISTINCT l_returnflag || l_linestatus) FILTER (l_orderkey IS NOT NULL)), []) AS f FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2),
+        a AS (SELECT f, min(k) AS first FROM p WHERE st <> 'P' GROUP BY 1), c AS (SELECT DISTINCT f FROM p WHERE st = 'P'),
+        s AS (SELECT c.f, first, CASE WHEN c.f = a.f THEN 1 ELSE len(list_intersect(c.f, a.f))::DOUBLE / len(list_distinct(list_concat(c.f, a.f))) END AS j FROM c, a),
+        b AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY j DESC, first) AS n FROM s WHERE j > 0)
+        SELECT k AS o_orderkey, first AS nearest, coalesce(round(j, 9), 0) AS jaccard FROM p LEFT JOIN b ON b.f = p.f AND n = 1 WHERE st = 'P'""",
+    "nearest_pair": """WITH m AS (SELECT l_orderkey AS k, l_suppkey % 3 AS e, l_linenumber AS n, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS o FROM lineitem),
+        p AS (SELECT a.k, a.n AS i, b.n AS j, row_number() OVER (PARTITION BY a.k ORDER BY a.o + b.o, abs(a.n - b.n), a.n, b.n) AS r FROM m a JOIN m b ON a.k = b.k AND a.e = 0 AND b.e = 1)
+        SELECT k AS plan_id, 'R1' AS relation_id, i, j FROM p WHERE r = 1""",
 }
