@@ -115,7 +115,7 @@ def sketch(docs: DataFrame, text: str, size: int, bits: int) -> np.ndarray:
     schema = "piece int, counts binary"
     summed = docs.select(F.col(text).cast("string")).mapInArrow(tidy(count), schema).repartition("piece").mapInArrow(tidy(add), schema)
     out = np.zeros((pieces, width), np.uint32)
-    for r in summed.toLocalIterator():
+    for r in summed.collect():  # 4 * 2**bits bytes; an iterator would run a job for each partition
         out[r["piece"]] = np.frombuffer(r["counts"], np.uint32)
     return out.reshape(-1)
 
