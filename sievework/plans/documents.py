@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.operators import dedup, diagnosis, document, final, policies, review
+from sievework.operators import dedup, diagnosis, document, final, policies, references, repair, review
+from sievework.plans.steps import written
 from sievework.sources.tables import table
 
 
@@ -143,7 +144,41 @@ def nearest_pair(spark: SparkSession, d: str) -> DataFrame:
     return policies.nearest_pair(mentions, relations)
 
 
-QUERIES = {f.__name__: f for f in (final_issues, final_check, review_issues, review_gate, draft_diagnosis, plan_nearest, nearest_pair)}
+def repair_progress(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as drafts, their lines as sentences; discounted lines are rewritten."""
+    li = written(_lines(spark, d))
+    plan, sid = F.col("l_orderkey").alias("plan_id"), F.concat(F.lit("S"), F.col("l_linenumber").cast("string"))
+    rewritten = F.col("disc") >= 0.05
+    body = lambda named: F.concat(F.when(named, F.lit("<NAME:E1>")).otherwise(F.lit("")), F.when(F.col("q") > 25, F.lit("<EMAIL:E2>")).otherwise(F.lit("")))
+    rows = lambda named: li.select(plan, F.col("l_linenumber").alias("position"), sid.alias("sentence_id"), F.lit("A").alias("section_id"), F.lit("s1").alias("scene_id"), F.lit("prose").alias("kind"), body(named).alias("text"))
+    found = lambda where, code: li.where(where).select(plan, F.lit(code).alias("code"), F.lit("").alias("entity_id"), F.lit("").alias("relation_id"), sid.alias("sentence_id"), F.lit("").alias("section_id"))
+    plans = written(li.select(plan).distinct())
+    entities = plans.select("plan_id", F.inline(F.array(*[F.struct(F.lit(e).alias("entity_id"), F.lit(t).alias("entity_type")) for e, t in (("E1", "NAME"), ("E2", "EMAIL"))])))
+    relations = plans.select("plan_id", F.lit("R1").alias("relation_id"), F.lit(0).alias("ord"), F.lit("E1").alias("source"), F.lit("E2").alias("target"), F.lit("s1").alias("scene_id"))
+    evidence = plans.select("plan_id", F.lit("R1").alias("relation_id"), F.lit(0).alias("g"), F.array(F.lit("S1")).alias("ids"))
+    refs = plans.select("plan_id", F.lit("C1").alias("ref_id"), F.lit("E1").alias("entity_id"), F.lit("they").alias("surface"))
+    named = F.col("flag") == "R"
+    fluent = F.col("tax") >= 0.08
+    before = {"segments": rows(named), "evidence": evidence, "refs": refs, "issues": found(fluent, "TEXT_FLUENCY")}
+    after = before | {"segments": rows(named | rewritten), "issues": found(fluent & ~(rewritten & ~named), "TEXT_FLUENCY").unionByName(found(F.col("tax") < 0.01, "SEGMENT_KIND"))}
+    tasks = relations.select("plan_id", "relation_id", F.lit("fix").alias("operation"))
+    out = repair.progress(plans, entities, relations, tasks, before, after)
+    return out.select(*[F.array_join(c, ",").alias(c) if t.startswith("array") else F.col(c).cast("long").alias(c) if t == "bigint" else F.col(c) for c, t in out.dtypes])
+
+
+def profile_narrowing(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as documents of a domain (priority) and subtype (state), their lines as the edges they may use."""
+    both = lambda *x: F.array(*map(F.lit, x))
+    one = spark.range(1).select(F.explode(both("1-URGENT", "2-HIGH")).alias("domain")).select("domain", F.explode(both("F", "O")).alias("subtype"))
+    edges = F.array(*[F.struct(F.lit(p).alias("privacy"), F.lit(i).alias("ord"), F.lit(s).alias("source_type"), F.lit(r).alias("relation"), F.lit(t).alias("target_type")) for p, i, s, r, t in (("PII", 0, "F", "3", "R"), ("PII", 1, "F", "1", "R"), ("NON_PII", 0, "O", "2", "N"), ("NON_PII", 1, "F", "1", "A"))])
+    profiles = one.select("domain", "subtype", F.inline(edges))
+    conditions = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("domain"), F.col("o_orderstatus").alias("subtype"), F.when(F.col("o_custkey") % 2 == 0, "scenario_v1").alias("graph_policy"))
+    li = table(spark, d, "lineitem")
+    triples = li.select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_returnflag") == "R", "PII").otherwise("NON_PII").alias("privacy"), F.col("l_linestatus").alias("source_type"), F.col("l_linenumber").cast("string").alias("relation"), F.col("l_returnflag").alias("target_type"))
+    return references.narrowed(conditions, triples, profiles, "o_orderkey")
+
+
+QUERIES = {f.__name__: f for f in (final_issues, final_check, review_issues, review_gate, draft_diagnosis, plan_nearest, nearest_pair, repair_progress, profile_narrowing)}
 
 _FAULTS = """(VALUES (1, 'FINAL_CHAR_SEQUENCE', 'd_0'), (2, 'FINAL_PII_SPAN', 'd_0'), (2, 'FINAL_BIO', 'd_0'), (2, 'FINAL_MASKING_GROUP', 'd_0'), (3, 'FINAL_ISOLATED_ENTITY', 'E3'),
     (3, 'FINAL_ISOLATED_ENTITY', 'E4'), (4, 'FINAL_DUPLICATE_RELATION', 'E1/of/E2'), (5, 'FINAL_RELATION_ENDPOINT', 'E3/E9'), (5, 'FINAL_ISOLATED_ENTITY', 'E3'), (5, 'FINAL_ISOLATED_ENTITY', 'E4'),
@@ -197,4 +232,16 @@ ORACLES = {
     "nearest_pair": """WITH m AS (SELECT l_orderkey AS k, l_suppkey % 3 AS e, l_linenumber AS n, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS o FROM lineitem),
         p AS (SELECT a.k, a.n AS i, b.n AS j, row_number() OVER (PARTITION BY a.k ORDER BY a.o + b.o, abs(a.n - b.n), a.n, b.n) AS r FROM m a JOIN m b ON a.k = b.k AND a.e = 0 AND b.e = 1)
         SELECT k AS plan_id, 'R1' AS relation_id, i, j FROM p WHERE r = 1""",
+    "repair_progress": f"""WITH {_LINES}, x AS (SELECT k, n, flag = 'R' AS named, disc >= 0.05 AND flag <> 'R' AS changed, flag = 'R' OR disc >= 0.05 AS now, q > 25 AS mail, tax >= 0.08 AS fluent, tax < 0.01 AS fresh FROM l),
+        a AS (SELECT k, bool_or(named) AS e1, bool_or(now) AS f1, bool_or(mail) AS e2, coalesce(bool_or(n = 1 AND now AND mail), false) AS held, coalesce(list_sort(list('S' || n) FILTER (changed)), []) AS ch,
+            count(*) FILTER (fluent AND changed) AS gone, count(*) FILTER (fresh) AS fresh, count(*) FILTER (fluent) AS fl, count(*) FILTER (fluent AND NOT changed) AS stay FROM x GROUP BY 1),
+        b AS (SELECT *, CASE WHEN fl > 0 AND len(ch) = 0 THEN fl + 1 ELSE 0 END AS un, concat_ws(',', CASE WHEN NOT e1 THEN 'E1' END, CASE WHEN NOT e2 THEN 'E2' END) AS was, concat_ws(',', CASE WHEN NOT f1 THEN 'E1' END, CASE WHEN NOT e2 THEN 'E2' END) AS rest FROM a)
+        SELECT k AS plan_id, was AS requested_missing_entities, rest AS remaining_missing_entities, CASE WHEN held THEN '' ELSE 'R1' END AS remaining_invalid_relation_ids, array_to_string(ch, ',') AS changed_sentence_ids,
+            '' AS new_missing_entities, false AS refs_changed, gone AS resolved_issue_count, fresh AS new_issue_count, un AS unresolved_semantic_issues, rest = '' AND held AND un = 0 AS structural_targets_satisfied,
+            stay + fresh = 0 AND un = 0 AS all_code_checks_passed, gone = 0 AND was = rest AS no_effective_progress, false AS length_only_progress FROM b""",
+    "profile_narrowing": """WITH p(privacy, ord, source_type, relation, target_type) AS (VALUES ('PII', 0, 'F', '3', 'R'), ('PII', 1, 'F', '1', 'R'), ('NON_PII', 0, 'O', '2', 'N'), ('NON_PII', 1, 'F', '1', 'A')),
+        t AS (SELECT DISTINCT l_orderkey AS o_orderkey, CASE WHEN l_returnflag = 'R' THEN 'PII' ELSE 'NON_PII' END AS privacy, l_linestatus AS source_type, CAST(l_linenumber AS VARCHAR) AS relation, l_returnflag AS target_type FROM lineitem),
+        j AS (SELECT t.*, o_custkey % 2 = 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus IN ('F', 'O') AS own FROM t JOIN orders USING (o_orderkey))
+        SELECT o_orderkey, privacy, source_type, relation, target_type, ord FROM j JOIN p USING (privacy, source_type, relation, target_type) WHERE own
+        UNION ALL SELECT o_orderkey, privacy, source_type, relation, target_type, NULL FROM j WHERE NOT own""",
 }

@@ -72,7 +72,7 @@ def next_attempt(spark: SparkSession, d: str) -> DataFrame:
 
 def coverage_zero_fill(spark: SparkSession, d: str) -> DataFrame:
     nations = table(spark, d, "nation").select("n_nationkey", "n_name")
-    rows = table(spark, d, "customer").where("c_acctbal > 9000").select(F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")
+    rows = table(spark, d, "customer").select(F.col("c_nationkey").alias("n_nationkey"), "c_mktsegment")
     return ledger.zero_filled(nations, rows, "n_nationkey", 3, "c_mktsegment")
 
 
@@ -161,7 +161,7 @@ def issue_delta(spark: SparkSession, d: str) -> DataFrame:
 
 
 def issue_groups(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").where("l_quantity > 49").select(F.col("l_returnflag").alias("code"), F.col("l_linestatus").alias("message"), F.expr("cast(l_linenumber as string)").alias("action"), F.expr("cast(l_suppkey as string)").alias("target"))
+    rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("code"), F.col("l_linestatus").alias("message"), F.expr("cast(l_linenumber as string)").alias("action"), F.expr("cast(l_suppkey as string)").alias("target"))
     return audits.grouped_issues(rows).select("code", "message", "action", F.size("targets").alias("n_targets"), F.array_join("targets", ",").alias("targets"), "n")
 
 
@@ -225,7 +225,7 @@ ORACLES = {
     "next_attempt": "SELECT user_id, event_type, CAST(count(*) + 1 AS INTEGER) AS next_attempt FROM events GROUP BY ALL",
     "coverage_zero_fill": """
         SELECT n_nationkey, n_name, count(c_custkey) AS n_rows, count(DISTINCT c_mktsegment) AS n_documents, count(c_custkey) >= 3 AS met
-        FROM nation LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9000) c ON c_nationkey = n_nationkey GROUP BY ALL""",
+        FROM nation LEFT JOIN customer c ON c_nationkey = n_nationkey GROUP BY ALL""",
     "label_counts": "SELECT l_linestatus, count(*) FILTER (l_returnflag = 'A') AS \"A\", count(*) FILTER (l_returnflag = 'N') AS \"N\", count(*) FILTER (l_returnflag = 'R') AS \"R\" FROM lineitem GROUP BY 1",
     "completion_quorum": "SELECT c_mktsegment, c_nationkey, count(*) AS slots, count(*) FILTER (o_orderstatus = 'F') AS done, bool_and(o_orderstatus = 'F') AS complete FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL",
     "accepted_join3": """
@@ -265,7 +265,7 @@ ORACLES = {
         SELECT *, 'resolved' AS change FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'new' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""",
     "issue_groups": """
         SELECT l_returnflag AS code, l_linestatus AS message, CAST(l_linenumber AS VARCHAR) AS action, CAST(count(DISTINCT l_suppkey) AS INTEGER) AS n_targets,
-          array_to_string(list_sort(list_distinct(list(CAST(l_suppkey AS VARCHAR)))), ',') AS targets, count(*) AS n FROM lineitem WHERE l_quantity > 49 GROUP BY ALL""",
+          array_to_string(list_sort(list_distinct(list(CAST(l_suppkey AS VARCHAR)))), ',') AS targets, count(*) AS n FROM lineitem GROUP BY ALL""",
     "selection_audit": """
         WITH li AS (SELECT l_orderkey AS id, l_linenumber AS v, l_linenumber % 3 <> 0 AS valid, min(l_returnflag) = 'A' AS amb FROM lineitem GROUP BY l_orderkey, l_linenumber),
         l AS (SELECT id, arg_max(valid, v) AS valid, arg_max(amb, v) AS amb FROM li GROUP BY id),

@@ -71,8 +71,8 @@ def bridges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def components(spark: SparkSession, d: str) -> DataFrame:
-    """Parts that meet in an expensive order line, by the least part."""
-    li = table(spark, d, "lineitem").where("l_quantity > 45").select("l_orderkey", "l_partkey")
+    """Parts that meet in an order, by the least part."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
     first = li.groupBy("l_orderkey").agg(F.min("l_partkey").alias("a"))
     return graph.components(li.join(first, "l_orderkey").select("a", F.col("l_partkey").alias("b")), "a", "b")
 
@@ -146,7 +146,7 @@ def least_used(spark: SparkSession, d: str) -> DataFrame:
 
 def next_slot(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    eligible = e.where("c_acctbal > 9500").select(F.col("c_mktsegment").alias("relation"), F.col("n_name").alias("domain"), F.expr("concat('t', c_custkey % 7)").alias("subtype")).distinct()
+    eligible = e.select(F.col("c_mktsegment").alias("relation"), F.col("n_name").alias("domain"), F.expr("concat('t', c_custkey % 7)").alias("subtype")).distinct()
     totals = e.groupBy(F.col("n_name").alias("domain")).agg(F.count("*").alias("n"))
     missing = e.select(F.col("c_mktsegment").alias("relation")).distinct()
     return sampling.next_slot(missing, eligible, totals, 1000000).select("relation", "domain", "subtype")
@@ -193,9 +193,10 @@ ORACLES = {
         FROM (SELECT plan_id, source AS node, flag FROM e UNION ALL SELECT plan_id, target, flag FROM e) GROUP BY 1, 2""",
     "bridges": f"""WITH e AS ({_ED}), l AS (SELECT plan_id, node, bool_or(flag = 'R') AS p FROM (SELECT plan_id, source AS node, flag FROM e UNION ALL SELECT plan_id, target, flag FROM e) GROUP BY 1, 2)
         SELECT e.* FROM e JOIN l s ON s.plan_id = e.plan_id AND s.node = source JOIN l t ON t.plan_id = e.plan_id AND t.node = target WHERE flag <> 'R' AND regexp_matches(source, '[02468]$') AND s.p AND NOT t.p""",
-    "components": """WITH RECURSIVE li AS (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_quantity > 45), f AS (SELECT o, min(p) AS a FROM li GROUP BY 1), e AS (SELECT DISTINCT a AS x, p AS y FROM li JOIN f USING (o)),
-        u AS (SELECT x, y FROM e UNION SELECT y, x FROM e), r(x, c) AS (SELECT x, x FROM u UNION SELECT u.y, r.c FROM r JOIN u ON u.x = r.x WHERE r.c < u.y)
-        SELECT x AS node, min(c) AS component FROM r GROUP BY 1""",
+    "components": """WITH RECURSIVE li AS (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem), f AS (SELECT o, min(p) AS a FROM li GROUP BY 1), e AS (SELECT DISTINCT a AS x, p AS y FROM li JOIN f USING (o)),
+        u AS (SELECT x, y FROM e UNION SELECT y, x FROM e), r(x, c) USING KEY (x) AS (SELECT DISTINCT x, x FROM u
+            UNION SELECT u.y, min(r.c) FROM r JOIN u ON u.x = r.x JOIN recurring.r AS o ON o.x = u.y WHERE r.c < o.c GROUP BY u.y)
+        SELECT x AS node, c AS component FROM r""",
     "spec_semi_anti": "SELECT p_partkey, EXISTS (SELECT 1 FROM part q WHERE q.p_retailprice > 1500 AND q.p_brand = p.p_brand AND q.p_size % 10 = p.p_size % 10) AS legal FROM part p",
     "allowed_triples": "SELECT r_name AS domain, a.n_name AS source_type, 'borders' AS relation, b.n_name AS target_type FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey JOIN region ON a.n_regionkey = r_regionkey",
     "evidence_modes": """WITH g AS (SELECT l_orderkey, l_returnflag, count(DISTINCT l_linenumber) AS n, max(l_linenumber) - min(l_linenumber) + 1 AS w FROM lineitem GROUP BY 1, 2)
@@ -212,7 +213,7 @@ ORACLES = {
         j AS (SELECT n_nationkey, s, coalesce(n, 0) AS n FROM o LEFT JOIN u ON c_nationkey = n_nationkey AND c_mktsegment = s), r AS (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY n, s) AS rn FROM j)
         SELECT n_nationkey AS c_nationkey, s AS option, n AS n_used FROM r WHERE rn = 1""",
     "next_slot": """WITH e AS (SELECT c_custkey, c_mktsegment, c_acctbal, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey), t AS (SELECT n_name, count(*) AS n FROM e GROUP BY 1)
-        SELECT c_mktsegment AS relation, n_name AS domain, 't' || (c_custkey % 7) AS subtype FROM e JOIN t USING (n_name) WHERE c_acctbal > 9500 ORDER BY c_mktsegment, n, n_name, subtype LIMIT 1""",
+        SELECT c_mktsegment AS relation, n_name AS domain, 't' || (c_custkey % 7) AS subtype FROM e JOIN t USING (n_name) ORDER BY c_mktsegment, n, n_name, subtype LIMIT 1""",
     "apportioned": """WITH o AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS v FROM orders), s AS (SELECT o_orderkey, v, CAST(floor(v * 0.5::DOUBLE) AS BIGINT) AS x, CAST(floor(v * 0.25::DOUBLE) AS BIGINT) AS y FROM o)
         SELECT o_orderkey, 0 AS i, x AS share FROM s UNION ALL SELECT o_orderkey, 1, y FROM s UNION ALL SELECT o_orderkey, 2, v - x - y FROM s""",
     "json_hash": """SELECT n_nationkey, sha256('{"key":' || n_nationkey || ',"name":"' || n_name || '","region":' || n_regionkey || '}') AS hash, CAST(CAST('0x' || substring(sha256(n_name), 1, 16) AS UBIGINT) AS VARCHAR) AS seed FROM nation""",

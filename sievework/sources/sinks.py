@@ -33,7 +33,7 @@ def report_csv(df: DataFrame) -> bytes:
 
 def report_json(reports: dict[str, DataFrame]) -> str:
     """Small reports by name as one JSON text."""
-    return json.dumps({k: [json.loads(x) for x in df.toJSON().toLocalIterator()] if hasattr(df, "toJSON") else [] for k, df in reports.items()}, ensure_ascii=False, indent=2)
+    return json.dumps({k: [json.loads(x) for x in df.toJSON().toLocalIterator()] for k, df in reports.items()}, ensure_ascii=False, indent=2)
 
 
 def text_table(df: DataFrame, width: int = 24) -> str:
