@@ -1,4 +1,4 @@
-"""Reports, checks and exports from the command line: python -m sievework.cli report NAME FOLDER [--csv FILE], catalog, validate FOLDER."""
+"""Reports, checks and exports from the command line: python -m sievework.cli report NAME FOLDER [--csv FILE], catalog, validate FOLDER, export LEDGER FOLDER."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pathlib import Path
 from sievework import catalogue
 from sievework.plans.documents import review_gate
 from sievework.session import session
-from sievework.sources import sinks
+from sievework.sources import sinks, statistics
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -27,6 +27,9 @@ def main(argv: list[str] | None = None) -> int:
     stats = sub.add_parser("stats", help="write all reports of a folder as Parquet")
     stats.add_argument("folder")
     stats.add_argument("out")
+    export = sub.add_parser("export", help="write the statistics of a ledger: a summary and its reports and tables as CSV")
+    export.add_argument("ledger")
+    export.add_argument("out")
     a = p.parse_args(argv)
     if a.task == "catalog":
         print("\n".join(sorted(catalogue.QUERIES)))
@@ -42,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
             print(sinks.text_table(df.limit(a.rows)))
     elif a.task == "validate":
         print(sinks.text_table(review_gate(spark, a.folder).groupBy("passed").count()))
+    elif a.task == "export":
+        statistics.export(spark, a.ledger, a.out)
     else:
         sinks.write_all({k: f(spark, a.folder) for k, f in catalogue.QUERIES.items()}, a.out)
     return 0

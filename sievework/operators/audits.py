@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.stats import rate
-from sievework.operators.funnel import latest
 
 
 def latest_grade(items: DataFrame, grades: DataFrame, key: str, grade: str, ungraded: str) -> DataFrame:
@@ -25,26 +24,29 @@ def selection_audit(candidates: DataFrame, reviews: DataFrame, relations: DataFr
 
     `relations`: candidate_id, review_version, response_valid, observed_privacy, planned_privacy, mode and confirmed.
     """
-    last = latest(reviews, ["candidate_id"], "id")
-    valid = last.where(F.col("response_valid") == 1).select("candidate_id", F.col("version").alias("review_version"))
-    now = relations.join(valid, ["candidate_id", "review_version"])
-    status = candidates.select("candidate_id", "status")
+    last = reviews.groupBy("candidate_id").agg(F.max_by(F.struct("version", (F.col("response_valid") == 1).alias("ok")), "id").alias("__last"))
+    here = F.col("__last.ok") & (F.col("review_version") == F.col("__last.version"))
     ambiguous = F.col("observed_privacy") == "AMBIGUOUS"
-    flags = (
-        last.join(valid.select("candidate_id", F.lit(True).alias("valid")), "candidate_id", "left")
-        .join(now.groupBy("candidate_id").agg(F.bool_or(ambiguous).alias("ambiguous")), "candidate_id", "left")
-        .join(relations.where(F.col("response_valid") == 1).groupBy("candidate_id").agg(F.bool_or(ambiguous).alias("ever")), "candidate_id", "left")
-        .join(status, "candidate_id", "left")
-    )
+    per = last.join(relations, "candidate_id", "left").groupBy("candidate_id").agg(
+        F.first("__last.ok").alias("valid"), F.bool_or(F.when(here, ambiguous)).alias("ambiguous"), F.bool_or(here).alias("seen"), F.bool_or((F.col("response_valid") == 1) & ambiguous).alias("ever")
+    )
+    flags = per.join(candidates.select("candidate_id", "status"), "candidate_id", "left")
     out = flags.agg(
-        F.count("*").alias("reviewed"), F.count_if("valid").alias("valid_latest"), F.count_if(F.col("valid").isNull()).alias("invalid_latest"),
-        F.count_if(F.col("ambiguous").isNotNull()).alias("observed"), F.count_if("ambiguous").alias("latest_ambiguous"), F.count_if("ever").alias("ever_ambiguous"),
+        F.count("*").alias("reviewed"), F.count_if("valid").alias("valid_latest"), F.count_if(~F.coalesce("valid", F.lit(False))).alias("invalid_latest"),
+        F.count_if("seen").alias("observed"), F.count_if("ambiguous").alias("latest_ambiguous"), F.count_if("ever").alias("ever_ambiguous"),
         F.count_if(F.col("ever") & (F.col("status") == "accepted")).alias("ever_ambiguous_accepted"),
         F.count_if(F.col("ever") & (F.col("status") == "rejected")).alias("ever_ambiguous_rejected"),
     )
     return out.withColumn("ambiguity_rate", rate(F.col("latest_ambiguous"), F.col("observed")))
 
 
+def latest_judgements(candidates: DataFrame, reviews: DataFrame, relations: DataFrame) -> DataFrame:
+    """By the candidate's outcome, mode and observed privacy: relations of each candidate's latest review, where that is valid."""
+    last = reviews.groupBy("candidate_id").agg(F.max_by(F.struct("version", "response_valid"), "id").alias("__last"))
+    now = last.where("__last.response_valid = 1").select("candidate_id", F.col("__last.version").alias("review_version"))
+    return relations.join(now, ["candidate_id", "review_version"]).join(candidates.select("candidate_id", "status"), "candidate_id").groupBy("status", "mode", "observed_privacy").agg(F.count("*").alias("n"))
+
+
 def confirmed_modes(relations: DataFrame, candidates: DataFrame) -> DataFrame:
     """Confirmed relations of accepted candidates by how their evidence is laid out."""
     ok = candidates.where("status = 'accepted'").select("candidate_id")

@@ -73,12 +73,14 @@ UNIQUE = (
 )
 
 
-def select_values(groups: DataFrame, pool: DataFrame, seed: str) -> DataFrame:
+def select_values(groups: DataFrame, pool: DataFrame, seed: str, max_pool: int = 100_000) -> DataFrame:
     """(plan_id, value_group, entity_id, entity_type, value, source): groups of a plan in order take the first row of the shuffled pool that has all their types and repeats no unique value.
 
     groups: plan_id, value_group, entity_id, entity_type; pool: uuid and a column per type. The choice is greedy and sequential within a plan, so each plan is one group in Python; the pool,
-    a registry of bounded size, goes with the task. A group without a feasible row has null values.
+    a registry of `max_pool` rows at most, goes with the task; a larger one is refused. A group without a feasible row has null values.
     """
+    if pool.limit(max_pool + 1).count() > max_pool:
+        raise ValueError(f"the pool has more than {max_pool} rows")
     rows = sorted((r.asDict() for r in pool.collect()), key=lambda r: str(r["uuid"]))
     shared = groups.sparkSession.sparkContext.broadcast(rows)
 

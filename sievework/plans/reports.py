@@ -165,12 +165,20 @@ def issue_groups(spark: SparkSession, d: str) -> DataFrame:
     return audits.grouped_issues(rows).select("code", "message", "action", F.size("targets").alias("n_targets"), F.array_join("targets", ",").alias("targets"), "n")
 
 
-def selection_audit(spark: SparkSession, d: str) -> DataFrame:
+def _judged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     candidates = table(spark, d, "orders").select(F.col("o_orderkey").alias("candidate_id"), F.expr(_STATUS).alias("status"))
     li = _lines(spark, d).withColumn("valid", F.expr("CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE 1 END"))
     reviews = li.select(F.expr("l_orderkey * 10 + l_linenumber").alias("id"), F.col("l_orderkey").alias("candidate_id"), F.col("l_linenumber").alias("version"), F.col("valid").alias("response_valid"))
-    relations = li.select(F.col("l_orderkey").alias("candidate_id"), F.col("l_linenumber").alias("review_version"), F.col("valid").alias("response_valid"), F.expr("CASE l_returnflag WHEN 'A' THEN 'AMBIGUOUS' WHEN 'R' THEN 'PII' ELSE 'NON_PII' END").alias("observed_privacy"))
-    return audits.selection_audit(candidates, reviews, relations).withColumn("ambiguity_rate", F.round("ambiguity_rate", 9))
+    relations = li.select(F.col("l_orderkey").alias("candidate_id"), F.col("l_linenumber").alias("review_version"), F.col("valid").alias("response_valid"), F.expr("CASE l_returnflag WHEN 'A' THEN 'AMBIGUOUS' WHEN 'R' THEN 'PII' ELSE 'NON_PII' END").alias("observed_privacy"), F.expr("CASE WHEN l_linenumber % 2 = 0 THEN 'single' ELSE 'adjacent' END").alias("mode"))
+    return candidates, reviews, relations
+
+
+def selection_audit(spark: SparkSession, d: str) -> DataFrame:
+    return audits.selection_audit(*_judged(spark, d)).withColumn("ambiguity_rate", F.round("ambiguity_rate", 9))
+
+
+def latest_judgements(spark: SparkSession, d: str) -> DataFrame:
+    return audits.latest_judgements(*_judged(spark, d))
 
 
 def props_design(spark: SparkSession, d: str) -> DataFrame:
@@ -186,7 +194,7 @@ def interval_by_segment(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     funnel_wilson, stage_funnel, status_by_composite, reason_distinct, reason_rows, usage_by_key, call_cost, budget_admission, next_attempt, coverage_zero_fill, label_counts,
     completion_quorum, accepted_join3, base_slots_anti, fallback_union, latest_grade, ever_vs_latest, rate_null_rule, histogram_repeat, map_sum, domain_rollup, forecast,
-    stage_forecast, issue_delta, issue_groups, selection_audit, props_design, interval_by_segment,
+    stage_forecast, issue_delta, issue_groups, selection_audit, latest_judgements, props_design, interval_by_segment,
 )}
 
 _WILSON = """
@@ -274,6 +282,10 @@ ORACLES = {
         SELECT count(*) AS reviewed, count(*) FILTER (valid) AS valid_latest, count(*) FILTER (NOT valid) AS invalid_latest, count(*) FILTER (valid) AS observed, count(*) FILTER (valid AND amb) AS latest_ambiguous,
           count(*) FILTER (ever) AS ever_ambiguous, count(*) FILTER (ever AND s = 'F') AS ever_ambiguous_accepted, count(*) FILTER (ever AND s = 'O') AS ever_ambiguous_rejected,
           round(CAST(count(*) FILTER (valid AND amb) AS DOUBLE) / nullif(count(*) FILTER (valid), 0), 9) AS ambiguity_rate FROM j""",
+    "latest_judgements": """
+        WITH li AS (SELECT l_orderkey AS id, l_linenumber AS v, min(l_returnflag) AS f FROM lineitem GROUP BY 1, 2), l AS (SELECT id, max(v) AS v, arg_max(f, v) AS f FROM li GROUP BY 1)
+        SELECT CASE o_orderstatus WHEN 'F' THEN 'accepted' WHEN 'O' THEN 'rejected' ELSE 'running' END AS status, CASE WHEN v % 2 = 0 THEN 'single' ELSE 'adjacent' END AS mode,
+          CASE f WHEN 'A' THEN 'AMBIGUOUS' WHEN 'R' THEN 'PII' ELSE 'NON_PII' END AS observed_privacy, count(*) AS n FROM l JOIN orders ON o_orderkey = id WHERE v % 3 <> 0 GROUP BY 1, 2, 3""",
     "props_design": "SELECT json_extract_string(props, '$.k') AS value, count(*) AS n FROM events WHERE props IS NOT NULL AND props <> '' GROUP BY 1",
     "interval_by_segment": f"WITH c AS (SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS passed, count(*) AS n FROM orders GROUP BY 1) SELECT o_orderpriority, passed, n, {_interval('passed', 'n', 9)} FROM c",
 }

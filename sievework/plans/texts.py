@@ -132,11 +132,11 @@ def adjacency(spark: SparkSession, d: str) -> DataFrame:
 
 
 def last_turns(spark: SparkSession, d: str) -> DataFrame:
-    """The last two turns of each conversation, and how many of a role's turns are beyond its sixth."""
+    """The last two turns of each conversation, and whether a turn is beyond the sixth of its role there."""
     from pyspark.sql import Window
 
     c = table(spark, d, "conversations")
-    w, r = Window.partitionBy("conv_id").orderBy(F.col("turn").desc()), Window.partitionBy("role").orderBy("conv_id", "turn")
+    w, r = Window.partitionBy("conv_id").orderBy(F.col("turn").desc()), Window.partitionBy("conv_id", "role").orderBy("turn")
     return c.withColumns({"from_end": F.row_number().over(w), "rank": F.row_number().over(r)}).where("from_end <= 2").select("conv_id", "turn", "from_end", (F.col("rank") > 6).alias("excess"))
 
 
@@ -198,5 +198,5 @@ ORACLES = {
     "adjacency": """
         SELECT before, role, gap, count(*) AS n FROM (SELECT role, lag(role) OVER w AS before, turn - lag(turn) OVER w AS gap FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE before IS NOT NULL GROUP BY ALL""",
     "last_turns": """
-        SELECT conv_id, turn, CAST(e AS INTEGER) AS from_end, r > 6 AS excess FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS e, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) AS r FROM conversations) WHERE e <= 2""",
+        SELECT conv_id, turn, CAST(e AS INTEGER) AS from_end, r > 6 AS excess FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS e, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS r FROM conversations) WHERE e <= 2""",
 }

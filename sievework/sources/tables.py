@@ -36,6 +36,16 @@ def append(spark: SparkSession, folder: str, name: str, rows: DataFrame) -> None
     rows.select(*cols).write.mode("append").parquet(f"{folder}/{name}")
 
 
+def load_config(path: str) -> dict:
+    """A JSON configuration; its paths to other files (fixed keys) count from its own folder."""
+    import json
+    from pathlib import Path
+
+    at = Path(path)
+    config = json.loads(at.read_text(encoding="utf-8"))
+    return config | {k: str((at.parent / config[k]).resolve()) for k in ("pool_path", "reference_dataset") if config.get(k)}
+
+
 def json_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """JSON documents, one a file or an array a file; `path` may be a glob."""
     reader = spark.read.option("multiLine", True)

@@ -68,6 +68,8 @@ def test_selection_audit_golden(spark):
     r = audits.selection_audit(candidates, reviews, relations).first()
     assert (r["reviewed"], r["valid_latest"], r["invalid_latest"], r["latest_ambiguous"], r["ambiguity_rate"], r["ever_ambiguous"]) == (3, 2, 1, 1, 0.5, 2)
     assert (r["ever_ambiguous_accepted"], r["ever_ambiguous_rejected"]) == (1, 1)
+    counts = audits.latest_judgements(candidates, reviews, relations).collect()
+    assert sorted(tuple(x) for x in counts) == [("accepted", "nonadjacent", "NON_PII", 1), ("rejected", "single", "AMBIGUOUS", 1)]
     now = relations.where("candidate_id = 'C1' and review_version = 2")
     assert [tuple(x) for x in audits.confirmed_modes(now, candidates).collect()] == [("nonadjacent", 1)]
 

@@ -3,7 +3,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from sievework.sources import sinks, tables
+from sievework.sources import sinks, statistics, tables
 from sievework.streaming import ledger as stream
 
 
@@ -46,3 +46,32 @@ def test_stream_is_idempotent(spark, tmp_path):
 def test_windowed_counts(spark):
     e = spark.createDataFrame([("2024-01-01 00:00:10", "a"), ("2024-01-01 00:00:50", "a"), ("2024-01-01 00:01:10", "b")], "s string, k string").select(F.to_timestamp("s").alias("ts"), "k")
     assert sorted(r["n"] for r in stream.windowed_counts(e, "ts", "1 minute", "1 minute", "k").collect()) == [1, 2]
+
+
+def test_config_paths(tmp_path):
+    (tmp_path / "c.json").write_text('{"pool_path":"../pool.zip","reference_dataset":"","seed":3}')
+    assert tables.load_config(str(tmp_path / "c.json")) == {"pool_path": str((tmp_path.parent / "pool.zip").resolve()), "reference_dataset": "", "seed": 3}
+
+
+def test_statistics_export(spark, tmp_path):
+    rows = {
+        "candidates": [{"candidate_id": "C1", "domain": "D", "status": "accepted", "reasons": "[]", "condition_json": '{"relation_count":3}'}, {"candidate_id": "C2", "domain": "D", "status": "rejected", "reasons": '[{"code":"X"},{"code":"X"}]'}],
+        "slots": [{"slot_id": "s1", "domain": "D", "status": "accepted"}, {"slot_id": "s2", "domain": "D", "status": "open"}],
+        "stage_attempts": [{"id": 1, "candidate_id": "C1", "stage": 1, "status": "failed", "reasons": '[{"code":"Y"}]'}, {"id": 2, "candidate_id": "C1", "stage": 1, "status": "passed", "reasons": "[]"}],
+        "reviews": [{"id": 1, "candidate_id": "C1", "version": 1, "overall": "상"}],
+        "api_calls": [{"id": 1, "candidate_id": "C1", "model": "m", "key_slot": "k", "input_tokens": 5, "cached_input_tokens": 1, "output_tokens": 2, "estimated_cost_usd": 0.5}],
+        "accepted": [{"candidate_id": "C1", "document_id": "d", "document_sha256": "h", "metrics": '{"entities":{"E1":{"entity_type":"NAME","mentions":2}}}'}],
+        "accepted_relations": [{"candidate_id": "C1", "relation_id": "R1", "relation": "r", "privacy_label": "PII", "document_sha256": "h"}],
+        "events": [{"id": 1, "candidate_id": "C1", "kind": "other", "payload": "{}"}], "coverage_slots": [{"slot_id": "s2"}],
+    }
+    for name, values in rows.items():
+        kinds = spark.createDataFrame([], tables.LEDGER[name]).schema
+        tables.append(spark, str(tmp_path / "l"), name, spark.createDataFrame([tuple(v.get(f.name) for f in kinds) for v in values], kinds))
+    statistics.export(spark, str(tmp_path / "l"), str(tmp_path / "o"))
+    got = json.loads(spark.read.text(str(tmp_path / "o/summary.json"), wholetext=True).first()["value"])
+    assert got["final_rejection_reasons"] == [{"reason": "X", "n_reasons": 2, "n_rows": 1}] and got["usage"][0]["requests"] == 1
+    assert got["stages"][0]["attempts"] == 2 and got["stages"][0]["passed"] == 1 and got["accepted_mentions"] == [{"entity_type": "NAME", "mentions": 2, "n_entities": 1}]
+    assert {(r["dimension"], r["grade"]): r["n"] for r in got["quality_latest_per_candidate"]}[("overall", statistics.UNGRADED)] == 1
+    assert got["by_domain"][0]["supplemental_slots"] == 1 and got["forecast"][0]["remaining_slots"] == 1
+    assert spark.read.option("header", True).csv(str(tmp_path / "o/accepted_relations.csv")).first()["document_id"] == "d"
+    assert len([p for p in (tmp_path / "o").iterdir() if p.name.endswith(".csv")]) == 13
