@@ -1,4 +1,4 @@
-"""The queries op1 to op10 over the tables of a folder, and the pipeline."""
+"""The queries op1 to op13 over the tables of a folder, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import ann, bitslice, chat, html_extract, jaccard, langid, mixing, packing, secrets, toxicity
+from sievework.llm import ann, bitslice, chat, html_extract, jaccard, langid, mixing, packing, ranking, secrets, spelling, substrings, toxicity
 from sievework.llm.common import fold, table
 
 
@@ -76,10 +76,26 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranking.build(table(spark, sf_dir, "documents"))
+    return ranking.search(index, table(spark, sf_dir, "benchmark"), 20)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op5_chat_turns, op6_toxicity, op7_harmonic_packing, op8_posting_list_search, op9_bitsliced_top_k, op10_jaccard_join)
-}
+    for f in (
+        op1_html_extraction, op2_secret_scan, op3_language_id, op4_mix_sources, op5_chat_turns, op6_toxicity, op7_harmonic_packing, op8_posting_list_search, op9_bitsliced_top_k, op10_jaccard_join,
+        op11_ranked_search, op12_substring_dedup, op13_spelling_variants,
+    )
+}
 
 
 def _spans_sql() -> str:
@@ -118,4 +134,40 @@ ORACLES: dict[str, str] = {
               FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e)),
         r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT * FROM r WHERE rank <= 5""",
+    "op11_ranked_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        c AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+        i AS (SELECT row_number() OVER () AS r, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+        q AS (SELECT r, item_id, t, count(*) AS times FROM i GROUP BY ALL),
+        p AS (SELECT k, doc_id, len(w) AS n, unnest(w) AS t FROM d),
+        tf AS (SELECT k, doc_id, n, t, count(*) AS tf FROM p WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+        df AS (SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY t, n_docs),
+        s AS (SELECT r, item_id, k, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // total)))) AS BIGINT) AS score FROM tf JOIN q USING (t) JOIN df USING (t), c GROUP BY ALL),
+        o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+        SELECT * FROM o WHERE rank <= 20""",
+    "op12_substring_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        p AS (SELECT k, doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM d WHERE len(w) > 12),
+        x AS (SELECT k, doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS h FROM p),
+        f AS (SELECT h, min(doc_id) AS first FROM x GROUP BY 1),
+        g AS (SELECT DISTINCT k, unnest(range(i, i + 13)) AS i FROM x JOIN f USING (h) WHERE first < doc_id OR (doc_id IS NULL AND first IS NOT NULL)),
+        u AS (SELECT k, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+        o AS (SELECT k, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept FROM u ANTI JOIN g USING (k, i) GROUP BY 1)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN o USING (k)""",
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS w FROM documents),
+        e AS (SELECT doc_id, w, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x FROM r GROUP BY 1, 2),
+        b AS (SELECT w, n, list_transform(range(0, len(x)), lambda i: CAST(strpos('0123456789ABCDEF', x[(i + 1 - 2 * (i % 2)) + 1]) - 1 AS BIGINT)) AS nibbles FROM e),
+        h AS (SELECT w, n, xor(4294967295, list_reduce(nibbles, lambda c, v: xor(c >> 4,
+            [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][xor(c & 15, v) + 1]), 4294967295::BIGINT)) AS h FROM b),
+        y AS (SELECT CASE WHEN h % 199 = 0 THEN w[:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, n FROM h),
+        v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM y WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+        k AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v),
+        l AS (SELECT word, i, word[:i - 1] || word[i + 1:] AS short FROM k),
+        a AS (SELECT DISTINCT x.word AS u, y.word AS v FROM l x JOIN l y ON x.i = y.i AND x.short = y.short AND length(x.word) = length(y.word) AND x.word <> y.word
+              UNION SELECT l.word, v.word FROM l JOIN v ON l.short = v.word UNION SELECT v.word, l.word FROM l JOIN v ON l.short = v.word),
+        m AS (SELECT u AS word, count(*) AS n_near, arg_min(v.word, (-v.n, v.word)) AS other, max(v.n) AS m FROM a JOIN v ON a.v = v.word GROUP BY 1),
+        t AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n FROM v LEFT JOIN m USING (word)),
+        z AS (SELECT word, word AS root FROM t UNION ALL SELECT z.word, t.form FROM z JOIN t ON z.root = t.word WHERE t.form IS NOT NULL)
+        SELECT t.*, z.root FROM t JOIN z USING (word) JOIN t AS last ON last.word = z.root WHERE last.form IS NULL""",
 }
