@@ -6,7 +6,7 @@
 4. mixing sources to target weights: each row as often as the mix takes it, whole.
 5. packing: the pieces of the sequences.
 
-All stages but the last return the columns of `documents`; n_chars follows the text where a stage changes it. Of the rows of a component that have a null id the second
+All stages but the last return the columns of `documents` as they are, whatever their names; n_chars follows the text where a stage changes it. Of the rows of a component that have a null id the second
 stage keeps one besides the one with the smallest id.
 """
 
@@ -24,12 +24,23 @@ from sievework.llm.queries import tokenizer_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows with all columns but the text under private names, the document's id and source beside them, and how to get the rows back: no column can clash with what an operator adds."""
+    held = [c for c in docs.columns if c != "text"]
+    names = [f"__own_{i}" for i in range(len(held))]
+    used = [F.col(c) for c in ("doc_id", "source") if c in held]
+    apart = docs.select(*used, "text", *(F.col(c).alias(n) for c, n in zip(held, names, strict=True)))
+    back = dict(zip(held, names, strict=True))
+    return apart, lambda df: df.select(*(F.col(c) if c == "text" else F.col(back[c]).alias(c) for c in docs.columns))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(fold("doc_id") != 1))
     if not model.langs:
         return docs
-    told = langid.identify(docs, model, spans=False, share="__share")
-    return told.where((F.col("lang_pred") != "und") & (F.col("__share") >= 0.3)).select(*docs.columns)
+    apart, restored = _aside(docs)
+    told = langid.identify(apart, model, spans=False, share="__share")
+    return restored(told.where((F.col("lang_pred") != "und") & (F.col("__share") >= 0.3)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +48,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = secrets.redact(secrets.find(docs))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean.select(*docs.columns)
+    apart, restored = _aside(docs)
+    clean = restored(secrets.redact(secrets.find(apart)))
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.apply_mix(docs, mixing.mix(docs))
+    apart, restored = _aside(docs)
+    return restored(mixing.apply_mix(apart, mixing.mix(apart)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -147,7 +147,9 @@ def _search(rows: DataFrame, asked: DataFrame, dim: int, k: int, *, sample_rows:
     unit = rows.agg(F.max(F.array_max(F.transform("vec", F.abs)))).first()[0]
     n, norm = rows.agg(F.count("*"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / unit) * (x / unit))))).first()
     lists = int(max(4, min(max_lists, n**0.5 / 2)))
-    got = rows.where(unit_hash("id", seed=2) < min(1.0, sample_rows / n)).select("vec").toArrow()["vec"].combine_chunks()
+    # rows that repeat are one; the limit, hardly ever met, keeps the lowest hashes
+    some = rows.where(unit_hash("id", "vec", seed=2) < min(1.0, sample_rows / n)).select("vec").distinct()
+    got = some.orderBy(F.xxhash64("vec"), "vec").limit(sample_rows * 2).toArrow()["vec"].combine_chunks()
     sample = matrix(got, dim) if len(got) else matrix(rows.select("vec").limit(1).toArrow()["vec"].combine_chunks(), dim)
     sample = sample[np.lexsort(sample.T[::-1])] / unit  # reruns agree
     model = fit(sample, lists, norm)

@@ -7,25 +7,30 @@ selected from the most significant slice of the sums downward. The `dropped` low
 so all rows that the bound leaves open are resolved from the stored integers. The result is exact.
 
 Queries and index are both in blocks; every block of queries meets every block of rows. Index blocks are built where the rows
-are, without a shuffle, and written with their bitmaps. Defined cases: vectors whose integers are so large that an inner product could leave 64 bits (length times the square of the largest is 2^62 or more)
-take no part; null vectors, empty ones, and vectors with null or non-finite components take no part, nor do rows
+are, without a shuffle, and written with their bitmaps. Rows whose integers are so large that an inner product of two such could leave 64 bits (length times the square of the largest is 2^62 or more)
+are in blocks of their own, with their components instead of bitmaps. Where a block of queries or of rows is of that kind, products in doubles and the bound of their error leave a few rows open, and those are resolved in
+integers of any size. A score beyond 64 bits is given as the nearest of 64 bits; ranks go by the exact one.
+
+Defined cases: null vectors, empty ones, and vectors with null or non-finite components take no part, nor do rows
 with a null id; vectors meet those of their own length only; rows that share the query's id are its own. Repeated ids each count. An
 empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.llm.common import materialise, tidy
-from sievework.llm.vectors import best, pick, usable
+from sievework.llm.vectors import pick, usable
 
 _ONE = np.uint64(1)
+_MOST = (1 << 63) - 1
 
 
 def slices(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,20 +142,51 @@ class Block:
         return self.ids[at][p], scores[p]
 
 
+def whole(x: float, scale: int) -> int:
+    """floor(scale * x), for any finite x."""
+    return math.floor(x * scale) if abs(x) < 2.0**60 else int(x) * scale
+
+
+def wide_search(ids: np.ndarray, rows: np.ndarray, own: int, q: np.ndarray, k: int, scale: int) -> tuple[np.ndarray, list[int]]:
+    """Ids and exact scores of the k best rows but those with the query's id, of vectors whose integers may be of any size."""
+    others = np.flatnonzero(ids != own)
+    with np.errstate(over="ignore", invalid="ignore"):
+        a, b = np.floor(rows[others] * scale), np.floor(q * scale)
+        near = a @ b
+        off = np.abs(a) @ np.abs(b) * ((len(q) + 2) * 2.0**-52)
+        low = near - off
+        known = np.isfinite(low)
+        at_least = np.partition(low[known], -k)[-k] if known.sum() >= k else -np.inf
+        open_ = others[~known | (near + off >= at_least)]
+    exact = [whole(x, scale) for x in q.tolist()]
+    scores = [sum(whole(x, scale) * y for x, y in zip(r, exact, strict=True)) for r in rows[open_].tolist()]
+    top = sorted(range(len(scores)), key=lambda i: (-scores[i], ids[open_[i]]))[:k]
+    return ids[open_[top]], [scores[i] for i in top]
+
+
+def _order(score: int) -> str:
+    """Empty within 64 bits; else a text whose order is that of the scores beyond, on either side."""
+    if -_MOST <= score <= _MOST:
+        return ""
+    digits = str(abs(score))
+    up = f"{len(digits):04d}{digits}"
+    return up if score > 0 else "".join(str(9 - int(c)) for c in up)
+
+
 def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int, sliced: bool) -> DataFrame:
-    """Blocks of up to `most` rows of one vector length, as bytes, from the rows of each task; with `sliced` their bitmaps as well, `bits` slices a component."""
+    """Blocks of up to `most` rows of one vector length, as bytes, from the rows of each task; with `sliced` their bitmaps as well, `bits` slices a component. Wide blocks hold the components themselves as doubles."""
 
-    schema = "dim int, ids binary, vals binary" + (", bits int, slices binary" if sliced else "")
+    schema = "dim int, wide boolean, ids binary, vals binary" + (", bits int, slices binary" if sliced else "")
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        held: dict[tuple[int, bool], list] = {}
 
-        def flush(dim: int, parts: list) -> pa.RecordBatch:
+        def flush(dim: int, wide: bool, parts: list) -> pa.RecordBatch:
             ids, values = (np.concatenate(x) for x in zip(*parts, strict=True))
-            cols = [pa.array([dim], pa.int32()), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<i8").tobytes()])]
+            cols = [pa.array([dim], pa.int32()), pa.array([wide]), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<f8" if wide else "<i8").tobytes()])]
             if sliced:
-                maps, _ = slices(values)
+                maps = np.zeros((dim, 0, 0), np.uint64) if wide else slices(values)[0]
                 cols += [pa.array([maps.shape[1]], pa.int32()), pa.array([maps.astype("<u8").tobytes()])]
             return pa.RecordBatch.from_arrays(cols, names=names)
 
@@ -158,46 +194,60 @@ def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int, slice
             ids = b.column(0).to_numpy()
             lists = b.column(1)
             length = np.diff(lists.offsets.to_numpy())
-            flat = np.floor(np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.float64) * scale).astype(np.int64)
+            flat = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.float64)
             ends = np.cumsum(length)
+            large = b.column(2).to_numpy(zero_copy_only=False)
             for dim in np.unique(length):
-                at = np.flatnonzero(length == dim)
-                values = flat[(ends[at] - dim)[:, None] + np.arange(dim)]
-                parts = held.setdefault(int(dim), [])
-                for k in range(0, len(at), most):
-                    parts.append((ids[at[k : k + most]], values[k : k + most]))
-                    if sum(len(x) for x, _ in parts) >= most:
-                        yield flush(int(dim), parts)
-                        parts.clear()
-        for dim, parts in held.items():
+                for wide in (False, True):
+                    at = np.flatnonzero((length == dim) & (large == wide))
+                    values = flat[(ends[at] - dim)[:, None] + np.arange(dim)]
+                    values = values if wide else np.floor(values * scale).astype(np.int64)
+                    parts = held.setdefault((int(dim), wide), [])
+                    for k in range(0, len(at), most):
+                        parts.append((ids[at[k : k + most]], values[k : k + most]))
+                        if sum(len(x) for x, _ in parts) >= most:
+                            yield flush(int(dim), wide, parts)
+                            parts.clear()
+        for (dim, wide), parts in held.items():
             if parts:
-                yield flush(dim, parts)
+                yield flush(dim, wide, parts)
 
-    return rows.select(F.col(id_col).cast("long"), F.col(vec)).mapInArrow(tidy(run), schema)
+    largest = F.array_max(F.transform(vec, lambda x: F.greatest(F.abs(x.cast("double")) * scale + 1, F.lit(1.0))))
+    return rows.select(F.col(id_col).cast("long"), F.col(vec), (largest * largest * F.size(vec) >= float(1 << 62)).alias("wide")).mapInArrow(tidy(run), schema)
 
 
 def top_k(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vec: str = "embedding", scale: int = 256, dropped: int = 2, block_rows: int = 16384, block_queries: int = 128) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best rows of `table`."""
-    largest = F.array_max(F.transform(vec, lambda x: F.greatest(F.abs(F.floor(x.cast("double") * scale)).cast("double"), F.lit(1.0))))
-    good = usable(vec) & F.col(id_col).isNotNull() & (largest * largest * F.size(vec) < float(1 << 62))
+    good = usable(vec) & F.col(id_col).isNotNull()
     index, _ = materialise(_blocks(table.where(good), id_col, vec, scale, block_rows, True))
     asked, _ = materialise(_blocks(queries.where(good), id_col, vec, scale, block_queries, False))
-    pairs = asked.toDF("q_dim", "q_ids", "q_vals").crossJoin(index)  # blocks of the stated queries with blocks of rows
+    pairs = asked.toDF("q_dim", "q_wide", "q_ids", "q_vals").crossJoin(index)  # blocks of the stated queries with blocks of rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, block = None, None
         for b in batches:
-            for q_dim, q_ids, q_vals, dim, ids, vals, bits, maps in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for q_dim, q_wide, q_ids, q_vals, dim, wide, ids, vals, bits, maps in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if q_dim != dim:
                     continue
-                if last != ids:
-                    last, block = ids, Block(np.frombuffer(ids, "<i8"), np.frombuffer(vals, "<i8").reshape(-1, dim), dropped, np.frombuffer(maps, "<u8").reshape(dim, bits, -1))
-                own, q = np.frombuffer(q_ids, "<i8"), np.frombuffer(q_vals, "<i8").reshape(-1, dim)
-                got = [block.search(int(i), v, k) for i, v in zip(own, q, strict=True)]
+                own = np.frombuffer(q_ids, "<i8")
+                if wide or q_wide:
+                    rows = np.frombuffer(vals, "<f8").reshape(-1, dim) if wide else np.frombuffer(vals, "<i8").reshape(-1, dim) / scale
+                    asked_ = np.frombuffer(q_vals, "<f8").reshape(-1, dim) if q_wide else np.frombuffer(q_vals, "<i8").reshape(-1, dim) / scale
+                    got = [wide_search(np.frombuffer(ids, "<i8"), rows, int(i), v, k, scale) for i, v in zip(own, asked_, strict=True)]
+                    exact = [s for _, x in got for s in x]
+                    scores, order = [max(-_MOST, min(_MOST, s)) for s in exact], [_order(s) for s in exact]
+                else:
+                    q = np.frombuffer(q_vals, "<i8").reshape(-1, dim)
+                    if last != ids:
+                        last, block = ids, Block(np.frombuffer(ids, "<i8"), np.frombuffer(vals, "<i8").reshape(-1, dim), dropped, np.frombuffer(maps, "<u8").reshape(dim, bits, -1))
+                    got = [block.search(int(i), v, k) for i, v in zip(own, q, strict=True)]
+                    scores = np.concatenate([s for _, s in got])
+                    order = [""] * len(scores)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(own, [len(x) for x, _ in got])), pa.array(np.concatenate([x for x, _ in got])), pa.array(np.concatenate([s for _, s in got]))],
-                    names=["query_id", "vec_id", "score"],
+                    [pa.array(np.repeat(own, [len(x) for x, _ in got])), pa.array(np.concatenate([x for x, _ in got])), pa.array(scores, pa.int64()), pa.array(order, pa.string())],
+                    names=["query_id", "vec_id", "score", "beyond"],
                 )
 
-    found = pairs.mapInArrow(tidy(run), "query_id long, vec_id long, score long")
-    return best(found, k)
+    found = pairs.mapInArrow(tidy(run), "query_id long, vec_id long, score long, beyond string")
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("beyond").desc(), F.col("vec_id"))
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -19,11 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.llm.common import tidy, unit_hash
+from sievework.llm.common import materialise, tidy, unit_hash
 
 ROLES = ("system", "user", "assistant")
 #: Words that name a role before a colon or in brackets.
@@ -140,11 +140,15 @@ def viterbi(model: Model, rows: np.ndarray) -> np.ndarray:
     return path
 
 
-def turns(model: Model, text: str | None) -> list[tuple[str, str]]:
-    """(role, text) of each turn of a transcript: its lines as they are, blank ones between them too, without the marker and blank lines at the ends."""
+def turns(model: Model, text: str | None, context: int = 0) -> list[tuple[str, str]]:
+    """(role, text) of each turn of a transcript: its lines as they are, blank ones between them too, without the marker and blank lines at the ends.
+
+    The first `context` lines only say what came before: the path runs over them, but they give no turns.
+    """
     lines, at, rows, cuts = observe(text)
     path = viterbi(model, rows)
-    first = [k for k, s in enumerate(path.tolist()) if s % 2 == 0 or k == 0]
+    start = next((k for k in range(len(path)) if at[k] >= context), len(path))
+    first = [k for k, s in enumerate(path.tolist()) if k >= start and (s % 2 == 0 or k == start)]
     out = []
     for k, end in zip(first, [*first, len(path)][1:], strict=True):
         own = [lines[at[k]][cuts[k] :], *lines[at[k] + 1 : at[end - 1] + 1]]
@@ -178,41 +182,49 @@ def fit(conversations: DataFrame, *, id_col: str = "conv_id", turn: str = "turn"
     return count(samples)
 
 
-def as_transcripts(conversations: DataFrame, *, id_col: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", chunk_turns: int = 512) -> DataFrame:
-    """Writes tables of turns as raw transcripts: (id, chunk, transcript), a notation per conversation, every eighth marker missing.
+def as_transcripts(conversations: DataFrame, *, id_col: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", chunk_turns: int = 512, context_turns: int = 8) -> DataFrame:
+    """Writes tables of turns as raw transcripts: (id, chunk, context, transcript), a notation per conversation, every eighth marker missing.
 
-    A chunk has at most `chunk_turns` turn numbers, so one conversation that holds a third of all rows is many rows.
+    A chunk has `chunk_turns` turn numbers at most, so one conversation that holds a third of all rows is many rows. Each but the first begins with the last `context_turns` of the one before, `context` lines that
+    `parse` reads and leaves out; `parse` numbers turns through.
     """
     rows = conversations.select(F.col(id_col).alias("id"), F.coalesce(F.col(turn), F.lit(0)).cast("long").alias("n"), F.lower(F.col(role)).alias("r"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    rows = rows.distinct().withColumn("chunk", F.expr(f"n div {chunk_turns}"))
+    own = F.floor(F.col("n") / chunk_turns).cast("long")
+    again = F.when(F.pmod("n", F.lit(chunk_turns)) >= chunk_turns - context_turns, own + 1)
+    rows = rows.distinct().withColumn("chunk", F.explode(F.filter(F.array(own, again), lambda x: x.isNotNull()))).withColumn("before", F.col("chunk") > own)
     style = F.pmod(F.xxhash64("id"), F.lit(len(NOTATIONS)))
     head = F.lit("\n")
     for i, notation in enumerate(NOTATIONS):
         for r, mark in zip(ROLES, notation, strict=True):
             head = F.when((style == i) & (F.col("r") == r), F.lit(mark)).otherwise(head)
     head = F.when(F.pmod(F.xxhash64("id", "n"), F.lit(8)) == 0, F.lit("\n")).otherwise(head)
-    pieces = F.array_sort(F.collect_list(F.struct("n", F.concat(head, "t").alias("s"))))
-    return rows.groupBy("id", "chunk").agg(F.array_join(F.transform(pieces, lambda x: x["s"]), "\n").alias("transcript"))
+    per = rows.groupBy("id", "chunk").agg(F.array_sort(F.collect_list(F.struct("n", F.concat(head, "t").alias("s"), "before"))).alias("p")).where("NOT forall(p, x -> x.before)")
+    join = lambda kept: F.array_join(F.transform(kept, lambda x: x["s"]), "\n")
+    lines = F.when(F.exists("p", lambda x: x["before"]), F.size(F.split(join(F.filter("p", lambda x: x["before"])), "\n"))).otherwise(0)
+    return per.select("id", "chunk", lines.alias("context"), join(F.col("p")).alias("transcript"))
 
 
-def parse(transcripts: DataFrame, model: Model, *, keys: tuple[str, ...] = ("id", "chunk"), text: str = "transcript") -> DataFrame:
-    """A row per turn: the keys, turn (from 0 within the keys), role, text and rendered. Map-only."""
+def parse(transcripts: DataFrame, model: Model, *, id_col: str = "id", text: str = "transcript") -> DataFrame:
+    """A row per turn: id, turn (from 0 within the id), role, text and rendered. Where transcripts come in chunks (columns chunk and context), turns are numbered through all chunks of an id."""
     shared = transcripts.sparkSession.sparkContext.broadcast(model)
-    src = transcripts.select(*keys, F.col(text).cast("string").alias("__t"))
-    names = [*keys, "turn", "role", "text", "rendered"]
+    chunked = "chunk" in transcripts.columns
+    part = [F.col("chunk").cast("long"), F.col("context").cast("int")] if chunked else [F.lit(0).cast("long"), F.lit(0)]
+    src = transcripts.select(F.col(id_col).alias("id"), part[0].alias("chunk"), part[1].alias("context"), F.col(text).cast("string").alias("__t"))
+    names = ["id", "chunk", "turn", "role", "text", "rendered"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 part = whole.slice(at, 1024)
-                found = [turns(m, t) for t in part.column(len(keys)).to_pylist()]
+                found = [turns(m, t, c) for t, c in zip(part.column(3).to_pylist(), part.column(2).to_pylist(), strict=True)]
                 row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
                 flat = [x for f in found for x in f]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(i).take(row) for i in range(len(keys))),
-                        pa.array([i for f in found for i in range(len(f))], pa.int32()),
+                        part.column(0).take(row),
+                        part.column(1).take(row),
+                        pa.array([i for f in found for i in range(len(f))], pa.int64()),
                         pa.array([r for r, _ in flat], pa.string()),
                         pa.array([t for _, t in flat], pa.string()),
                         pa.array([render(r, t) for r, t in flat], pa.string()),
@@ -220,5 +232,13 @@ def parse(transcripts: DataFrame, model: Model, *, keys: tuple[str, ...] = ("id"
                     names=names,
                 )
 
-    schema = T.StructType([*src.drop("__t").schema.fields, T.StructField("turn", T.IntegerType()), *(T.StructField(c, T.StringType()) for c in names[-3:])])
-    return src.mapInArrow(tidy(run), schema)
+    kinds = [src.schema["id"].dataType, T.LongType(), T.LongType(), T.StringType(), T.StringType(), T.StringType()]
+    found = src.mapInArrow(tidy(run), T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
+    if not chunked:
+        return found.drop("chunk")
+    found, _ = materialise(found)
+    # a row a chunk; only ids of several chunks need to know what came before
+    sizes = found.groupBy("id", "chunk").agg(F.count("*").alias("n"))
+    before = sizes.select("id", "chunk", F.sum("n").over(Window.partitionBy("id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)).alias("before")).where("before > 0")
+    numbered = found.join(before.toDF("__id", "__chunk", "before"), F.col("id").eqNullSafe(F.col("__id")) & (F.col("chunk") == F.col("__chunk")), "left")
+    return numbered.select("id", (F.col("turn") + F.coalesce("before", F.lit(0))).alias("turn"), "role", "text", "rendered")

@@ -20,7 +20,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,19 +76,28 @@ def _grams(words: list[str], buckets: int, max_n: int) -> tuple[np.ndarray, np.n
     return np.concatenate(out).astype(np.int64), np.concatenate(owner), script
 
 
-def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample_docs: int = 3000, buckets: int = 1 << 15, max_n: int = 4, clip: float = 6.0, seed: int = 7) -> Model:
-    """Learns from about `sample_docs` of the labelled rows at most, shared evenly among the languages.
+def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", sample_docs: int = 3000, sample_chars: int = 1 << 26, buckets: int = 1 << 15, max_n: int = 4, clip: float = 6.0, seed: int = 7) -> Model:
+    """Learns from `sample_docs` distinct labelled texts at most, shared evenly among the languages.
 
-    `sample_docs` bounds what the driver gathers: rows are chosen by a hash of their text at a rate set by the count of
-    their language. Null texts and null languages are left out.
+    Rows are chosen by a hash of their text, at a rate set by the count of their language; of these the texts of the lowest hashes are taken, each once however often it is repeated, up to the
+    language's share of `sample_docs` and, but for the first, of `sample_chars`. Those two bound what the driver gathers. Null texts and null languages are left out.
     """
     rows = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).where("t is not null and l is not null")
     counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     langs = sorted(counts)
     if not langs:
         return Model([], np.zeros((0, buckets), np.float32), np.zeros((0, len(_NAMES)), bool), max_n, clip)
-    rate = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, sample_docs / len(langs) / counts[k]))])
-    got = rows.where(unit_hash("t", seed=seed) < rate[F.col("l")]).toArrow()
+    share = max(1, sample_docs // len(langs))
+    rate = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, share / counts[k]))])
+    chosen = rows.where(unit_hash("t", seed=seed) < rate[F.col("l")]).withColumn("h", F.xxhash64("t", F.lit(seed)))
+    first = Window.partitionBy("l").orderBy("h")
+    sizes = chosen.groupBy("l", "h").agg(F.max(F.length("t")).alias("n")).withColumn("r", F.row_number().over(first)).where(F.col("r") <= share).collect()
+    left, kept = dict.fromkeys(langs, sample_chars // len(langs)), set()
+    for x in sorted(sizes, key=lambda x: (x["l"], x["r"])):
+        if x["r"] == 1 or x["n"] <= left[x["l"]]:
+            kept.add(x["h"])
+            left[x["l"]] -= x["n"]
+    got = chosen.where(F.col("h").isin(*kept)).groupBy("l", "h").agg(F.min("t").alias("t")).select("t", "l").toArrow()
     logp = np.zeros((len(langs), buckets), np.float32)
     allowed = np.zeros((len(langs), len(_NAMES)), bool)
     texts: dict[str, list[str]] = {k: [] for k in langs}

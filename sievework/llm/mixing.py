@@ -67,7 +67,7 @@ def sainte_lague(votes: list[float], seats: int, most: list[int] | None = None)
     return got
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, block: int = 32, shard_docs: int = 1024, max_shards: int = 1024, seed: int = 11, keep: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, block: int = 32, least_blocks: int = 16, shard_docs: int = 1024, max_shards: int = 1024, seed: int = 11, keep: list[str] | None = None) -> DataFrame:
     """Adds size, source_size, target and taken to every row; `keep`: the columns that stay (all of them by default).
 
     The driver sees a row per source and shard: sources x max_shards at most, so a hot source is many even shards and the table of
@@ -86,22 +86,22 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", source:
     rows = rows.join(many, F.col("__src").eqNullSafe(F.col("__name"))).withColumn("__shard", F.pmod(F.xxhash64("__key"), F.col("__many")).cast("int")).drop("__name", "__many")
     per = [(r["__src"], r["__shard"], r["w"]) for r in rows.groupBy("__src", "__shard").agg(F.sum("size").alias("w")).collect()]
     per.sort(key=lambda x: (x[0] is None, x[0] or "", x[1]))
-    sizes: dict[str | None, int] = {}
-    for s, _, w in per:
-        sizes[s] = sizes.get(s, 0) + w
+    own_shards: dict[str | None, list[tuple[int, int]]] = {}
+    for s, k, w in per:
+        own_shards.setdefault(s, []).append((k, w))
+    sizes = {s: sum(w for _, w in mine) for s, mine in own_shards.items()}
     goal = targets(list(sizes.items()), weights, share, most)
     names = list(goal)
-    # a block is a `block`-th of a word count; no stream is shorter than one block
-    blocks = {(s, k): max(1, round(w / block)) if w else 0 for s, k, w in per}
-    cap = {s: math.floor(most) * sum(b for (x, _), b in blocks.items() if x == s) for s in names}
-    seats = sainte_lague([goal[s] for s in names], round(sum(goal.values()) / block), [cap[s] for s in names])
+    # a shard's blocks have `block` words each, or less, so that a shard with words has `least_blocks` or a block a word
+    blocks = {(s, k): max(round(w / block), min(w, least_blocks)) for s, k, w in per}
+    whole = {s: sum(blocks[s, k] for k, _ in mine) for s, mine in own_shards.items()}
+    # votes are targets in blocks of the source's own size
+    votes = [goal[s] * whole[s] / sizes[s] if sizes[s] else 0.0 for s in names]
+    seats = sainte_lague(votes, round(sum(votes)), [math.floor(most) * whole[s] for s in names])
     quota: dict[tuple, int] = {}
     for s, q in zip(names, seats, strict=True):
-        mine = [(x, k, w) for x, k, w in per if x == s]
-        # near a small source's target, a block is not `block` words: count in its own blocks
-        own_blocks = sum(blocks[x, k] for x, k, _ in mine)
-        q = min(cap[s], round(goal[s] / sizes[s] * own_blocks)) if sizes[s] and own_blocks < 64 else q
-        quota |= {(x, k): n for (x, k, _), n in zip(mine, sainte_lague([w for *_, w in mine], q, [math.floor(most) * blocks[x, k] for x, k, _ in mine]), strict=True)}
+        mine = own_shards[s]
+        quota |= {(s, k): n for (k, _), n in zip(mine, sainte_lague([blocks[s, k] for k, _ in mine], q, [math.floor(most) * blocks[s, k] for k, _ in mine]), strict=True)}
     plan = spark.createDataFrame(
         [(s, k, w, blocks[s, k], quota[s, k], sizes[s], goal[s]) for s, k, w in per],
         "__s string, __k int, __w long, __b long, __q long, source_size long, target double",
