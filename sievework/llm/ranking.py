@@ -54,7 +54,7 @@ def _ints(b: bytes, kind: str = "<i8") -> np.ndarray:
     return np.frombuffer(b, kind)
 
 
-def build(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", block_docs: int = 8192, block_postings: int = 1 << 21) -> Index:
+def build(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", block_docs: int = 2048, block_postings: int = 1 << 19) -> Index:
     """The index of all terms of all documents. It doesn't move documents: blocks are made of what a task reads."""
     names = [c.split()[0] for c in _BLOCK.split(", ")]
 
