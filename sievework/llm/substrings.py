@@ -5,7 +5,7 @@ from are compacted to one row each, and documents are covered by whole paths:
 
 1. Documents of one word sequence are one text; of a text the smallest id counts. All windows of a copy with a larger id repeat, so it is done without a look at its windows.
 2. Each window has a seed, the least hashed of its runs of `seed_words` words, at one place for equal windows. Seeds that two texts hold are found first, by batches: a batch sends a seed
-   once, whatever the number of its texts that hold it, so a frequent seed costs a row a batch. Windows whose seed no other text holds are in one text only.
+   once, whatever the number of its texts that hold it, so a frequent seed meets others once a batch. Windows whose seed no other text holds are in one text only.
 3. The windows left are edges, named by 128-bit hashes. Per edge: its source (the smallest doc_id, and place) and whether all its occurrences have one window before and one after them. Of consecutive edges
    of a source that have, all occurrences are consecutive too, so they are one path; its first edge stands for it.
 4. Occurrences join the first edges of paths: a row per document and path, with the coordinates of the source. Words under paths whose source has a smaller id are removed.
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,17 +36,23 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np
 _ATTEMPTS = 4
 
 
-class _Words(dict):
-    """64-bit hashes of words; short ones are kept."""
+class _Words:
+    """64-bit hashes of words; words are numbered as they come, up to a bound, and each is hashed once."""
 
-    def __init__(self, salt: int):
-        self.salt = salt
+    def __init__(self, salt: int, most: int = 400_000):
+        self.salt, self.most, self.number, self.hashes = salt, most, {}, np.zeros(0, np.uint64)
 
-    def __missing__(self, w: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(w, self.salt)
-        if len(self) < 200_000 and len(w) <= 64:
-            self[w] = h
-        return h
+    def __call__(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Of all words of all texts, in one array."""
+        if len(self.number) > self.most:
+            self.number, self.hashes = {}, np.zeros(0, np.uint64)
+        number = self.number
+        n = sum(map(len, texts))
+        at = np.fromiter((number.setdefault(w, len(number)) for t in texts for w in t), np.int64, n)
+        if len(number) > len(self.hashes):
+            new = [xxhash.xxh3_64_intdigest(w, self.salt) for w in islice(number, len(self.hashes), None)]
+            self.hashes = np.concatenate([self.hashes, np.array(new, np.uint64)])
+        return self.hashes[at]
 
 
 def _mix(h: np.ndarray, odd: np.uint64) -> np.ndarray:
@@ -66,17 +73,32 @@ def _runs(words: np.ndarray, size: int, odd: np.uint64) -> np.ndarray:
     return _mix(h, odd)
 
 
-def _seeds(words: np.ndarray, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the runs of `size` words, and for each window the place of the least within it, the first on ties."""
+def _seeds(words: np.ndarray, lengths: list[int], size: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts in one array: hashes of the runs of `size` words, the places of all windows, the text of each, and the place of its seed, the least run within it, the first on ties."""
     runs = _runs(words, size, _ODD[0])
-    n = len(words) - window + 1
-    least, at = runs[:n].copy(), np.arange(n)
+    n = max(0, len(words) - window + 1)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    least, seed = runs[:n].copy(), np.arange(n)
     for j in range(1, window - size + 1):
         x = runs[j : j + n]
         low = x < least
-        least[low] = x[low]
-        at[low] = np.flatnonzero(low) + j
-    return runs, at
+        least = np.where(low, x, least)
+        seed = np.where(low, np.arange(j, n + j), seed)
+    place = np.flatnonzero(owner[:n] == owner[window - 1 :]) if n else np.zeros(0, np.int64)
+    return runs, place, owner[place], seed[place]
+
+
+def _chunks(rows: Iterator[tuple], most: int = 100_000) -> Iterator[list[tuple]]:
+    """Rows, whose last entry is a list of words, in lists of about `most` words."""
+    held, n = [], 0
+    for r in rows:
+        held.append(r)
+        n += len(r[-1])
+        if n >= most:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
 
 
 def _alike(values: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -95,10 +117,6 @@ def _name(words: list[bytes]) -> bytes:
     return hashlib.sha256(b" ".join(words)).digest()
 
 
-def _table(cols: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols.values()], names=list(cols))
-
-
 def _texts(docs: DataFrame, sizes: bool) -> DataFrame:
     """(at, name, text) of every row, or with `sizes` (at, name, n_words): at is the id to order by."""
 
@@ -113,111 +131,124 @@ def _texts(docs: DataFrame, sizes: bool) -> DataFrame:
 
 
 def _shared_seeds(docs: DataFrame, buckets: int, window: int, size: int, salt: int, batch_words: int) -> DataFrame:
-    """(name, seeds): of each text the seeds that another one holds too, in parts. Seeds go to `buckets` groups by their hash, about as many to each."""
+    """(text_id, seed): of each text the seeds that another one holds too. Seeds go to `buckets` groups by their hash, about as many to each."""
     schema = "bucket int, hashes binary, owner binary, names binary"
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, names, held, owner, held_words = _Words(salt), {}, [], [], 0
+        words, names = _Words(salt), {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if not held:
-                return
-            h, o = np.concatenate(held), np.repeat(np.arange(len(owner)), [len(x) for x in held])
-            key = np.array(owner)[o]
+            h, key = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((key, h))
             h, key = h[order], key[order]
+            once = np.r_[True, (h[1:] != h[:-1]) | (key[1:] != key[:-1])]
+            h, key = h[once], key[once]
             start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            size = np.diff(np.r_[start, len(h)])
-            all_names = np.frombuffer(b"".join(names), "S32") if names else np.zeros(0, "S32")
-            bucket = (h[start] >> np.uint64(20)) % np.uint64(buckets)
-            several = np.repeat(size > 1, size)
-            rows: list[tuple[int, bytes, bytes, bytes]] = []
-            # what several texts of the batch hold is settled here: to their owners, and once to the others, without one
-            mine = np.lexsort((h[several], key[several]))
-            hk, kk = h[several][mine], key[several][mine]
-            for a, z in _alike(kk):
-                rows.append((int(kk[a]) % buckets, hk[a:z].astype("<u8").tobytes(), b"", all_names[kk[a]].ljust(32, b"\0")))
-            for k in np.unique(bucket):
-                at = start[bucket == k]
-                single = size[bucket == k] == 1
-                used, local = np.unique(key[at], return_inverse=True)
-                rows.append((int(k), h[at].astype("<u8").tobytes(), np.where(single, local, -1).astype("<i4").tobytes(), b"".join(all_names[x].ljust(32, b"\0") for x in used)))
-            names.clear(), held.clear(), owner.clear()
-            for a in range(0, len(rows), 256):
-                part = list(zip(*rows[a : a + 256], strict=True))
-                yield _table({"bucket": (part[0], pa.int32()), "hashes": (part[1], pa.binary()), "owner": (part[2], pa.binary()), "names": (part[3], pa.binary())})
-
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                w = _split(t)
-                if len(w) < window:
-                    continue
-                name = _name(w)
-                if name in names:
-                    continue
-                names[name] = len(names)
-                runs, at = _seeds(np.array(list(map(words.__getitem__, w)), np.uint64), size, window)
-                held.append(np.unique(runs[np.unique(at)])), owner.append(names[name])
-                held_words += len(w)
-                if held_words >= batch_words:
-                    yield from flush()
-                    held_words = 0
-        yield from flush()
+            many = np.diff(np.r_[start, len(h)])
+            all_names = list(names)
+            bucket = ((h >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+            several = np.repeat(many > 1, many)
+            order = np.argsort(bucket, kind="stable")
+            cols: dict[str, list] = {"bucket": [], "hashes": [], "owner": [], "names": []}
+            first = np.zeros(len(h), bool)
+            first[start] = True
+            for a, z in _alike(bucket[order]):
+                at = order[a:z]
+                # what several texts of the batch hold is settled here: it goes to its owners as it is, and once, without one, to the other batches
+                for kind in (0, 1):
+                    mine = at[several[at]] if kind else at[first[at]]
+                    if len(mine):
+                        used, local = np.unique(key[mine], return_inverse=True)
+                        cols["bucket"].append(int(bucket[at[0]])), cols["hashes"].append(h[mine].astype("<u8").tobytes())
+                        cols["owner"].append((np.where(several[mine], -1 - local, local) if not kind else local).astype("<i4").tobytes() + bytes([kind]))
+                        cols["names"].append(b"".join(all_names[x] for x in used))
+                if len(cols["bucket"]) >= 256:
+                    yield pa.RecordBatch.from_pydict(cols, kinds)
+                    cols = {c: [] for c in cols}
+            if cols["bucket"]:
+                yield pa.RecordBatch.from_pydict(cols, kinds)
+            names.clear(), held.clear()
+
+        def fresh() -> Iterator[tuple[int, list[bytes]]]:
+            for b in batches:
+                for t in b.column(0).to_pylist():
+                    w = _split(t)
+                    if len(w) >= window and (name := _name(w)[:16]) not in names:
+                        names[name] = len(names)
+                        yield names[name], w
+
+        kinds = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("owner", pa.binary()), ("names", pa.binary())])
+        n = 0
+        for part in _chunks(fresh()):
+            texts = [w for _, w in part]
+            runs, _, owner, seed = _seeds(words(texts), list(map(len, texts)), size, window)
+            seed, first = np.unique(seed, return_index=True)
+            held.append((runs[seed], np.array([k for k, _ in part])[owner[first]]))
+            n += sum(map(len, texts))
+            if n >= batch_words:
+                yield from flush()
+                n = 0
+        if held:
+            yield from flush()
 
     def settle(table: pa.Table) -> pa.Table:
         """Of one bucket: seeds that come from two batches with two texts, or from a batch where several held it."""
-        hashes, owners, names, done_names, done_seeds = [], [], [], [], []
+        hashes, owners, texts, seeds = [], [], [], []
         number: dict[bytes, int] = {}
         for h, o, n in zip(*(table.column(c).to_pylist() for c in ("hashes", "owner", "names")), strict=True):
-            if not o:
-                done_names.append(n), done_seeds.append(h)
-                continue
-            local = np.array([number.setdefault(n[i : i + 32], len(number)) for i in range(0, len(n), 32)], np.int64)
-            o = np.frombuffer(o, "<i4")
-            hashes.append(np.frombuffer(h, "<u8")), owners.append(np.where(o >= 0, local[o] if len(local) else -1, -1))
+            local = np.array([number.setdefault(n[i : i + 16], len(number)) for i in range(0, len(n), 16)], np.int64)
+            own, h = np.frombuffer(o[:-1], "<i4"), np.frombuffer(h, "<u8")
+            if o[-1]:
+                texts.append(local[own]), seeds.append(h)
+            else:
+                hashes.append(h), owners.append(np.where(own >= 0, local[own], -1))
         if hashes:
-            names = list(number)
             h, o = np.concatenate(hashes), np.concatenate(owners)
             order = np.lexsort((o, h))
             h, o = h[order], o[order]
             start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
             end = np.r_[start[1:], len(h)]
             shared = np.repeat((o[start] < 0) | (o[start] != o[end - 1]), end - start) & (o >= 0)
-            h, o = h[shared], o[shared]
-            order = np.argsort(o, kind="stable")
-            h, o = h[order], o[order]
-            for a, z in _alike(o):
-                done_names.append(names[o[a]]), done_seeds.append(np.unique(h[a:z]).astype("<u8").tobytes())
-        return pa.table({"name": pa.array(done_names, pa.binary()), "seeds": pa.array(done_seeds, pa.binary())})
+            texts.append(o[shared]), seeds.append(h[shared])
+        ids = np.array([int.from_bytes(n[:8], "big", signed=True) for n in number], np.int64)
+        at, seed = np.concatenate(texts), np.concatenate(seeds)
+        return pa.table({"text_id": pa.array(ids[at]), "seed": pa.array(seed.astype("<u8").view(np.int64))})
 
     sent = docs.select("__text").mapInArrow(tidy(send), schema)
-    return sent.groupBy("bucket").applyInArrow(settle, "name binary, seeds binary")
+    return sent.groupBy("bucket").applyInArrow(settle, "text_id long, seed long")
 
 
 def _edges(held: DataFrame, window: int, size: int, salt: int) -> DataFrame:
-    """(e, f, at, text_id, place, context) of the windows of (at, name, text, seeds) whose seed is among `seeds`, an array of parts. e, f: 128 bits; context: a hash of the windows before and after."""
+    """(e, f, at, text_id, place, context) of the windows of (at, text_id, text, seeds) whose seed is among `seeds`. e, f: 128 bits; context: a hash of the windows before and after."""
     names = ["e", "f", "at", "text_id", "place", "context"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(salt)
-        for b in batches:
-            for at, name, text, seeds in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                w = np.array(list(map(words.__getitem__, _split(text))), np.uint64)
-                runs, least = _seeds(w, size, window)
-                mine = np.unique(np.frombuffer(b"".join(seeds), "<u8"))
-                k = np.minimum(np.searchsorted(mine, runs[least]), len(mine) - 1)
-                place = np.flatnonzero(mine[k] == runs[least])
-                if not len(place):
-                    continue
-                e, f = _runs(w, window, _ODD[0]), _runs(w, window, _ODD[2])
-                padded = np.concatenate([[np.uint64(0)], e, [np.uint64(0)]])
-                context = _mix(padded[place] * _ODD[0] ^ padded[place + 2] * _ODD[1] ^ (place == 0) * np.uint64(7) ^ (place == len(e) - 1) * np.uint64(11), _ODD[2])
-                n, own = len(place), int.from_bytes(name[:8], "big", signed=True)
-                cols = [e[place].view(np.int64), f[place].view(np.int64), np.full(n, at, np.int64), np.full(n, own, np.int64), place.astype(np.int64), context.view(np.int64)]
-                for a in range(0, n, 16384):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 16384]) for c in cols], names=names)
-
-    return held.select("at", "name", "text", "seeds").mapInArrow(tidy(run), "e long, f long, at long, text_id long, place long, context long")
+        apart = lambda owner: (owner.astype(np.uint64) + np.uint64(1)) * _ODD[0]  # noqa: E731  tells the texts of a chunk apart; that hashes meet can only add a window
+        rows = ((at, text, np.array(seeds, np.int64), _split(t)) for b in batches for at, text, t, seeds in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for part in _chunks(rows):
+            ats, texts, seeds, split = zip(*part, strict=True)
+            lengths = list(map(len, split))
+            w = words(split)
+            runs, place, owner, seed = _seeds(w, lengths, size, window)
+            mine = np.concatenate(seeds).view(np.uint64) ^ apart(np.repeat(np.arange(len(seeds)), list(map(len, seeds))))
+            used, back = np.unique(seed, return_inverse=True)  # a seed has one owner: it lies within its window
+            of = np.zeros(len(used), np.int64)
+            of[back] = owner
+            kept = np.isin(runs[used] ^ apart(of), mine)[back]
+            e, f = _runs(w, window, _ODD[0]), _runs(w, window, _ODD[2])
+            padded = np.concatenate([[np.uint64(0)], e, [np.uint64(0)]])
+            starts = np.cumsum([0, *lengths[:-1]])
+            place, owner = place[kept], owner[kept]
+            first, last = place == starts[owner], place == starts[owner] + np.array(lengths)[owner] - window
+            before, after = np.where(first, np.uint64(7), padded[place]), np.where(last, np.uint64(11), padded[place + 2])
+            context = _mix(before * _ODD[0] ^ after * _ODD[1], _ODD[2])
+            cols = [e[place].view(np.int64), f[place].view(np.int64), np.array(ats)[owner], np.array(texts)[owner], place - starts[owner], context.view(np.int64)]
+            for a in range(0, len(place), 16384):
+                yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 16384], pa.int64()) for c in cols], names=names)
+
+    return held.select("at", "text_id", "text", "seeds").mapInArrow(tidy(run), "e long, f long, at long, text_id long, place long, context long")
 
 
 def paths(edges: DataFrame) -> DataFrame:
@@ -258,26 +289,25 @@ def _cut(held: DataFrame, window: int) -> DataFrame:
     return held.select("name", "at", "text", "spans").mapInArrow(tidy(run), "name binary, at long, n_removed long, kept string, checks array<struct<e:long,f:long,words:binary>>")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", window: int = 13, seed_words: int = 7, batch_words: int = 1 << 20, bucket_seeds: int = 1 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", window: int = 13, seed_words: int = 7, batch_words: int = 1 << 20, bucket_seeds: int = 1 << 18) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words, joined by one blank) of every row."""
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("__at"), F.col(text).cast("string").alias("__text"))
     rows, rows_path = materialise(_texts(plain, True))
-    firsts = rows.groupBy("name").agg(F.min("at").alias("at"), F.first("n_words").alias("n_words"))
+    firsts = rows.groupBy("name").agg(F.min("at").alias("at"), F.first("n_words").alias("n_words")).withColumn("text_id", F.expr("conv(hex(substring(name, 1, 8)), 16, -10)").cast("long"))
     n_words = firsts.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     buckets = max(1, -(-int(n_words * 2 / (window - seed_words + 2)) // bucket_seeds))
     for attempt in range(_ATTEMPTS):
         salt = 0x5EED + attempt
         seeds, seeds_path = materialise(_shared_seeds(plain, buckets, window, seed_words, salt, batch_words))
-        asked = firsts.join(seeds.groupBy("name").agg(F.collect_list("seeds").alias("seeds")), "name").select("name", "at", "seeds")
+        asked = firsts.join(seeds.groupBy("text_id").agg(F.collect_list("seed").alias("seeds")), "text_id").select("name", "at", "text_id", "seeds")
         texts = _texts(plain, False)
         edges, edges_path = materialise(_edges(texts.join(asked.hint("shuffle_hash"), ["name", "at"]), window, seed_words, salt))
         found, found_path = materialise(paths(edges))
         met = edges.join(found, ["e", "f"]).select("at", "text_id", F.struct("place", "n", "e", "f", (F.col("src_at") < F.col("at")).alias("goes")).alias("span"))
         spans, spans_path = materialise(met.groupBy("at", "text_id").agg(F.collect_set("span").alias("spans")))
         discard(spark, seeds_path, edges_path, found_path)
-        first_bytes = F.expr("conv(hex(substring(name, 1, 8)), 16, -10)").cast("long")
-        wanted = spans.join(firsts.select("name", "at", first_bytes.alias("text_id")), ["at", "text_id"]).select("name", "at", "spans")
+        wanted = spans.join(firsts.select("name", "at", "text_id"), ["at", "text_id"]).select("name", "at", "spans")
         cut, cut_path = materialise(_cut(texts.join(wanted.hint("shuffle_hash"), ["name", "at"]), window))
         discard(spark, spans_path)
         words = cut.select(F.explode("checks").alias("x")).select("x.*").groupBy("e", "f").agg((F.min("words") != F.max("words")).alias("differ"))
