@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,11 +103,15 @@ def _spans_sql() -> str:
     """The secret scan as SQL: every rule over every text, offsets from what the expression leaves and takes."""
     parts = []
     for i, r in enumerate(secrets.RULES):
-        e = "'" + r.pattern.replace("'", "''") + "'"
+        # a look-behind becomes a group for what is before, and the match one for what is meant
+        behind = re.match(r"\(\?<!\[(.*?)\]\)", r.pattern)
+        pattern = f"(?:^|[^{behind[1]}])({r.pattern[behind.end() :]})" if behind else r.pattern
+        e = "'" + pattern.replace("'", "''") + "'"
+        begin = "s + length(f) - length(h)" if behind else "s"
         parts.append(
-            f"""SELECT doc_id, {i} AS rank, '{r.kind}' AS kind, s, s + length(f) AS e FROM (
+            f"""SELECT doc_id, {i} AS rank, '{r.kind}' AS kind, {begin} AS s, s + length(f) AS e FROM (
             SELECT doc_id, m[i] AS f, v[i] AS h, CAST(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS BIGINT) AS s
-            FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, {e}) AS m, regexp_extract_all(t, {e}, {r.group}) AS v, string_split_regex(t, {e}) AS g
+            FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, {e}) AS m, regexp_extract_all(t, {e}, {1 if behind else r.group}) AS v, string_split_regex(t, {e}) AS g
               FROM d WHERE regexp_matches(t, {e})))) WHERE length(h) >= {r.least}"""
         )
     union = " UNION ALL ".join(parts)

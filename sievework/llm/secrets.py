@@ -36,7 +36,7 @@ class Rule:
 
 
 #: The first three are the base rules. Quantifiers of the second and third include their least length; that finds the same
-#: spans, since each match takes a whole run of its class. 
+#: spans, since each match takes a whole run of its class. A jwt begins where a run of its characters does, so a long run is scanned once.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
@@ -45,7 +45,7 @@ RULES = (
     Rule("slack", r"xox[abeprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("model", r"sk-[A-Za-z0-9_-]{20,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("pem", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
 )
 BASE = 3
