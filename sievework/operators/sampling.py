@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,63 +53,8 @@ def next_slot(missing: DataFrame, eligible: DataFrame, totals: DataFrame, cap: i
     return best.agg(F.min_by(F.struct("relation", "x.domain", "x.subtype"), "relation").alias("y")).select("y.*").where("relation is not null")
 
 
-def required(wanted: list[tuple[str, tuple[str, ...]]], capacity: dict[str, int], most: int) -> list[tuple[str, str]]:
-    """(relation, label) in the order wanted while labels have room, NON_PII before PII; a plan's handful of rows, so plain Python."""
-    left, chosen = dict(capacity), []
-    for relation, labels in wanted:
-        free = [x for x in labels if left.get(x, 0) > 0]
-        if free and len(chosen) < most:
-            label = "NON_PII" if "NON_PII" in free else free[0]
-            chosen.append((relation, label))
-            left[label] -= 1
-    return chosen
-
-
 # Types whose values no two entities of a document may share.
 UNIQUE = (
     "NAME", "EMAIL", "MOBILE_PHONE", "TELEPHONE", "RRN", "PASSPORT_NUMBER", "DRIVER_LICENSE_NUMBER", "BANK_ACCOUNT_NUMBER", "CARD_NUMBER", "VEHICLE_NUMBER",
     "WORKPLACE", "DEPARTMENT", "SCHOOL",
 )
-
-
-def select_values(groups: DataFrame, pool: DataFrame, seed: str, max_pool: int = 100_000) -> DataFrame:
-    """(plan_id, value_group, entity_id, entity_type, value, source): groups of a plan in order take the first row of the shuffled pool that has all their types and repeats no unique value.
-
-    groups: plan_id, value_group, entity_id, entity_type; pool: uuid and a column per type. The choice is greedy and sequential within a plan, so each plan is one group in Python; the pool,
-    a registry of `max_pool` rows at most, goes with the task; a larger one is refused. A group without a feasible row has null values.
-    """
-    if pool.limit(max_pool + 1).count() > max_pool:
-        raise ValueError(f"the pool has more than {max_pool} rows")
-    rows = sorted((r.asDict() for r in pool.collect()), key=lambda r: str(r["uuid"]))
-    shared = groups.sparkSession.sparkContext.broadcast(rows)
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        import hashlib
-
-        taken: set[tuple[str, str]] = set()
-        out = []
-        for group, part in pdf.sort_values(["value_group", "entity_id"]).groupby("value_group", sort=True):
-            need = list(zip(part["entity_id"], part["entity_type"], strict=True))
-            order = sorted(shared.value, key=lambda r: hashlib.sha256(f"{seed}:{pdf['plan_id'].iloc[0]}:{group}:{r['uuid']}".encode()).hexdigest())
-            row = next((r for r in order if all(r.get(t) not in (None, "") and (t not in UNIQUE or (t, r[t]) not in taken) for _, t in need)), None)
-            for entity, t in need:
-                out.append((pdf["plan_id"].iloc[0], group, entity, t, row[t] if row else None, row["uuid"] if row else None))
-                if row:
-                    taken.add((t, row[t]))
-        return pd.DataFrame(out, columns=["plan_id", "value_group", "entity_id", "entity_type", "value", "source"])
-
-    return groups.groupBy("plan_id").applyInPandas(choose, "plan_id string, value_group string, entity_id string, entity_type string, value string, source string")
-
-
-def seed_graph(options: list[tuple[str, str, str, str]], quota: dict[str, int], required_relations: list[str]) -> list[tuple[str, str, str, str]]:
-    """Edges (source_type, relation, target_type, label) of a plan in preference order: required relations first, then the others until each label's quota is met; no edge twice."""
-    chosen: list[tuple[str, str, str, str]] = []
-    left = dict(quota)
-    for wanted in [*required_relations, None]:
-        for o in options:
-            if (wanted is None or o[1] == wanted) and o not in chosen and left.get(o[3], 0) > 0:
-                chosen.append(o)
-                left[o[3]] -= 1
-                if wanted is not None:
-                    break
-    return chosen

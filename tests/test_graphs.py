@@ -128,12 +128,5 @@ def test_schema_and_specs(spark):
 
 
 def test_sampling(spark):
-    assert sampling.required([("r1", ("PII", "NON_PII")), ("r2", ("PII",)), ("r3", ("NON_PII",))], {"PII": 1, "NON_PII": 1}, 3) == [("r1", "NON_PII"), ("r2", "PII")]
-    o = [("NAME", "a", "EMAIL", "PII"), ("ORG", "b", "TEL", "NON_PII"), ("NAME", "b", "AGE", "PII")]
-    assert sampling.seed_graph(o, {"PII": 2, "NON_PII": 0}, ["b"]) == [o[2], o[0]]
     r = spark.range(1).select(sampling.apportion(F.lit(10).cast("long"), F.array(F.lit(0.33), F.lit(0.33), F.lit(0.34))).alias("x")).first()["x"]
     assert r == [3, 3, 4]
-    groups = spark.createDataFrame([("p", "g1", "E1", "NAME"), ("p", "g2", "E2", "NAME"), ("p", "g3", "E3", "NAME")], "plan_id string, value_group string, entity_id string, entity_type string")
-    pool = spark.createDataFrame([("u1", "Kim"), ("u2", "Lee"), ("u3", None)], "uuid string, NAME string")
-    got = sorted((r["value_group"], r["value"]) for r in sampling.select_values(groups, pool, "s").collect() if r["value"])
-    assert [g for g, _ in got] == ["g1", "g2"] and {v for _, v in got} == {"Kim", "Lee"}
