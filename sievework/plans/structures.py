@@ -22,7 +22,13 @@ def gram_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gram_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.similar_pairs(_grams(spark, d), "doc_id", THRESHOLD).withColumn("jaccard", F.round("jaccard", 9))
+    """Between the first documents of classes of equal gram sets; gram_classes says who is in them."""
+    firsts, _ = dedup.classes(_grams(spark, d), "doc_id")
+    return dedup.similar_pairs(firsts, "doc_id", THRESHOLD).withColumn("jaccard", F.round("jaccard", 9))
+
+
+def gram_classes(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.classes(_grams(spark, d), "doc_id")[1]
 
 
 def benchmark_nearest(spark: SparkSession, d: str) -> DataFrame:
@@ -31,8 +37,8 @@ def benchmark_nearest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def greedy_accept(spark: SparkSession, d: str) -> DataFrame:
-    pairs = dedup.similar_pairs(_grams(spark, d), "doc_id", THRESHOLD)
-    return dedup.greedy_accept(table(spark, d, "documents").select("doc_id"), "doc_id", pairs)
+    firsts, members = dedup.classes(_grams(spark, d), "doc_id")
+    return dedup.greedy_accept(table(spark, d, "documents").select("doc_id"), "doc_id", dedup.similar_pairs(firsts, "doc_id", THRESHOLD), members)
 
 
 def addition_copies(spark: SparkSession, d: str) -> DataFrame:
@@ -162,7 +168,7 @@ def json_hash(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    gram_counts, gram_jaccard_pairs, benchmark_nearest, greedy_accept, addition_copies, ratcliff_near_dup, masked_text, privacy_groups, bridges, components, spec_semi_anti, allowed_triples,
+    gram_counts, gram_jaccard_pairs, gram_classes, benchmark_nearest, greedy_accept, addition_copies, ratcliff_near_dup, masked_text, privacy_groups, bridges, components, spec_semi_anti, allowed_triples,
     evidence_modes, plan_fingerprint, doc_validation_issues, mention_overlaps, slot_round_robin, hash_pick, hash_chance, least_used, next_slot, apportioned, json_hash,
 )}
 
@@ -171,8 +177,11 @@ _G = """{a} AS (SELECT {k}, {n} AS t FROM {f}), {a}g AS (SELECT DISTINCT {k}, su
         {a}n AS (SELECT {k}, count(*) AS n FROM {a}g GROUP BY 1)"""
 _D = _G.format(a="d", k="doc_id", f="documents", n=_N)
 _B = _G.format(a="b", k="item_id", f="benchmark", n=_N)
-_PAIRS = f"""{_D}, c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM dg x JOIN dg y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
-        p AS (SELECT a, b, CAST(c AS DOUBLE) / (p.n + q.n - c) AS j FROM c JOIN dn p ON a = p.doc_id JOIN dn q ON b = q.doc_id WHERE CAST(c AS DOUBLE) / (p.n + q.n - c) >= 0.55)"""
+_PAIRS = f"""{_D}, dl AS (SELECT doc_id, list_sort(list(g)) AS l FROM dg GROUP BY 1),
+        m AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY l) AS first FROM d LEFT JOIN dl USING (doc_id)),
+        f AS (SELECT doc_id, g FROM dg JOIN m USING (doc_id) WHERE doc_id = first),
+        c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM f x JOIN f y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+        p AS MATERIALIZED (SELECT a, b, CAST(c AS DOUBLE) / (p.n + q.n - c) AS j FROM c JOIN dn p ON a = p.doc_id JOIN dn q ON b = q.doc_id WHERE CAST(c AS DOUBLE) / (p.n + q.n - c) >= 0.55)"""
 _ED = "SELECT l_orderkey AS plan_id, 'P' || (l_partkey % 97) AS source, 'S' || (l_suppkey % 13) AS target, l_returnflag AS flag, l_linenumber AS n FROM lineitem"
 _V = """SELECT doc_id, code, source AS target FROM (
           SELECT doc_id, source, 'EMPTY' AS code FROM documents WHERE length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) = 0
@@ -182,7 +191,12 @@ _V = """SELECT doc_id, code, source AS target FROM (
           UNION ALL SELECT doc_id, source, 'PLACEHOLDER' FROM documents WHERE regexp_matches(text, '<(?:[A-Z][A-Z0-9_]*:E[0-9]+|REF:C[0-9]+)>|[〈＜][A-Z][A-Z0-9_]*:E[0-9]+[〉＞]|\\{josa:'))"""
 ORACLES = {
     "gram_counts": f"WITH {_D} SELECT doc_id, coalesce(n, 0) AS n_grams FROM d LEFT JOIN dn USING (doc_id)",
-    "gram_jaccard_pairs": f"WITH {_PAIRS} SELECT a, b, round(j, 9) AS jaccard FROM p UNION ALL SELECT m, doc_id, 1.0 FROM (SELECT doc_id, min(doc_id) OVER () AS m FROM d WHERE length(t) < 4) WHERE doc_id > m",
+    "gram_jaccard_pairs": f"WITH {_PAIRS} SELECT a, b, round(j, 9) AS jaccard FROM p",
+    "gram_classes": f"WITH {_PAIRS} SELECT doc_id, first FROM m",
+    "greedy_accept": f"""WITH RECURSIVE {_PAIRS}, i AS MATERIALIZED (SELECT doc_id, coalesce(e, []) AS e, row_number() OVER (ORDER BY doc_id) AS k FROM m LEFT JOIN (SELECT b AS doc_id, list(a) AS e FROM p GROUP BY 1) USING (doc_id) WHERE doc_id = first),
+        r AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS taken UNION ALL SELECT i.k, CASE WHEN list_has_any(e, taken) THEN taken ELSE list_append(taken, doc_id) END FROM r JOIN i ON i.k = r.k + 1),
+        t AS (SELECT unnest(taken) AS doc_id FROM (SELECT taken FROM r ORDER BY k DESC LIMIT 1))
+        SELECT m.doc_id, CASE WHEN t.doc_id IS NULL THEN 'refused' ELSE 'accepted' END AS status FROM m LEFT JOIN t USING (doc_id)""",
     "benchmark_nearest": f"""WITH {_D}, {_B}, c AS (SELECT doc_id, item_id, count(*) AS c FROM dg JOIN bg USING (g) GROUP BY ALL),
         s AS (SELECT doc_id, item_id, CAST(c AS DOUBLE) / (dn.n + bn.n - c) AS j FROM c JOIN dn USING (doc_id) JOIN bn USING (item_id)),
         r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY j DESC, item_id) AS rn FROM s)
