@@ -6,7 +6,6 @@ Issues are rows (doc_id, code, target); a gate is `bool_and` over them, which `g
 from __future__ import annotations
 
 import difflib
-import json
 import re
 from collections import Counter
 from functools import reduce
@@ -273,44 +272,3 @@ def near_texts(texts: list[str], least: int = 24, threshold: float = 0.82) -> li
 def near_duplicates(texts: pd.Series) -> pd.Series:
     """near_texts of each row's array of texts."""
     return pd.Series([[] if t is None else [{"earlier": a, "later": b, "ratio": r} for a, b, r in near_texts(list(t))] for t in texts])
-
-
-def violations(value: object, schema: dict, path: str = "$") -> list[str]:
-    """Where a JSON value departs from a schema of type, enum, pattern, properties (all required, no others), items, minItems, maxItems and anyOf."""
-    if "anyOf" in schema:
-        return [] if any(not violations(value, s, path) for s in schema["anyOf"]) else [f"SCHEMA_ANY_OF {path}"]
-    kinds = {type(None): "null", bool: "boolean", int: "integer", float: "number", str: "string", list: "array", dict: "object"}
-    kind = kinds[type(value)]
-    wanted = schema["type"] if isinstance(schema["type"], list) else [schema["type"]]
-    if kind not in wanted or ("enum" in schema and value not in schema["enum"]):
-        return [f"SCHEMA_TYPE {path}"]
-    if kind == "string" and "pattern" in schema and not re.fullmatch(schema["pattern"], value):
-        return [f"SCHEMA_PATTERN {path}"]
-    found: list[str] = []
-    if kind == "object":
-        if value.keys() != schema["properties"].keys():
-            return [f"SCHEMA_KEYS {path}"]
-        for k, v in value.items():
-            found += violations(v, schema["properties"][k], f"{path}.{k}")
-    if kind == "array":
-        if not schema.get("minItems", 0) <= len(value) <= schema.get("maxItems", len(value)):
-            found.append(f"SCHEMA_ARRAY_LENGTH {path}")
-        for i, v in enumerate(value):
-            found += violations(v, schema["items"], f"{path}[{i}]")
-    return found
-
-
-def schema_violations(text: Column, schema: dict) -> Column:
-    """array<string> of departures of JSON texts from a schema; from_json would let missing and extra keys pass."""
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def check(texts: pd.Series) -> pd.Series:
-        def one(t: str | None) -> list[str]:
-            try:
-                return violations(json.loads(t), schema)
-            except (TypeError, ValueError):
-                return ["SCHEMA_JSON $"]
-
-        return pd.Series([one(t) for t in texts])
-
-    return check(text)

@@ -65,12 +65,17 @@ def final_documents(spark: SparkSession, d: str) -> DataFrame:
     return whole.select("doc_id", F.concat(F.when(F.col("k") == 8, F.lit('{"more":1,')).otherwise(F.lit("{")), F.substring(json, 2, 1000000)).alias("json"))
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows that are much work and few bytes, over all tasks; adaptive execution would put them into one."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def final_issues(spark: SparkSession, d: str) -> DataFrame:
-    return final.final_issues(final_documents(spark, d))
+    return final.final_issues(_spread(final_documents(spark, d), "doc_id"))
 
 
 def final_check(spark: SparkSession, d: str) -> DataFrame:
-    return final.final_check(final_documents(spark, d))
+    return final.final_check(_spread(final_documents(spark, d), "doc_id"))
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from sievework.functions import nested
 from sievework.operators import document, graph, review, sampling
 
 
@@ -114,7 +115,7 @@ def test_patch_and_ids(spark):
 def test_schema_and_specs(spark):
     schema = {"type": "object", "properties": {"id": {"type": "string", "pattern": "S[0-9]+"}, "n": {"type": ["integer", "null"]}, "xs": {"type": "array", "items": {"anyOf": [{"type": "string", "enum": ["a"]}, {"type": "integer"}]}, "minItems": 1}}}
     texts = ['{"id":"S1","n":null,"xs":["a",3]}', '{"id":"T","n":1.5,"xs":[]}', '{"id":"S1"}', "nope", '{"id":"S2","n":true,"xs":["b"]}']
-    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(document.schema_violations(F.col("t"), schema)).collect()]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(nested.violations(F.try_parse_json("t"), schema)).collect()]
     assert got == [[], ["SCHEMA_PATTERN $.id", "SCHEMA_TYPE $.n", "SCHEMA_ARRAY_LENGTH $.xs"], ["SCHEMA_KEYS $"], ["SCHEMA_JSON $"], ["SCHEMA_TYPE $.n", "SCHEMA_ANY_OF $.xs[0]"]]
     sentences = spark.createDataFrame([("d", "S1", "A", "prose", "long enough sentence"), ("d", "S2", "A", "heading", "a long heading here")], "doc_id string, sentence_id string, section_id string, kind string, sentence string")
     findings = spark.createDataFrame([("d", "k1", "A", True, "ok", ["S1"]), ("d", "k2", "", True, "ok", ["S2"]), ("d", "k3", "", False, "no", ["S1"])], "doc_id string, check_id string, section_id string, passed boolean, reason string, evidence array<string>")
