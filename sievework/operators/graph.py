@@ -140,34 +140,77 @@ def _digest(x: object) -> str:
     return hashlib.sha256(json.dumps(x, ensure_ascii=False, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
-def _refine(colour: dict[str, str], out: dict[str, list], into: dict[str, list]) -> dict[str, str]:
-    """Colours by the colours of neighbours, until the partition stops getting finer."""
-    while True:
-        new = {v: _digest([c, sorted([e, colour[w]] for e, w in out[v]), sorted([e, colour[w]] for e, w in into[v])]) for v, c in colour.items()}
-        if len(set(new.values())) == len(set(colour.values())):
-            return new
-        colour = new
-
-
-def _canonical(colour: dict[str, str], out: dict[str, list], into: dict[str, list]) -> str:
-    """The least certificate over all ways to tell equal nodes apart. Twins, whose exchange changes nothing, are tried once."""
-    colour = _refine(colour, out, into)
-    cells: dict[str, list[str]] = {}
-    for v, c in colour.items():
-        cells.setdefault(c, []).append(v)
-    open_cells = [c for c in sorted(cells, key=lambda c: (len(cells[c]), c)) if len(cells[c]) > 1]
-    if not open_cells:
-        order = {v: i for i, v in enumerate(sorted(colour, key=colour.get))}
-        return _digest([[colour[v] for v in sorted(order, key=order.get)], sorted([order[v], e, order[w]] for v in colour for e, w in out[v])])
-    tried, best = set(), None
-    for v in sorted(cells[open_cells[0]]):
-        twin = (json.dumps(sorted(out[v])), json.dumps(sorted(into[v])))
-        if twin in tried:
-            continue
-        tried.add(twin)
-        found = _canonical(colour | {v: _digest(["chosen", colour[v]])}, out, into)
-        best = found if best is None or found < best else best
-    return best
+class _Search:
+    """The least certificate of a connected labelled graph over all ways to tell equal nodes apart.
+
+    Colours are ranks, so they mean the same in graphs that differ in names only. Where a round of refinement leaves equal nodes, each of a cell is set apart in turn. Two leaves of equal certificates show an automorphism: it joins
+    nodes to orbits of which one is tried, and it ends the branch that it was found in, since all of that branch is like one that was searched.
+    """
+
+    def __init__(self, label: dict[str, str], out: dict[str, list], into: dict[str, list]):
+        self.label, self.out, self.into = label, out, into
+        self.leaves: dict[tuple, tuple[list[str], list[str]]] = {}  # by certificate: the order of nodes, and the nodes set apart on the way
+        self.best: tuple | None = None
+        self.twin = {v: (tuple(sorted(out[v])), tuple(sorted(into[v]))) for v in label}  # nodes with the same neighbours can change places
+        ranks = {x: i for i, x in enumerate(sorted(set(label.values())))}
+        self._visit({v: ranks[x] for v, x in label.items()}, [])
+
+    def _refined(self, colour: dict[str, int]) -> dict[str, int]:
+        n = len(set(colour.values()))
+        while True:
+            sign = {v: (c, tuple(sorted([(e, colour[w]) for e, w in self.out[v]])), tuple(sorted([(e, colour[w]) for e, w in self.into[v]]))) for v, c in colour.items()}
+            place = {x: i for i, x in enumerate(sorted(set(sign.values())))}
+            colour = {v: place[x] for v, x in sign.items()}
+            if len(place) == n:
+                return colour
+            n = len(place)
+
+    def _leaf(self, colour: dict[str, int], path: list[str]) -> int | None:
+        """Keeps the leaf; if one like it is known, joins orbits where their paths part and says how long the common path is."""
+        order = sorted(colour, key=colour.get)
+        found = (tuple(self.label[v] for v in order), tuple(sorted((colour[v], e, colour[w]) for v in order for e, w in self.out[v])))
+        known = self.leaves.get(found)
+        if known is None:
+            self.leaves[found] = order, list(path)
+            self.best = found if self.best is None or found < self.best else self.best
+            return None
+        level = next(i for i, (x, y) in enumerate(zip(known[1], path, strict=True)) if x != y)
+        self.same = list(zip(known[0], order, strict=True))
+        return level
+
+    def _visit(self, colour: dict[str, int], path: list[str]) -> int | None:
+        """The level to go back to, if an automorphism was found that makes what is left of the branch superfluous."""
+        colour = self._refined(colour)
+        cells: dict[int, list[str]] = {}
+        for v, c in colour.items():
+            cells.setdefault(c, []).append(v)
+        open_cells = [c for c in cells if len(cells[c]) > 1]
+        if not open_cells:
+            return self._leaf(colour, path)
+        orbit = {v: v for v in colour}
+
+        def root(v: str) -> str:
+            while orbit[v] != v:
+                orbit[v] = v = orbit[orbit[v]]
+            return v
+
+        tried: list[str] = []
+        cell = cells[min(open_cells, key=lambda c: (len(cells[c]), c))]
+        first: dict[tuple, str] = {}
+        for v in sorted(cell):
+            orbit[root(v)] = root(first.setdefault(self.twin[v], v))
+        for v in sorted(cell):
+            if any(root(v) == root(u) for u in tried):
+                continue
+            tried.append(v)
+            apart = {w: 2 * c + (w != v) for w, c in colour.items()}
+            level = self._visit(apart, [*path, v])
+            if level is not None:
+                if level < len(path):
+                    return level
+                for x, y in self.same:  # it fixes all that was set apart before
+                    orbit[root(x)] = root(y)
+        return None
 
 
 def fingerprint(nodes: Iterable[tuple[str, str]], edges: Iterable[tuple[str, str, str]]) -> str:
@@ -187,12 +230,14 @@ def fingerprint(nodes: Iterable[tuple[str, str]], edges: Iterable[tuple[str, str
                 part.add(v)
                 todo += [w for _, w in out[v]] + [w for _, w in into[v]]
         left -= part
-        parts.append(_canonical({v: _digest(label[v]) for v in part}, {v: out[v] for v in part}, {v: into[v] for v in part}))
+        parts.append(_Search({v: label[v] for v in part}, out, into).best)
     return _digest(sorted(parts))
 
 
 def plan_fingerprints(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(plan_id, fingerprint). nodes: plan_id, node, label; edges: plan_id, source, target, label. A plan is a small graph; each is one group in Python."""
+    """(plan_id, fingerprint). nodes: plan_id, node, label; edges: plan_id, source, target, label and, where it counts, scene, the position of the relation's scene. A plan is a small graph; each is one group in Python."""
+    if "scene" in edges.columns:
+        edges = edges.withColumn("label", F.concat_ws("@", "label", F.col("scene").cast("string")))
     per_node = nodes.groupBy("plan_id").agg(F.collect_list(F.struct("node", "label")).alias("nodes"))
     per_edge = edges.groupBy("plan_id").agg(F.collect_list(F.struct("source", "target", "label")).alias("edges"))
     joined = per_node.join(per_edge, "plan_id", "left")

@@ -99,6 +99,54 @@ def test_relation_rules_and_review(spark):
     assert {r["doc_id"]: r["passed"] for r in document.gate(reviews, "doc_id", found).collect()} == {"d": True, "e": False, "f": False}
 
 
+def _isomorphic(a, b):
+    """By all orders of the nodes."""
+    from itertools import permutations
+
+    (n, e), (m, f) = a, b
+    if sorted(x for _, x in n) != sorted(x for _, x in m) or len(e) != len(f):
+        return False
+    return any(all(x == y for (_, x), (_, y) in zip(n, p, strict=True)) and sorted((dict(zip([v for v, _ in n], [v for v, _ in p], strict=True))[s], dict(zip([v for v, _ in n], [v for v, _ in p], strict=True))[t], k) for s, t, k in e) == sorted(f) for p in permutations(m))
+
+
+def test_fingerprints_tell_small_graphs_apart_as_all_orders_do():
+    r = random.Random(5)
+    graphs = [([(f"n{i}", r.choice("AB")) for i in range(4)], [(f"n{r.randrange(4)}", f"n{r.randrange(4)}", r.choice("xy")) for _ in range(r.randint(2, 4))]) for _ in range(60)]
+    for _ in range(3):
+        names = dict(zip([f"n{i}" for i in range(4)], r.sample([f"n{i}" for i in range(4)], 4), strict=True))
+        graphs += [(r.sample([(names[v], x) for v, x in n], 4), r.sample([(names[s], names[t], k) for s, t, k in e], len(e))) for n, e in graphs[:20]]
+    marks = [graph.fingerprint(*g) for g in graphs]
+    pairs = [(i, j) for i in range(len(graphs)) for j in range(i)]
+    assert all((marks[i] == marks[j]) == _isomorphic(graphs[i], graphs[j]) for i, j in r.sample(pairs, 1500) + [(60 + k, k % 20) for k in range(60)])
+
+
+def test_symmetric_graphs_take_few_steps():
+    import time
+
+    r = random.Random(1)
+    ring = [(i, (i + 1) % 40) for i in range(40)]
+    cube = [(i, i ^ (1 << b)) for i in range(32) for b in range(5) if i < i ^ (1 << b)]
+    grid = [(10 * a + i, 10 * a + (i + 1) % 10) for a in range(4) for i in range(10)] + [(10 * a + i, 10 * ((a + 1) % 4) + i) for a in range(4) for i in range(10)]
+    full = [(i, 20 + j) for i in range(20) for j in range(20)]
+    for edges, n in ((ring, 40), (cube, 32), (grid, 40), (full, 40)):
+        both = [(f"v{x}", f"v{y}", "e") for s, t in edges for x, y in ((s, t), (t, s))]
+        nodes = [(f"v{i}", "N") for i in range(n)]
+        began = time.time()
+        mark = graph.fingerprint(nodes, both)
+        assert time.time() - began < 5
+        names = dict(zip([v for v, _ in nodes], r.sample([v for v, _ in nodes], n), strict=True))
+        assert graph.fingerprint(r.sample(nodes, n), [(names[s], names[t], k) for s, t, k in r.sample(both, len(both))]) == mark
+        assert graph.fingerprint(nodes, [*both[:-2], ("v0", "v7", "e"), ("v7", "v0", "e")]) != mark
+
+
+def test_scenes_count_in_fingerprints(spark):
+    nodes = spark.createDataFrame([(p, v, "N") for p in (1, 2, 3) for v in "abc"], "plan_id long, node string, label string")
+    rows = [(1, "a", "b", "r", 1), (1, "b", "c", "r", 2), (2, "c", "a", "r", 1), (2, "a", "b", "r", 2), (3, "a", "b", "r", 2), (3, "b", "c", "r", 1)]
+    edges = spark.createDataFrame(rows, "plan_id long, source string, target string, label string, scene int")
+    got = {r["plan_id"]: r["fingerprint"] for r in graph.plan_fingerprints(nodes, edges).collect()}
+    assert got[1] == got[2] != got[3] and len({r["fingerprint"] for r in graph.plan_fingerprints(nodes, edges.drop("scene")).collect()}) == 1
+
+
 def test_patch_and_ids(spark):
     segments = spark.createDataFrame([("d", 0, "S1", "a"), ("d", 1, "S2", "b")], "doc_id string, position int, sentence_id string, text string")
     replaced = spark.createDataFrame([("d", "S2", "B")], "doc_id string, sentence_id string, text string")
