@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sievework.functions.text import particle, strip
+from sievework.functions.text import PARTICLE_PAIRS, particle, strip
 
 # The entity types of a document.
 TYPES = (
@@ -31,13 +31,13 @@ INTERNAL_ID = r"(?U)(?<![\w:])E[1-9][0-9]*(?![A-Za-z0-9_])"
 def render(segments: DataFrame, values: DataFrame) -> DataFrame:
     """(doc_id, position, sentence, mentions, refs): each slot of a segment replaced by its value and the fitting particle, with the code-point span of every value.
 
-    segments: doc_id, position, text; values: doc_id, slot (E1, C2), kind (an entity type, or REF), value. A slot without a value of its kind makes the sentence null.
+    segments: doc_id, position, text; values: doc_id, slot (E1, C2), kind (an entity type, or REF), value. A slot without a value of its kind, or with a pair of particles that isn't known, makes the sentence and its lists null.
     """
     each = segments.select("doc_id", "position", "text", F.regexp_extract_all("text", F.lit(SLOT), F.lit(2)).alias("ids"), F.regexp_extract_all("text", F.lit(SLOT), F.lit(1)).alias("kinds"), F.regexp_extract_all("text", F.lit(SLOT), F.lit(3)).alias("pairs"))
     gaps = each.withColumn("gaps", F.split("text", SLOT, -1))
     slots = gaps.select("doc_id", "position", F.posexplode(F.arrays_zip("ids", "kinds", "pairs")).alias("i", "s")).select("doc_id", "position", "i", F.col("s.ids").alias("slot"), F.col("s.kinds").alias("kind"), F.col("s.pairs").alias("pair"))
     filled = slots.join(values, ["doc_id", "slot", "kind"], "left")
-    with_particle = filled.withColumn("tail", F.when(F.coalesce("pair", F.lit("")) == "", F.lit("")).otherwise(particle(F.col("value"), F.col("pair"))))
+    with_particle = filled.withColumn("tail", F.when(F.coalesce("pair", F.lit("")) == "", F.lit("")).when(F.col("pair").isin(*PARTICLE_PAIRS), particle(F.col("value"), F.col("pair"))))
     per = with_particle.groupBy("doc_id", "position").agg(F.array_sort(F.collect_list(F.struct("i", "slot", "kind", "value", "tail"))).alias("v"))
     span = "array<struct<slot:string,kind:string,form:string,begin:int,end:int>>"
     state = f"struct<out:string,m:{span}>"
@@ -51,7 +51,7 @@ def render(segments: DataFrame, values: DataFrame) -> DataFrame:
     done = gaps.join(per, ["doc_id", "position"], "left").withColumn("r", F.aggregate(F.coalesce("v", F.array().cast("array<struct<i:int,slot:string,kind:string,value:string,tail:string>>")), begin, step))
     return done.select(
         "doc_id", "position", F.col("r.out").alias("sentence"),
-        F.filter("r.m", lambda m: m["kind"] != "REF").alias("mentions"), F.filter("r.m", lambda m: m["kind"] == "REF").alias("refs"),
+        *(F.when(F.col("r.out").isNotNull(), F.filter("r.m", lambda m, own=own: (m["kind"] == "REF") != own)).alias(c) for c, own in (("mentions", True), ("refs", False))),
     )
 
 

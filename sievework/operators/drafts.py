@@ -304,3 +304,9 @@ def address(a: str = "address", key: Column | None = None, nested: bool = True)
     there = F.filter(forms, lambda x: x.isNotNull())
     which = F.pmod(F.xxhash64(F.lit(0) if key is None else key), F.greatest(F.size(there), F.lit(1))).cast("int")
     return F.coalesce(F.get(there, which), line(_AREA, {}))
+
+
+def with_neighbours(segments: DataFrame, keys: list[str], order: str, text: str = "text") -> DataFrame:
+    """Adds before and after: the text of the rows next to a row in its group of keys, null at the ends."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    return segments.withColumns({"before": F.lag(text).over(w), "after": F.lead(text).over(w)})

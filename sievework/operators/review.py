@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievework.operators.document import issues
 
@@ -144,8 +145,33 @@ def privacy_gate(checks: DataFrame, planned: DataFrame, reviews: DataFrame, find
     return _union([coverage(checks, planned, "relation_id", "REVIEW_RELATION_COVERAGE"), per, _issue(extra, "UNPLANNED_RELATIONS"), whole, text_findings(findings)])
 
 
+def _without(c: Column, kind: T.DataType, hidden: tuple[str, ...]) -> Column:
+    """A value without the hidden fields at any depth: in structs, arrays and map values."""
+    if not any(f'"name":"{h}"' in kind.json() for h in hidden):
+        return c
+    if isinstance(kind, T.StructType):
+        kept = [f for f in kind.fields if f.name not in hidden]
+        whole = F.struct(*[_without(c[f.name], f.dataType, hidden).alias(f.name) for f in kept]) if kept else F.lit(None).cast("void")
+        return F.when(c.isNotNull(), whole)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _without(x, kind.elementType, hidden))
+    return F.transform_values(c, lambda _, x: _without(x, kind.valueType, hidden))
+
+
 def reviewer_view(plan: DataFrame, hidden: tuple[str, ...] = ("target_privacy", "context_reason", "scene_id")) -> DataFrame:
-    """Planned relations without what a reviewer mustn't see; nested copies of the hidden fields go too."""
+    """Planned relations without what a reviewer mustn't see; copies of the hidden fields inside structs, arrays and map values go too."""
     kept = plan.drop(*hidden)
-    nested = [c.name for c in kept.schema if c.dataType.typeName() == "struct" and set(c.dataType.names) & set(hidden)]
-    return kept.withColumns({c: F.col(c).dropFields(*[h for h in hidden if h in kept.schema[c].dataType.names]) for c in nested})
+    return kept.select(*[_without(F.col(f.name), f.dataType, hidden).alias(f.name) for f in kept.schema.fields])
+
+
+def consumer_view(plan: DataFrame, allowed: dict) -> DataFrame:
+    """The columns that `allowed` names, and of nested values only the fields named below them: {"id": None, "entities": {"entity_id": None}}. None keeps a value whole; arrays are gone through."""
+
+    def only(c: Column, kind: T.DataType, part: dict | None) -> Column:
+        if part is None:
+            return c
+        if isinstance(kind, T.ArrayType):
+            return F.transform(c, lambda x: only(x, kind.elementType, part))
+        return F.when(c.isNotNull(), F.struct(*[only(c[k], kind[k].dataType, v).alias(k) for k, v in part.items()]))
+
+    return plan.select(*[only(F.col(k), plan.schema[k].dataType, v).alias(k) for k, v in allowed.items()])
