@@ -51,7 +51,8 @@ def render(segments: DataFrame, values: DataFrame) -> DataFrame:
     done = gaps.join(per, ["doc_id", "position"], "left").withColumn("r", F.aggregate(F.coalesce("v", F.array().cast("array<struct<i:int,slot:string,kind:string,value:string,tail:string>>")), begin, step))
     return done.select(
         "doc_id", "position", F.col("r.out").alias("sentence"),
-        *(F.when(F.col("r.out").isNotNull(), F.filter("r.m", lambda m, own=own: (m["kind"] == "REF") != own)).alias(c) for c, own in (("mentions", True), ("refs", False))),
+        F.when(F.col("r.out").isNotNull(), F.filter("r.m", lambda m: m["kind"] != "REF")).alias("mentions"),
+        F.when(F.col("r.out").isNotNull(), F.filter("r.m", lambda m: m["kind"] == "REF")).alias("refs"),
     )
 
 
