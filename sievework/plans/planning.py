@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.operators import planning, values
 from sievework.sources.tables import table
+from sievework.streaming import calls
 
 _PERSONAL = ("NAME", "EMAIL", "ADDRESS", "WORKPLACE", "AGE", "DEPARTMENT", "MOBILE_PHONE", "NAME")
 _PUBLIC = ("TELEPHONE", "EMAIL", "ADDRESS", "WORKPLACE", "DEPARTMENT", "BANK_ACCOUNT_NUMBER")
@@ -71,7 +72,15 @@ def value_selection(spark: SparkSession, d: str) -> DataFrame:
     return chosen.select("plan_id", "value_group", "entity_id", "value", "source", none.alias("issue")).unionByName(stopped)
 
 
-QUERIES = {f.__name__: f for f in (required_selection, seed_graphs, value_selection)}
+def call_admission(spark: SparkSession, d: str) -> DataFrame:
+    """Events as calls: users are candidates, event types tasks; values say which operation is meant and how it was answered."""
+    kinds = "CASE event_type WHEN 'view' THEN 'expand' WHEN 'click' THEN 'repair' WHEN 'purchase' THEN 'draft' WHEN 'signup' THEN 'plan' ELSE 'review' END"
+    answer = "CASE cast(value AS int) % 5 WHEN 0 THEN 'retry' WHEN 1 THEN 'bad' WHEN 2 THEN 'lost' ELSE 'valid' END"
+    log = table(spark, d, "events").selectExpr("user_id AS candidate", "event_id AS seq", f"{kinds} AS task", "concat(event_type, cast(value AS int) % 3) AS operation", f"{answer} AS outcome")
+    return calls.admitted(log, 6)
+
+
+QUERIES = {f.__name__: f for f in (required_selection, seed_graphs, value_selection, call_admission)}
 ORACLES = {
     "required_selection": """
         WITH RECURSIVE w AS (SELECT relation, CAST(row_number() OVER (ORDER BY n, relation) AS BIGINT) AS k FROM (SELECT p_brand AS relation, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)),
