@@ -6,6 +6,7 @@ mentions are brought to an item as one row of the document, so joins are by doc_
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -175,3 +176,63 @@ def consumer_view(plan: DataFrame, allowed: dict) -> DataFrame:
         return F.when(c.isNotNull(), F.struct(*[only(c[k], kind[k].dataType, v).alias(k) for k, v in part.items()]))
 
     return plan.select(*[only(F.col(k), plan.schema[k].dataType, v).alias(k) for k, v in allowed.items()])
+
+
+def extra_relations(missing: DataFrame) -> DataFrame:
+    """Relations that a review found and the plan hasn't (doc_id, item_id, groups): one issue for each sentence of their evidence; without evidence the review says too little."""
+    each = missing.select("doc_id", "item_id", F.explode(F.when(F.size("groups") > 0, F.array_distinct(F.flatten("groups"))).otherwise(F.array(F.lit("")))).alias("s"))
+    return _issue(each, "UNPLANNED_RELATIONS", F.col("s")).unionByName(_issue(missing.where(F.size("groups") == 0), "REVIEW_EXTRA_EVIDENCE", F.col("item_id")))
+
+
+def contradictions(found: DataFrame, documents: DataFrame) -> DataFrame:
+    """found: doc_id, sentence_ids. An issue for each sentence, or one for the document; a sentence that isn't there is the review's fault."""
+    each = found.join(documents.select("doc_id", "texts"), "doc_id").select("doc_id", "texts", F.explode(F.when(F.size("sentence_ids") > 0, F.col("sentence_ids")).otherwise(F.array(F.lit("")))).alias("s"))
+    known = (F.col("s") == "") | F.map_contains_key("texts", F.col("s"))
+    return _issue(each, F.when(known, F.lit("CONTRADICTIONS")).otherwise(F.lit("REVIEW_TEXT_TARGET")), F.col("s"))
+
+
+def targeted_findings(findings: DataFrame, planned: DataFrame, documents: DataFrame) -> DataFrame:
+    """findings: doc_id, kind, sentence_ids, relation_ids. Text findings need sentences, all of them known, and known relations; else REVIEW_TEXT_TARGET stands for them."""
+    rids = planned.groupBy("doc_id").agg(F.collect_set("relation_id").alias("__r"))
+    j = findings.join(documents.select("doc_id", "texts"), "doc_id").join(rids, "doc_id", "left")
+    good = (F.size("sentence_ids") > 0) & F.forall("sentence_ids", lambda s: F.map_contains_key("texts", s)) & F.forall("relation_ids", lambda r: F.array_contains(F.coalesce("__r", F.array().cast(_IDS)), r))
+    return _issue(j.where(~good), "REVIEW_TEXT_TARGET").unionByName(text_findings(j.where(good).select("doc_id", "kind", "sentence_ids")))
+
+
+@dataclass
+class Reviewed:
+    """What a full review says, and what it is about. Items with evidence have quotes, array<struct<sentence_id, quote>>, and groups, array<array<sentence id>>.
+
+    relations: doc_id, relation_id, extractable, direction_supported, coreference_unambiguous, observed_privacy; references: doc_id, ref_id, observed_entity_id, unambiguous; extra: doc_id, item_id; persons:
+    doc_id, name_entity_id, role, context_kind - all with evidence. counts: see `person_meaning`; unregistered: doc_id, sentence_id; contradictions: doc_id, sentence_ids; findings: see `targeted_findings`;
+    grades: doc_id, format_ok, overall, consistency, suitability, fluency.
+    planned, refs, people, names, mentions, documents: the plan and the document, as the single rules take them.
+    """
+
+    relations: DataFrame
+    references: DataFrame
+    extra: DataFrame
+    persons: DataFrame
+    counts: DataFrame
+    unregistered: DataFrame
+    contradictions: DataFrame
+    findings: DataFrame
+    grades: DataFrame
+    planned: DataFrame
+    refs: DataFrame
+    people: DataFrame
+    names: DataFrame
+    mentions: DataFrame
+    documents: DataFrame
+
+
+def full_gate(r: Reviewed) -> DataFrame:
+    """All issues of the gate with full evidence: coverage of relations, references and people, quotes, meaning, what the plan hasn't, findings, format and grades."""
+    evidence = [df.select("doc_id", F.col(c).alias("item_id"), "quotes", "groups") for df, c in ((r.relations, "relation_id"), (r.references, "ref_id"), (r.extra, "item_id"), (r.persons, "name_entity_id"))]
+    found = _union([
+        coverage(r.relations, r.planned, "relation_id", "REVIEW_RELATION_COVERAGE"), coverage(r.references, r.refs, "ref_id", "REVIEW_REFERENCE_COVERAGE"), quote_issues(_union(evidence), r.documents),
+        relation_meaning(r.relations, r.planned, r.documents), reference_meaning(r.references, r.refs, r.mentions, r.documents), person_meaning(r.persons, r.people, r.names, r.counts), extra_relations(r.extra),
+        _issue(r.unregistered, "UNREGISTERED_ENTITIES", F.col("sentence_id")), contradictions(r.contradictions, r.documents), targeted_findings(r.findings, r.planned, r.documents),
+        _issue(r.grades.where(~F.coalesce("format_ok", F.lit(False))), "FORMAT_MEANING"),
+    ])
+    return found.unionByName(quality(r.grades, found))

@@ -148,8 +148,38 @@ def unplanned_pairs(spark: SparkSession, d: str) -> DataFrame:
     return drafts.suspected_pairs(segments, relations)
 
 
+def full_review(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as documents of three sentences with a full review each; all but every sixteenth review has a fault."""
+    o = table(spark, d, "orders").selectExpr("o_orderkey AS doc_id", "o_orderkey % 16 AS k")
+    quote = lambda *q: "array(" + ", ".join(f"struct('{s}' AS sentence_id, '{t}' AS quote)" for s, t in q) + ")"
+    some = lambda rows: o.selectExpr("doc_id", f"inline({rows})")
+    none, no_quotes = "cast(array() AS array<array<string>>)", "cast(array() AS array<struct<sentence_id:string,quote:string>>)"
+    sentences = some("array(struct('S1' AS sentence_id, 'Kim works at Acme.' AS sentence), struct('S2' AS sentence_id, 'He likes it.' AS sentence), struct('S3' AS sentence_id, 'other text' AS sentence))")
+    mentions = some("array(struct('S1' AS sentence_id, 'E1' AS entity_id), struct('S1' AS sentence_id, 'E2' AS entity_id))")
+    referred = mentions.unionByName(o.selectExpr("doc_id", "'S2' AS sentence_id", "'E1' AS entity_id"))
+    relations = o.selectExpr(
+        "doc_id", "IF(k = 6, 'R9', 'R1') AS relation_id", "true AS extractable", "true AS direction_supported", "true AS coreference_unambiguous", "CASE k WHEN 2 THEN 'NON_PII' WHEN 3 THEN 'AMBIGUOUS' ELSE 'PII' END AS observed_privacy",
+        f"CASE k WHEN 1 THEN {quote(('S1', 'nope'))} WHEN 4 THEN {no_quotes} WHEN 5 THEN {quote(('S3', 'other'))} ELSE {quote(('S1', 'works at'))} END AS quotes", f"CASE k WHEN 4 THEN {none} WHEN 5 THEN array(array('S3')) ELSE array(array('S1')) END AS groups")
+    references = o.where("k <> 7").selectExpr("doc_id", "'C1' AS ref_id", "IF(k = 8, 'E9', 'E1') AS observed_entity_id", "true AS unambiguous", f"{quote(('S1', 'Kim'), ('S2', 'He'))} AS quotes", "IF(k = 9, array(array('S2')), array(array('S1', 'S2'))) AS groups")
+    extra = o.where("k IN (10, 11)").selectExpr("doc_id", "'E1/E3' AS item_id", f"IF(k = 10, {no_quotes}, {quote(('S3', 'text'))}) AS quotes", f"IF(k = 10, {none}, array(array('S3'))) AS groups")
+    persons = o.selectExpr("doc_id", "'E1' AS name_entity_id", "IF(k = 12, 'doctor', 'applicant') AS role", "'actual_party' AS context_kind", f"{quote(('S1', 'Kim'))} AS quotes", "array(array('S1')) AS groups")
+    ids = "cast(array() AS array<string>)"
+    reviewed = review.Reviewed(
+        relations=relations, references=references, extra=extra, persons=persons,
+        counts=o.selectExpr("doc_id", "IF(k = 15, 2, 1) AS actual_person_count", "1 AS n_parties", "0 AS unregistered_names"),
+        unregistered=o.where("k = 13").selectExpr("doc_id", "'S3' AS sentence_id"),
+        contradictions=o.where("k = 13").selectExpr("doc_id", f"explode(array(array('S9'), {ids})) AS sentence_ids"),
+        findings=o.where("k IN (14, 15)").selectExpr("doc_id", "IF(k = 14, 'fluency', 'format') AS kind", f"IF(k = 14, {ids}, array('S2', 'S3')) AS sentence_ids", "array('R1') AS relation_ids"),
+        grades=o.selectExpr("doc_id", "k <> 15 AS format_ok", f"IF(k = 14, '{review.MIDDLE}', '{review.TOP}') AS overall", f"'{review.TOP}' AS consistency", f"IF(k = 15, '{review.LOW}', '{review.TOP}') AS suitability", f"'{review.MIDDLE}' AS fluency"),
+        planned=o.selectExpr("doc_id", "'R1' AS relation_id", "'E1' AS source", "'E2' AS target", "'PII' AS target_privacy"), refs=o.selectExpr("doc_id", "'C1' AS ref_id", "'E1' AS entity_id", "array('S2') AS sentence_ids"),
+        people=o.selectExpr("doc_id", "'E1' AS name_entity_id", "'applicant' AS role", "'actual_party' AS context_kind"), names=o.selectExpr("doc_id", "'E1' AS name_entity_id", "array('S1') AS sentence_ids"),
+        mentions=mentions, documents=review.by_document(sentences, referred),
+    )
+    return review.full_gate(reviewed)
+
+
 QUERIES = {f.__name__: f for f in (
-    final_consonants, particle_markers, numeric_field_values, typed_tokens, rendered_orders, value_groups, value_conflicts, person_links, party_links, direct_evidence, segment_ids, spec_findings, concrete_facts,
+    full_review, final_consonants, particle_markers, numeric_field_values, typed_tokens, rendered_orders, value_groups, value_conflicts, person_links, party_links, direct_evidence, segment_ids, spec_findings, concrete_facts,
     repair_audit, same_multisets, neighbours, reviewer_views, consumer_views, unplanned_pairs,
 )}
 
@@ -159,6 +189,11 @@ _G = f"""{_E}, h AS (SELECT plan_id, max(CASE WHEN n = 1 THEN s END) AS s1, max(
         m AS (SELECT e.*, CASE WHEN plan_id % 2 = 0 AND s = s2 THEN s1 ELSE s END AS g FROM e JOIN h USING (plan_id)), v AS (SELECT *, min(entity_id) OVER (PARTITION BY plan_id, g) AS value_group FROM m)"""
 _HEARD = "CASE right(c_name, 1) WHEN '0' THEN 21 WHEN '1' THEN 8 WHEN '3' THEN 16 WHEN '6' THEN 1 WHEN '7' THEN 8 WHEN '8' THEN 8 ELSE 0 END"
 ORACLES = {
+    "full_review": """SELECT o_orderkey AS doc_id, code, target FROM orders JOIN (VALUES (1, 'REVIEW_QUOTE', 'S1'), (1, 'REVIEW_EVIDENCE_QUOTE_MISSING', 'S1'), (2, 'RELATION_MEANING', 'R1'), (3, 'PRIVACY_AMBIGUOUS', 'R1'),
+        (4, 'REVIEW_MISSING_EVIDENCE', 'R1'), (5, 'REVIEW_ENDPOINT_EVIDENCE', 'R1'), (6, 'REVIEW_RELATION_COVERAGE', 'R1'), (6, 'REVIEW_RELATION_COVERAGE', 'R9'), (7, 'REVIEW_REFERENCE_COVERAGE', 'C1'),
+        (8, 'REVIEW_REFERENCE_ENTITY', 'C1'), (8, 'REFERENCE_MEANING', 'C1'), (9, 'REVIEW_REFERENCE_CONNECTION', 'C1'), (10, 'REVIEW_EXTRA_EVIDENCE', 'E1/E3'), (10, 'UNPLANNED_RELATIONS', ''), (11, 'UNPLANNED_RELATIONS', 'S3'),
+        (12, 'PERSON_ROLE_MEANING', 'E1'), (13, 'UNREGISTERED_ENTITIES', 'S3'), (13, 'REVIEW_TEXT_TARGET', 'S9'), (13, 'CONTRADICTIONS', ''), (14, 'REVIEW_TEXT_TARGET', ''), (14, 'QUALITY_GRADE', ''), (14, 'REVIEW_QUALITY_TARGET', ''),
+        (15, 'TEXT_FORMAT', 'S2'), (15, 'TEXT_FORMAT', 'S3'), (15, 'FORMAT_MEANING', ''), (15, 'QUALITY_GRADE', ''), (15, 'REVIEW_PERSON_COUNT', ''), (15, 'PERSON_COUNT_MEANING', '')) f(k, code, target) ON o_orderkey % 16 = k""",
     "final_consonants": f"SELECT c_custkey, {_HEARD} AS heard, CASE {_HEARD} WHEN 0 THEN '는' ELSE '은' END AS topic, CASE WHEN {_HEARD} IN (0, 8) THEN '로' ELSE '으로' END AS way, '이다' AS copula FROM customer",
     "particle_markers": """SELECT c_custkey, CASE c_custkey % 6 WHEN 2 THEN '<NAME:E1>에 왔다' WHEN 3 THEN '<NAME:E1>{josa:이/가} 왔다' WHEN 4 THEN '<NAME:E1>{josa:x/y} 왔다' WHEN 5 THEN '은 왔다' ELSE '<NAME:E1>{josa:은/는} 왔다' END || c_custkey AS text FROM customer""",
     "numeric_field_values": "SELECT o_orderkey, '금액' AS label, o_orderkey || '원' AS amount FROM orders UNION ALL SELECT o_orderkey, '기간', (o_orderkey % 30) || '일' FROM orders",
