@@ -98,3 +98,32 @@ def section_shortage(rows: DataFrame, keys: list[str], length: Column, least: Co
     """By keys: characters there, and how many are missing to the target."""
     per = rows.groupBy(*keys).agg(F.sum(length).alias("n_chars"), F.max(least).alias("target"))
     return per.withColumn("shortage", F.greatest(F.lit(0), F.col("target") - F.col("n_chars")))
+
+
+def design(candidates: DataFrame, fields: list[str]) -> DataFrame:
+    """(field, value, n): `design_counts` of several fields of the condition in one pass over the candidates."""
+    known = candidates.where(F.col("condition_json").isNotNull() & (F.col("condition_json") != ""))
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.get_json_object("condition_json", f"$.{f}").alias("value")) for f in fields])
+    return known.select(F.explode(each).alias("x")).groupBy("x.field", "x.value").agg(F.count("*").alias("n"))
+
+
+def mention_distribution(sentences: DataFrame, mentions: DataFrame, labels: DataFrame) -> DataFrame:
+    """By document: mentions of personal and other entities, the personal share (0 without mentions), and per group the scenes and thirds of the document that have some, and the entities mentioned more than once.
+
+    sentences: doc_id, position, sentence, scene_id; mentions: doc_id, entity_id, position, begin; labels: doc_id, entity_id, privacy. Sentences stand end to end.
+    """
+    placed = with_offsets(sentences, "doc_id", "position", "sentence")
+    total = sentences.groupBy("doc_id").agg(F.sum(F.length("sentence")).alias("__total"))
+    j = mentions.join(placed.select("doc_id", "position", "start", "scene_id"), ["doc_id", "position"]).join(total, "doc_id").join(labels, ["doc_id", "entity_id"])
+    third = F.least(F.lit(2), F.floor((F.col("start") + F.col("begin")) * 3 / F.greatest(F.lit(1), F.col("__total")))).cast("int")
+    entity = j.withColumn("third", third).groupBy("doc_id", "entity_id", "privacy").agg(F.count("*").alias("n"), F.collect_set("scene_id").alias("s"), F.collect_set("third").alias("t"))
+    out = []
+    for p, name in (("PII", "pii"), ("NON_PII", "non_pii")):
+        own = F.col("privacy") == p
+        both = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(own, F.col(c))))))
+        out += [F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias(f"{name}_mentions"), F.count_if(own & (F.col("n") > 1)).alias(f"{name}_repeated"), both("s").alias(f"{name}_scenes"), both("t").alias(f"{name}_thirds")]
+    per = sentences.select("doc_id").distinct().join(entity.groupBy("doc_id").agg(*out), "doc_id", "left")
+    counts = {c: F.coalesce(c, F.lit(0).cast("long")) for n in ("pii", "non_pii") for c in (f"{n}_mentions", f"{n}_repeated")}
+    per = per.withColumns(counts)
+    share = F.try_divide(F.col("pii_mentions"), F.col("pii_mentions") + F.col("non_pii_mentions"))
+    return per.withColumn("pii_share", F.coalesce(share, F.lit(0.0)))

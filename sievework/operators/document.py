@@ -273,3 +273,15 @@ def near_texts(texts: list[str], least: int = 24, threshold: float = 0.82) -> li
 def near_duplicates(texts: pd.Series) -> pd.Series:
     """near_texts of each row's array of texts."""
     return pd.Series([[] if t is None else [{"earlier": a, "later": b, "ratio": r} for a, b, r in near_texts(list(t))] for t in texts])
+
+
+def remapped_evidence(evidence: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Evidence (doc_id, relation_id, groups) after sentences got new ids or went. mapping: doc_id, old_id, new_id; an id without a row stays.
+
+    A relation any of whose ids stands for several sentences now loses its groups: which one was meant isn't known. Groups name a sentence once.
+    """
+    per = mapping.groupBy("doc_id", "old_id").agg(F.collect_set("new_id").alias("n"), F.count("*").alias("k")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("old_id", F.struct("n", "k")))).alias("__m"))
+    j = evidence.join(per, "doc_id", "left")
+    torn = F.exists(F.flatten("groups"), lambda s: F.coalesce(F.try_element_at("__m", s)["k"] > 1, F.lit(False)))
+    new = F.transform("groups", lambda g: F.array_distinct(F.transform(g, lambda s: F.coalesce(F.get(F.try_element_at("__m", s)["n"], F.lit(0)), s))))
+    return j.withColumn("groups", F.when(torn, F.slice("groups", 1, 0)).otherwise(new)).drop("__m")

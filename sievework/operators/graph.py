@@ -247,3 +247,13 @@ def plan_fingerprints(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         return pd.Series([fingerprint([(x["node"], x["label"]) for x in a], [(x["source"], x["target"], x["label"]) for x in (b if b is not None else [])]) for a, b in zip(n, e, strict=True)])
 
     return joined.select("plan_id", of("nodes", "edges").alias("fingerprint"))
+
+
+# A person's contact details aren't by themselves a duty to handle information.
+BARRED_RELATION, BARRED_TARGETS = "INFORMATION_GOVERNANCE", ("MOBILE_PHONE", "TELEPHONE", "EMAIL")
+
+
+def compatible(triples: DataFrame, subtypes: DataFrame) -> DataFrame:
+    """Triples (subtype, source_type, relation, target_type) that their subtype's list of relations (subtype, relation) allows, without those of a name's contact details as information governance."""
+    listed = triples.join(subtypes.select("subtype", "relation").distinct(), ["subtype", "relation"], "left_semi")
+    return listed.where(~((F.col("relation") == BARRED_RELATION) & (F.col("source_type") == "NAME") & F.col("target_type").isin(*BARRED_TARGETS)))

@@ -78,3 +78,10 @@ def domain_rollup(slots: DataFrame, candidates: DataFrame, supplemental: DataFra
     zero = [F.coalesce(x, F.lit(0)).alias(x) for x in ("accepted", "rejected")]
     joined = s.join(c, "domain", "left").select("domain", "slots", "base_slots", "supplemental_slots", "remaining_slots", *zero)
     return joined.withColumn("acceptance_rate", F.round(rate(F.col("accepted"), F.col("accepted") + F.col("rejected")), 6))
+
+
+def complete_with_coverage(quota: DataFrame, coverage: DataFrame, keys: list[str], enabled: bool = True) -> DataFrame:
+    """By keys: whether all slots are done (column complete of `completion`), whether every required label is met (column met of `zero_filled`, rows of the keys; none required counts as met), and both."""
+    met = coverage.groupBy(*keys).agg(F.bool_and("met").alias("coverage_complete"))
+    j = quota.join(met, keys, "left").withColumn("coverage_complete", F.coalesce("coverage_complete", F.lit(True)))
+    return j.select(*keys, F.col("complete").alias("quota_complete"), "coverage_complete", (F.col("complete") & (F.col("coverage_complete") | F.lit(not enabled))).alias("complete"))

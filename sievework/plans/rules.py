@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import text as t
-from sievework.operators import audits, document, drafts, graph, policies, review
+from sievework.operators import audits, dedup, document, drafts, graph, ledger, policies, review
 from sievework.plans.revisions import _lines
 from sievework.sources.tables import table
 
@@ -178,8 +178,59 @@ def full_review(spark: SparkSession, d: str) -> DataFrame:
     return review.full_gate(reviewed)
 
 
+def mention_distribution(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as documents, their lines as sentences of two scenes with a mention each; of three entities one is personal."""
+    lines = _lines(spark, d)
+    sentences = lines.selectExpr("doc_id", "n AS position", "concat('Line ', part, '.') AS sentence", "concat('SC', n % 2) AS scene_id")
+    mentions = lines.selectExpr("doc_id", "concat('E', part % 3) AS entity_id", "n AS position", "cast(part % 4 AS int) AS begin")
+    labels = lines.select("doc_id").distinct().selectExpr("doc_id", "explode(array('E0', 'E1', 'E2')) AS entity_id").selectExpr("doc_id", "entity_id", "IF(entity_id = 'E0', 'PII', 'NON_PII') AS privacy")
+    out = audits.mention_distribution(sentences, mentions, labels)
+    text = lambda c: F.coalesce(F.array_join(c, ","), F.lit("")).alias(c)
+    return out.select("doc_id", "pii_mentions", "non_pii_mentions", "pii_repeated", "non_pii_repeated", F.round("pii_share", 9).alias("pii_share"), text("pii_scenes"), text("non_pii_scenes"), text("pii_thirds"), text("non_pii_thirds"))
+
+
+def evidence_remap(spark: SparkSession, d: str) -> DataFrame:
+    """Relations whose sentences were renumbered: evidence that two sentences could be meant by goes."""
+    segments = _lines(spark, d).select("doc_id", F.col("n").alias("position"), F.expr("concat('S', part % 5)").alias("sentence_id"))
+    renamed = document.unique_ids(segments)
+    evidence = segments.select("doc_id", F.expr("concat('R', position)").alias("relation_id"), F.array(F.array("sentence_id", F.lit("S77")), F.array("sentence_id", "sentence_id")).alias("groups"))
+    out = document.remapped_evidence(evidence, renamed.select("doc_id", F.col("sentence_id").alias("old_id"), "new_id"))
+    return out.select("doc_id", "relation_id", F.array_join(F.transform("groups", lambda g: F.array_join(g, "+")), ",").alias("groups"))
+
+
+def design_table(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").select(F.when(F.col("o_orderkey") % 9 > 0, F.to_json(F.expr("struct(o_orderpriority AS format, o_orderstatus AS variant, o_custkey % 4 AS n_parties)"))).alias("condition_json"))
+    return audits.design(o, ["format", "variant", "n_parties"])
+
+
+def completion_state(spark: SparkSession, d: str) -> DataFrame:
+    """By nation: whether all orders are delivered or open, and whether all priorities were ordered three times."""
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("domain"), "o_orderstatus", "o_orderpriority", "o_orderkey")
+    quota = ledger.completion(o.where("o_orderkey % 50 = 0"), ["domain"], F.col("o_orderstatus") != "P")
+    required = o.select("domain").distinct().crossJoin(F.broadcast(o.select("o_orderpriority").distinct()))  # five priorities
+    counts = o.groupBy("domain", "o_orderpriority").agg(F.count("*").alias("n"))
+    met = required.join(counts, ["domain", "o_orderpriority"], "left").select("domain", (F.coalesce("n", F.lit(0)) >= 3).alias("met"))
+    return ledger.complete_with_coverage(quota, met, ["domain"])
+
+
+def compatible_triples(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    relation = "IF(p_type = 'PROMO', 'INFORMATION_GOVERNANCE', p_type)"
+    triples = part.selectExpr("p_partkey", "p_brand AS subtype", "IF(p_partkey % 2 = 0, 'NAME', 'SCHOOL') AS source_type", f"{relation} AS relation", "IF(p_partkey % 3 = 0, 'EMAIL', 'AGE') AS target_type")
+    allowed = part.where("p_retailprice % 100 > 50").selectExpr("p_brand AS subtype", f"{relation} AS relation")
+    return graph.compatible(triples, allowed).select("p_partkey", "subtype", "relation")
+
+
+def duplicate_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as candidates: their lines' flags are the plan, the number of lines the structure; every seventh format is fixed."""
+    per = _lines(spark, d).groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list("flag")), "").alias("plan"), F.count("*").alias("k"))
+    rows = per.join(table(spark, d, "orders"), F.col("doc_id") == F.col("o_orderkey")).selectExpr(
+        "doc_id", "plan", "concat('T', k) AS structure", "concat(o_orderpriority, o_custkey % 40) AS format", "o_custkey % 40 % 7 = 0 AS fixed_format", "o_totalprice % 100 / 100 AS jaccard", "o_custkey AS nearest")
+    return dedup.duplicate_issues(rows, "doc_id")
+
+
 QUERIES = {f.__name__: f for f in (
-    full_review, final_consonants, particle_markers, numeric_field_values, typed_tokens, rendered_orders, value_groups, value_conflicts, person_links, party_links, direct_evidence, segment_ids, spec_findings, concrete_facts,
+    mention_distribution, evidence_remap, design_table, completion_state, compatible_triples, duplicate_verdicts, full_review, final_consonants, particle_markers, numeric_field_values, typed_tokens, rendered_orders, value_groups, value_conflicts, person_links, party_links, direct_evidence, segment_ids, spec_findings, concrete_facts,
     repair_audit, same_multisets, neighbours, reviewer_views, consumer_views, unplanned_pairs,
 )}
 
@@ -189,6 +240,25 @@ _G = f"""{_E}, h AS (SELECT plan_id, max(CASE WHEN n = 1 THEN s END) AS s1, max(
         m AS (SELECT e.*, CASE WHEN plan_id % 2 = 0 AND s = s2 THEN s1 ELSE s END AS g FROM e JOIN h USING (plan_id)), v AS (SELECT *, min(entity_id) OVER (PARTITION BY plan_id, g) AS value_group FROM m)"""
 _HEARD = "CASE right(c_name, 1) WHEN '0' THEN 21 WHEN '1' THEN 8 WHEN '3' THEN 16 WHEN '6' THEN 1 WHEN '7' THEN 8 WHEN '8' THEN 8 ELSE 0 END"
 ORACLES = {
+    "mention_distribution": f"""WITH {_L}, t AS (SELECT *, length('Line ' || part || '.') AS len FROM l), p AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+          sum(len) OVER (PARTITION BY doc_id) AS total FROM t), m AS (SELECT doc_id, part % 3 AS e, 'SC' || (n % 2) AS scene, least(2, (start + part % 4) * 3 // total) AS third FROM p),
+        k AS (SELECT doc_id, e, count(*) AS c FROM m GROUP BY 1, 2), r AS (SELECT doc_id, count(*) FILTER (e = 0 AND c > 1) AS pr, count(*) FILTER (e > 0 AND c > 1) AS nr FROM k GROUP BY 1)
+        SELECT doc_id, count(*) FILTER (e = 0) AS pii_mentions, count(*) FILTER (e > 0) AS non_pii_mentions, any_value(pr) AS pii_repeated, any_value(nr) AS non_pii_repeated, round(CAST(count(*) FILTER (e = 0) AS DOUBLE) / count(*), 9) AS pii_share,
+          coalesce(string_agg(DISTINCT scene, ',' ORDER BY scene) FILTER (e = 0), '') AS pii_scenes, coalesce(string_agg(DISTINCT scene, ',' ORDER BY scene) FILTER (e > 0), '') AS non_pii_scenes,
+          coalesce(array_to_string(list_sort(list(DISTINCT CAST(third AS INTEGER)) FILTER (e = 0)), ','), '') AS pii_thirds, coalesce(array_to_string(list_sort(list(DISTINCT CAST(third AS INTEGER)) FILTER (e > 0)), ','), '') AS non_pii_thirds FROM m JOIN r USING (doc_id) GROUP BY 1""",
+    "evidence_remap": f"""WITH {_L}, b AS (SELECT doc_id, n, part % 5 AS s, count(*) OVER (PARTITION BY doc_id, part % 5) AS k, part % 5 = 0 OR row_number() OVER (PARTITION BY doc_id, part % 5 ORDER BY n) > 1 AS bad FROM l),
+        i AS (SELECT *, 'S' || CASE WHEN bad THEN max(s) OVER (PARTITION BY doc_id) + count(*) FILTER (bad) OVER (PARTITION BY doc_id ORDER BY n) ELSE s END AS id FROM b)
+        SELECT doc_id, 'R' || n AS relation_id, CASE WHEN k > 1 THEN '' ELSE id || '+S77,' || id END AS groups FROM i""",
+    "design_table": """WITH o AS (SELECT * FROM orders WHERE o_orderkey % 9 > 0) SELECT 'format' AS field, o_orderpriority AS value, count(*) AS n FROM o GROUP BY 2 UNION ALL SELECT 'variant', o_orderstatus, count(*) FROM o GROUP BY 2
+        UNION ALL SELECT 'n_parties', CAST(o_custkey % 4 AS VARCHAR), count(*) FROM o GROUP BY 2""",
+    "completion_state": """WITH o AS (SELECT c_nationkey AS domain, o_orderstatus, o_orderpriority, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey), q AS (SELECT domain, bool_and(o_orderstatus <> 'P') AS q FROM o WHERE o_orderkey % 50 = 0 GROUP BY 1),
+        c AS (SELECT domain, bool_and(n >= 3) AS c FROM (SELECT d.domain, p.o_orderpriority, count(o_orderkey) AS n FROM (SELECT DISTINCT domain FROM o) d CROSS JOIN (SELECT DISTINCT o_orderpriority FROM o) p LEFT JOIN o ON o.domain = d.domain AND o.o_orderpriority = p.o_orderpriority GROUP BY 1, 2) GROUP BY 1)
+        SELECT domain, q AS quota_complete, c AS coverage_complete, q AND c AS complete FROM q JOIN c USING (domain)""",
+    "compatible_triples": """WITH p AS (SELECT *, CASE WHEN p_type = 'PROMO' THEN 'INFORMATION_GOVERNANCE' ELSE p_type END AS relation FROM part)
+        SELECT p_partkey, p_brand AS subtype, relation FROM p WHERE (p_brand, relation) IN (SELECT (p_brand, relation) FROM p WHERE p_retailprice % 100 > 50) AND NOT (relation = 'INFORMATION_GOVERNANCE' AND p_partkey % 6 = 0)""",
+    "duplicate_verdicts": f"""WITH {_L}, g AS (SELECT doc_id, string_agg(flag, '' ORDER BY flag) AS plan, 'T' || count(*) AS structure FROM l GROUP BY 1),
+        r AS (SELECT *, o_orderpriority || (o_custkey % 40) AS f FROM g JOIN orders ON doc_id = o_orderkey), n AS (SELECT *, row_number() OVER (PARTITION BY structure, f ORDER BY doc_id) AS s, row_number() OVER (PARTITION BY plan ORDER BY doc_id) AS p FROM r)
+        SELECT doc_id, 'CONTENT_DUPLICATE' AS code, CAST(o_custkey AS VARCHAR) AS target FROM n WHERE o_totalprice % 100 / 100 >= 0.55 UNION ALL SELECT doc_id, 'STRUCTURE_DUPLICATE', structure FROM n WHERE s > 5 AND o_custkey % 40 % 7 <> 0 UNION ALL SELECT doc_id, 'PLAN_DUPLICATE', plan FROM n WHERE p > 3""",
     "full_review": """SELECT o_orderkey AS doc_id, code, target FROM orders JOIN (VALUES (1, 'REVIEW_QUOTE', 'S1'), (1, 'REVIEW_EVIDENCE_QUOTE_MISSING', 'S1'), (2, 'RELATION_MEANING', 'R1'), (3, 'PRIVACY_AMBIGUOUS', 'R1'),
         (4, 'REVIEW_MISSING_EVIDENCE', 'R1'), (5, 'REVIEW_ENDPOINT_EVIDENCE', 'R1'), (6, 'REVIEW_RELATION_COVERAGE', 'R1'), (6, 'REVIEW_RELATION_COVERAGE', 'R9'), (7, 'REVIEW_REFERENCE_COVERAGE', 'C1'),
         (8, 'REVIEW_REFERENCE_ENTITY', 'C1'), (8, 'REFERENCE_MEANING', 'C1'), (9, 'REVIEW_REFERENCE_CONNECTION', 'C1'), (10, 'REVIEW_EXTRA_EVIDENCE', 'E1/E3'), (10, 'UNPLANNED_RELATIONS', ''), (11, 'UNPLANNED_RELATIONS', 'S3'),
