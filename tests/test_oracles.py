@@ -8,7 +8,6 @@ import pytest
 from sievework import catalogue
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"gram_jaccard_pairs", "greedy_accept", "benchmark_nearest"}  # tested on fixtures and at sf0.01 by the driver
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +22,7 @@ def plain(rows):
     return sorted(tuple("None" if v is None else repr(round(v, 9)) if isinstance(v, float) else str(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, duck, name):
     df = catalogue.QUERIES[name](spark, FOLDER)
     cols = sorted(df.columns)
