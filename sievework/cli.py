@@ -1,15 +1,28 @@
-"""Reports, checks and exports from the command line: python -m sievework.cli report NAME FOLDER [--csv FILE], catalog, validate FOLDER, export LEDGER FOLDER."""
+"""Reports, checks and exports from the command line: python -m sievework.cli report NAME FOLDER [--csv FILE], catalog, validate FOLDER, export LEDGER FOLDER, inspect LEDGER CANDIDATE [history]."""
 
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 from sievework import catalogue
 from sievework.plans.documents import review_gate
 from sievework.session import session
-from sievework.sources import sinks, statistics
+from sievework.sources import sinks, statistics, tables
+
+
+def inspected(spark: SparkSession, ledger: str, candidate: str, part: str = "summary") -> dict | list | None:
+    """A candidate with its attempts and reviews, or its events, in order; None if there is no such candidate. A candidate's rows are bounded by its call limits."""
+    own = lambda name: [r.asDict() for r in tables.ledger(spark, ledger, name).where(F.col("candidate_id") == candidate).orderBy("id").collect()]
+    if part == "history":
+        return own("events")
+    rows = tables.ledger(spark, ledger, "candidates").where(F.col("candidate_id") == candidate).limit(1).collect()
+    return {"candidate": rows[0].asDict(), "stages": own("stage_attempts"), "reviews": own("reviews")} if rows else None
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -30,6 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     export = sub.add_parser("export", help="write the statistics of a ledger: a summary and its reports and tables as CSV")
     export.add_argument("ledger")
     export.add_argument("out")
+    inspect = sub.add_parser("inspect", help="what a ledger has of a candidate, as JSON")
+    inspect.add_argument("ledger")
+    inspect.add_argument("candidate")
+    inspect.add_argument("part", nargs="?", choices=("summary", "history"), default="summary")
     a = p.parse_args(argv)
     if a.task == "catalog":
         print("\n".join(sorted(catalogue.QUERIES)))
@@ -45,6 +62,12 @@ def main(argv: list[str] | None = None) -> int:
             print(sinks.text_table(df.limit(a.rows)))
     elif a.task == "validate":
         print(sinks.text_table(review_gate(spark, a.folder).groupBy("passed").count()))
+    elif a.task == "inspect":
+        found = inspected(spark, a.ledger, a.candidate, a.part)
+        if found is None:
+            print(f"CANDIDATE_NOT_FOUND {a.candidate}", file=sys.stderr)
+            return 1
+        print(json.dumps(found, ensure_ascii=False, indent=2))
     elif a.task == "export":
         statistics.export(spark, a.ledger, a.out)
     else:

@@ -75,3 +75,21 @@ def test_statistics_export(spark, tmp_path):
     assert got["by_domain"][0]["supplemental_slots"] == 1 and got["forecast"][0]["remaining_slots"] == 1
     assert spark.read.option("header", True).csv(str(tmp_path / "o/accepted_relations.csv")).first()["document_id"] == "d"
     assert len([p for p in (tmp_path / "o").iterdir() if p.name.endswith(".csv")]) == 13
+
+
+def test_inspection_of_a_candidate(spark, tmp_path, capsys):
+    import json
+
+    from sievework import cli
+    from sievework.sources import tables
+
+    folder = str(tmp_path)
+    tables.append(spark, folder, "candidates", spark.createDataFrame([("c1", "accepted"), ("c2", "rejected")], "candidate_id string, status string"))
+    tables.append(spark, folder, "stage_attempts", spark.createDataFrame([(2, "c1", 4), (1, "c1", 2), (3, "c2", 1)], "id long, candidate_id string, stage int"))
+    tables.append(spark, folder, "reviews", spark.createDataFrame([(1, "c1", "상")], "id long, candidate_id string, overall string"))
+    tables.append(spark, folder, "events", spark.createDataFrame([(5, "c1", "b"), (4, "c1", "a")], "id long, candidate_id string, kind string"))
+    assert cli.main(["inspect", folder, "c1"]) == 0
+    found = json.loads(capsys.readouterr().out)
+    assert found["candidate"]["status"] == "accepted" and [x["stage"] for x in found["stages"]] == [2, 4] and found["reviews"][0]["overall"] == "상"
+    assert [x["kind"] for x in cli.inspected(spark, folder, "c1", "history")] == ["a", "b"]
+    assert cli.main(["inspect", folder, "nobody"]) == 1
