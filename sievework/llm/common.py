@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -81,6 +83,14 @@ def discard(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Asks the driver for its garbage. Spark removes the shuffle files of a finished step only when the driver's objects for it are collected, which it may put off for long; a chain of steps would hold them all. The second time meets what the first has queued."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
+
+
 def fold(doc_id: Column | str) -> Column:
     """crc32(doc_id as text) mod 3; a null id counts as the empty text. Fold 1 is held out."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,26 +29,33 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievework.llm.common import discard, materialise, tidy
+from sievework.llm.common import discard, materialise, release, tidy
 
 _LAST = np.iinfo(np.int64).max  # stands for a null id
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 _ATTEMPTS = 4
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, w: bytes) -> int:
+        n = self[w] = len(self)
+        return n
+
+
 class _Words:
     """64-bit hashes of words; words are numbered as they come, up to a bound, and each is hashed once."""
 
     def __init__(self, salt: int, most: int = 400_000):
-        self.salt, self.most, self.number, self.hashes = salt, most, {}, np.zeros(0, np.uint64)
+        self.salt, self.most, self.number, self.hashes = salt, most, _Numbers(), np.zeros(0, np.uint64)
 
     def __call__(self, texts: list[list[bytes]]) -> np.ndarray:
         """Of all words of all texts, in one array."""
         if len(self.number) > self.most:
-            self.number, self.hashes = {}, np.zeros(0, np.uint64)
+            self.number, self.hashes = _Numbers(), np.zeros(0, np.uint64)
         number = self.number
-        n = sum(map(len, texts))
-        at = np.fromiter((number.setdefault(w, len(number)) for t in texts for w in t), np.int64, n)
+        at = np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
         if len(number) > len(self.hashes):
             new = [xxhash.xxh3_64_intdigest(w, self.salt) for w in islice(number, len(self.hashes), None)]
             self.hashes = np.concatenate([self.hashes, np.array(new, np.uint64)])
@@ -73,6 +80,15 @@ def _runs(words: np.ndarray, size: int, odd: np.uint64) -> np.ndarray:
     return _mix(h, odd)
 
 
+def _windows(words: np.ndarray, window: int, size: int, odd: np.uint64) -> np.ndarray:
+    """A hash of each window, of two runs that cover it where `size` allows."""
+    n = len(words) - window + 1
+    if n <= 0 or 2 * size < window:
+        return _runs(words, window, odd)
+    runs = _runs(words, size, odd)
+    return _mix(runs[:n] * odd ^ _mix(runs[window - size :], odd), odd)
+
+
 def _seeds(words: np.ndarray, lengths: list[int], size: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of texts in one array: hashes of the runs of `size` words, the places of all windows, the text of each, and the place of its seed, the least run within it, the first on ties."""
     runs = _runs(words, size, _ODD[0])
@@ -237,7 +253,7 @@ def _edges(held: DataFrame, window: int, size: int, salt: int) -> DataFrame:
             of = np.zeros(len(used), np.int64)
             of[back] = owner
             kept = np.isin(runs[used] ^ apart(of), mine)[back]
-            e, f = _runs(w, window, _ODD[0]), _runs(w, window, _ODD[2])
+            e, f = _windows(w, window, size, _ODD[0]), _windows(w, window, size, _ODD[2])
             padded = np.concatenate([[np.uint64(0)], e, [np.uint64(0)]])
             starts = np.cumsum([0, *lengths[:-1]])
             place, owner = place[kept], owner[kept]
@@ -300,13 +316,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text
     for attempt in range(_ATTEMPTS):
         salt = 0x5EED + attempt
         seeds, seeds_path = materialise(_shared_seeds(plain, buckets, window, seed_words, salt, batch_words))
+        release(spark)
         asked = firsts.join(seeds.groupBy("text_id").agg(F.collect_list("seed").alias("seeds")), "text_id").select("name", "at", "text_id", "seeds")
         texts = _texts(plain, False)
         edges, edges_path = materialise(_edges(texts.join(asked.hint("shuffle_hash"), ["name", "at"]), window, seed_words, salt))
+        release(spark)
         found, found_path = materialise(paths(edges))
+        release(spark)
         met = edges.join(found, ["e", "f"]).select("at", "text_id", F.struct("place", "n", "e", "f", (F.col("src_at") < F.col("at")).alias("goes")).alias("span"))
         spans, spans_path = materialise(met.groupBy("at", "text_id").agg(F.collect_set("span").alias("spans")))
         discard(spark, seeds_path, edges_path, found_path)
+        release(spark)
         wanted = spans.join(firsts.select("name", "at", "text_id"), ["at", "text_id"]).select("name", "at", "spans")
         cut, cut_path = materialise(_cut(texts.join(wanted.hint("shuffle_hash"), ["name", "at"]), window))
         discard(spark, spans_path)
