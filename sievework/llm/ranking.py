@@ -91,7 +91,7 @@ def build(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", block_
         if ids:
             yield flush()
 
-    blocks, _ = materialise(docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(tidy(run), _BLOCK))
+    blocks, _ = materialise(docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(tidy(run), _BLOCK), large_rows=True)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -225,7 +225,7 @@ def search(index: Index, items: DataFrame, k: int = 20, *, id_col: str = "item_i
     weight = F.floor(1000 * F.log((2.0 * index.documents + 2.0) / (2.0 * F.col("df") + 1.0))).cast("long")
     weighed = asked.join(df, "term").groupBy("row").agg(F.collect_list(F.struct("term", (F.col("times") * weight).alias("w"))).alias("own"))
     blocks, _ = materialise(_item_blocks(weighed, block_items, block_terms))
-    pairs = blocks.crossJoin(index.blocks)  # blocks of the stated items with blocks of the index
+    pairs = index.blocks.crossJoin(blocks)  # blocks of the index with blocks of the stated items; these, the smaller rows, are the side that a task may buffer
     documents, total = index.documents, index.total
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

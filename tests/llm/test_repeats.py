@@ -30,3 +30,20 @@ def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
     want = [(5, text(k)) for k in range(10) if k != 4] + [(3, text(4) + " more"), (3, text(20)), (None, text(30)), (None, text(31)), (None, ""), (5, ""), (5, "")]
     order = lambda x: (x[0] or 0, x[1])
     assert sorted(kept, key=order) == sorted(want, key=order)
+
+
+def test_large_rows_are_in_small_row_groups(spark):
+    """A task that writes or reads rows of megabytes holds a few of them, not all."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from sievework.llm.common import materialise
+
+    rows = spark.range(0, 60, 1, 1).select(F.expr("array_join(transform(sequence(1, 20000), i -> sha2(concat(id, ' ', i), 512)), '')").alias("block"))
+    df, path = materialise(rows, large_rows=True)
+    (file,) = glob.glob(f"{path}/*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert df.count() == 60
+    assert max(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)) <= 40 << 20
