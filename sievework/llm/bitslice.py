@@ -173,6 +173,18 @@ def _order(score: int) -> str:
     return up if score > 0 else "".join(str(9 - int(c)) for c in up)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Integers in the fewest bytes that hold them all."""
+    for kind in ("<i2", "<i4"):
+        if len(values) and np.iinfo(kind).min <= values.min() and values.max() <= np.iinfo(kind).max:
+            return values.astype(kind).tobytes()
+    return values.astype("<i8").tobytes()
+
+
+def _integers(packed: bytes, rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(packed, f"<i{len(packed) // (rows * dim)}").reshape(rows, dim).astype(np.int64)
+
+
 def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int, sliced: bool) -> DataFrame:
     """Blocks of up to `most` rows of one vector length, as bytes, from the rows of each task; with `sliced` their bitmaps as well, `bits` slices a component. Wide blocks hold the components themselves as doubles."""
 
@@ -184,7 +196,7 @@ def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int, slice
 
         def flush(dim: int, wide: bool, parts: list) -> pa.RecordBatch:
             ids, values = (np.concatenate(x) for x in zip(*parts, strict=True))
-            cols = [pa.array([dim], pa.int32()), pa.array([wide]), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<f8" if wide else "<i8").tobytes()])]
+            cols = [pa.array([dim], pa.int32()), pa.array([wide]), pa.array([ids.astype("<i8").tobytes()]), pa.array([values.astype("<f8").tobytes() if wide else _packed(values)])]
             if sliced:
                 maps = np.zeros((dim, 0, 0), np.uint64) if wide else slices(values)[0]
                 cols += [pa.array([maps.shape[1]], pa.int32()), pa.array([maps.astype("<u8").tobytes()])]
@@ -219,9 +231,10 @@ def _blocks(rows: DataFrame, id_col: str, vec: str, scale: int, most: int, slice
 def top_k(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id", vec: str = "embedding", scale: int = 256, dropped: int = 2, block_rows: int = 16384, block_queries: int = 128) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best rows of `table`."""
     good = usable(vec) & F.col(id_col).isNotNull()
-    index, _ = materialise(_blocks(table.where(good), id_col, vec, scale, block_rows, True))
+    index, _ = materialise(_blocks(table.where(good), id_col, vec, scale, block_rows, True), large_rows=True)
     asked, _ = materialise(_blocks(queries.where(good), id_col, vec, scale, block_queries, False))
-    pairs = asked.toDF("q_dim", "q_wide", "q_ids", "q_vals").crossJoin(index)  # blocks of the stated queries with blocks of rows
+    # blocks of rows with blocks of the stated queries; these, the smaller ones, are the side that a task may buffer
+    pairs = index.crossJoin(asked.toDF("q_dim", "q_wide", "q_ids", "q_vals")).select("q_dim", "q_wide", "q_ids", "q_vals", *index.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, block = None, None
@@ -229,17 +242,17 @@ def top_k(table: DataFrame, queries: DataFrame, k: int, *, id_col: str = "vec_id
             for q_dim, q_wide, q_ids, q_vals, dim, wide, ids, vals, bits, maps in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if q_dim != dim:
                     continue
-                own = np.frombuffer(q_ids, "<i8")
+                own, size = np.frombuffer(q_ids, "<i8"), len(ids) // 8
                 if wide or q_wide:
-                    rows = np.frombuffer(vals, "<f8").reshape(-1, dim) if wide else np.frombuffer(vals, "<i8").reshape(-1, dim) / scale
-                    asked_ = np.frombuffer(q_vals, "<f8").reshape(-1, dim) if q_wide else np.frombuffer(q_vals, "<i8").reshape(-1, dim) / scale
+                    rows = np.frombuffer(vals, "<f8").reshape(-1, dim) if wide else _integers(vals, size, dim) / scale
+                    asked_ = np.frombuffer(q_vals, "<f8").reshape(-1, dim) if q_wide else _integers(q_vals, len(own), dim) / scale
                     got = [wide_search(np.frombuffer(ids, "<i8"), rows, int(i), v, k, scale) for i, v in zip(own, asked_, strict=True)]
                     exact = [s for _, x in got for s in x]
                     scores, order = [max(-_MOST, min(_MOST, s)) for s in exact], [_order(s) for s in exact]
                 else:
-                    q = np.frombuffer(q_vals, "<i8").reshape(-1, dim)
+                    q = _integers(q_vals, len(own), dim)
                     if last != ids:
-                        last, block = ids, Block(np.frombuffer(ids, "<i8"), np.frombuffer(vals, "<i8").reshape(-1, dim), dropped, np.frombuffer(maps, "<u8").reshape(dim, bits, -1))
+                        last, block = ids, Block(np.frombuffer(ids, "<i8"), _integers(vals, size, dim), dropped, np.frombuffer(maps, "<u8").reshape(dim, bits, -1))
                     got = [block.search(int(i), v, k) for i, v in zip(own, q, strict=True)]
                     scores = np.concatenate([s for _, s in got])
                     order = [""] * len(scores)
