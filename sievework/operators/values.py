@@ -15,6 +15,7 @@ from sievework.operators.sampling import UNIQUE
 from sievework.plans.steps import written
 
 _FIRST, _GROWTH, _LIST = 8, 8, 32  # rows of a first batch, how batches grow, and how many usable rows of a batch a group brings to the fold
+_SMALL = 1 << 15  # rows of a pool that is broadcast
 _CANDIDATE = "array<struct<j:bigint,uuid:string,v:array<struct<entity_id:string,entity_type:string,value:string,canonical_form:string>>>>"
 
 
@@ -61,7 +62,9 @@ def _choose(state: DataFrame, pool: DataFrame, size: int) -> DataFrame:
     unique = ", ".join(f"'{t}'" for t in UNIQUE)
     each = state.select("plan_id", "used", F.explode("open").alias("x")).select(
         "plan_id", "used", "x.*", F.explode(F.expr(f"sequence(x.asked, least(x.asked + x.batch, {modulus}L) - 1)")).alias("j"))
-    rows = each.withColumn("__n", F.expr(f"(start + j * stride) & {modulus - 1}L")).join(pool, "__n")
+    # exploded rows look small to the planner, and would be broadcast
+    near = F.broadcast(pool) if size <= _SMALL else pool.hint("merge")
+    rows = each.withColumn("__n", F.expr(f"(start + j * stride) & {modulus - 1}L")).join(near, "__n")
     fits = F.forall("ents", lambda e: F.map_contains_key("vals", e["entity_type"])) & F.forall("may", lambda m: F.coalesce(F.array_contains(m["allowed"], F.try_element_at("fields", m["field"])), F.lit(False)))
     rows = rows.where(fits)
     value = lambda e: F.element_at("vals", e["entity_type"])
@@ -82,7 +85,7 @@ def _choose(state: DataFrame, pool: DataFrame, size: int) -> DataFrame:
     takes = f"""named_struct('used', concat(a.used, transform(filter(p.v, e -> e.entity_type IN ({unique})), e -> concat(e.entity_type, '|', e.canonical_form))),
         'got', concat(a.got, array(named_struct('g', o.g, 'uuid', p.uuid, 'v', p.v))), 'rest', a.rest, 'failed', null)"""
     step = f"IF(size(a.rest) > 0, named_struct('used', a.used, 'got', a.got, 'rest', concat(a.rest, array(o)), 'failed', a.failed), transform(array({pick}), p -> IF(p IS NULL, {waits}, {takes}))[0])"
-    folded = state.drop("got").join(per, "plan_id", "left").select("plan_id", F.expr(f"aggregate(open, {start}, (a, o) -> {step})").alias("z"))
+    folded = state.drop("got").join(per.hint("merge"), "plan_id", "left").select("plan_id", F.expr(f"aggregate(open, {start}, (a, o) -> {step})").alias("z"))
     return folded.select("plan_id", F.when(F.col("z.failed").isNull(), F.col("z.rest")).otherwise(F.slice("z.rest", 1, 0)).alias("open"), F.col("z.used").alias("used"), F.col("z.failed").alias("failed"), F.col("z.got").alias("got"))
 
 

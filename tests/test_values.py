@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sievework.operators import values
 from sievework.operators.sampling import UNIQUE
 
@@ -71,3 +73,11 @@ def test_entities_that_must_differ(spark):
     assert got.count() == 4 and [tuple(x) for x in issues.collect()] == [(1, "POOL_DISTINCT_VALUE", "C1")]
     empty, none = values.select_values(groups.where("false"), pool, "s", types=["AGE"])
     assert empty.count() == none.count() == 0
+
+
+def test_exploded_rows_are_not_broadcast(spark):
+    groups = spark.createDataFrame([(p, g, f"E{g}", "NAME") for p in range(50) for g in range(3)], "plan_id long, value_group int, entity_id string, entity_type string")
+    pool = values.usable(spark.createDataFrame([(str(i), "Ann") for i in range(40)], "uuid string, NAME string"), ["NAME"], [])
+    state = values.written(values._asked(groups, None, "s").withColumn("got", F.lit(None).cast("array<string>")))
+    plan = values._choose(state, values.written(values.numbered(pool, "s")), 40)._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and plan.count("BroadcastExchange") == 1 and "SortMergeJoin" in plan
