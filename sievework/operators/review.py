@@ -6,7 +6,7 @@ mentions are brought to an item as one row of the document, so joins are by doc_
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.operators.document import issues
+from sievework.plans.steps import written
 
 # Codes by the kind of a text finding; the best grade and the one below.
 TEXT_CODES = {"fluency": "TEXT_FLUENCY", "consistency": "TEXT_CONSISTENCY", "format": "TEXT_FORMAT"}
@@ -227,7 +228,11 @@ class Reviewed:
 
 
 def full_gate(r: Reviewed) -> DataFrame:
-    """All issues of the gate with full evidence: coverage of relations, references and people, quotes, meaning, what the plan hasn't, findings, format and grades."""
+    """All issues of the gate with full evidence: coverage of relations, references and people, quotes, meaning, what the plan hasn't, findings, format and grades.
+
+    All tables have rows for every document, and such as compress well look small enough to be broadcast, which would take them through the driver: they are joined by sorting. What is found is written, since grades ask for it again.
+    """
+    r = Reviewed(**{f.name: getattr(r, f.name).hint("merge") for f in fields(r)})
     evidence = [df.select("doc_id", F.col(c).alias("item_id"), "quotes", "groups") for df, c in ((r.relations, "relation_id"), (r.references, "ref_id"), (r.extra, "item_id"), (r.persons, "name_entity_id"))]
     found = _union([
         coverage(r.relations, r.planned, "relation_id", "REVIEW_RELATION_COVERAGE"), coverage(r.references, r.refs, "ref_id", "REVIEW_REFERENCE_COVERAGE"), quote_issues(_union(evidence), r.documents),
@@ -235,4 +240,5 @@ def full_gate(r: Reviewed) -> DataFrame:
         _issue(r.unregistered, "UNREGISTERED_ENTITIES", F.col("sentence_id")), contradictions(r.contradictions, r.documents), targeted_findings(r.findings, r.planned, r.documents),
         _issue(r.grades.where(~F.coalesce("format_ok", F.lit(False))), "FORMAT_MEANING"),
     ])
-    return found.unionByName(quality(r.grades, found))
+    found = written(found)
+    return found.unionByName(quality(r.grades, found.hint("merge")))

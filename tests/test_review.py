@@ -2,6 +2,7 @@
 
 import pytest
 
+from sievework.plans import rules
 from sievework.operators import diagnosis, review
 
 
@@ -80,3 +81,9 @@ def test_section_order_and_repetition(spark):
     assert [r["sentence_id"] for r in diagnosis.in_section_order(segments, sections).orderBy("position").collect()] == ["S2", "S4", "S1", "S3"]
     r = diagnosis.repetition(segments).first()
     assert (r["sentences"], r["repeated"], r["share"]) == (3, 2, 0.6667)
+
+
+def test_the_full_gate_broadcasts_nothing(spark):
+    """Tables of a row per document compress well and look small; broadcast, they went through the driver."""
+    plan = rules.full_review(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
