@@ -1,7 +1,7 @@
 """Plans as folds: required relations under capacity, and seed graphs, for all conditions of a table at once.
 
 Both are sequential within a plan: each choice depends on those before. They are folds over the plan's own arrays with a typed state, inside the row, so plans are independent rows: no
-shuffle besides the join that brings a subtype's options, no Python, and nothing on the driver.
+shuffle besides the one that deals plans to tasks, no Python, and nothing on the driver.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievework.functions.nested import let
+
 # Organisations, and what a bridge may lead to.
 ORGANISATIONS = ("WORKPLACE", "DEPARTMENT", "SCHOOL")
 BRIDGE_TARGETS = ("TELEPHONE", "EMAIL", "ADDRESS", "BANK_ACCOUNT_NUMBER")
@@ -47,9 +49,16 @@ def with_options(conditions: DataFrame, options: DataFrame, seed: str) -> DataFr
     """Adds options_pii and options_non, array<struct<source, relation, target>>, in the order that the plan's seed gives; options: subtype, privacy, source, relation, target, rows of a subtype's catalogue, which is small by nature."""
     row = F.struct("source", "relation", "target")
     per = options.groupBy(F.col("subtype").alias("__s")).agg(*(F.array_sort(F.collect_set(F.when(F.col("privacy") == p, row))).alias(c) for p, c in (("PII", "__p"), ("NON_PII", "__q"))))
-    key = lambda o: F.sha2(F.concat_ws(":", F.lit(seed), F.col("plan_id").cast("string"), o["source"], o["relation"], o["target"]), 256)
-    shuffled = lambda c: F.transform(F.array_sort(F.transform(F.coalesce(c, F.array().cast("array<struct<source:string,relation:string,target:string>>")), lambda o: F.struct(key(o).alias("k"), o.alias("o")))), lambda x: x["o"])
-    joined = conditions.join(per, F.col("subtype").eqNullSafe(F.col("__s")), "left")
+    # what the hash reads of an option is written once a subtype, what it reads of a plan once a plan
+    named = lambda o: F.when(F.coalesce(o["source"], o["relation"], o["target"]).isNotNull(), F.concat_ws(":", o["source"], o["relation"], o["target"]))
+    per = per.select("__s", *(F.transform(c, lambda o: F.struct(named(o).alias("n"), o.alias("o"))).alias(c) for c in ("__p", "__q")))
+    none = F.array().cast("array<struct<n:string,o:struct<source:string,relation:string,target:string>>>")
+    plan = F.concat_ws(":", F.lit(seed), F.col("plan_id").cast("string"))
+    keyed = lambda c: let(plan, lambda p: F.transform(F.coalesce(c, none), lambda o: F.struct(F.sha2(F.concat_ws(":", p, o["n"]), 256).alias("k"), o["o"].alias("o"))))
+    shuffled = lambda c: F.transform(F.sort_array(keyed(F.col(c))), lambda x: x["o"])
+    # a plan is much work and few bytes, by which adaptive execution would put many into one task; it is dealt before its options are added, which are many times its size
+    spread = conditions.repartition(int(conditions.sparkSession.conf.get("spark.sql.shuffle.partitions")), "plan_id")
+    joined = spread.join(F.broadcast(per), F.col("subtype").eqNullSafe(F.col("__s")), "left")
     return joined.withColumns({"options_pii": shuffled("__p"), "options_non": shuffled("__q")}).drop("__s", "__p", "__q")
 
 
@@ -78,15 +87,17 @@ def seed_graph(conditions: DataFrame) -> DataFrame:
         'reserved', transform(filter(slice(t, i + 2, size(t)), x -> x.required IS NOT NULL), x -> x.required))))[0]"""
     # what a step knows: b.un, people without a relation; b.pairs, whether relations between people go first
     known = """named_struct('un', filter(people, p -> NOT array_contains(a.covered, concat('NAME:', p.person_id))),
-        'choices', filter(IF(s.slot.privacy = 'PII', options_pii, options_non), o -> s.slot.required IS NULL OR o.relation = s.slot.required))"""
+        'choices', transform(array(IF(s.slot.privacy = 'PII', options_pii, options_non)), l -> IF(s.slot.required IS NULL, l, filter(l, o -> o.relation = s.slot.required)))[0])"""
     narrowed = """named_struct('un', b.un, 'first', s.slot.privacy = 'PII' AND size(b.un) > 1 AND s.rest_pii <= size(b.un),
         'choices', IF(s.slot.privacy = 'PII' AND size(b.un) > 1 AND s.rest_pii <= size(b.un) AND exists(b.choices, o -> o.target = 'NAME'), filter(b.choices, o -> o.target = 'NAME'), b.choices))"""
-    ranked = f"""transform(array_sort(transform(c.choices, (o, i) -> named_struct(
-        'bridge', CASE WHEN c.first OR bridges = 0 OR s.slot.required IS NOT NULL THEN false
+    # 0 for null, 1 for false, 2 for true, as a sort would have them
+    place = lambda c: f"coalesce(cast({c} AS int) + 1, 0)"
+    bridge = f"""CASE WHEN c.first OR bridges = 0 OR s.slot.required IS NOT NULL THEN false
                        WHEN s.slot.privacy = 'PII' THEN size(a.orgs) = 0 AND o.target NOT IN ({orgs})
-                       ELSE a.bridged < bridges AND NOT (exists(a.orgs, g -> g.type = o.source) AND o.target IN ({targets})) END,
-        'reserved', profile AND s.slot.required IS NULL AND array_contains(s.reserved, o.relation),
-        'again', profile AND s.slot.required IS NULL AND exists(a.edges, e -> e.relation = o.relation), 'i', i, 'o', o))), x -> x.o)"""
+                       ELSE a.bridged < bridges AND NOT (exists(a.orgs, g -> g.type = o.source) AND o.target IN ({targets})) END"""
+    reserved = "(profile AND s.slot.required IS NULL AND array_contains(s.reserved, o.relation))"
+    again = "(profile AND s.slot.required IS NULL AND exists(a.edges, e -> e.relation = o.relation))"
+    rank = f"9 * {place(bridge)} + 3 * {place(reserved)} + {place(again)}"
     first = lambda array: f"try_element_at({array}, 1)"
     person = f"coalesce({first('c.un')}, IF(profile, {first('people')}, try_element_at(people, s.slot.index % greatest(size(people), 1) + 1))).person_id"
     owner = f"coalesce(IF(profile, {first('filter(people, p -> p.role = try_element_at(owners, o.relation))')}.person_id, NULL), {person})"
@@ -101,10 +112,12 @@ def seed_graph(conditions: DataFrame) -> DataFrame:
         WHEN s.slot.privacy = 'PII' THEN named_struct('source', concat('NAME:', {owner}), 'target', concat(o.target, ':', {owner}))
         WHEN {line} IS NOT NULL THEN named_struct('source', {line}, 'target', concat(o.target, ':org_', {line}))
         ELSE named_struct('source', concat(o.source, ':', {office}), 'target', concat(o.target, ':', IF(o.target = o.source, concat('office_target_', s.slot.index + 1), {office}))) END"""
-    feasible = """x -> x.source IS NOT NULL AND x.target IS NOT NULL AND x.source <> x.target AND NOT exists(a.edges, e -> e.relation = x.relation
+    feasible = """x.source IS NOT NULL AND x.target IS NOT NULL AND x.source <> x.target AND NOT exists(a.edges, e -> e.relation = x.relation
         AND (e.source = x.source AND e.target = x.target OR profile AND e.source = x.target AND e.target = x.source))"""
-    edge = first(f"""filter(transform({ranked}, o -> transform(array({ends}), n -> named_struct('slot_id', s.slot.slot_id, 'index', s.slot.index, 'privacy', s.slot.privacy,
-        'source', n.source, 'relation', o.relation, 'target', n.target))[0]), {feasible})""")
+    # the first feasible option of the least rank; ends are only looked for where an option ranks before the one found, and 13, all false, is the least rank that a feasible option with a relation has
+    edge = f"""aggregate(c.choices, named_struct('rank', 27, 'x', cast(NULL AS {_EDGES[6:-1]})), (f, o) -> IF(f.rank <= 13 AND bridges IS NOT NULL AND o.relation IS NOT NULL, f, transform(array({rank}), r ->
+        IF(r >= f.rank, f, transform(array({ends}), n -> transform(array(named_struct('slot_id', s.slot.slot_id, 'index', s.slot.index, 'privacy', s.slot.privacy, 'source', n.source, 'relation', o.relation, 'target', n.target)),
+            x -> IF({feasible}, named_struct('rank', r, 'x', x), f))[0])[0]))[0]), f -> f.x)"""
     empty = f"named_struct('edges', cast(array() AS {_EDGES}), 'covered', cast(array() AS array<string>), 'orgs', cast(array() AS array<struct<id: string, type: string>>), 'bridged', 0, 'failed', size(options_pii) = 0 OR size(options_non) = 0)"
     taken = f"""transform(array(transform(array(x), e -> named_struct('e', e, 'orgs', IF(e.privacy = 'PII' AND split(e.target, ':')[0] IN ({orgs}) AND NOT exists(a.orgs, g -> g.id = e.target),
             concat(a.orgs, array(named_struct('id', e.target, 'type', split(e.target, ':')[0]))), a.orgs)))[0]), y -> named_struct('edges', concat(a.edges, array(y.e)),
@@ -115,9 +128,7 @@ def seed_graph(conditions: DataFrame) -> DataFrame:
     done = """a -> named_struct('issue', CASE WHEN a.failed THEN 'SEED_GRAPH_CAPACITY' WHEN size(a.covered) <> size(people) THEN 'SEED_PERSON_CAPACITY' END,
         'edges', transform(array_sort(transform(a.edges, e -> named_struct('index', e.index, 'e', e))), x -> named_struct('slot_id', x.e.slot_id, 'privacy', x.e.privacy, 'source', x.e.source, 'relation', x.e.relation, 'target', x.e.target)))"""
     kind = {"owners": "map<string,string>", "pairs": "map<string,struct<a:string,b:string>>"}
-    # a plan is much work and few bytes, by which adaptive execution would put many into one task
-    spread = conditions.repartition(int(conditions.sparkSession.conf.get("spark.sql.shuffle.partitions")), "plan_id")
-    full = spread.select("*", *(F.lit(None).cast(t).alias(c) for c, t in kind.items() if c not in spread.columns)).withColumn("profile", F.col("owners").isNotNull() | F.col("pairs").isNotNull())
+    full = conditions.select("*", *(F.lit(None).cast(t).alias(c) for c, t in kind.items() if c not in conditions.columns)).withColumn("profile", F.col("owners").isNotNull() | F.col("pairs").isNotNull())
     out = full.select("plan_id", F.expr(f"aggregate({todo}, {empty}, (a, s) -> {step}, {done})").alias("g"))
     edges = F.col("g.edges")
     return out.select("plan_id", F.when(F.col("g.issue").isNull(), edges).otherwise(F.slice(edges, 1, 0)).alias("edges"), F.col("g.issue").alias("issue"))

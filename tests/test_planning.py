@@ -132,3 +132,11 @@ def test_seed_graphs(spark):
     assert found[900]["issue"] == "SEED_PERSON_CAPACITY" and found[901]["issue"] == "SEED_GRAPH_CAPACITY" and min(issues.values()) > 5, issues
     assert sum("org_" in e["target"] for x in found.values() for e in x["edges"]) > 5
     c.unpersist()
+
+
+def test_plans_are_dealt_before_their_options_are_added(spark):
+    """Options are many times a plan's size: dealt with them, a shuffle would hold the catalogue once a plan."""
+    from sievework.plans import planning as queries
+
+    plan = queries.seed_graphs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("sha2(") < plan.index("RepartitionByExpression")
