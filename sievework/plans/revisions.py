@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from sievework.functions import nested
 from sievework.operators import drafts, revisions
+from sievework.plans.steps import dealt
 from sievework.sources.tables import table
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, n, flag, part): lines of orders, numbered from 1."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(w).alias("n"), F.col("l_returnflag").alias("flag"), F.col("l_partkey").alias("part"))
+    return dealt(table(spark, d, "lineitem"), "l_orderkey").select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(w).alias("n"), F.col("l_returnflag").alias("flag"), F.col("l_partkey").alias("part"))
 
 
 def _drafts_and_patches(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:

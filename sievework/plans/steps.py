@@ -27,6 +27,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *keys: str, rows: int = 1 << 20) -> DataFrame:
+    """Rows dealt to tasks by their keys, about `rows` to a task whatever the number of rows, and to no fewer tasks than a shuffle has: what a task sorts or groups has a size that doesn't grow with the table.
+
+    Fixed shuffle partitions grow with it, and adaptive execution only ever makes them fewer. Counting a table of Parquet reads its footers.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-df.count() // rows)), *keys)
+
+
 def until_settled(state: DataFrame, step: Callable[[DataFrame], DataFrame], open_rows: str) -> DataFrame:
     """Applies `step`, writing each result, until no row meets the condition `open_rows`."""
     state = written(state)
