@@ -5,10 +5,10 @@ order of paths, the one that shares the longer start of the path. The lines of b
 subsequence, and shared lines are deleted. A partner that is a copy (of the shorter page's lines, `copy_share` or more are shared) says
 nothing about boilerplate; then the other one is asked, and if both are copies nothing is deleted.
 
-What the markup says outright is checked afterwards and wins over the alignment: lines of navigation, headers, footers,
-sidebars, notices, adverts, forms and comments go although no other page has them, and lines inside the page's article
-(<article> or <main>) stay although another page has them: two articles may quote the same passage. Where a page has an
-article, lines outside of it go.
+Every page is aligned. What the markup says outright is checked afterwards and wins over the alignment: lines of navigation, headers, footers,
+sidebars, notices, adverts, forms and comments go although no other page has them, and the paragraphs, headings, list items, cells and quotes
+inside the page's article (<article> or <main>) stay although another page has them: two articles may quote the same passage. Lines of an
+article that stand in none of these (text of a bare <div>, say) are the alignment's to delete. Where a page has an article, lines outside of it go.
 
 Lines are compared by 64-bit hashes, so what is shuffled for the pairing is a few bytes a line, ranged by host and path: a host with a third of all pages is
 many ranges. Pages at the ends of a range are paired in a second step over two rows a range, so that the result doesn't depend on where ranges end.
@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 
 from sievework.llm.common import materialise, tidy
 
-ARTICLE, OPEN, BOILERPLATE = "a", "o", "b"
+#: ARTICLE: in a text element of an article; LOOSE: in an article, but in no such element; OPEN: outside of articles.
+ARTICLE, LOOSE, OPEN, BOILERPLATE = "a", "l", "o", "b"
 _NAME = re.compile(r"</?([A-Za-z][^\s/>\"']*)")
 _ATTR = re.compile(r"""(class|id|role|style|aria-hidden|hidden|itemprop)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?(?=[\s/>]|\Z)""", re.I)
 #: Elements whose content is never text of the page.
@@ -46,6 +47,8 @@ _BLOCK = frozenset(
 )
 #: Elements that stay open until their end tag; what is said of them holds for all inside.
 _SCOPE = frozenset("article aside blockquote body details dialog div dl fieldset figure footer form header li main menu nav ol p section span table td tr ul".split())
+#: Elements that say of what is in them that it is text; the second kind ends with the next block.
+_TEXT, _LINE = frozenset("p li td blockquote".split()), frozenset("h1 h2 h3 h4 h5 h6 pre dt dd th caption figcaption".split())
 _GONE = frozenset("nav footer aside form menu dialog fieldset".split())
 _HINTS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar "
@@ -136,12 +139,12 @@ def lines(page: str | None) -> list[tuple[str, str]]:
     parts: list[str] = []
     stack: list[tuple[str, str]] = []  # (element, zone inside it)
     zone, at, inline, held = OPEN, 0, {}, Counter()  # held: open elements by tag
-    marks, endless = _Marks(page), set()
+    marks, endless, line = _Marks(page), set(), False  # line: in an element of _LINE
 
     def close() -> None:
         if parts:
             if text := " ".join("".join(parts).split()):
-                out.append((zone, text))
+                out.append((ARTICLE if line and zone == LOOSE else zone, text))
             parts.clear()
 
     while at < len(page):
@@ -173,6 +176,7 @@ def lines(page: str | None) -> list[tuple[str, str]]:
             continue
         if tag in _BLOCK:
             close()
+            line = tag in _LINE and not closes
         if tag not in _SCOPE:
             continue
         if closes:
@@ -191,9 +195,11 @@ def lines(page: str | None) -> list[tuple[str, str]]:
             outer = stack[-1][1] if stack else OPEN
             inner = outer
             if outer != BOILERPLATE:
-                if _gone(tag, attrs, outer == ARTICLE):
+                if _gone(tag, attrs, outer != OPEN):
                     inner = BOILERPLATE
-                elif tag in ("article", "main"):
+                elif outer == OPEN and tag in ("article", "main"):
+                    inner = LOOSE
+                elif outer == LOOSE and tag in _TEXT:
                     inner = ARTICLE
             if tag == "span" and inner != outer:
                 close()
@@ -282,15 +288,20 @@ def deleted(page: tuple, before: tuple | None, after: tuple | None, copy_share:
     return set()
 
 
+def undecided(found: list[tuple[str, str]]) -> list[int]:
+    """The lines of which the markup says neither that they are the article's text nor that they aren't: the alignment decides."""
+    left = LOOSE if any(z in (ARTICLE, LOOSE) for z, _ in found) else OPEN
+    return [i for i, (z, _) in enumerate(found) if z == left]
+
+
 def text_of(page: str | None, gone: set[int] | None = None) -> str:
-    """The main text: the article's lines, or where there is none those open lines that aren't deleted."""
+    """The main text: what the alignment left, checked against the markup: the text elements of an article stay, other lines of an article, and where there is none open lines, unless they are deleted."""
     found = lines(page)
-    if any(z == ARTICLE for z, _ in found):
-        return "\n".join(t for z, t in found if z == ARTICLE)
-    return "\n".join(t for i, (z, t) in enumerate(found) if z == OPEN and i not in (gone or ()))
+    open_ = set(undecided(found)) - (gone or set())
+    return "\n".join(t for i, (z, t) in enumerate(found) if z == ARTICLE or i in open_)
 
 
-_PAIRED = "key long, gone array<int>, edge boolean, part int, pos int, host string, path string, hashes array<long>, o_host string, o_path string, o_hashes array<long>"
+_PAIRED = "key long, gone array<int>, edge boolean, part int, pos int, host string, path string, hashes array<long>, free array<int>, o_host string, o_path string, o_hashes array<long>"
 
 
 def _hash(text: str) -> int:
@@ -298,7 +309,7 @@ def _hash(text: str) -> int:
 
 
 def differences(pages: DataFrame, *, page: str = "html", copy_share: float = 0.8) -> DataFrame:
-    """(key, gone): for the pages that have no article, the numbers of the lines that their partner shares."""
+    """(key, gone): of each page, the numbers of the lines that its partner shares. Those of which the markup says what they are aren't given, so few rows are joined."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -306,8 +317,8 @@ def differences(pages: DataFrame, *, page: str = "html", copy_share: float = 0.8
                 part = whole.slice(at, 512)
                 found = [lines(x) for x in part.column(3).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array([[_hash(t) for _, t in f] for f in found], pa.list_(pa.int64())), pa.array([not any(z == ARTICLE for z, _ in f) for f in found])],
-                    names=["key", "host", "path", "hashes", "open"],
+                    [*part.columns[:3], pa.array([[_hash(t) for _, t in f] for f in found], pa.list_(pa.int64())), pa.array([undecided(f) for f in found], pa.list_(pa.int32()))],
+                    names=["key", "host", "path", "hashes", "free"],
                 )
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,10 +327,9 @@ def differences(pages: DataFrame, *, page: str = "html", copy_share: float = 0.8
         task = TaskContext.get().partitionId()
         names = [f.name for f in schema.fields]
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        blank = [None] * 4
 
         def edge(row: tuple, pos: int, other: tuple | None) -> list:
-            return [row[0], None, True, task, pos, *row[1:4], *(other[1:4] if other else blank[:3])]
+            return [row[0], None, True, task, pos, *row[1:5], *(other[1:4] if other else [None] * 3)]
 
         def batch(out: list[list]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
@@ -332,8 +342,8 @@ def differences(pages: DataFrame, *, page: str = "html", copy_share: float = 0.8
                 out.append(edge(row, 0 if after else 2, after))
             elif after is None:
                 out.append(edge(row, 1, before))
-            elif row[4] and (gone := deleted(row[1:4], before[1:4], after[1:4], copy_share)):
-                out.append([row[0], sorted(gone), False, task, 0, None, None, None, None, None, None])
+            elif gone := deleted(row[1:4], before[1:4], after[1:4], copy_share).intersection(row[4]):
+                out.append([row[0], sorted(gone), False, task, 0, *[None] * 7])
             if len(out) >= 512:
                 yield batch(out)
                 out = []
@@ -344,22 +354,21 @@ def differences(pages: DataFrame, *, page: str = "html", copy_share: float = 0.8
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
         for i, (key, _, pos, *rest) in enumerate(ends):
-            page, inner = tuple(rest[:3]), tuple(rest[3:]) if rest[3] is not None else None
+            page, free, inner = tuple(rest[:3]), rest[3], tuple(rest[4:]) if rest[4] is not None else None
             before = tuple(ends[i - 1][3:6]) if pos in (0, 2) and i else inner if pos == 1 else None
             after = tuple(ends[i + 1][3:6]) if pos in (1, 2) and i + 1 < len(ends) else inner if pos == 0 else None
-            if gone := deleted(page, before, after, copy_share):
+            if gone := deleted(page, before, after, copy_share).intersection(free):
                 yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([sorted(gone)], pa.list_(pa.int32()))], names=["key", "gone"])
 
     schema = T._parse_datatype_string(_PAIRED)
     ints, hashes = pa.list_(pa.int32()), pa.list_(pa.int64())
-    kinds = [pa.int64(), ints, pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.string(), hashes, pa.string(), pa.string(), hashes]
-    read_in = pages.select("__key", "__host", "__path", F.col(page).cast("string")).mapInArrow(tidy(read), "key long, host string, path string, hashes array<long>, open boolean")
+    kinds = [pa.int64(), ints, pa.bool_(), pa.int32(), pa.int32(), pa.string(), pa.string(), hashes, ints, pa.string(), pa.string(), hashes]
+    read_in = pages.select("__key", "__host", "__path", F.col(page).cast("string")).mapInArrow(tidy(read), "key long, host string, path string, hashes array<long>, free array<int>")
     ranged = read_in.repartitionByRange("host", "path", "key").sortWithinPartitions("host", "path", "key")
     paired, _ = materialise(ranged.mapInArrow(tidy(align), schema))
     # two rows a range: the number of ranges bounds what this one task reads
-    ends = paired.where("edge").select("key", "part", "pos", "host", "path", "hashes", "o_host", "o_path", "o_hashes").coalesce(1).sortWithinPartitions("part", "pos")
+    ends = paired.where("edge").select("key", "part", "pos", "host", "path", "hashes", "free", "o_host", "o_path", "o_hashes").coalesce(1).sortWithinPartitions("part", "pos")
     done = ends.mapInArrow(tidy(finish), "key long, gone array<int>")
-    # an end page's lines count only where its page has no article; text_of sees to that
     return paired.where("not edge and gone is not null").select("key", "gone").unionByName(done)
 
 

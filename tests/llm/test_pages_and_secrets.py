@@ -73,6 +73,17 @@ def test_shared_lines_go_unless_the_partner_is_a_copy(spark):
         assert got[7] == got[8] == ""
 
 
+def test_alignment_decides_lines_that_no_text_element_of_an_article_holds(spark):
+    def article(*lines):
+        return "<nav>Home</nav><article><h1>Quoted title</h1>" + "".join(f"<p>{x}</p>" for x in lines) + "<p>Quoted by all</p><div>Join our list today</div><div>bare " + lines[0] + "</div></article>"
+
+    rows = [(i, f"http://h.org/a/{i}", article(f"text {i}", f"more {i}", f"end {i}")) for i in range(12)]
+    for parts in (1, 4):
+        got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, MAKE).repartition(parts)).collect()}
+        assert got == {i: f"Quoted title\ntext {i}\nmore {i}\nend {i}\nQuoted by all\nbare text {i}" for i in range(12)}
+    assert text_of("<article>loose<h2>head</h2>more<ul><li>item</ul></article><p>out") == "loose\nhead\nmore\nitem"
+
+
 def test_pages_edge_cases(spark):
     empty = spark.createDataFrame([], MAKE + ", text string, key long")
     out = html_extract.extract(empty)
