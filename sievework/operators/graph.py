@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,8 +80,7 @@ def value_group_edges(entities: DataFrame, constraints: DataFrame, relations: Da
     plan_id, name_entity_id, entity_id, link_kind.
     """
     slot = entities.where(F.coalesce("slot_group", F.lit("")) != "")
-    head = slot.groupBy("plan_id", "slot_group").agg(F.min("entity_id").alias("a"))
-    by_slot = slot.join(head, ["plan_id", "slot_group"]).select("plan_id", "a", F.col("entity_id").alias("b"))
+    by_slot = slot.select("plan_id", F.min("entity_id").over(Window.partitionBy("plan_id", "slot_group")).alias("a"), F.col("entity_id").alias("b"))
     same = constraints.where(F.col("kind").isin("same_persona", "same_organization")).select("plan_id", F.element_at("entity_ids", 1).alias("a"), F.explode("entity_ids").alias("b"))
     kinds = entities.select("plan_id", "entity_id", "entity_type")
     owned = (
@@ -91,22 +93,58 @@ def value_group_edges(entities: DataFrame, constraints: DataFrame, relations: Da
     return by_slot.unionByName(same).unionByName(sole).unionByName(said.where("k = 1").select("plan_id", "a", "b")).where("a <> b").distinct()
 
 
-def value_groups(entities: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(plan_id, entity_id, value_group): the group's least entity; an entity without a tie is its own group."""
-    key = lambda c: F.concat_ws("\u0001", "plan_id", c)
-    found = components(pairs.select(key("a").alias("a"), key("b").alias("b")), "a", "b")
-    joined = entities.select("plan_id", "entity_id").join(found, key("entity_id") == F.col("node"), "left")
-    return joined.select("plan_id", "entity_id", F.coalesce(F.split_part("component", F.lit("\u0001"), F.lit(2)), F.col("entity_id")).alias("value_group"))
+def _least(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """Of each of n nodes, the least node that it reaches over the edges u, v. In a round each part hooks onto the least of its neighbours, so at most half of them are left."""
+    at = np.arange(n)
+    while len(u):
+        low = np.minimum(u, v)
+        np.minimum.at(at, u, low)
+        np.minimum.at(at, v, low)
+        while not np.array_equal(at, up := at[at]):
+            at = up
+        u, v = at[u], at[v]
+        u, v = u[u != v], v[u != v]
+    return at
+
+
+def value_groups(entities: DataFrame, pairs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(plan_id, entity_id, value_group) and the columns `keep` of entities: the group's least entity; an entity without a tie is its own group.
+
+    A plan is a row of its entities and pairs, and nothing but the join of both is moved: not even that where both are dealt by plan. Time and memory grow with a plan's pairs, whatever their shape.
+    """
+    mine = entities.groupBy("plan_id").agg(F.collect_list(F.struct("entity_id", *keep)).alias("e"))
+    ties = pairs.where("a IS NOT NULL AND b IS NOT NULL").groupBy("plan_id").agg(F.collect_list(F.struct("a", "b")).alias("t"))
+    kinds = [entities.schema[c] for c in ("plan_id", "entity_id", *keep)]
+    schema = T.StructType([*kinds[:2], T.StructField("value_group", kinds[1].dataType), *kinds[2:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plan, e, t = batch.columns
+            own, row, tied = e.flatten(), pc.list_parent_indices(e).to_numpy(), pc.list_parent_indices(t).to_numpy()
+            ends = t.flatten()
+            names = pa.concat_arrays([own.field(0), ends.field(0), ends.field(1)]).dictionary_encode()
+            order = pc.sort_indices(names.dictionary).to_numpy().astype(np.int64)
+            place = np.empty(len(order) + 1, np.int64)
+            place[order], place[-1] = np.arange(len(order)), len(order)  # a null id comes last
+            code = place[names.indices.fill_null(len(order)).to_numpy()]
+            # nodes are numbered by row and, in it, in the order of their names
+            nodes, at = np.unique(np.concatenate([row, tied, tied]) * (len(order) + 1) + code, return_inverse=True)
+            k, m = len(row), len(tied)
+            least = nodes[_least(at[k : k + m], at[k + m :], len(nodes))[at[:k]]] % (len(order) + 1)
+            named = pa.array(np.append(order, 0)[least], mask=least == len(order))
+            yield pa.RecordBatch.from_arrays([plan.take(pa.array(row)), own.field(0), names.dictionary.take(named), *(own.field(i + 1) for i in range(len(keep)))], names=schema.names)
+
+    return mine.join(ties, "plan_id", "left").select("plan_id", "e", "t").mapInArrow(run, schema)
 
 
 def group_conflicts(entities: DataFrame, groups: DataFrame, constraints: DataFrame) -> DataFrame:
     """(plan_id, value_group, code, detail): a type that a group holds twice, and occupation constraints on one field of a group whose allowed values have nothing in common."""
-    typed = groups.join(entities.select("plan_id", "entity_id", "entity_type"), ["plan_id", "entity_id"])
+    typed = groups if "entity_type" in groups.columns else groups.join(entities.select("plan_id", "entity_id", "entity_type"), ["plan_id", "entity_id"])
     twice = typed.groupBy("plan_id", "value_group", "entity_type").agg(F.count("*").alias("k")).where("k > 1")
     first = twice.select("plan_id", "value_group", F.lit("VALUE_GROUP_TYPE_CONFLICT").alias("code"), F.col("entity_type").alias("detail"))
     own = constraints.where("kind = 'occupation'").select("plan_id", "constraint_id", F.when(F.coalesce("field", F.lit("")) == "", F.lit("occupation")).otherwise(F.col("field")).alias("field"), "allowed_values", F.explode("entity_ids").alias("entity_id"))
-    each = own.join(groups, ["plan_id", "entity_id"]).select("plan_id", "value_group", "field", "constraint_id", "allowed_values").distinct()
-    lists = F.collect_list("allowed_values")
+    each = own.join(groups.select("plan_id", "entity_id", "value_group"), ["plan_id", "entity_id"])
+    lists = F.filter(F.transform(F.collect_set(F.struct("constraint_id", "allowed_values")), lambda x: x["allowed_values"]), F.isnotnull)
     common = F.aggregate(F.slice(lists, 2, F.greatest(F.size(lists) - 1, F.lit(0))), F.element_at(lists, 1), lambda x, y: F.array_intersect(x, y))
     empty = each.groupBy("plan_id", "value_group", "field").agg(common.alias("c")).where("size(c) = 0")
     return first.unionByName(empty.select("plan_id", "value_group", F.lit("VALUE_ALLOWED_CONFLICT").alias("code"), F.col("field").alias("detail")))

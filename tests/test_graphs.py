@@ -62,6 +62,30 @@ def test_value_groups(spark):
     assert kinds[("E1", "E1")] == "identity" and kinds[("E1", "E2")] == "personal_attribute"
 
 
+def test_value_groups_take_no_rounds(spark):
+    """A path, a star, parts that meet late, repeated and null ids: found in few jobs, whatever their shape."""
+    rng = random.Random(5)
+    plans = {"path": [(f"E{i:03}", f"E{i + 1:03}") for i in range(299)], "star": [("E150", f"E{i:03}") for i in range(300)], "none": [], **{f"r{k}": [(f"E{rng.randrange(300):03}", f"E{rng.randrange(300):03}") for _ in range(60 * k)] for k in range(1, 6)}}
+    rng.shuffle(plans["path"])
+    entities = spark.createDataFrame([(p, f"E{i:03}", i) for p in plans for i in range(300)] + [("path", None, -1), (None, "E000", -2), ("star", "E007", -3)], "plan_id string, entity_id string, i int")
+    pairs = spark.createDataFrame([(p, a, b) for p, e in plans.items() for a, b in e if a != b], "plan_id string, a string, b string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("rounds", "value groups")
+    got = graph.value_groups(entities, pairs, ("i",)).collect()
+    jobs = len(tracker.getJobIdsForGroup("rounds"))
+    spark.sparkContext.setJobGroup("tests", "")
+    want = {}
+    for p, edges in plans.items():
+        head = {f"E{i:03}": f"E{i:03}" for i in range(300)}
+        while any(head[a] != head[b] for a, b in edges):
+            for a, b in edges:
+                head[a] = head[b] = min(head[a], head[b])
+        want |= {(p, k): v for k, v in head.items()}
+    want |= {("path", None): None, (None, "E000"): "E000"}
+    assert len(got) == 300 * len(plans) + 3 and all(r["value_group"] == want[r["plan_id"], r["entity_id"]] for r in got)
+    assert {r["i"] for r in got} == {*range(-3, 300)} and jobs <= 6
+
+
 def test_render_and_annotate(spark):
     segments = spark.createDataFrame([("d", 0, "<NAME:E1>{josa:은/는} <REF:C1> 😀 <EMAIL:E2>."), ("d", 1, "plain")], "doc_id string, position int, text string")
     values = spark.createDataFrame([("d", "E1", "NAME", "홍길동"), ("d", "C1", "REF", "팀장"), ("d", "E2", "EMAIL", "a@b.kr")], "doc_id string, slot string, kind string, value string")
