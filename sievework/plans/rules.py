@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sievework.functions import text as t
 from sievework.operators import audits, dedup, document, drafts, graph, ledger, policies, review
 from sievework.plans.revisions import _lines
+from sievework.plans.steps import dealt, written
 from sievework.sources.tables import table
 
 
@@ -62,16 +63,16 @@ def _groups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFram
     entities, constraints, relations = _people(spark, d)
     links = entities.limit(0).select("plan_id", F.lit("").alias("name_entity_id"), "entity_id", F.lit("").alias("link_kind"))
     pairs = graph.value_group_edges(entities, constraints, relations.where("false"), links)
-    return graph.value_groups(entities, pairs), entities, constraints
+    return graph.value_groups(entities, pairs, ("entity_type",)), entities, constraints
 
 
 def value_groups(spark: SparkSession, d: str) -> DataFrame:
-    return _groups(spark, d)[0]
+    return _groups(spark, d)[0].drop("entity_type")
 
 
 def value_conflicts(spark: SparkSession, d: str) -> DataFrame:
     groups, entities, constraints = _groups(spark, d)
-    return graph.group_conflicts(entities, groups, constraints)
+    return graph.group_conflicts(entities, dealt(written(groups), "plan_id"), constraints)
 
 
 def person_links(spark: SparkSession, d: str) -> DataFrame:
