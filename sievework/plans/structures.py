@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import text as t
 from sievework.operators import dedup, document, graph, sampling
+from sievework.plans.steps import dealt
 from sievework.sources.tables import table
 
 THRESHOLD = 0.55
@@ -108,7 +109,7 @@ def evidence_modes(spark: SparkSession, d: str) -> DataFrame:
 
 def plan_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     """Orders whose parts, suppliers and flags make the same graph have the same fingerprint."""
-    e = _edges(spark, d).select("plan_id", "source", "target", F.col("flag").alias("label"))
+    e = dealt(_edges(spark, d).select("plan_id", "source", "target", F.col("flag").alias("label")), "plan_id")
     nodes = e.select("plan_id", F.explode(F.array("source", "target")).alias("node")).distinct().withColumn("label", F.substring("node", 1, 1))
     return graph.plan_fingerprints(nodes, e)
 

@@ -48,6 +48,25 @@ def test_plan_fingerprint_invariance(spark):
     assert {r["plan_id"]: r["fingerprint"] for r in df.collect()} == {"p": same, "q": graph.fingerprint([("k", "N")], [])}
 
 
+def test_parts_under_other_names_are_searched_once(monkeypatch):
+    searched, search = [], graph._Search
+    monkeypatch.setattr(graph, "_Search", lambda *a: searched.append(1) or search(*a))
+    graph._known.cache_clear()
+    rng, found = random.Random(7), {}
+    for i in range(200):
+        names = [f"n{k}" for k in rng.sample(range(1000), 7)]
+        a, b, c, s, t, u, v = names
+        edges = [(a, s, "N"), (b, s, "R"), (c, t, "N"), (c, u, "A"), (v, v, "N")] + ([(b, t, "N")] if i % 2 else [])
+        rng.shuffle(names), rng.shuffle(edges)
+        found.setdefault(i % 2, set()).add(graph.fingerprint([(x, "P" if x in (a, b, c) else "S") for x in names], edges))
+    graph._known.cache_clear()
+    assert len(found[0]) == len(found[1]) == 1 and found[0] != found[1] and len(searched) == 4
+    # what a cached part gives is what a search gives
+    label = {"P1": "P", "S1": "S", "S2": "S"}
+    out, into = {"P1": [("N", "S1"), ("R", "S2")], "S1": [], "S2": []}, {"P1": [], "S1": [("N", "P1")], "S2": [("R", "P1")]}
+    assert graph.fingerprint(label.items(), [("P1", "S1", "N"), ("P1", "S2", "R")]) == graph._digest([search(label, out, into).best])
+
+
 def test_value_groups(spark):
     entities = spark.createDataFrame([("p", "E1", "NAME", ""), ("p", "E2", "EMAIL", ""), ("p", "E3", "AGE", "g"), ("p", "E4", "AGE", "g"), ("p", "E5", "SCHOOL", None), ("p", "E6", "NAME", ""), ("p", "E7", "RRN", "")], "plan_id string, entity_id string, entity_type string, slot_group string")
     constraints = spark.createDataFrame([("p", "K1", "same_persona", ["E1", "E3"], "", []), ("p", "K2", "occupation", ["E3"], "", ["a", "b"]), ("p", "K3", "occupation", ["E4"], "occupation", ["c"])], "plan_id string, constraint_id string, kind string, entity_ids array<string>, field string, allowed_values array<string>")
