@@ -8,7 +8,8 @@ below the k-th score so far. A task keeps the best of all its blocks, so later b
 
 Impacts depend on the mean length of all documents, so lists are sorted when they are searched, not when blocks are written.
 
-Blocks of items meet all blocks of the index. A block is bounded by `block_docs` and `block_postings` (one document may be more by itself), a block of items by
+Whole blocks pass between the JVM and Python, so their integers take as few bytes as the largest of a block needs: mostly three or four for a document of a term and how often it holds it.
+Blocks of items meet all blocks of the index; a block of the index passes once for each block of items, so these are large. A block is bounded by `block_docs` and `block_postings` (one document may be more by itself), a block of items by
 `block_items` and `block_terms` (one item likewise).
 
 Defined cases: a null or empty text, or one without terms, counts for nothing and is never found; an item without terms gives no rows; so does an
@@ -32,7 +33,7 @@ from sievework.llm.common import materialise, tidy
 #: Bytes of a term stay, A-Z in lower case; all others part terms. Bytes of 128 and more are parts of other characters.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _LAST = np.iinfo(np.int64).max  # stands for a null id
-_BLOCK = "ids binary, nulls binary, sizes binary, vocabulary binary, starts binary, docs binary, counts binary"
+_BLOCK = "ids binary, nulls binary, sizes binary, vocabulary binary, dfs binary, docs binary, counts binary"
 _ITEMS = "item_block long, rows binary, ends binary, vocabulary binary, terms binary, weights binary"
 
 
@@ -54,7 +55,17 @@ def _ints(b: bytes, kind: str = "<i8") -> np.ndarray:
     return np.frombuffer(b, kind)
 
 
-def build(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", block_docs: int = 2048, block_postings: int = 1 << 19) -> Index:
+def _packed(x: np.ndarray) -> bytes:
+    """Integers of 0 and more, each in as many bytes as the largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))).newbyteorder("<")).tobytes()
+
+
+def _unpacked(b: bytes, n: int) -> np.ndarray:
+    """The n integers that `_packed` wrote."""
+    return _ints(b, f"<u{len(b) // n if n else 1}")
+
+
+def build(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", block_docs: int = 4096, block_postings: int = 1 << 19) -> Index:
     """The index of all terms of all documents. It doesn't move documents: blocks are made of what a task reads."""
     names = [c.split()[0] for c in _BLOCK.split(", ")]
 
@@ -70,8 +81,8 @@ def build(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", block_
             term, count = at[np.concatenate(held)], np.concatenate(many)
             doc = np.repeat(np.arange(len(ids), dtype=np.int64), np.diff(ends))
             order = np.lexsort((doc, term))
-            starts = np.searchsorted(term[order], np.arange(len(words) + 1))
-            cols = [np.array(ids, "<i8"), np.array(null, np.uint8), np.array(sizes, "<i8"), b"\n".join(words[i] for i in place), starts.astype("<i8"), doc[order].astype("<u4"), count[order].astype("<i8")]
+            dfs = np.bincount(term, minlength=len(words))
+            cols = [np.array(ids, "<i8"), np.array(null, np.uint8), np.array(sizes, "<i8"), b"\n".join(words[i] for i in place), _packed(dfs), _packed(doc[order]), _packed(count[order])]
             for x in (number, ids, null, sizes, held, many):
                 x.clear()
             ends[:] = [0]
@@ -107,12 +118,13 @@ def frequencies(index: Index) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for words, starts in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                found, df = words.split(b"\n"), np.diff(_ints(starts))
+            for words, dfs in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                found = words.split(b"\n")
+                df = _unpacked(dfs, len(found)).astype(np.int64)
                 for k in range(0, len(found), 8192):
                     yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 8192], pa.binary()), pa.array(df[k : k + 8192])], names=["term", "df"])
 
-    return index.blocks.select("vocabulary", "starts").mapInArrow(tidy(run), "term binary, df long")
+    return index.blocks.select("vocabulary", "dfs").mapInArrow(tidy(run), "term binary, df long")
 
 
 def _asked(items: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -164,12 +176,12 @@ class Lists:
         self.ids = np.where(null, _LAST, ids)
         own = {w: i for i, w in enumerate(block["vocabulary"].split(b"\n"))}
         at = np.array([own.get(w, -1) for w in words], np.int64)
-        starts = _ints(block["starts"])
+        starts = np.concatenate([[0], np.cumsum(_unpacked(block["dfs"], len(own)), dtype=np.int64)])
         low = np.where(at >= 0, starts[at], 0)
         size = np.where(at >= 0, starts[at + 1] - low, 0)
         self.ends = np.concatenate([[0], np.cumsum(size)])
         pick = np.repeat(low - self.ends[:-1], size) + np.arange(self.ends[-1])
-        doc, tf = _ints(block["docs"], "<u4")[pick].astype(np.int64), _ints(block["counts"])[pick]
+        doc, tf = (_unpacked(block[c], starts[-1])[pick].astype(np.int64) for c in ("docs", "counts"))
         term = np.repeat(np.arange(len(words)), size)
         m = 75 + (25 * _ints(block["sizes"]) * documents) // total
         impact = (1_000_000_000 * tf) // (1000 * tf + 12 * m[doc])
@@ -214,7 +226,7 @@ class Lists:
         return ids, scores
 
 
-def search(index: Index, items: DataFrame, k: int = 20, *, id_col: str = "item_id", text: str = "text", block_items: int = 64, block_terms: int = 4096) -> DataFrame:
+def search(index: Index, items: DataFrame, k: int = 20, *, id_col: str = "item_id", text: str = "text", block_items: int = 512, block_terms: int = 1 << 15) -> DataFrame:
     """item_id, rank, doc_id and score of each item's k best documents."""
     spark = items.sparkSession
     out = "item_id long, rank int, doc_id long, score long"
@@ -245,13 +257,13 @@ def search(index: Index, items: DataFrame, k: int = 20, *, id_col: str = "item_i
                     tops[r["item_block"]] = rows, [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(rows)
                 top = tops[r["item_block"]][1]
                 which, weight = _ints(r["terms"]), _ints(r["weights"])
-                lists = Lists({c: r[c] for c in ("ids", "nulls", "sizes", "starts", "docs", "counts")} | {"vocabulary": r["index_words"]}, r["vocabulary"].split(b"\n"), documents, total)
+                lists = Lists({c: r[c] for c in ("ids", "nulls", "sizes", "dfs", "docs", "counts")} | {"vocabulary": r["index_words"]}, r["vocabulary"].split(b"\n"), documents, total)
                 for i, (x, y) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
                     top[i] = lists.search(which[x:y], weight[x:y], k, top[i])
         for x in tops.values():
             yield give(*x)
 
-    pairs = pairs.select("item_block", "rows", "ends", blocks["vocabulary"], "terms", "weights", "ids", "nulls", "sizes", index.blocks["vocabulary"].alias("index_words"), "starts", "docs", "counts")
+    pairs = pairs.select("item_block", "rows", "ends", blocks["vocabulary"], "terms", "weights", "ids", "nulls", "sizes", index.blocks["vocabulary"].alias("index_words"), "dfs", "docs", "counts")
     found, _ = materialise(pairs.mapInArrow(tidy(run), "row long, doc_id long, score long"))
     w = Window.partitionBy("row").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

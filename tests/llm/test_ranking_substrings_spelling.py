@@ -73,6 +73,28 @@ def test_lists_are_left_when_the_threshold_falls_below_the_kth_score(spark):
     assert ids.tolist() == [0, 1, 2] and sum(calls) <= 200
 
 
+def test_integers_of_a_block_take_as_many_bytes_as_its_largest_needs(spark):
+    docs = [(i, f"a b{i % 9} c{i} a") for i in range(300)]
+    block = ranking.build(_frame(spark, docs).coalesce(1)).blocks.first().asDict()
+    assert len(block["docs"]) == 900 * 2 and len(block["counts"]) == 900 and len(block["dfs"]) == 2 * (300 + 9 + 1)
+    for x in ([], [0], [255, 0], [256, 1], [65_535, 2], [65_536], [2**32 - 1], [2**32], [2**40, 7]):
+        assert ranking._unpacked(ranking._packed(np.array(x, np.int64)), len(x)).tolist() == x
+    long = [*((i, "a " * n + f"b z{n}") for i, n in enumerate((1, 255, 256, 65_535, 65_536, 70_000))), (9, "b b")]
+    items = [(1, "a b"), (2, "a z256"), (3, "b b z1")]
+    got = ranking.search(ranking.build(_frame(spark, long).coalesce(1)), _frame(spark, items, "item_id"), 6).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(_ranked(long, items, 6), key=str)
+
+
+def test_a_block_of_the_index_passes_once_for_many_items(spark, monkeypatch):
+    made, blocks = [], ranking._item_blocks
+    monkeypatch.setattr(ranking, "_item_blocks", lambda *a: made.append(blocks(*a)) or made[-1])
+    docs = _texts(1)
+    items = [(i, t) for i, (_, t) in enumerate(docs * 3) if t and t.strip()]
+    got = ranking.search(ranking.build(_frame(spark, docs)), _frame(spark, items, "item_id"), 6).collect()
+    assert len(items) > 128 and made[0].count() == 1
+    assert sorted(map(tuple, got), key=str) == sorted(_ranked(docs, items, 6), key=str)
+
+
 def test_search_of_nothing(spark):
     empty = _frame(spark, [(1, "a")]).where("false")
     assert ranking.search(ranking.build(empty), _frame(spark, [(1, "a")], "item_id")).count() == 0
