@@ -81,3 +81,14 @@ def test_exploded_rows_are_not_broadcast(spark):
     state = values.written(values._asked(groups, None, "s").withColumn("got", F.lit(None).cast("array<string>")))
     plan = values._choose(state, values.written(values.numbered(pool, "s")), 40)._jdf.queryExecution().executedPlan().toString()
     assert "BuildLeft" not in plan and plan.count("BroadcastExchange") == 1 and "SortMergeJoin" in plan
+
+
+def test_a_group_whose_values_are_all_taken_asks_for_no_second_batch(spark, monkeypatch):
+    pool = spark.createDataFrame([(f"u{i}", f"Firm {'ab'[i % 2]}", "Name " + "".join("abcdefghij"[int(c)] for c in str(i)), None) for i in range(5000)], "uuid string, WORKPLACE string, NAME string, EMAIL string")
+    rows = [(1, g, f"E{g}", "WORKPLACE") for g in range(4)] + [(2, 0, "E0", "EMAIL"), (2, 1, "E1", "NAME")] + [(3, g, f"E{g}{t}", t) for g in range(3) for t in ("NAME", "WORKPLACE")]
+    groups = spark.createDataFrame(rows, "plan_id long, value_group int, entity_id string, entity_type string")
+    rounds, choose = [], values._choose
+    monkeypatch.setattr(values, "_choose", lambda *a: rounds.append(1) or choose(*a))
+    got, issues = values.select_values(groups, pool, "s", types=["WORKPLACE", "NAME", "EMAIL"])
+    assert sorted(map(tuple, issues.collect())) == [(p, "POOL_NO_FEASIBLE_ROW", g) for p, g in ((1, "2"), (2, "0"), (3, "2"))]
+    assert {(r["plan_id"], r["value_group"]) for r in got.collect()} == {(1, 0), (1, 1), (3, 0), (3, 1)} and len(rounds) <= 2
