@@ -32,8 +32,12 @@ def dealt(df: DataFrame, *keys: str, rows: int = 1 << 20) -> DataFrame:
 
     Fixed shuffle partitions grow with it, and adaptive execution only ever makes them fewer. Counting a table of Parquet reads its footers.
     """
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(least, -(-df.count() // rows)), *keys)
+    return df.repartition(tasks(df, rows), *keys)
+
+
+def tasks(df: DataFrame, rows: int = 1 << 20) -> int:
+    """The number of tasks that `dealt` deals to."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows))
 
 
 def until_settled(state: DataFrame, step: Callable[[DataFrame], DataFrame], open_rows: str) -> DataFrame:

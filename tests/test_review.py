@@ -87,3 +87,21 @@ def test_the_full_gate_broadcasts_nothing(spark):
     """Tables of a row per document compress well and look small; broadcast, they went through the driver."""
     plan = rules.full_review(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan
+
+
+def test_a_draft_is_diagnosed_within_its_row(spark):
+    make = lambda rows, schema: spark.createDataFrame(rows, "plan_id long, " + schema)
+    segments = make([(1, 0, "S1", "A", "A", "prose", "<REF:C1>{josa:x/y} t"), (1, 1, "S1", "Z", "A", "heading", "t"), (1, 2, "S3", "B", "B", "question", "<REF:C9>"), (3, 0, "S1", "A", "A", "prose", "t")], "position int, sentence_id string, section_id string, scene_id string, kind string, text string")
+    sections = make([(p, k, i, ["prose"], m) for p in (1, 2) for k, i, m in (("A", 1, ""), ("B", 0, "qa"), ("D", 2, ""))], "section_id string, ord int, allowed_kinds array<string>, mode string")
+    scenes = make([(1, k, k) for k in "ABD"], "scene_id string, section_id string")
+    refs = make([(1, "C1", "E9", "it"), (1, "C2", "E1", "　"), (1, "C3", "E1", "Kim")], "ref_id string, entity_id string, surface string")
+    wanted = make([(p, "question_answer", "d", "s", 100, 40) for p in (1, 2)], "layout_variant string, domain string, subtype string, min_chars int, rendered_chars int")
+    one = lambda value, column: make([(1, value)], f"{column} string")
+    got = diagnosis.diagnose(segments, sections, scenes, refs, one("E1", "entity_id"), one("Kim", "value"), make([(1, "R1"), (1, "R1")], "relation_id string"), one("R1", "relation_id"), wanted)
+    want = {("SEGMENT_SCENE_SECTION", "S1"), ("SEGMENT_KIND", "S3"), ("DRAFT_SENTENCE_ID", ""), ("REFERENCE_TARGET", "C1"), ("REFERENCE_TARGET", "C2"), ("REFERENCE_ACTUAL_VALUE", "C3"), ("EVIDENCE_ID", ""), ("MISSING_REFERENCE", "C9"), ("JOSA_MARKER", "x/y")}
+    want |= {("MISSING_SECTION", "D"), ("SECTION_ORDER", ""), ("MISSING_SCENE", "D"), ("QUESTION_ANSWER_LAYOUT", ""), ("SPEC_QUESTION_ANSWER", "B"), ("LENGTH_SHORTAGE", "60")}
+    assert sorted(map(tuple, got.collect())) == sorted({(1, *x) for x in want} | {(2, "EMPTY_DOCUMENT", ""), (3, "SEGMENT_SCENE_SECTION", "S1")})
+    from sievework.plans import documents
+
+    plan = documents.draft_diagnosis(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2  # lines and orders are moved once each
