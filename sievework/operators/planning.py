@@ -6,7 +6,7 @@ shuffle besides the one that deals plans to tasks, no Python, and nothing on the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.functions.nested import let
@@ -46,7 +46,10 @@ def required_selection(candidates: DataFrame, options: DataFrame, most: int) ->
 
 
 def with_options(conditions: DataFrame, options: DataFrame, seed: str) -> DataFrame:
-    """Adds options_pii and options_non, array<struct<source, relation, target>>, in the order that the plan's seed gives; options: subtype, privacy, source, relation, target, rows of a subtype's catalogue, which is small by nature."""
+    """Adds options_pii and options_non, array<struct<source, relation, target>>, in the order that the plan's seed gives; options: subtype, privacy, source, relation, target, rows of a subtype's catalogue, which is small by nature.
+
+    Hashes are most of the work. Where conditions have slots, only what a slot may ask for is hashed: a list that no slot reads is in no order, and one of which all slots require relations has only these.
+    """
     row = F.struct("source", "relation", "target")
     per = options.groupBy(F.col("subtype").alias("__s")).agg(*(F.array_sort(F.collect_set(F.when(F.col("privacy") == p, row))).alias(c) for p, c in (("PII", "__p"), ("NON_PII", "__q"))))
     # what the hash reads of an option is written once a subtype, what it reads of a plan once a plan
@@ -55,7 +58,15 @@ def with_options(conditions: DataFrame, options: DataFrame, seed: str) -> DataFr
     none = F.array().cast("array<struct<n:string,o:struct<source:string,relation:string,target:string>>>")
     plan = F.concat_ws(":", F.lit(seed), F.col("plan_id").cast("string"))
     keyed = lambda c: let(plan, lambda p: F.transform(F.coalesce(c, none), lambda o: F.struct(F.sha2(F.concat_ws(":", p, o["n"]), 256).alias("k"), o["o"].alias("o"))))
-    shuffled = lambda c: F.transform(F.sort_array(keyed(F.col(c))), lambda x: x["o"])
+    def shuffled(c: str) -> Column:
+        if "slots" not in conditions.columns:
+            return F.transform(F.sort_array(keyed(F.col(c))), lambda x: x["o"])
+        own = F.filter("slots", lambda s: s["privacy"].eqNullSafe("PII") if c == "__p" else ~s["privacy"].eqNullSafe("PII"))
+        asked = F.transform(own, lambda s: s["required"])
+        free = F.exists(asked, lambda r: r.isNull())
+        some = F.when(free, F.col(c)).otherwise(F.filter(c, lambda o: F.array_contains(asked, o["o"]["relation"])))
+        return F.when(F.size(asked) == 0, F.transform(F.coalesce(c, none), lambda o: o["o"])).otherwise(F.transform(F.sort_array(keyed(some)), lambda x: x["o"]))
+
     # a plan is much work and few bytes, by which adaptive execution would put many into one task; it is dealt before its options are added, which are many times its size
     spread = conditions.repartition(int(conditions.sparkSession.conf.get("spark.sql.shuffle.partitions")), "plan_id")
     joined = spread.join(F.broadcast(per), F.col("subtype").eqNullSafe(F.col("__s")), "left")

@@ -140,3 +140,16 @@ def test_plans_are_dealt_before_their_options_are_added(spark):
 
     plan = queries.seed_graphs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("sha2(") < plan.index("RepartitionByExpression")
+
+
+def test_only_options_that_a_slot_may_ask_for_are_hashed(spark):
+    options = spark.createDataFrame([("x", p, "NAME", f"r{k}", t) for p in ("PII", "NON_PII") for k in range(3) for t in ("AGE", "EMAIL")], "subtype string, privacy string, source string, relation string, target string")
+    slots = {1: [("R1", "PII", "r1")], 2: [("R1", "PII", "r1"), ("R2", "PII", None)], 3: [("R1", "NON_PII", "r2"), ("R2", "NON_PII", "r0"), ("R3", "PII", None)], 4: [("R1", "NON_PII", "r9")]}
+    rows = [(p, "x", [("P1", "a")], s, 0, None, None) for p, s in slots.items()]
+    conditions = spark.createDataFrame(rows, _SHAPE)
+    got = {r["plan_id"]: r for r in planning.with_options(conditions, options, "s").collect()}
+    whole = {r["plan_id"]: r for r in planning.with_options(conditions.drop("slots"), options, "s").collect()}
+    of = lambda r, c, some: [o for o in r[c] if o["relation"] in some]
+    assert got[1]["options_pii"] == of(whole[1], "options_pii", {"r1"}) and len(got[1]["options_non"]) == 6
+    assert got[2]["options_pii"] == whole[2]["options_pii"] and got[3]["options_pii"] == whole[3]["options_pii"]
+    assert got[3]["options_non"] == of(whole[3], "options_non", {"r2", "r0"}) and got[4]["options_non"] == []
